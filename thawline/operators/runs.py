@@ -31,3 +31,106 @@ def buckets_of(raw: DataFrame) -> DataFrame:
         F.max("bucket_seq").alias("bucket_seq"))
     return b.withColumns({"bucket_key": bucket_key(F.col("index_name"), F.col("bucket_name")),
                           "target_index": target_index(F.col("index_name"))})
+
+
+def listing_with_empty(buckets: DataFrame) -> DataFrame:
+    """Bucket listing plus, per index, one bucket (the next day) that holds no events."""
+    nxt = buckets.groupBy("index_name").agg((F.max("bucket_earliest") + 86400).alias("bucket_earliest"))
+    nxt = nxt.select(
+        "index_name",
+        F.concat(F.lit("db_"), (F.col("bucket_earliest") + 86399).cast("string"), F.lit("_"),
+                 F.col("bucket_earliest").cast("string"), F.lit("_"),
+                 (F.floor(F.col("bucket_earliest") / 86400) % 100).cast("string")).alias("bucket_name"),
+        (F.col("bucket_earliest") + 86399).alias("bucket_latest"), "bucket_earliest",
+        (F.floor(F.col("bucket_earliest") / 86400) % 100).alias("bucket_seq"))
+    nxt = nxt.withColumns({"bucket_key": bucket_key(F.col("index_name"), F.col("bucket_name")),
+                           "target_index": target_index(F.col("index_name"))})
+    return buckets.unionByName(nxt)
+
+
+def bucket_counts(raw: DataFrame) -> DataFrame:
+    """Events and empty-message events per bucket (map-side partial aggregation)."""
+    return raw.groupBy("index_name", "bucket_name").agg(
+        F.count(F.lit(1)).alias("n_events"), F.count_if(F.col("message") == "").alias("n_empty")
+    ).withColumn("bucket_key", bucket_key(F.col("index_name"), F.col("bucket_name")))
+
+
+STATUSES = ("in_progress", "completed", "failed")
+CLEARED = "cleared"
+
+
+def checkpoint_log(buckets: DataFrame, counts: DataFrame) -> DataFrame:
+    """K4 input: append-only checkpoint log derived from the run history of each bucket.
+
+    A bucket with sequence s has versions 0..(s % 3); earlier versions are
+    ``in_progress``, the last is completed / failed / completed / in_progress by
+    ``s % 4``; buckets with ``s % 10 == 9`` were cleared afterwards (tombstone).
+    """
+    b = buckets.join(counts.select("bucket_key", "n_events", "n_empty"), "bucket_key", "left")
+    last = F.col("bucket_seq") % 3
+    tomb = F.when(F.col("bucket_seq") % 10 == 9, 1).otherwise(0)
+    b = b.withColumn("version", F.explode(F.sequence(F.lit(0).cast("bigint"), last + tomb)))
+    final = F.when(F.col("bucket_seq") % 4 == 1, F.lit("failed")).when(
+        F.col("bucket_seq") % 4 == 3, F.lit("in_progress")).otherwise(F.lit("completed"))
+    status = (F.when(F.col("version") > last, F.lit(CLEARED))
+              .when(F.col("version") < last, F.lit("in_progress")).otherwise(final))
+    done = status == "completed"
+    return b.select(
+        "bucket_key", "index_name", "bucket_name", status.alias("status"),
+        F.when(done, F.coalesce(F.col("n_events") - F.col("n_empty"), F.lit(0))).otherwise(0).alias("indexed"),
+        F.when(done, F.coalesce(F.col("n_empty"), F.lit(0))).otherwise(0).alias("errors"),
+        (F.col("bucket_latest") + 60 * F.col("version")).alias("updated_at"),
+        "version")
+
+
+def checkpoint_latest(log: DataFrame) -> DataFrame:
+    """State after the upserts: latest version per bucket (aggregate, no sort); a
+    clear tombstone removes the record."""
+    order = F.struct("updated_at", "version")
+    latest = log.groupBy("bucket_key").agg(
+        F.max_by(F.struct("index_name", "bucket_name", "status", "indexed", "errors", "updated_at"), order).alias("r"))
+    latest = latest.select("bucket_key", "r.*")
+    return latest.where(F.col("status") != CLEARED)
+
+
+def resume_pending(listing: DataFrame, latest: DataFrame, resume: bool = True, force: bool = False) -> DataFrame:
+    """Buckets still to ingest: the listing minus completed checkpoints (anti join).
+
+    ``force`` clears every checkpoint first and ``resume=False`` ignores them: both keep all buckets.
+    """
+    if force or not resume:
+        return listing
+    done = latest.where(F.col("status") == "completed").select("bucket_key")
+    return listing.join(done, "bucket_key", "left_anti")
+
+
+def resume_skipped(listing: DataFrame, latest: DataFrame) -> DataFrame:
+    """Completed buckets reported as ``skipped`` with their recorded counts."""
+    done = latest.where(F.col("status") == "completed").select("bucket_key", "indexed", "errors")
+    return listing.join(done, "bucket_key", "inner").select(
+        "bucket_key", "index_name", "bucket_name", "target_index", "indexed", "errors",
+        F.lit("skipped").alias("status"))
+
+
+def processed_results(pending: DataFrame, counts: DataFrame) -> DataFrame:
+    """Per processed bucket: documents written (non-empty) and rejected (empty message)."""
+    p = pending.join(counts.select("bucket_key", "n_events", "n_empty"), "bucket_key", "left")
+    return p.select("bucket_key", "index_name", "bucket_name", "target_index",
+                    F.coalesce(F.col("n_events") - F.col("n_empty"), F.lit(0)).alias("indexed"),
+                    F.coalesce(F.col("n_empty"), F.lit(0)).alias("errors"),
+                    F.lit("completed").alias("status"))
+
+
+def run_results(skipped: DataFrame, processed: DataFrame) -> DataFrame:
+    """Skipped and processed bucket results of one run."""
+    return skipped.unionByName(processed)
+
+
+def run_totals(results: DataFrame) -> DataFrame:
+    """Indexed counts only completed buckets; errors count all; skipped / failed by status."""
+    return results.agg(
+        F.coalesce(F.sum(F.when(F.col("status") == "completed", F.col("indexed"))), F.lit(0)).alias("total_indexed"),
+        F.coalesce(F.sum("errors"), F.lit(0)).alias("total_errors"),
+        F.count_if(F.col("status") == "skipped").alias("skipped"),
+        F.count_if(F.col("status") == "failed").alias("failed"),
+        F.count(F.lit(1)).alias("buckets"))

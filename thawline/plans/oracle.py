@@ -263,3 +263,73 @@ parsed AS (
   FROM p3
 )
 """
+
+
+TABLES = """
+buckets AS (
+  SELECT index_name, bucket_name, max(bucket_latest) AS bucket_latest, max(bucket_earliest) AS bucket_earliest,
+         max(bucket_seq) AS bucket_seq
+  FROM corpus GROUP BY index_name, bucket_name
+),
+listing AS (
+  SELECT index_name, bucket_name, bucket_latest, bucket_earliest, bucket_seq,
+         index_name || '/' || bucket_name AS bucket_key, 'thaw-' || index_name AS target_index FROM buckets
+  UNION ALL
+  SELECT index_name, 'db_' || CAST(e + 86399 AS VARCHAR) || '_' || CAST(e AS VARCHAR) || '_' || CAST((e // 86400) % 100 AS VARCHAR),
+         e + 86399, e, (e // 86400) % 100,
+         index_name || '/' || 'db_' || CAST(e + 86399 AS VARCHAR) || '_' || CAST(e AS VARCHAR) || '_' || CAST((e // 86400) % 100 AS VARCHAR),
+         'thaw-' || index_name
+  FROM (SELECT index_name, max(bucket_earliest) + 86400 AS e FROM buckets GROUP BY index_name)
+),
+counts AS (
+  SELECT index_name || '/' || bucket_name AS bucket_key, count(*) AS n_events,
+         count(*) FILTER (WHERE message = '') AS n_empty, CAST(sum(octet_length(encode(message))) AS BIGINT) AS n_bytes
+  FROM corpus GROUP BY index_name, bucket_name
+),
+ckpt_v AS (
+  SELECT b.index_name || '/' || b.bucket_name AS bucket_key, b.index_name, b.bucket_name, b.bucket_seq, b.bucket_latest,
+         c.n_events, c.n_empty,
+         unnest(range(0, b.bucket_seq % 3 + CASE WHEN b.bucket_seq % 10 = 9 THEN 1 ELSE 0 END + 1)) AS version
+  FROM buckets b LEFT JOIN counts c ON c.bucket_key = b.index_name || '/' || b.bucket_name
+),
+ckpt_log AS (
+  SELECT bucket_key, index_name, bucket_name, status,
+         CASE WHEN status = 'completed' THEN coalesce(n_events - n_empty, 0) ELSE 0 END AS indexed,
+         CASE WHEN status = 'completed' THEN coalesce(n_empty, 0) ELSE 0 END AS errors,
+         bucket_latest + 60 * version AS updated_at, version
+  FROM (SELECT *, CASE WHEN version > bucket_seq % 3 THEN 'cleared'
+                       WHEN version < bucket_seq % 3 THEN 'in_progress'
+                       WHEN bucket_seq % 4 = 1 THEN 'failed' WHEN bucket_seq % 4 = 3 THEN 'in_progress'
+                       ELSE 'completed' END AS status FROM ckpt_v)
+),
+latest AS (
+  SELECT bucket_key, index_name, bucket_name, status, indexed, errors, updated_at FROM (
+    SELECT *, row_number() OVER (PARTITION BY bucket_key ORDER BY updated_at DESC, version DESC) AS rn FROM ckpt_log)
+  WHERE rn = 1 AND status <> 'cleared'
+),
+pending AS (
+  SELECT * FROM listing l WHERE NOT EXISTS (SELECT 1 FROM latest t WHERE t.bucket_key = l.bucket_key AND t.status = 'completed')
+),
+skipped AS (
+  SELECT l.bucket_key, l.index_name, l.bucket_name, l.target_index, t.indexed, t.errors, 'skipped' AS status
+  FROM listing l JOIN latest t ON t.bucket_key = l.bucket_key AND t.status = 'completed'
+),
+processed AS (
+  SELECT p.bucket_key, p.index_name, p.bucket_name, p.target_index, coalesce(c.n_events - c.n_empty, 0) AS indexed,
+         coalesce(c.n_empty, 0) AS errors, 'completed' AS status
+  FROM pending p LEFT JOIN counts c ON c.bucket_key = p.bucket_key
+),
+results AS (SELECT * FROM skipped UNION ALL SELECT * FROM processed),
+bucket_metrics AS (
+  SELECT l.bucket_key, l.index_name, r.status, l.bucket_latest,
+         CASE WHEN l.bucket_seq % 2 = 0 THEN '1.0' ELSE '1.1' END AS ingest_iteration,
+         coalesce(c.n_bytes, 0) + 16 * coalesce(c.n_events, 0) AS journal_size_bytes,
+         coalesce(c.n_events, 0) AS event_count,
+         coalesce(c.n_events, 0) - coalesce(c.n_empty, 0) AS docs_success, coalesce(c.n_empty, 0) AS docs_error,
+         coalesce(c.n_bytes, 0) // 1000 AS read_ms, coalesce(c.n_events, 0) // 50 AS decode_ms,
+         coalesce(c.n_events, 0) // 20 AS bulk_ms,
+         coalesce(c.n_bytes, 0) // 1000 + coalesce(c.n_events, 0) // 50 + coalesce(c.n_events, 0) // 20 AS wall_ms,
+         100000000 + 3 * coalesce(c.n_bytes, 0) AS rss_bytes
+  FROM listing l JOIN results r ON r.bucket_key = l.bucket_key LEFT JOIN counts c ON c.bucket_key = l.bucket_key
+)
+"""

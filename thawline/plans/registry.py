@@ -339,3 +339,141 @@ def q_ingest_summary(spark, sf):
         (F.count("client_ip") + F.count("syslog_hostname") + F.count("aws_cloudtrail_event_name")
          + F.count("aws_vpcflow_action")).alias("n_parsed"),
         F.min("ts_ms").alias("min_ts_ms"), F.max("ts_ms").alias("max_ts_ms"))
+
+
+# ---------------------------------------------------------------------------
+# Run bookkeeping: checkpoint log, resume joins, results, totals
+# ---------------------------------------------------------------------------
+from thawline.operators import profile as PR  # noqa: E402
+from thawline.operators import runs as R  # noqa: E402
+from thawline.plans import tables as T  # noqa: E402
+
+TB = O.TABLES
+
+
+@register("checkpoint_latest", W(TB) + "SELECT bucket_key, status, indexed, errors, updated_at FROM latest")
+def q_checkpoint_latest(spark, sf):
+    return T.latest(spark, sf).select("bucket_key", "status", "indexed", "errors", "updated_at")
+
+
+@register("checkpoint_state", W(TB) + """
+SELECT status, CAST(count(*) AS BIGINT) AS n_buckets, CAST(sum(indexed) AS BIGINT) AS indexed,
+       CAST(sum(errors) AS BIGINT) AS errors
+FROM latest GROUP BY status""")
+def q_checkpoint_state(spark, sf):
+    """K4: bucket states after all upserts and clears."""
+    return T.latest(spark, sf).groupBy("status").agg(
+        F.count(F.lit(1)).alias("n_buckets"), F.sum("indexed").alias("indexed"), F.sum("errors").alias("errors"))
+
+
+@register("resume_pending", W(TB) + "SELECT bucket_key, index_name, bucket_name FROM pending")
+def q_resume_pending(spark, sf):
+    return R.resume_pending(T.listing(spark, sf), T.latest(spark, sf)).select("bucket_key", "index_name", "bucket_name")
+
+
+@register("resume_pending_force", W(TB) + "SELECT bucket_key, index_name, bucket_name FROM listing")
+def q_resume_pending_force(spark, sf):
+    """J1 with ``force``: checkpoints cleared first, every bucket is pending."""
+    return R.resume_pending(T.listing(spark, sf), T.latest(spark, sf), force=True).select(
+        "bucket_key", "index_name", "bucket_name")
+
+
+@register("resume_skipped", W(TB) + "SELECT * FROM skipped")
+def q_resume_skipped(spark, sf):
+    return R.resume_skipped(T.listing(spark, sf), T.latest(spark, sf))
+
+
+@register("run_results", W(TB) + "SELECT * FROM results")
+def q_run_results(spark, sf):
+    return T.results(spark, sf)
+
+
+@register("run_totals", W(TB) + """
+SELECT CAST(coalesce(sum(indexed) FILTER (WHERE status = 'completed'), 0) AS BIGINT) AS total_indexed,
+       CAST(coalesce(sum(errors), 0) AS BIGINT) AS total_errors,
+       count(*) FILTER (WHERE status = 'skipped') AS skipped, count(*) FILTER (WHERE status = 'failed') AS failed,
+       count(*) AS buckets
+FROM results""")
+def q_run_totals(spark, sf):
+    return R.run_totals(T.results(spark, sf))
+
+
+# ---------------------------------------------------------------------------
+# Profiles and scan
+# ---------------------------------------------------------------------------
+@register("profile_by_kind", W(CLS) + "SELECT kind, count(*) AS n_events FROM classified GROUP BY kind")
+def q_profile_by_kind(spark, sf):
+    return PR.profile_by_kind(B.classified(spark, sf))
+
+
+ST_SQL = f"""
+st AS (
+  SELECT index_name, {O.strip_prefix('sourcetype')} AS sourcetype, count(*) AS n_events FROM corpus
+  WHERE {O.strip_prefix('sourcetype')} <> '' GROUP BY ALL
+)"""
+
+
+@register("profile_by_sourcetype", W(ST_SQL) + """
+SELECT sourcetype, CAST(sum(n_events) AS BIGINT) AS n_events FROM st GROUP BY sourcetype""")
+def q_profile_by_sourcetype(spark, sf):
+    return PR.profile_by_sourcetype(B.corpus(spark, sf))
+
+
+@register("scan_by_index", W(CLS, TB) + """
+SELECT i.index_name, coalesce(a.n_events, 0) AS n_events,
+  CASE WHEN a.kinds IS NULL OR len(a.kinds) = 0 THEN 'generic' ELSE array_to_string(a.kinds, ',') END AS required_parsers,
+  'thaw-pipeline-' || i.index_name AS router_pipeline
+FROM (SELECT DISTINCT index_name FROM listing) i
+LEFT JOIN (SELECT index_name, count(*) AS n_events, list_sort(list_distinct(list(kind))) AS kinds
+           FROM classified GROUP BY index_name) a ON a.index_name = i.index_name""")
+def q_scan_by_index(spark, sf):
+    return PR.scan_by_index(B.classified(spark, sf), T.listing(spark, sf))
+
+
+@register("required_parsers", W(CLS) + """
+SELECT index_name, kind, 'thaw-parse-' || replace(kind, '_', '-') AS parser_pipeline
+FROM (SELECT DISTINCT index_name, kind FROM classified)""")
+def q_required_parsers(spark, sf):
+    """T17 in long form: one row per (index, required parser)."""
+    s = PR.scan_by_index(B.classified(spark, sf))
+    k = s.select("index_name", F.explode(F.split("required_parsers", ",")).alias("kind"))
+    return k.select("index_name", "kind", C.parser_name(F.col("kind")).alias("parser_pipeline"))
+
+
+@register("dry_run_counts", W(TB) + """
+SELECT l.index_name, l.bucket_name, CAST(sum(coalesce(c.n_events, 0)) AS BIGINT) AS n_events, count(*) AS n_buckets
+FROM listing l LEFT JOIN counts c ON c.bucket_key = l.bucket_key
+GROUP BY ROLLUP (l.index_name, l.bucket_name)""")
+def q_dry_run_counts(spark, sf):
+    return PR.dry_run_counts(T.listing(spark, sf), T.counts(spark, sf))
+
+
+def _top_sql(k: int) -> str:
+    return W(ST_SQL) + f"""
+SELECT index_name, sourcetype, n_events, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY index_name ORDER BY n_events DESC, sourcetype ASC) AS rank FROM st)
+WHERE rank <= {k}"""
+
+
+@register("top_sourcetypes", _top_sql(2))
+def q_top_sourcetypes(spark, sf):
+    """O2: top sourcetypes per index (k=2 here so the cut is visible; API uses 50, CLI 10)."""
+    st = PR.profile_by_sourcetype(B.corpus(spark, sf), by=("index_name",))
+    return PR.top_sourcetypes(st, 2)
+
+
+@register("top_sourcetypes_50", _top_sql(50))
+def q_top_sourcetypes_50(spark, sf):
+    st = PR.profile_by_sourcetype(B.corpus(spark, sf), by=("index_name",))
+    return PR.top_sourcetypes(st, 50)
+
+
+@register("bucket_page", W(TB) + """
+SELECT bucket_key, (SELECT count(*) FROM listing) AS total FROM listing
+ORDER BY index_name, bucket_name LIMIT 100 OFFSET 20""")
+def q_bucket_page(spark, sf):
+    """O3: one page of the sorted bucket listing (limit 100, offset 20) with the total."""
+    lst = T.listing(spark, sf)
+    total = lst.count()
+    return lst.orderBy("index_name", "bucket_name").offset(20).limit(100).select(
+        "bucket_key", F.lit(total).alias("total"))
