@@ -134,3 +134,25 @@ def run_totals(results: DataFrame) -> DataFrame:
         F.count_if(F.col("status") == "skipped").alias("skipped"),
         F.count_if(F.col("status") == "failed").alias("failed"),
         F.count(F.lit(1)).alias("buckets"))
+
+
+def doc_id(bucket_key_col: Column, stream_id: Column, stream_offset: Column, stream_sub_offset: Column,
+           event_ordinal: Column) -> Column:
+    """Stable document id; the ordinal separates events whose stream coordinates collide."""
+    return F.sha2(F.concat_ws("|", bucket_key_col, stream_id.cast("string"), stream_offset.cast("string"),
+                              stream_sub_offset.cast("string"), event_ordinal.cast("string")), 256)
+
+
+def parsers_missing(required: DataFrame, registered: DataFrame, key: str = "parser_pipeline") -> DataFrame:
+    """Required parsers that are not registered yet (only these are deployed)."""
+    return required.join(registered, key, "left_anti")
+
+
+def parsers_reused(required: DataFrame, registered: DataFrame, key: str = "parser_pipeline") -> DataFrame:
+    """Required parsers that already exist and are reused."""
+    return required.join(registered, key, "left_semi")
+
+
+def dedupe_docs(docs: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Idempotent re-delivery: one row per document id."""
+    return docs.dropDuplicates([key])

@@ -477,3 +477,185 @@ def q_bucket_page(spark, sf):
     total = lst.count()
     return lst.orderBy("index_name", "bucket_name").offset(20).limit(100).select(
         "bucket_key", F.lit(total).alias("total"))
+
+
+# ---------------------------------------------------------------------------
+# Metrics (A10-A13)
+# ---------------------------------------------------------------------------
+from thawline.operators import metrics as M  # noqa: E402
+
+
+@register("metrics_rollup", W(TB) + """
+SELECT index_name, ingest_iteration, count(*) AS journals, CAST(sum(event_count) AS BIGINT) AS events,
+  CAST(sum(journal_size_bytes) AS BIGINT) AS bytes, CAST(sum(docs_success) AS BIGINT) AS docs_success,
+  CAST(sum(docs_error) AS BIGINT) AS docs_error,
+  count(*) FILTER (WHERE status = 'completed') AS buckets_completed,
+  count(*) FILTER (WHERE status = 'failed') AS buckets_failed,
+  count(*) FILTER (WHERE status = 'skipped') AS buckets_skipped
+FROM bucket_metrics GROUP BY index_name, ingest_iteration""")
+def q_metrics_rollup(spark, sf):
+    return M.rollup(T.bucket_metrics(spark, sf))
+
+
+_BOUNDS = ", ".join(str(b) for b in M.BOUNDS_MS)
+
+
+HIST_CTES = (f"""
+long AS (
+  SELECT index_name, ingest_iteration, unnest(['read_ms', 'decode_ms', 'bulk_ms', 'wall_ms']) AS metric,
+         unnest([read_ms, decode_ms, bulk_ms, wall_ms]) AS v FROM bucket_metrics
+)""", f"""
+lb AS (SELECT *, unnest([{_BOUNDS}, NULL]) AS bound FROM long)""")
+
+
+@register("metrics_histogram", W(TB, *HIST_CTES) + """
+SELECT index_name, ingest_iteration, metric, coalesce(CAST(bound AS VARCHAR), '+Inf') AS le,
+  count(*) FILTER (WHERE bound IS NULL OR v <= bound) AS count
+FROM lb GROUP BY index_name, ingest_iteration, metric, bound""")
+def q_metrics_histogram(spark, sf):
+    return M.histogram(T.bucket_metrics(spark, sf))
+
+
+@register("metrics_latest", W(TB) + """
+SELECT ingest_iteration, arg_max(wall_ms, (bucket_latest, bucket_key)) AS last_wall_ms,
+  arg_max(rss_bytes, (bucket_latest, bucket_key)) AS last_rss_bytes
+FROM bucket_metrics GROUP BY ingest_iteration""")
+def q_metrics_latest(spark, sf):
+    return M.latest_gauges(T.bucket_metrics(spark, sf))
+
+
+@register("throughput", W(TB) + """
+SELECT index_name, docs, wall_ms,
+  CASE WHEN wall_ms > 0 THEN docs * 1000.0 / wall_ms ELSE 0.0 END AS docs_per_s,
+  CASE WHEN wall_ms > 0 THEN bulk_ms * 100.0 / wall_ms ELSE 0.0 END AS bulk_pct
+FROM (SELECT index_name, CAST(sum(docs_success) AS BIGINT) AS docs, CAST(sum(wall_ms) AS BIGINT) AS wall_ms,
+             CAST(sum(bulk_ms) AS BIGINT) AS bulk_ms FROM bucket_metrics GROUP BY index_name)""")
+def q_throughput(spark, sf):
+    return M.throughput(T.bucket_metrics(spark, sf))
+
+
+# ---------------------------------------------------------------------------
+# Ordinals, document ids, write outcome, batching (W3, P8, A7, K3), parser sets (J5, U2), U3, J6
+# ---------------------------------------------------------------------------
+from thawline.operators.scan import ordinal_within  # noqa: E402
+
+
+def _with_ordinal(spark, sf):
+    raw = B.corpus(spark, sf).withColumn("bucket_key", R.bucket_key(F.col("index_name"), F.col("bucket_name")))
+    return ordinal_within(raw, ["bucket_key"], ["event_time_ms", "event_id"], "event_ordinal")
+
+
+ORD_SQL = """
+ord AS (
+  SELECT *, index_name || '/' || bucket_name AS bucket_key,
+         row_number() OVER (PARTITION BY index_name || '/' || bucket_name ORDER BY event_time_ms, event_id) - 1
+           AS event_ordinal
+  FROM corpus
+)"""
+
+
+@register("event_ordinal", W(ORD_SQL) + "SELECT event_id, bucket_key, event_ordinal FROM ord")
+def q_event_ordinal(spark, sf):
+    return _with_ordinal(spark, sf).select("event_id", "bucket_key", "event_ordinal")
+
+
+DOC_ID_SQL = ("sha256(concat_ws('|', bucket_key, CAST(index_time % 1000 AS VARCHAR), "
+              "CAST(event_time_ms // 1000 AS VARCHAR), '0', CAST(event_ordinal AS VARCHAR)))")
+
+
+def _doc_id_col():
+    return R.doc_id(F.col("bucket_key"), F.col("index_time") % 1000, F.floor(F.col("event_time_ms") / 1000),
+                    F.lit(0), F.col("event_ordinal"))
+
+
+@register("doc_id", W(ORD_SQL) + f"SELECT event_id, event_ordinal, {DOC_ID_SQL} AS doc_id FROM ord")
+def q_doc_id(spark, sf):
+    """Stream id = index_time % 1000, offset = event second, sub-offset 0 (they collide; the ordinal does not)."""
+    return _with_ordinal(spark, sf).select("event_id", "event_ordinal", _doc_id_col().alias("doc_id"))
+
+
+BATCH = 500
+
+
+@register("write_outcome", W(ORD_SQL) + f"""
+SELECT bucket_key, event_ordinal // {BATCH} AS batch, count(*) FILTER (WHERE message <> '') AS success,
+  count(*) FILTER (WHERE message = '') AS errors
+FROM ord GROUP BY bucket_key, event_ordinal // {BATCH}""")
+def q_write_outcome(spark, sf):
+    """Per bulk batch of 500 documents: written and rejected (empty body) items."""
+    o = _with_ordinal(spark, sf)
+    return o.groupBy("bucket_key", F.floor(F.col("event_ordinal") / BATCH).alias("batch")).agg(
+        F.count_if(F.col("message") != "").alias("success"), F.count_if(F.col("message") == "").alias("errors"))
+
+
+@register("batch_by_docs", W(ORD_SQL) + f"""
+SELECT bucket_key, event_ordinal // {BATCH} AS batch, count(*) AS n_docs,
+  CAST(sum(octet_length(encode(message))) AS BIGINT) AS n_bytes
+FROM ord GROUP BY bucket_key, event_ordinal // {BATCH}""")
+def q_batch_by_docs(spark, sf):
+    """K3: document-count batches (500 per request) per bucket with their body bytes."""
+    o = _with_ordinal(spark, sf)
+    return o.groupBy("bucket_key", F.floor(F.col("event_ordinal") / BATCH).alias("batch")).agg(
+        F.count(F.lit(1)).alias("n_docs"), F.sum(F.octet_length("message")).alias("n_bytes"))
+
+
+PARSER_SETS_SQL = """
+req AS (SELECT DISTINCT 'thaw-parse-' || replace(kind, '_', '-') AS parser_pipeline FROM classified),
+reg AS (SELECT DISTINCT 'thaw-parse-' || replace(kind, '_', '-') AS parser_pipeline FROM classified
+        WHERE CAST(split_part(bucket_name, '_', 4) AS INTEGER) % 2 = 0)"""
+
+
+def _parser_sets(spark, sf):
+    c = B.classified(spark, sf)
+    req = c.select(C.parser_name(F.col("kind")).alias("parser_pipeline")).distinct()
+    # parsers an earlier run registered: kinds seen in buckets with an even sequence number
+    even = F.substring_index(F.col("bucket_name"), "_", -1).cast("int") % 2 == 0
+    reg = c.where(even).select(C.parser_name(F.col("kind")).alias("parser_pipeline")).distinct()
+    return req, reg
+
+
+@register("parsers_missing", W(CLS, PARSER_SETS_SQL) + """
+SELECT parser_pipeline FROM req WHERE parser_pipeline NOT IN (SELECT parser_pipeline FROM reg)""")
+def q_parsers_missing(spark, sf):
+    req, reg = _parser_sets(spark, sf)
+    return R.parsers_missing(req, reg)
+
+
+@register("parsers_reused", W(CLS, PARSER_SETS_SQL) + """
+SELECT parser_pipeline FROM req WHERE parser_pipeline IN (SELECT parser_pipeline FROM reg)""")
+def q_parsers_reused(spark, sf):
+    req, reg = _parser_sets(spark, sf)
+    return R.parsers_reused(req, reg)
+
+
+@register("parsers_distinct", W(CLS) + """
+SELECT 'thaw-parse-' || replace(kind, '_', '-') AS parser_pipeline, min(index_name) AS first_index
+FROM classified GROUP BY kind""")
+def q_parsers_distinct(spark, sf):
+    """Each parser deployed once over all indices; the first index (by name) that needs it wins."""
+    c = B.classified(spark, sf).select(C.parser_name(F.col("kind")).alias("parser_pipeline"), "index_name")
+    return c.groupBy("parser_pipeline").agg(F.min("index_name").alias("first_index"))
+
+
+@register("dedupe_docs", W(ORD_SQL) + f"""
+SELECT index_name, count(*) AS n_docs, count(DISTINCT {DOC_ID_SQL}) AS n_ids,
+  CAST(count(*) + count(*) FILTER (WHERE event_id % 10 = 0) AS BIGINT) AS n_delivered
+FROM ord GROUP BY index_name""")
+def q_dedupe_docs(spark, sf):
+    """Every tenth document delivered twice; dedupe on the id restores one row per event."""
+    o = _with_ordinal(spark, sf).withColumn("doc_id", _doc_id_col()).select("index_name", "event_id", "doc_id")
+    delivered = o.unionByName(o.where(F.col("event_id") % 10 == 0))
+    d = R.dedupe_docs(delivered)
+    n_del = delivered.groupBy("index_name").agg(F.count(F.lit(1)).alias("n_delivered"))
+    n = d.groupBy("index_name").agg(F.count(F.lit(1)).alias("n_docs"), F.count_distinct("doc_id").alias("n_ids"))
+    return n.join(n_del, "index_name")
+
+
+@register("docs_with_bucket", W(TB) + """
+SELECT c.event_id, l.bucket_key, l.target_index, l.bucket_latest, l.bucket_earliest
+FROM corpus c JOIN listing l ON l.bucket_key = c.index_name || '/' || c.bucket_name""")
+def q_docs_with_bucket(spark, sf):
+    """Events carry only their bucket key; the bucket context comes from the listing (equi join)."""
+    ev = B.corpus(spark, sf).select("event_id", R.bucket_key(F.col("index_name"), F.col("bucket_name")).alias("bucket_key"))
+    lst = T.listing(spark, sf).select("bucket_key", "target_index", "bucket_latest", "bucket_earliest")
+    return ev.join(lst, "bucket_key")
