@@ -99,5 +99,5 @@ if __name__ == "__main__":
         except Exception as e:  # noqa: BLE001
             ok, msg = False, f"{n}: ERROR {type(e).__name__}: {str(e)[:600]}"
         bad += not ok
-        print(("OK  " if ok else "BAD ") + msg + f"  ({time.time() - t:.1f}s)", flush=True)
+        print("\n" + ("OK  " if ok else "BAD ") + msg + f"  ({time.time() - t:.1f}s)", flush=True)
     print(f"{len(names) - bad}/{len(names)} match")

@@ -25,11 +25,11 @@ def parsed(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
     return route_and_parse(classified(spark, sf_dir), **kw)
 
 
-def docs(raw: DataFrame) -> DataFrame:
+def docs(raw: DataFrame, keys=("event_id",)) -> DataFrame:
     """P5: flat document columns of classified raw events (prefixes stripped, ISO time)."""
     c = classify(raw)
     return c.select(
-        "event_id",
+        *keys,
         iso_utc(F.col("event_time_ms")).alias("ts_iso"),
         "message",
         strip_prefix(F.col("host")).alias("host"),

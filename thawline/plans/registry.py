@@ -659,3 +659,231 @@ def q_docs_with_bucket(spark, sf):
     ev = B.corpus(spark, sf).select("event_id", R.bucket_key(F.col("index_name"), F.col("bucket_name")).alias("bucket_key"))
     lst = T.listing(spark, sf).select("bucket_key", "target_index", "bucket_latest", "bucket_earliest")
     return ev.join(lst, "bucket_key")
+
+
+# ---------------------------------------------------------------------------
+# Journal source round trips (S1-S9, A8) and op-log replay
+# ---------------------------------------------------------------------------
+from thawline.functions.text import decode_text_fast as _dtf  # noqa: E402
+from thawline.operators import replay as RP  # noqa: E402
+from thawline.sources import journal as JS  # noqa: E402
+from thawline.sources.buckets import list_buckets  # noqa: E402
+from thawline.sources.journal_writer import corrupt_copy, ensure_journals  # noqa: E402
+
+
+def journal_root(spark, sf):
+    return ensure_journals(spark, sf, B.corpus(spark, sf))
+
+
+def journal_events(spark, sf, **opts):
+    return JS.read(spark, journal_root(spark, sf), **opts)
+
+
+@register("bucket_listing", W(TB) + """
+SELECT index_name, bucket_name, bucket_latest AS latest_epoch, bucket_earliest AS earliest_epoch,
+       bucket_seq AS sequence, bucket_key, target_index FROM listing""")
+def q_bucket_listing(spark, sf):
+    return list_buckets(spark, journal_root(spark, sf)).drop("journal_path", "journal_size_bytes")
+
+
+@register("bucket_filter", W() + """
+SELECT index_name || '/' || bucket_name AS bucket_key, count(*) AS n_events FROM corpus
+WHERE index_name IN ('apache', 'syslog') GROUP BY ALL""")
+def q_bucket_filter(spark, sf):
+    """S3: index filter pushed into the source: pruned journals become no partition."""
+    ev = journal_events(spark, sf).where(F.col("index_name").isin("apache", "syslog"))
+    return ev.groupBy(R.bucket_key(F.col("index_name"), F.col("bucket_name")).alias("bucket_key")).agg(
+        F.count(F.lit(1)).alias("n_events"))
+
+
+SCAN_COLS_SQL = """bucket_key, event_ordinal, index_time, event_time_ms, message, host, source, sourcetype,
+  index_time % 1000 AS stream_id, event_time_ms // 1000 AS stream_offset"""
+
+
+def _scan_cols(df):
+    return df.select(R.bucket_key(F.col("index_name"), F.col("bucket_name")).alias("bucket_key"), "event_ordinal",
+                     "index_time", "event_time_ms", decode_text(F.col("message")).alias("message"), "host", "source",
+                     "sourcetype", F.col("stream_id").cast("bigint").alias("stream_id"), "stream_offset")
+
+
+@register("journal_scan", W(ORD_SQL) + f"SELECT {SCAN_COLS_SQL} FROM ord")
+def q_journal_scan(spark, sf):
+    """Decoded events equal the rows the journals were written from (round trip)."""
+    return _scan_cols(journal_events(spark, sf))
+
+
+OPS_SQL = """
+strs AS (
+  SELECT DISTINCT bucket_key, unnest(CASE WHEN event_id % 10 = 0 THEN ['user', 'u' || CAST(event_id % 7 AS VARCHAR), 'again']
+                                           WHEN event_id % 5 = 0 THEN ['user', 'u' || CAST(event_id % 7 AS VARCHAR)]
+                                           ELSE [] END) AS s FROM ord
+),
+opc AS (
+  SELECT CASE event_id % 4 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 34 ELSE 38 END AS opcode FROM ord
+  UNION ALL SELECT CASE event_id % 50 WHEN 0 THEN 8 WHEN 1 THEN 11 WHEN 2 THEN 9 ELSE 0 END FROM ord WHERE event_id % 50 < 4
+  UNION ALL SELECT 10 FROM listing
+  UNION ALL SELECT 3 FROM (SELECT DISTINCT bucket_key, host FROM ord WHERE host <> '')
+  UNION ALL SELECT 4 FROM (SELECT DISTINCT bucket_key, source FROM ord WHERE source <> '')
+  UNION ALL SELECT 5 FROM (SELECT DISTINCT bucket_key, sourcetype FROM ord WHERE sourcetype <> '')
+  UNION ALL SELECT 6 FROM strs
+)"""
+
+
+@register("journal_ops_by_opcode", W(TB, ORD_SQL, OPS_SQL) + """
+SELECT CAST(opcode AS INTEGER) AS opcode, count(*) AS n_ops FROM opc GROUP BY opcode""")
+def q_journal_ops_by_opcode(spark, sf):
+    """Opcode dispatch (state-change opcodes 17-31 are left out: their count is writer policy)."""
+    ops = journal_events(spark, sf, emit="ops", skipMetadata="false")
+    return ops.where(~F.col("opcode").between(17, 31)).groupBy("opcode").agg(F.count(F.lit(1)).alias("n_ops"))
+
+
+@register("journal_tombstones_skipped", W(ORD_SQL) + """
+SELECT bucket_key, count(*) AS n_events, count(*) FILTER (WHERE event_id % 50 IN (0, 1)) AS n_skipped_blocks
+FROM ord GROUP BY bucket_key""")
+def q_journal_tombstones_skipped(spark, sf):
+    """Delete and hash-slice blocks are skipped as length-prefixed blocks between events."""
+    root = journal_root(spark, sf)
+    ev = JS.read(spark, root).groupBy(R.bucket_key(F.col("index_name"), F.col("bucket_name")).alias("bucket_key")) \
+        .agg(F.count(F.lit(1)).alias("n_events"))
+    ops = JS.read(spark, root, emit="ops").where(F.col("opcode").isin(8, 11)).groupBy(
+        R.bucket_key(F.col("index_name"), F.col("bucket_name")).alias("bucket_key")).agg(
+        F.count(F.lit(1)).alias("n_skipped_blocks"))
+    return ev.join(ops, "bucket_key", "left").fillna(0, ["n_skipped_blocks"])
+
+
+META_SQL = """
+SELECT bucket_key, event_ordinal,
+  CASE WHEN event_id % 10 = 0 THEN 'u' || CAST(event_id % 7 AS VARCHAR) || ',again'
+       WHEN event_id % 5 = 0 THEN 'u' || CAST(event_id % 7 AS VARCHAR) END AS user_values,
+  CASE WHEN event_id % 23 = 0 THEN 1 ELSE 0 END AS n_errors
+FROM ord WHERE event_id % 5 = 0 OR event_id % 23 = 0"""
+
+
+def _meta_cols(df):
+    return df.select(R.bucket_key(F.col("index_name"), F.col("bucket_name")).alias("bucket_key"), "event_ordinal",
+                     F.array_join(F.col("fields")["user"], ",").alias("user_values"),
+                     F.coalesce(F.size("extraction_errors"), F.lit(0)).alias("n_errors"))
+
+
+@register("journal_scan_no_metadata", W(ORD_SQL) + META_SQL)
+def q_journal_scan_no_metadata(spark, sf):
+    """With ``skipMetadata=false`` metadata maps to fields (repeated key -> list) and errors; the
+    default walks the same bytes without mapping (same events, checked by ``journal_scan``)."""
+    ev = journal_events(spark, sf, skipMetadata="false")
+    return _meta_cols(ev.where(F.col("fields").isNotNull() | F.col("extraction_errors").isNotNull()))
+
+
+@register("metadata_error_counts", W() + """
+SELECT index_name, count(*) FILTER (WHERE event_id % 23 = 0) AS n_errors,
+  count(*) FILTER (WHERE event_id % 23 = 0) AS n_events_with_errors
+FROM corpus GROUP BY index_name""")
+def q_metadata_error_counts(spark, sf):
+    """Decode errors by index: total and events with errors."""
+    ev = journal_events(spark, sf, skipMetadata="false")
+    return ev.groupBy("index_name").agg(F.coalesce(F.sum(F.size("extraction_errors")), F.lit(0)).alias("n_errors"),
+                                        F.count_if(F.col("extraction_errors").isNotNull()).alias("n_events_with_errors"))
+
+
+@register("corrupt_journals")
+def q_corrupt_journals(spark, sf):
+    """PERMISSIVE mode: one row per bad journal with the reason; events before the fault are kept."""
+    root = corrupt_copy(spark, journal_root(spark, sf))
+    ev = JS.read(spark, root, mode="PERMISSIVE")
+    return ev.groupBy("index_name").agg(F.count_if(F.col("_corrupt_reason").isNotNull()).alias("bad_journals"),
+                                        F.count_if(F.col("_corrupt_reason").isNull()).alias("good_events"),
+                                        F.max("_corrupt_reason").alias("reason"))
+
+
+BUCKET_DOCS_SQL = W(ORD_SQL, CLS.replace("FROM corpus", "FROM ord")) + DOCS_SQL.replace(
+    "SELECT event_id,", "SELECT bucket_key, event_ordinal,")
+
+
+@register("bucket_docs", BUCKET_DOCS_SQL)
+def q_bucket_docs(spark, sf):
+    """S9 + P1/P2 + P3-P5: journals -> decoded text (Latin-1 fast path) -> documents."""
+    ev = journal_events(spark, sf)
+    ev = ev.withColumns({"message": _dtf(F.col("message"), F.col("index_name")),
+                         "bucket_key": R.bucket_key(F.col("index_name"), F.col("bucket_name"))})
+    return B.docs(ev, keys=("bucket_key", "event_ordinal"))
+
+
+def _ops(spark, sf):
+    return journal_events(spark, sf, emit="ops", skipMetadata="false")
+
+
+@register("journal_replay", W(ORD_SQL) + f"SELECT {SCAN_COLS_SQL} FROM ord")
+def q_journal_replay(spark, sf):
+    """W1 + W2 + J3 + P7: the op log replayed with joins and ordered scans equals the source's own replay."""
+    return _scan_cols(RP.replay_events(_ops(spark, sf)).withColumn("stream_id", F.col("stream_id")))
+
+
+@register("event_time_rebase", W(ORD_SQL) + "SELECT bucket_key, event_ordinal, index_time, event_time_ms FROM ord")
+def q_event_time_rebase(spark, sf):
+    r = RP.replay_events(_ops(spark, sf))
+    return r.select("bucket_key", "event_ordinal", "index_time", "event_time_ms")
+
+
+DICT_SQL = """
+SELECT bucket_key, opcode, row_number() OVER (PARTITION BY bucket_key, opcode ORDER BY first_ord) AS idx, text FROM (
+  SELECT bucket_key, 3 AS opcode, host AS text, min(event_ordinal) AS first_ord FROM ord WHERE host <> '' GROUP BY ALL
+  UNION ALL
+  SELECT bucket_key, 4, source, min(event_ordinal) FROM ord WHERE source <> '' GROUP BY ALL
+  UNION ALL
+  SELECT bucket_key, 5, sourcetype, min(event_ordinal) FROM ord WHERE sourcetype <> '' GROUP BY ALL)"""
+
+
+@register("dictionary_index", W(ORD_SQL) + DICT_SQL)
+def q_dictionary_index(spark, sf):
+    """N-th string per (journal, dictionary) for hosts, sources and sourcetypes."""
+    d = RP.dictionary(_ops(spark, sf)).where(F.col("opcode").isin(3, 4, 5))
+    return d.select("bucket_key", "opcode", "idx", "text")
+
+
+@register("state_fill_forward", W(ORD_SQL) + f"""
+, dict AS ({DICT_SQL})
+SELECT o.bucket_key, o.event_ordinal, coalesce(h.idx, 0) AS host_id, coalesce(s.idx, 0) AS source_id,
+       coalesce(t.idx, 0) AS sourcetype_id, o.event_time_ms // 1000 AS base_event_time
+FROM ord o
+LEFT JOIN dict h ON h.bucket_key = o.bucket_key AND h.opcode = 3 AND h.text = o.host
+LEFT JOIN dict s ON s.bucket_key = o.bucket_key AND s.opcode = 4 AND s.text = o.source
+LEFT JOIN dict t ON t.bucket_key = o.bucket_key AND t.opcode = 5 AND t.text = o.sourcetype""".replace(
+    "\n, dict AS", ",\ndict AS"))
+def q_state_fill_forward(spark, sf):
+    """Active ids and base time carried forward from the last state opcode of the journal."""
+    s = RP.fill_state(_ops(spark, sf)).where(RP.is_event(F.col("opcode")))
+    s = ordinal_within(s, ["bucket_key"], ["ord"], "event_ordinal")
+    return s.select("bucket_key", "event_ordinal", F.col("state_host").alias("host_id"),
+                    F.col("state_source").alias("source_id"), F.col("state_sourcetype").alias("sourcetype_id"),
+                    F.col("base_event_time").cast("bigint").alias("base_event_time"))
+
+
+@register("dictionary_resolve", W(ORD_SQL) + "SELECT bucket_key, event_ordinal, host, source, sourcetype FROM ord")
+def q_dictionary_resolve(spark, sf):
+    """Active ids joined to the dictionaries (1-based, 0 -> '', defined before use)."""
+    return RP.replay_events(_ops(spark, sf)).select("bucket_key", "event_ordinal", "host", "source", "sourcetype")
+
+
+@register("metadata_fields", W(ORD_SQL) + META_SQL)
+def q_metadata_fields(spark, sf):
+    """J4 + A9: metadata pairs resolved relationally from the op log, repeated key -> list in order."""
+    ops = _ops(spark, sf)
+    m = RP.metadata_fields(ops)
+    ev = RP.with_key(ops).where(RP.is_event(F.col("opcode"))).select("bucket_key", "ord")
+    ev = ordinal_within(ev, ["bucket_key"], ["ord"], "event_ordinal")
+    m = m.join(ev, ["bucket_key", "ord"])
+    return m.select("bucket_key", "event_ordinal", F.array_join(F.col("fields")["user"], ",").alias("user_values"),
+                    F.coalesce(F.size("extraction_errors"), F.lit(0)).alias("n_errors"))
+
+
+@register("opcode_flags", W(ORD_SQL) + """
+SELECT bucket_key, event_ordinal, opcode, (opcode & 4) <> 0 AS has_extended_storage, (opcode & 1) = 0 AS has_hash,
+       (opcode & 34) = 34 AS include_punctuation
+FROM (SELECT *, CAST(CASE event_id % 4 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 34 ELSE 38 END AS INTEGER) AS opcode FROM ord)""")
+def q_opcode_flags(spark, sf):
+    """Event flag bits of each event opcode."""
+    ops = RP.with_key(_ops(spark, sf)).where(RP.is_event(F.col("opcode"))).select("bucket_key", "ord", "opcode")
+    ops = ordinal_within(ops, ["bucket_key"], ["ord"], "event_ordinal")
+    fl = RP.opcode_flags(F.col("opcode"))
+    return ops.select("bucket_key", "event_ordinal", "opcode", *[fl[c].alias(c) for c in
+                                                                  ("has_extended_storage", "has_hash",
+                                                                   "include_punctuation")])
