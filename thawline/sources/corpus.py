@@ -46,7 +46,17 @@ def _case(key: Column, mapping: dict, default=None) -> Column:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    """The ``events`` scan, spread over the cluster when the file is too small to split.
+
+    A small file is one row group, i.e. one task for all the per-row regex work
+    downstream; then (only then) round-robin the narrow input to the cluster's
+    parallelism.  Large inputs already scan as many partitions and are left alone.
+    """
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    want = spark.sparkContext.defaultParallelism
+    if ev.rdd.getNumPartitions() < want:
+        ev = ev.repartition(want)
+    return ev
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -122,11 +122,15 @@ class FrozenJournalReader(DataSourceReader):
 
     def partitions(self):
         """First-fit decreasing: big journals alone, small ones packed up to ``maxPartitionBytes``."""
+        journals = self._journals()
+        total = sum(r[6] for r in journals)
+        min_parts = int(self.options.get("minpartitions", 16))
+        target = max(1, min(self.target_bytes, -(-total // max(1, min_parts))))
         bins: list[list] = []
         sizes: list[int] = []
-        for r in self._journals():
+        for r in journals:
             for i, used in enumerate(sizes):
-                if used + r[6] <= self.target_bytes and len(bins[i]) < 256:
+                if used + r[6] <= target and len(bins[i]) < 256:
                     bins[i].append(r)
                     sizes[i] += r[6]
                     break
@@ -244,7 +248,7 @@ def register(spark) -> None:
 def read(spark, root: str | None = None, **options):
     """``spark.read.format('frozen_journal')`` with the source registered."""
     register(spark)
-    r = spark.read.format("frozen_journal")
+    r = spark.read.format("frozen_journal").option("minPartitions", 2 * spark.sparkContext.defaultParallelism)
     if root is not None:
         r = r.option("path", root)
     for k, v in options.items():
