@@ -162,7 +162,6 @@ def read_journal(j, emit: str, skip_metadata: bool, mode: str):
     from thawline.sources import journal_codec as J
 
     idx, bucket, latest, earliest, _seq, path, _size = j
-    names = [f.split(" ")[0] for f in (OPS_SCHEMA if emit == "ops" else EVENT_SCHEMA).split(", ")]
     schema = _arrow_schema(emit)
     rows: list[tuple] = []
 
@@ -189,7 +188,7 @@ def read_journal(j, emit: str, skip_metadata: bool, mode: str):
     except Exception as exc:  # noqa: BLE001
         if mode != "PERMISSIVE":
             raise RuntimeError(f"Journal decode error in {path}: {exc}") from exc
-        bad = [None] * len(names)
+        bad = [None] * len(schema)
         bad[0], bad[1], bad[2] = path, idx, bucket
         bad[-1] = f"{type(exc).__name__}: {exc}"
         rows.append(tuple(bad))

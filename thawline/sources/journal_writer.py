@@ -189,13 +189,23 @@ def ensure_journals(spark: SparkSession, sf_dir: str, raw: DataFrame) -> str:
     return root
 
 
+def _cut_inside_event(data: bytes) -> bytes:
+    """Shortest cut from the end (at least one byte) that leaves an event unfinished."""
+    for cut in range(len(data) - 1, len(data) // 2, -1):
+        try:
+            list(J.decode_ops([data[:cut]]))
+        except J.JournalError:
+            return data[:cut]
+    return data[:-1]
+
+
 def corrupt_copy(spark: SparkSession, root: str) -> str:
     """Tree with one journal per index cut inside an event (decompressed stream truncated), for PERMISSIVE checks."""
     import zstandard
 
     from thawline.sources.journal import discover
 
-    out = root.rstrip("/") + "-corrupt"
+    out = root.rstrip("/") + "-corrupt-v2"
     if os.path.exists(os.path.join(out, "_SUCCESS")):
         return out
     seen: dict[str, int] = {}
@@ -208,7 +218,7 @@ def corrupt_copy(spark: SparkSession, root: str) -> str:
         with open(path, "rb") as fh:
             data = zstandard.ZstdDecompressor().stream_reader(fh, read_across_frames=True).read()
         if idx not in seen:
-            data = data[: len(data) - 7]
+            data = _cut_inside_event(data)
         seen[idx] = seen.get(idx, 0) + 1
         with open(good + ".tmp", "wb") as fh:
             fh.write(zstandard.ZstdCompressor().compress(data))
