@@ -603,14 +603,15 @@ def q_batch_by_docs(spark, sf):
 PARSER_SETS_SQL = """
 req AS (SELECT DISTINCT 'thaw-parse-' || replace(kind, '_', '-') AS parser_pipeline FROM classified),
 reg AS (SELECT DISTINCT 'thaw-parse-' || replace(kind, '_', '-') AS parser_pipeline FROM classified
-        WHERE CAST(split_part(bucket_name, '_', 4) AS INTEGER) % 2 = 0)"""
+        WHERE index_name IN ('apache', 'syslog') AND CAST(split_part(bucket_name, '_', 4) AS INTEGER) % 2 = 0)"""
 
 
 def _parser_sets(spark, sf):
     c = B.classified(spark, sf)
     req = c.select(C.parser_name(F.col("kind")).alias("parser_pipeline")).distinct()
-    # parsers an earlier run registered: kinds seen in buckets with an even sequence number
-    even = F.substring_index(F.col("bucket_name"), "_", -1).cast("int") % 2 == 0
+    # parsers an earlier run registered: kinds it saw in the even-numbered buckets of two indices
+    even = F.col("index_name").isin("apache", "syslog") & (
+        F.substring_index(F.col("bucket_name"), "_", -1).cast("int") % 2 == 0)
     reg = c.where(even).select(C.parser_name(F.col("kind")).alias("parser_pipeline")).distinct()
     return req, reg
 
@@ -1013,3 +1014,36 @@ def q_incremental_idempotent(spark, sf):
     run(batch, 0)  # re-delivery of batch 0
     back = spark.read.parquet(out)
     return back.groupBy("splunk_index").agg(F.count(F.lit(1)).alias("n_docs"), F.count_distinct("doc_id").alias("n_ids"))
+
+
+# ---------------------------------------------------------------------------
+# Flagship ingest with resume (3.1 lifecycle) and profile merge (A2)
+# ---------------------------------------------------------------------------
+@register("ingest_resume", W(TB) + """
+SELECT 1 AS run, l.bucket_key, coalesce(c.n_events, 0) AS indexed, 0 AS errors, 'completed' AS status
+FROM listing l LEFT JOIN counts c ON c.bucket_key = l.bucket_key
+UNION ALL
+SELECT 2, l.bucket_key, coalesce(c.n_events, 0), 0, 'skipped'
+FROM listing l LEFT JOIN counts c ON c.bucket_key = l.bucket_key""")
+def q_ingest_resume(spark, sf):
+    """Two ingests with a checkpoint log: the first writes every bucket, the second skips them all."""
+    from thawline.plans.ingest import ingest
+    root = journal_root(spark, sf)
+    base = SK.new_run_path(spark, "thawline-ingest")
+    out, log = os.path.join(base, "docs"), os.path.join(base, "checkpoint_log")
+    r1 = ingest(spark, root, out, "1.0", checkpoint_log_path=log).withColumn("run", F.lit(1))
+    # cut lineage with a written table so run 1's results are fixed before run 2 changes the checkpoint log
+    r1.write.parquet(os.path.join(base, "results_run1"))
+    r1 = spark.read.parquet(os.path.join(base, "results_run1"))
+    r2 = ingest(spark, root, out, "1.1", checkpoint_log_path=log).withColumn("run", F.lit(2))
+    return r1.unionByName(r2).select("run", "bucket_key", "indexed", F.col("errors").cast("int").alias("errors"),
+                                     "status")
+
+
+@register("profile_merge", W(CLS) + """
+SELECT kind, CAST(sum(n) AS BIGINT) AS n_events, count(*) AS n_buckets FROM (
+  SELECT index_name, bucket_name, kind, count(*) AS n FROM classified GROUP BY ALL) GROUP BY kind""")
+def q_profile_merge(spark, sf):
+    """A2: per-bucket profiles merged by counter addition (and the buckets each kind was seen in)."""
+    per_bucket = PR.profile_by_kind(B.classified(spark, sf), by=("index_name", "bucket_name", "kind"))
+    return per_bucket.groupBy("kind").agg(F.sum("n_events").alias("n_events"), F.count(F.lit(1)).alias("n_buckets"))
