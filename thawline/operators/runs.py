@@ -33,6 +33,16 @@ def buckets_of(raw: DataFrame) -> DataFrame:
                           "target_index": target_index(F.col("index_name"))})
 
 
+def bucket_stats(raw: DataFrame) -> DataFrame:
+    """Per bucket: bounds and sequence, events, empty-message events, message bytes (one aggregate)."""
+    b = raw.groupBy("index_name", "bucket_name").agg(
+        F.max("bucket_latest").alias("bucket_latest"), F.max("bucket_earliest").alias("bucket_earliest"),
+        F.max("bucket_seq").alias("bucket_seq"), F.count(F.lit(1)).alias("n_events"),
+        F.count_if(F.col("message") == "").alias("n_empty"), F.sum(F.octet_length("message")).alias("n_bytes"))
+    return b.withColumns({"bucket_key": bucket_key(F.col("index_name"), F.col("bucket_name")),
+                          "target_index": target_index(F.col("index_name"))})
+
+
 def listing_with_empty(buckets: DataFrame) -> DataFrame:
     """Bucket listing plus, per index, one bucket (the next day) that holds no events."""
     nxt = buckets.groupBy("index_name").agg((F.max("bucket_earliest") + 86400).alias("bucket_earliest"))

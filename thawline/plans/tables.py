@@ -9,20 +9,27 @@ from thawline.operators import runs as R
 from thawline.plans import base as B
 
 
+def stats(spark: SparkSession, sf: str) -> DataFrame:
+    """One aggregate per bucket (bounds, events, empty messages, bytes); every run table below is
+    derived from it, so a plan holds a single shuffle of the events that Spark reuses."""
+    return R.bucket_stats(B.corpus(spark, sf))
+
+
+def buckets(spark: SparkSession, sf: str) -> DataFrame:
+    return stats(spark, sf).select("index_name", "bucket_name", "bucket_latest", "bucket_earliest", "bucket_seq",
+                                   "bucket_key", "target_index")
+
+
 def listing(spark: SparkSession, sf: str) -> DataFrame:
-    return R.listing_with_empty(R.buckets_of(B.corpus(spark, sf)))
+    return R.listing_with_empty(buckets(spark, sf))
 
 
 def counts(spark: SparkSession, sf: str) -> DataFrame:
-    raw = B.corpus(spark, sf)
-    return raw.groupBy("index_name", "bucket_name").agg(
-        F.count(F.lit(1)).alias("n_events"), F.count_if(F.col("message") == "").alias("n_empty"),
-        F.sum(F.octet_length("message")).alias("n_bytes"),
-    ).withColumn("bucket_key", R.bucket_key(F.col("index_name"), F.col("bucket_name")))
+    return stats(spark, sf).select("index_name", "bucket_name", "n_events", "n_empty", "n_bytes", "bucket_key")
 
 
 def ckpt_log(spark: SparkSession, sf: str) -> DataFrame:
-    return R.checkpoint_log(R.buckets_of(B.corpus(spark, sf)), counts(spark, sf))
+    return R.checkpoint_log(buckets(spark, sf), counts(spark, sf))
 
 
 def latest(spark: SparkSession, sf: str) -> DataFrame:

@@ -15,6 +15,7 @@ UTC = "UTC"
 def ensure_utc(spark: SparkSession) -> SparkSession:
     if spark.conf.get("spark.sql.session.timeZone", None) != UTC:
         spark.conf.set("spark.sql.session.timeZone", UTC)
+    ship_package(spark)
     return spark
 
 
@@ -50,3 +51,42 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``thawline`` importable in Python workers (data source, ``mapInPandas`` functions).
+
+    Equivalent of ``--py-files``: the package is zipped once into the shared
+    folder and added to the context; workers put it on ``sys.path`` per task.
+    """
+    import hashlib
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    files = []
+    for dp, _dn, fn in os.walk(pkg):
+        for f in fn:
+            if f.endswith(".py"):
+                files.append(os.path.join(dp, f))
+    h = hashlib.sha1()
+    for f in sorted(files):
+        with open(f, "rb") as fh:
+            h.update(f.encode() + fh.read())
+    out_dir = os.path.join(checkpoint_dir(spark).replace("file:", ""), "thawline-pyfiles")
+    os.makedirs(out_dir, exist_ok=True)
+    z = os.path.join(out_dir, f"thawline-{h.hexdigest()[:16]}.zip")
+    if not os.path.exists(z):
+        tmp = f"{z}.tmp-{os.getpid()}"
+        with zipfile.ZipFile(tmp, "w", zipfile.ZIP_DEFLATED) as zf:
+            for f in sorted(files):
+                zf.write(f, os.path.relpath(f, os.path.dirname(pkg)))
+        os.replace(tmp, z)
+    sc.addPyFile(z)
+    _SHIPPED.add(key)

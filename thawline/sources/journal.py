@@ -241,6 +241,9 @@ def _arrow_schema(emit: str):
 
 
 def register(spark) -> None:
+    from thawline.session import ship_package
+
+    ship_package(spark)
     spark.dataSource.register(FrozenJournalSource)
 
 
