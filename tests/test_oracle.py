@@ -9,7 +9,7 @@ SF = "/root/testdata/sf0.001"
 KEYS = ["classify", "classify_reason", "to_docs", "route_and_parse", "parse_access", "parse_syslog",
         "parse_vpc_flow", "parse_cloud_trail", "text_decode", "scan_by_index", "dry_run_counts", "run_results",
         "run_totals", "checkpoint_latest", "top_sourcetypes", "event_ordinal", "doc_id", "metrics_histogram",
-        "journal_scan", "bucket_listing", "journal_replay", "metadata_fields", "bulk_ndjson", "ingest_summary"]
+        "journal_scan", "bucket_listing", "corrupt_journals", "journal_replay", "metadata_fields", "bulk_ndjson", "ingest_summary"]
 
 
 @pytest.fixture(scope="module")
@@ -39,6 +39,11 @@ def test_batch_by_bytes_respects_caps(spark):
     assert sum(r.n_docs for r in rows) == spark.read.parquet(f"{SF}/events.parquet").count()
 
 
-def test_corrupt_journals_permissive(spark):
-    rows = E.queries()["corrupt_journals"](spark, SF).collect()
-    assert rows and all(r.bad_journals == 1 and "truncated" in r.reason for r in rows)
+def test_corrupt_journals_keep_reason(spark):
+    from thawline.plans.registry import journal_root
+    from thawline.sources import journal as JS
+    from thawline.sources.journal_writer import corrupt_copy
+
+    ev = JS.read(spark, corrupt_copy(spark, journal_root(spark, SF)), mode="PERMISSIVE")
+    reasons = [r[0] for r in ev.where("_corrupt_reason IS NOT NULL").select("_corrupt_reason").collect()]
+    assert reasons and all("truncated" in r for r in reasons)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from thawline.operators.scan import ffill_within, ordinal_within
+from thawline.operators.scan import scan_within
 from thawline.sources import journal_codec as J
 
 STATE = ["state_host", "state_source", "state_sourcetype", "base_event_time", "base_index_time"]
@@ -37,22 +37,37 @@ def with_key(ops: DataFrame) -> DataFrame:
     return ops.withColumn("bucket_key", F.concat_ws("/", "index_name", "bucket_name"))
 
 
-def dictionary(ops: DataFrame) -> DataFrame:
-    """1-based index of each string within its (journal, dictionary opcode)."""
-    d = with_key(ops).where(F.col("opcode").isin(J.NEW_HOST, J.NEW_SOURCE, J.NEW_SOURCETYPE, J.NEW_STRING))
-    d = d.select("bucket_key", "opcode", F.col("ord").alias("def_ord"), "text")
-    d = ordinal_within(d, ["bucket_key", "opcode"], ["def_ord"], "idx")
-    return d.withColumn("idx", F.col("idx") + 1)
+DICT_OPS = {J.NEW_HOST: "_n_host", J.NEW_SOURCE: "_n_source", J.NEW_SOURCETYPE: "_n_sourcetype",
+            J.NEW_STRING: "_n_string"}
 
 
-def fill_state(ops: DataFrame) -> DataFrame:
-    """Active host/source/sourcetype ids and base times carried forward to every op (start value 0)."""
-    s = with_key(ops).where(is_event(F.col("opcode")) | F.col("opcode").between(17, 31)
-                            | (F.col("opcode") == J.HEADER))
-    s = ffill_within(s, ["bucket_key"], ["ord"], STATE)
+def scanned(ops: DataFrame) -> DataFrame:
+    """W1 + W2 + W3 in one skew-safe ordered pass over each journal: decoder state carried forward
+    (start value 0) and running counts of events and of each dictionary's strings."""
+    op = F.col("opcode")
+    counts = {"_n_event": is_event(op)}
+    counts.update({name: op == code for code, name in DICT_OPS.items()})
+    s = scan_within(with_key(ops), ["bucket_key"], ["ord"], ffill=STATE, counts=counts)
     return s.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in STATE})
 
 
+def dictionary(ops: DataFrame, sc: DataFrame | None = None) -> DataFrame:
+    """1-based index of each string within its (journal, dictionary opcode)."""
+    sc = scanned(ops) if sc is None else sc
+    idx = None
+    for code, name in DICT_OPS.items():
+        idx = F.when(F.col("opcode") == code, F.col(name)) if idx is None else idx.when(F.col("opcode") == code,
+                                                                                          F.col(name))
+    d = sc.where(F.col("opcode").isin(*DICT_OPS))
+    return d.select("bucket_key", "opcode", idx.alias("idx"), F.col("ord").alias("def_ord"), "text")
+
+
+def fill_state(ops: DataFrame, sc: DataFrame | None = None) -> DataFrame:
+    """W1 (+W3): every op with the active ids / base times; events carry ``event_ordinal``."""
+    sc = scanned(ops) if sc is None else sc
+    return sc.withColumn("event_ordinal", F.when(is_event(F.col("opcode")), F.col("_n_event") - 1))
+
+
 def rebase_times(base_index: Column, diff: Column, base_event: Column, sub_raw: Column) -> dict[str, Column]:
     """Index time = base + diff (s); event time = base*1000 + (sub >> 1) (ms, low bit dropped)."""
     return {"index_time": base_index.cast("bigint") + diff,
@@ -72,24 +87,24 @@ def _resolve(events: DataFrame, d: DataFrame, opcode: int, id_col: str, out: str
 
 
 def replay_events(ops: DataFrame) -> DataFrame:
-    """W1 + W3 + J3 + P7: events of the op log with resolved metadata strings and rebased times."""
-    d = dictionary(ops)
-    s = fill_state(ops).where(is_event(F.col("opcode")))
+    """W1 + W2 + W3 + J3 + P7: events of the op log with resolved metadata strings and rebased times."""
+    sc = scanned(ops)
+    d = dictionary(ops, sc)
+    s = fill_state(ops, sc).where(is_event(F.col("opcode")))
     s = s.withColumns(rebase_times(F.col("base_index_time"), F.col("index_time_diff"), F.col("base_event_time"),
                                    F.col("time_sub_raw")))
-    s = ordinal_within(s, ["bucket_key"], ["ord"], "event_ordinal")
     for op, idc, out in ((J.NEW_HOST, "state_host", "host"), (J.NEW_SOURCE, "state_source", "source"),
                          (J.NEW_SOURCETYPE, "state_sourcetype", "sourcetype")):
         s = _resolve(s, d, op, idc, out)
     return s
 
 
-def metadata_fields(ops: DataFrame) -> DataFrame:
+def metadata_fields(ops: DataFrame, sc: DataFrame | None = None) -> DataFrame:
     """J4 + A9: (key id, value id) pairs -> ``MAP<key, ARRAY<value>>`` in journal order, plus errors."""
     ev = with_key(ops).where(is_event(F.col("opcode")) & (F.size("meta") > 0))
     pairs = ev.select("bucket_key", "ord", F.posexplode("meta").alias("pos", "kv")).select(
         "bucket_key", "ord", "pos", F.col("kv.key").alias("k"), F.col("kv.value").alias("v"))
-    d = dictionary(ops).where(F.col("opcode") == J.NEW_STRING).select("bucket_key", "idx", "def_ord", "text")
+    d = dictionary(ops, sc).where(F.col("opcode") == J.NEW_STRING).select("bucket_key", "idx", "def_ord", "text")
     dk = d.select("bucket_key", F.col("idx").alias("k"), F.col("def_ord").alias("k_def"), F.col("text").alias("key"))
     dv = d.select("bucket_key", F.col("idx").alias("v"), F.col("def_ord").alias("v_def"), F.col("text").alias("value"))
     p = pairs.join(dk, ["bucket_key", "k"], "left").join(dv, ["bucket_key", "v"], "left")

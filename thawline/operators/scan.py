@@ -30,31 +30,47 @@ def _sliced(df: DataFrame, part: list[str], order: list[str], n_parts: int | Non
     return s.checkpoint(eager=True)
 
 
+def scan_within(df: DataFrame, part: list[str], order: list[str], ffill=(), counts: dict | None = None,
+                n_parts: int | None = None) -> DataFrame:
+    """One skew-safe ordered pass: fill-forward of ``ffill`` columns and inclusive running counts.
+
+    ``counts`` maps an output name to a boolean Column; the output is how many
+    rows of the group up to and including this one satisfy it.
+    """
+    counts = counts or {}
+    ffill = list(ffill)
+    s = df.withColumns({f"_c_{k}": F.when(c, 1).otherwise(0).cast("bigint") for k, c in counts.items()}) \
+        if counts else df
+    s = _sliced(s, part, order, n_parts)
+    slice_w = Window.partitionBy("_pid", *part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = {f"_l_{c}": F.last(c, ignorenulls=True).over(slice_w) for c in ffill}
+    local.update({f"_k_{k}": F.sum(f"_c_{k}").over(slice_w) for k in counts})
+    s = s.withColumns(local)
+    # per (slice, group): last non-null value and row counts, then everything of the earlier slices
+    tails = s.groupBy("_pid", *part).agg(
+        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.struct(*order))).alias(f"_t_{c}") for c in ffill],
+        *[F.sum(f"_c_{k}").alias(f"_n_{k}") for k in counts], F.count(F.lit(1)).alias("_rows"))
+    before = Window.partitionBy(*part).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    tails = tails.select("_pid", *part,
+                         *[F.last(f"_t_{c}", ignorenulls=True).over(before).alias(f"_p_{c}") for c in ffill],
+                         *[F.coalesce(F.sum(f"_n_{k}").over(before), F.lit(0)).alias(f"_o_{k}") for k in counts])
+    out = s.join(tails, ["_pid", *part], "inner")
+    res = {c: F.coalesce(F.col(f"_l_{c}"), F.col(f"_p_{c}")) for c in ffill}
+    res.update({k: F.col(f"_o_{k}") + F.col(f"_k_{k}") for k in counts})
+    out = out.withColumns(res)
+    tmp = ["_pid"] + [f"_{x}_{c}" for c in ffill for x in ("l", "p")] + [
+        f"_{x}_{k}" for k in counts for x in ("c", "k", "o")]
+    return out.drop(*tmp)
+
+
 def ordinal_within(df: DataFrame, part: list[str], order: list[str], name: str = "ordinal",
                    n_parts: int | None = None) -> DataFrame:
     """0-based ``row_number`` within ``part`` ordered by ``order`` (which must be unique within a group)."""
-    s = _sliced(df, part, order, n_parts)
-    slice_w = Window.partitionBy("_pid", *part).orderBy(*order)
-    s = s.withColumn("_local", F.row_number().over(slice_w) - 1)
-    counts = s.groupBy("_pid", *part).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*part).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    out = s.join(counts, ["_pid", *part], "inner")
-    return out.withColumn(name, F.col("_off") + F.col("_local")).drop("_pid", "_local", "_off")
+    out = scan_within(df, part, order, counts={name: F.lit(True)}, n_parts=n_parts)
+    return out.withColumn(name, F.col(name) - 1)
 
 
 def ffill_within(df: DataFrame, part: list[str], order: list[str], cols: list[str],
                  n_parts: int | None = None) -> DataFrame:
     """Replace each NULL in ``cols`` by the last non-NULL value before it in the group (inclusive)."""
-    s = _sliced(df, part, order, n_parts)
-    slice_w = Window.partitionBy("_pid", *part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    s = s.withColumns({f"_l_{c}": F.last(c, ignorenulls=True).over(slice_w) for c in cols})
-    # last non-null of each slice, then the last one of all earlier slices of the group
-    tails = s.groupBy("_pid", *part).agg(*[
-        F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.struct(*order))).alias(f"_t_{c}") for c in cols])
-    before = Window.partitionBy(*part).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    tails = tails.select("_pid", *part, *[F.last(f"_t_{c}", ignorenulls=True).over(before).alias(f"_c_{c}")
-                                          for c in cols])
-    out = s.join(tails, ["_pid", *part], "inner")
-    out = out.withColumns({c: F.coalesce(F.col(f"_l_{c}"), F.col(f"_c_{c}")) for c in cols})
-    return out.drop("_pid", *[f"_l_{c}" for c in cols], *[f"_c_{c}" for c in cols])
+    return scan_within(df, part, order, ffill=cols, n_parts=n_parts)

@@ -786,14 +786,22 @@ def q_metadata_error_counts(spark, sf):
                                         F.count_if(F.col("extraction_errors").isNotNull()).alias("n_events_with_errors"))
 
 
-@register("corrupt_journals")
+@register("corrupt_journals", W() + """
+SELECT index_name, count(DISTINCT bucket_name) FILTER (WHERE bucket_seq % 7 = 0) AS bad_journals,
+  count(*) FILTER (WHERE bucket_seq % 7 <> 0) AS intact_events
+FROM corpus GROUP BY index_name""")
 def q_corrupt_journals(spark, sf):
-    """PERMISSIVE mode: one row per bad journal with the reason; events before the fault are kept."""
+    """PERMISSIVE mode over a copy of the tree where journals with sequence % 7 == 0 are cut inside
+    an event: one ``_corrupt_reason`` row per bad journal (events before the fault are kept, and
+    counted apart); every other journal decodes in full."""
     root = corrupt_copy(spark, journal_root(spark, sf))
     ev = JS.read(spark, root, mode="PERMISSIVE")
-    return ev.groupBy("index_name").agg(F.count_if(F.col("_corrupt_reason").isNotNull()).alias("bad_journals"),
-                                        F.count_if(F.col("_corrupt_reason").isNull()).alias("good_events"),
-                                        F.max("_corrupt_reason").alias("reason"))
+    per = ev.groupBy("index_name", "journal_path").agg(
+        F.count_if(F.col("_corrupt_reason").isNotNull()).alias("bad"),
+        F.count_if(F.col("_corrupt_reason").isNull()).alias("n"))
+    return per.groupBy("index_name").agg(
+        F.sum("bad").alias("bad_journals"),
+        F.coalesce(F.sum(F.when(F.col("bad") == 0, F.col("n"))), F.lit(0)).alias("intact_events"))
 
 
 BUCKET_DOCS_SQL = W(ORD_SQL, CLS.replace("FROM corpus", "FROM ord")) + DOCS_SQL.replace(
@@ -853,7 +861,6 @@ LEFT JOIN dict t ON t.bucket_key = o.bucket_key AND t.opcode = 5 AND t.text = o.
 def q_state_fill_forward(spark, sf):
     """Active ids and base time carried forward from the last state opcode of the journal."""
     s = RP.fill_state(_ops(spark, sf)).where(RP.is_event(F.col("opcode")))
-    s = ordinal_within(s, ["bucket_key"], ["ord"], "event_ordinal")
     return s.select("bucket_key", "event_ordinal", F.col("state_host").alias("host_id"),
                     F.col("state_source").alias("source_id"), F.col("state_sourcetype").alias("sourcetype_id"),
                     F.col("base_event_time").cast("bigint").alias("base_event_time"))
@@ -869,9 +876,9 @@ def q_dictionary_resolve(spark, sf):
 def q_metadata_fields(spark, sf):
     """J4 + A9: metadata pairs resolved relationally from the op log, repeated key -> list in order."""
     ops = _ops(spark, sf)
-    m = RP.metadata_fields(ops)
-    ev = RP.with_key(ops).where(RP.is_event(F.col("opcode"))).select("bucket_key", "ord")
-    ev = ordinal_within(ev, ["bucket_key"], ["ord"], "event_ordinal")
+    sc = RP.scanned(ops)
+    m = RP.metadata_fields(ops, sc)
+    ev = RP.fill_state(ops, sc).where(RP.is_event(F.col("opcode"))).select("bucket_key", "ord", "event_ordinal")
     m = m.join(ev, ["bucket_key", "ord"])
     return m.select("bucket_key", "event_ordinal", F.array_join(F.col("fields")["user"], ",").alias("user_values"),
                     F.coalesce(F.size("extraction_errors"), F.lit(0)).alias("n_errors"))

@@ -200,29 +200,36 @@ def _cut_inside_event(data: bytes) -> bytes:
 
 
 def corrupt_copy(spark: SparkSession, root: str) -> str:
-    """Tree with one journal per index cut inside an event (decompressed stream truncated), for PERMISSIVE checks."""
-    import zstandard
+    """Copy of the whole tree where every journal with ``sequence % 7 == 0`` is cut inside an event.
 
-    from thawline.sources.journal import discover
+    A Spark job over the listing: each task copies its journals (decompress,
+    maybe cut, recompress, rename), so no journal passes through the driver.
+    """
+    from thawline.sources.buckets import list_buckets
 
-    out = root.rstrip("/") + "-corrupt-v2"
+    out = root.rstrip("/") + "-corrupt-v3"
     if os.path.exists(os.path.join(out, "_SUCCESS")):
         return out
-    seen: dict[str, int] = {}
-    for idx, bucket, _l, _e, _s, path, _size in discover(root):
-        # bounded fixture: the first two non-empty journals of each index, the first one cut
-        if seen.get(idx, 0) >= 2 or _size < 64:
-            continue
-        good = os.path.join(out, idx, bucket, "rawdata", "journal.zst")
-        os.makedirs(os.path.dirname(good), exist_ok=True)
-        with open(path, "rb") as fh:
-            data = zstandard.ZstdDecompressor().stream_reader(fh, read_across_frames=True).read()
-        if idx not in seen:
-            data = _cut_inside_event(data)
-        seen[idx] = seen.get(idx, 0) + 1
-        with open(good + ".tmp", "wb") as fh:
-            fh.write(zstandard.ZstdCompressor().compress(data))
-        os.replace(good + ".tmp", good)
+
+    def copy(batches):
+        import pandas as pd
+        import zstandard
+
+        done = []
+        for pdf in batches:
+            for r in pdf.itertuples(index=False):
+                with open(r.journal_path, "rb") as fh:
+                    data = zstandard.ZstdDecompressor().stream_reader(fh, read_across_frames=True).read()
+                cut = r.sequence % 7 == 0 and len(data) > 16
+                if cut:
+                    data = _cut_inside_event(data)
+                dst = journal_path(out, r.index_name, r.bucket_name)
+                _write_file(dst, [data], False)
+                done.append((f"{r.index_name}/{r.bucket_name}", dst, int(cut)))
+        yield pd.DataFrame(done, columns=["bucket_key", "journal_path", "n_events"])
+
+    lst = list_buckets(spark, root).select("index_name", "bucket_name", "sequence", "journal_path")
+    lst.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).mapInPandas(copy, SUMMARY).count()
     with open(os.path.join(out, "_SUCCESS"), "w") as fh:
         fh.write("ok")
     return out
