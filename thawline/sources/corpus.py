@@ -60,9 +60,32 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw (undecoded-text) archive events derived from ``events``."""
+    """Raw archive events derived from ``events``, materialised once as a Parquet table.
+
+    The table lives in the shared checkpoint folder, keyed by the input path and
+    this module's source, and is written atomically (temporary name, rename).
+    Later plans scan it with column pruning instead of re-deriving every row.
+    """
+    import hashlib
+    import os
+    import uuid
+
+    from thawline.session import checkpoint_dir
+
     ensure_utc(spark)
-    return raw_events_from(events(spark, sf_dir))
+    with open(__file__, "rb") as fh:
+        code = fh.read()
+    key = hashlib.sha1(os.path.abspath(sf_dir).encode() + code).hexdigest()[:16]
+    base = os.path.join(checkpoint_dir(spark).replace("file:", ""), "thawline-corpus")
+    path = os.path.join(base, key)
+    if not os.path.exists(os.path.join(path, "_SUCCESS")):
+        tmp = os.path.join(base, f"{key}.tmp-{uuid.uuid4().hex}")
+        raw_events_from(events(spark, sf_dir)).write.parquet(tmp)
+        try:
+            os.replace(tmp, path)
+        except OSError:
+            pass  # another writer won the rename; its table is identical
+    return spark.read.parquet(path)
 
 
 def raw_events_from(ev: DataFrame) -> DataFrame:
