@@ -42,7 +42,9 @@ def documents(ev: DataFrame) -> DataFrame:
         F.col("bucket_earliest").alias("splunk_bucket_earliest"), parser_name(F.col("kind")).alias("splunk_pipeline"),
         F.col("reason").alias("splunk_classify_reason"),
         F.when(F.size("fields") > 0, F.col("fields")).alias("splunk_fields"),
-        *[c for c in PARSED_COLUMNS if c != "ts_ms"])
+        *[c for c in PARSED_COLUMNS if c != "ts_ms"],
+        # Error.message -- processors ignore their own failures, so only a decode fault sets it
+        F.col("_corrupt_reason").alias("error_message"))
 
 
 def ingest(spark: SparkSession, root: str, out_path: str, ingest_run: str, checkpoint_log_path: str | None = None,

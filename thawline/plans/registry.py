@@ -1054,3 +1054,15 @@ def q_profile_merge(spark, sf):
     """A2: per-bucket profiles merged by counter addition (and the buckets each kind was seen in)."""
     per_bucket = PR.profile_by_kind(B.classified(spark, sf), by=("index_name", "bucket_name", "kind"))
     return per_bucket.groupBy("kind").agg(F.sum("n_events").alias("n_events"), F.count(F.lit(1)).alias("n_buckets"))
+
+
+@register("parse_errors_corrupt", W() + """
+SELECT index_name AS splunk_index, count(DISTINCT bucket_name) FILTER (WHERE bucket_seq % 7 = 0) AS n_error_docs
+FROM corpus GROUP BY index_name""")
+def q_parse_errors_corrupt(spark, sf):
+    """Documents of a PERMISSIVE ingest over the partly corrupt tree: one error document
+    (``error_message`` = decode fault) per bad journal."""
+    from thawline.plans.ingest import documents
+    root = corrupt_copy(spark, journal_root(spark, sf))
+    d = documents(JS.read(spark, root, mode="PERMISSIVE"))
+    return d.groupBy("splunk_index").agg(F.count("error_message").alias("n_error_docs"))
