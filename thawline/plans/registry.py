@@ -1066,3 +1066,12 @@ def q_parse_errors_corrupt(spark, sf):
     root = corrupt_copy(spark, journal_root(spark, sf))
     d = documents(JS.read(spark, root, mode="PERMISSIVE"))
     return d.groupBy("splunk_index").agg(F.count("error_message").alias("n_error_docs"))
+
+
+@register("bucket_listing_sorted", W(TB) + """
+SELECT bucket_key, row_number() OVER (ORDER BY index_name, bucket_name) - 1 AS position FROM listing""")
+def q_bucket_listing_sorted(spark, sf):
+    """O1: buckets sorted by index then bucket name, with their global position (range-partitioned
+    ranking; no single-task window)."""
+    lst = list_buckets(spark, journal_root(spark, sf)).select("bucket_key", "index_name", "bucket_name")
+    return ordinal_within(lst, [], ["index_name", "bucket_name"], "position").select("bucket_key", "position")

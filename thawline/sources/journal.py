@@ -121,23 +121,28 @@ class FrozenJournalReader(DataSourceReader):
         return sorted(rows, key=lambda r: -r[6])
 
     def partitions(self):
-        """First-fit decreasing: big journals alone, small ones packed up to ``maxPartitionBytes``."""
+        """Largest-first onto the least-loaded partition (LPT, O(n log k)).
+
+        k = max(``minPartitions``, total / ``maxPartitionBytes``): big journals
+        end up alone, small ones share; partitions are returned largest first.
+        """
+        import heapq
+
         journals = self._journals()
+        if not journals:
+            return [JournalPartition([])]
         total = sum(r[6] for r in journals)
-        min_parts = int(self.options.get("minpartitions", 16))
-        target = max(1, min(self.target_bytes, -(-total // max(1, min_parts))))
-        bins: list[list] = []
-        sizes: list[int] = []
+        k = max(1, min(len(journals), max(int(self.options.get("minpartitions", 16)),
+                                           -(-total // max(1, self.target_bytes)))))
+        heap = [(0, i) for i in range(k)]
+        bins: list[list] = [[] for _ in range(k)]
         for r in journals:
-            for i, used in enumerate(sizes):
-                if used + r[6] <= target and len(bins[i]) < 256:
-                    bins[i].append(r)
-                    sizes[i] += r[6]
-                    break
-            else:
-                bins.append([r])
-                sizes.append(r[6])
-        return [JournalPartition(b) for b in bins] or [JournalPartition([])]
+            used, i = heapq.heappop(heap)
+            bins[i].append(r)
+            heapq.heappush(heap, (used + max(r[6], 1), i))
+        bins = [b for b in bins if b]
+        bins.sort(key=lambda b: -b[0][6])
+        return [JournalPartition(b) for b in bins]
 
     def read(self, partition):
         for j in partition.journals:
