@@ -46,11 +46,11 @@ def test_source_prunes_journals_by_pushed_filters(spark):
     root = journal_root(spark, SF)
     reader = JS.FrozenJournalReader({"path": root})
     all_parts = sum(len(p.journals) for p in reader.partitions())
-    reader = JS.FrozenJournalReader({"path": root})
+    reader = JS.PushdownJournalReader({"path": root})
     rest = list(reader.pushFilters([EqualTo(("index_name",), "apache"), In(("bucket_name",), ("x", "y"))]))
     assert rest == []
     assert sum(len(p.journals) for p in reader.partitions()) == 0
-    reader = JS.FrozenJournalReader({"path": root})
+    reader = JS.PushdownJournalReader({"path": root})
     list(reader.pushFilters([EqualTo(("index_name",), "apache")]))
     some = sum(len(p.journals) for p in reader.partitions())
     assert 0 < some < all_parts

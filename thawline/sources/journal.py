@@ -77,7 +77,9 @@ class FrozenJournalSource(DataSource):
         return OPS_SCHEMA if emit.lower() == "ops" else EVENT_SCHEMA
 
     def reader(self, schema):
-        return FrozenJournalReader(dict(self.options))
+        opts = dict(self.options)
+        pushdown = {k.lower(): v for k, v in opts.items()}.get("pushdown", "false").lower() == "true"
+        return (PushdownJournalReader if pushdown else FrozenJournalReader)(opts)
 
 
 def _csv(v):
@@ -94,18 +96,6 @@ class FrozenJournalReader(DataSourceReader):
         self.target_bytes = int(options.get("maxpartitionbytes", 64 << 20))
         self.keep = {"index_name": _csv(options.get("indices")), "bucket_name": _csv(options.get("buckets"))}
 
-    def pushFilters(self, filters):
-        for f in filters:
-            col = f.attribute[0] if len(f.attribute) == 1 else None
-            if col in self.keep and isinstance(f, EqualTo):
-                vals = {f.value}
-            elif col in self.keep and isinstance(f, In):
-                vals = set(f.value)
-            else:
-                yield f
-                continue
-            self.keep[col] = (self.keep[col] & vals) if self.keep[col] else vals
-
     def _journals(self):
         if "paths" in self.options:
             rows = []
@@ -149,6 +139,27 @@ class FrozenJournalReader(DataSourceReader):
             yield from read_journal(j, self.emit, self.skip_metadata, self.mode)
 
 
+class PushdownJournalReader(FrozenJournalReader):
+    """Reader that also takes ``index_name`` / ``bucket_name`` ``=`` and ``IN`` filters.
+
+    Spark refuses a Python source implementing ``pushFilters`` unless
+    ``spark.sql.python.filterPushdown.enabled`` is true, so this class is used only
+    when ``read()`` finds that setting on (option ``pushdown=true``).
+    """
+
+    def pushFilters(self, filters):
+        for f in filters:
+            col = f.attribute[0] if len(f.attribute) == 1 else None
+            if col in self.keep and isinstance(f, EqualTo):
+                vals = {f.value}
+            elif col in self.keep and isinstance(f, In):
+                vals = set(f.value)
+            else:
+                yield f
+                continue
+            self.keep[col] = (self.keep[col] & vals) if self.keep[col] else vals
+
+
 def _chunks(path: str):
     import zstandard
 
@@ -255,7 +266,9 @@ def register(spark) -> None:
 def read(spark, root: str | None = None, **options):
     """``spark.read.format('frozen_journal')`` with the source registered."""
     register(spark)
-    r = spark.read.format("frozen_journal").option("minPartitions", 2 * spark.sparkContext.defaultParallelism)
+    pushdown = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false").lower() == "true"
+    r = (spark.read.format("frozen_journal").option("minPartitions", 2 * spark.sparkContext.defaultParallelism)
+         .option("pushdown", str(pushdown).lower()))
     if root is not None:
         r = r.option("path", root)
     for k, v in options.items():
