@@ -34,6 +34,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def _driver_memory() -> str:
+    """Half the machine's memory, between 1 and 8 GiB (local mode runs everything in the driver)."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+    return f"{max(1, min(8, int(total / 2 / 2**30)))}g"
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "thawline") -> SparkSession:
     """Session for tests and the local bench (Spark UI off, AQE on, UTC)."""
     spark = (
@@ -46,7 +55,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.session.timeZone", UTC)
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.python.filterPushdown.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("THAWLINE_DRIVER_MEMORY", "8g"))
+        .config("spark.driver.memory", os.environ.get("THAWLINE_DRIVER_MEMORY", _driver_memory()))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
