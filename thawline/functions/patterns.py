@@ -27,6 +27,21 @@ ROUTER_ACCESS_SOURCETYPE = r"(access|nginx|apache|httpd|iis)"
 ROUTER_SYSLOG_SOURCETYPE = r"syslog"
 # Indices whose raw bytes are always read as Latin-1.
 LATIN1_INDICES = ("apache", "nginx", "syslog", "vpc_flowlogs")
+# Reasons for message-based and fallback classification.
+REASON_ACCESS_MESSAGE = "message=access_log_pattern"
+REASON_SYSLOG_MESSAGE = "message=syslog_pattern"
+REASON_FALLBACK = "fallback=generic"
+# event.category set by each parser.
+CATEGORY_ACCESS, CATEGORY_SYSLOG, CATEGORY_GENERIC = "web", "host", "unknown"
+# event.dataset of the older fixed per-index parsers.
+LEGACY_DATASETS = {"apache": "apache.access", "nginx": "nginx.access", "syslog": "syslog"}
+
+# ---------------------------------------------------------------------------
+# Our own values for the two documented-only kinds (no code to match exists).
+# ---------------------------------------------------------------------------
+REASON_CLOUD_TRAIL_MESSAGE = "message=cloud_trail_pattern"
+REASON_VPC_FLOW_MESSAGE = "message=vpc_flow_pattern"
+CATEGORY_CLOUD_TRAIL, CATEGORY_VPC_FLOW = "cloud", "network"
 
 # Kinds, in the order of their rule codes below.
 ACCESS_LOG, SYSLOG, CLOUD_TRAIL, VPC_FLOW, GENERIC = (

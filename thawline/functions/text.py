@@ -19,9 +19,14 @@ def strip_prefix(c: Column | str) -> Column:
     return F.regexp_replace(col(c), _PREFIX_RE, "")
 
 
+# Python's str.isspace() characters (what str.strip() removes); Spark's trim() strips spaces only.
+PY_WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+                 "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+
+
 def strip_ws(c: Column | str) -> Column:
-    """Python ``str.strip()``: Unicode whitespace at both ends (Spark ``trim`` strips spaces only)."""
-    return F.regexp_replace(col(c), r"(?U)^\s+|\s+$", "")
+    """Python ``str.strip()``: whitespace at both ends, no regex."""
+    return F.btrim(col(c), F.lit(PY_WHITESPACE))
 
 
 def decode_text(b: Column | str) -> Column:
@@ -37,17 +42,33 @@ def decode_text_fast(b: Column | str, index_name: Column | str, latin1_indices=P
         decode_text(b))
 
 
-def py_repr(c: Column | str) -> Column:
-    """Python ``repr()`` of a string: single quotes unless it holds ``'`` and no ``"``.
+# Characters Python's str.isprintable() rejects: Unicode "Other" and "Separator" categories, except space.
+_NONPRINT = r"[\p{Cc}\p{Cf}\p{Cs}\p{Co}\p{Cn}\p{Zl}\p{Zp}\p{Zs}&&[^ ]]"
 
-    Backslash and the control characters \\n \\r \\t are escaped; other
-    non-printable characters are kept as they are (documented deviation).
-    """
+
+def _escape_nonprintable(s: Column) -> Column:
+    """``\\xhh`` / ``\\uhhhh`` / ``\\Uhhhhhhhh`` for non-printable characters; strings without
+    any (the usual case) skip the per-character path."""
+    def one(ch: Column) -> Column:
+        code = F.ascii(ch)
+        hx = F.lower(F.hex(code))
+        esc = (F.when(code < 0x100, F.concat(F.lit("\\x"), F.lpad(hx, 2, "0")))
+               .when(code < 0x10000, F.concat(F.lit("\\u"), F.lpad(hx, 4, "0")))
+               .otherwise(F.concat(F.lit("\\U"), F.lpad(hx, 8, "0"))))
+        return F.when(ch.rlike(_NONPRINT), esc).otherwise(ch)
+
+    return F.when(s.rlike(_NONPRINT), F.array_join(F.transform(F.split(s, ""), one), "")).otherwise(s)
+
+
+def py_repr(c: Column | str) -> Column:
+    """Python ``repr()`` of a string: single quotes unless it holds ``'`` and no ``"``; backslash,
+    ``\\n \\r \\t`` and non-printable characters escaped as Python does."""
     c = col(c)
     esc = F.replace(c, F.lit("\\"), F.lit("\\\\"))
     esc = F.replace(esc, F.lit("\n"), F.lit("\\n"))
     esc = F.replace(esc, F.lit("\r"), F.lit("\\r"))
     esc = F.replace(esc, F.lit("\t"), F.lit("\\t"))
+    esc = _escape_nonprintable(esc)
     dq = F.contains(c, F.lit("'")) & ~F.contains(c, F.lit('"'))
     return F.when(dq, F.concat(F.lit('"'), esc, F.lit('"'))).otherwise(
         F.concat(F.lit("'"), F.replace(esc, F.lit("'"), F.lit("\\'")), F.lit("'")))

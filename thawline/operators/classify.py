@@ -79,11 +79,11 @@ def reason_of_rule(rule: Column, st_l: Column, src_l: Column) -> Column:
     """why the kind was chosen (Python-repr quoting of the matched value)."""
     return (F.when(rule.between(1, 4), F.concat(F.lit("sourcetype="), py_repr(st_l)))
             .when(rule.isin(5, 6), F.concat(F.lit("source="), py_repr(src_l)))
-            .when(rule == 7, F.lit("message=access_log_pattern"))
-            .when(rule == 8, F.lit("message=syslog_pattern"))
-            .when(rule == 9, F.lit("message=cloud_trail_pattern"))
-            .when(rule == 10, F.lit("message=vpc_flow_pattern"))
-            .otherwise(F.lit("fallback=generic")))
+            .when(rule == 7, F.lit(P.REASON_ACCESS_MESSAGE))
+            .when(rule == 8, F.lit(P.REASON_SYSLOG_MESSAGE))
+            .when(rule == 9, F.lit(P.REASON_CLOUD_TRAIL_MESSAGE))
+            .when(rule == 10, F.lit(P.REASON_VPC_FLOW_MESSAGE))
+            .otherwise(F.lit(P.REASON_FALLBACK)))
 
 
 def dataset_of(kind: Column, index_name: Column) -> Column:

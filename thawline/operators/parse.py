@@ -95,8 +95,8 @@ def vpc_flow_fields(toks: Column) -> dict[str, Column]:
     return out
 
 
-CATEGORY = {P.ACCESS_LOG: "web", P.SYSLOG: "host", P.CLOUD_TRAIL: "cloud", P.VPC_FLOW: "network",
-            P.GENERIC: "unknown"}
+CATEGORY = {P.ACCESS_LOG: P.CATEGORY_ACCESS, P.SYSLOG: P.CATEGORY_SYSLOG, P.CLOUD_TRAIL: P.CATEGORY_CLOUD_TRAIL,
+            P.VPC_FLOW: P.CATEGORY_VPC_FLOW, P.GENERIC: P.CATEGORY_GENERIC}
 
 ACCESS_OUT = ("client_ip", "http_ident", "http_auth", "http_request_timestamp", "http_request_method",
               "url_original", "http_version", "http_response_status_code", "http_response_body_bytes",
@@ -181,15 +181,12 @@ def error_message(decode_error: Column | None = None) -> Column:
     return decode_error if decode_error is not None else F.lit(None).cast("string")
 
 
-LEGACY_DATASETS = {"apache": "apache.access", "nginx": "nginx.access", "syslog": "syslog"}
-
-
 def legacy_parse(df: DataFrame, index_name: str = "index_name") -> DataFrame:
     """The older fixed per-index parsers: the index picks the parser (apache/nginx access,
     syslog) and ``event.dataset`` is a fixed name; no ``event.kind`` is set."""
     idx = col(index_name)
     lk = F.when(idx == "syslog", F.lit(P.SYSLOG)).otherwise(F.lit(P.ACCESS_LOG))
-    ds = F.when(idx == "syslog", F.lit("syslog")).when(idx == "nginx", F.lit("nginx.access")).otherwise(
-        F.lit("apache.access"))
+    ds = F.when(idx == "syslog", F.lit(P.LEGACY_DATASETS["syslog"])).when(
+        idx == "nginx", F.lit(P.LEGACY_DATASETS["nginx"])).otherwise(F.lit(P.LEGACY_DATASETS["apache"]))
     out = route_and_parse(df.withColumn("_legacy_kind", lk), kinds=(P.ACCESS_LOG, P.SYSLOG), kind="_legacy_kind")
     return out.withColumn("dataset", ds).drop("_legacy_kind")
