@@ -119,6 +119,15 @@ def java_ci(p: str) -> str:
     return "(?di)" + p
 
 
+def java_py(p: str) -> str:
+    """Spark form of a classification pattern: Unicode ``\\s \\S \\d`` like Python's ``re``."""
+    return "(?dU)" + p
+
+
+def java_py_ci(p: str) -> str:
+    return "(?dUi)" + p
+
+
 def re2(p: str) -> str:
     """DuckDB (RE2) form of a shared pattern."""
     return p

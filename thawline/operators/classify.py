@@ -48,8 +48,8 @@ def is_cloud_trail_json(msg_s: Column) -> Column:
 
 def message_kind(msg_s: Column) -> Column:
     """F4 (+F7/F8 message half): kind from the stripped message, else NULL."""
-    return (F.when(msg_s.rlike(P.java_ci(P.ACCESS_MESSAGE)), F.lit(P.ACCESS_LOG))
-            .when(msg_s.rlike(P.java(P.SYSLOG_MESSAGE)), F.lit(P.SYSLOG))
+    return (F.when(msg_s.rlike(P.java_py_ci(P.ACCESS_MESSAGE)), F.lit(P.ACCESS_LOG))
+            .when(msg_s.rlike(P.java_py(P.SYSLOG_MESSAGE)), F.lit(P.SYSLOG))
             .when(is_cloud_trail_json(msg_s), F.lit(P.CLOUD_TRAIL))
             .when(msg_s.rlike(P.java(P.VPC_MESSAGE)), F.lit(P.VPC_FLOW)))
 
@@ -62,8 +62,8 @@ def rule_code(st_l: Column, src_l: Column, msg_s: Column) -> Column:
             .when(ne_st & st_l.rlike(P.java(P.VPC_FLOW_SOURCETYPE)), 4)
             .when(ne_src & src_l.rlike(P.java(P.ACCESS_SOURCE)), 5)
             .when(ne_src & src_l.rlike(P.java(P.SYSLOG_SOURCE)), 6)
-            .when(msg_s.rlike(P.java_ci(P.ACCESS_MESSAGE)), 7)
-            .when(msg_s.rlike(P.java(P.SYSLOG_MESSAGE)), 8)
+            .when(msg_s.rlike(P.java_py_ci(P.ACCESS_MESSAGE)), 7)
+            .when(msg_s.rlike(P.java_py(P.SYSLOG_MESSAGE)), 8)
             .when(is_cloud_trail_json(msg_s), 9)
             .when(msg_s.rlike(P.java(P.VPC_MESSAGE)), 10)
             .otherwise(0))
