@@ -180,36 +180,56 @@ def read_journal(j, emit: str, skip_metadata: bool, mode: str):
     idx, bucket, latest, earliest, _seq, path, _size = j
     schema = _arrow_schema(emit)
     rows: list[tuple] = []
+    bad: list = []
 
-    def flush():
+    def flush_ops():
         cols = list(zip(*rows))
         batch = pa.RecordBatch.from_arrays([pa.array(list(c), type=schema.field(i).type) for i, c in enumerate(cols)],
                                            schema=schema)
         rows.clear()
         return batch
 
+    def flush_events():
+        # decoded tuples transposed once; per-journal constants repeated by Arrow, not Python
+        n = len(rows)
+        (ordn, it, et, msg, host, src, st, sid, off, sub, hh, h, punct, fields, errs) = (
+            list(c) for c in zip(*rows)) if n else ([],) * 15
+        f = schema.field
+        arrays = [
+            pa.repeat(pa.scalar(path, f(0).type), n), pa.repeat(pa.scalar(idx, f(1).type), n),
+            pa.repeat(pa.scalar(bucket, f(2).type), n), pa.repeat(pa.scalar(latest, f(3).type), n),
+            pa.repeat(pa.scalar(earliest, f(4).type), n),
+            pa.array(ordn, f(5).type), pa.array(it, f(6).type), pa.array(et, f(7).type), pa.array(msg, f(8).type),
+            pa.array(host, f(9).type), pa.array(src, f(10).type), pa.array(st, f(11).type),
+            pa.array(sid, pa.uint64()).cast(f(12).type), pa.array(off, f(13).type), pa.array(sub, f(14).type),
+            pa.array(hh, f(15).type), pa.array(h, f(16).type), pa.array(punct, f(17).type),
+            pa.array([None if x is None else list(x.items()) for x in fields], f(18).type),
+            pa.array(errs, f(19).type), pa.nulls(n, f(20).type)]
+        rows.clear()
+        return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
     try:
         if emit == "ops":
             for o, op, pl in J.decode_ops(_chunks(path), skip_metadata):
                 rows.append(_op_row(path, idx, bucket, o, op, pl, J))
                 if len(rows) >= BATCH_ROWS:
-                    yield flush()
+                    yield flush_ops()
         else:
             for e in J.decode_events(_chunks(path), skip_metadata):
-                (n, it, et, msg, host, src, st, sid, off, sub, hh, h, punct, fields, errs) = e
-                rows.append((path, idx, bucket, latest, earliest, n, it, et, msg, host, src, st, sid, off, sub, hh, h,
-                             punct, None if fields is None else list(fields.items()), errs, None))
+                rows.append(e)
                 if len(rows) >= BATCH_ROWS:
-                    yield flush()
+                    yield flush_events()
     except Exception as exc:  # noqa: BLE001
         if mode != "PERMISSIVE":
             raise RuntimeError(f"Journal decode error in {path}: {exc}") from exc
         bad = [None] * len(schema)
         bad[0], bad[1], bad[2] = path, idx, bucket
         bad[-1] = f"{type(exc).__name__}: {exc}"
-        rows.append(tuple(bad))
     if rows:
-        yield flush()
+        yield flush_ops() if emit == "ops" else flush_events()
+    if bad:
+        yield pa.RecordBatch.from_arrays([pa.array([v], schema.field(i).type) for i, v in enumerate(bad)],
+                                         schema=schema)
 
 
 def _op_row(path, idx, bucket, o, op, pl, J):
