@@ -14,6 +14,13 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 
+def _mem_gib():
+    try:
+        return round(os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES") / 2**30, 1)
+    except (ValueError, OSError, AttributeError):
+        return None
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -44,14 +51,15 @@ def main() -> None:
     timed("ingest_cold", lambda: ingest(spark, root, new_run_path(spark, "thawline-bench"), "cold").count())
     out = new_run_path(spark, "thawline-bench")
     timed("ingest", lambda: ingest(spark, root, out, "bench").count())
-    for q in ("ingest_summary", "classify", "route_and_parse", "scan_by_index", "dry_run_counts", "run_results",
+    for q in ("ingest_flagship", "ingest_summary", "classify", "route_and_parse", "scan_by_index", "dry_run_counts", "run_results",
               "journal_scan", "bucket_docs", "event_ordinal", "journal_replay", "metrics_rollup", "bulk_ndjson"):
         timed(q, lambda q=q: noop(RG.QUERIES[q](spark, sf_dir)))
     ing = timings["ingest"]
     print(json.dumps({"metric": "ingest_wall_warm", "value": ing, "unit": "sec", "queries": timings,
                       "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
                       "docs": n_docs, "docs_per_sec": round(n_docs / ing, 1) if ing else None,
-                      "docs_per_sec_cold": round(n_docs / timings["ingest_cold"], 1), "cpus": int(cpus)}))
+                      "docs_per_sec_cold": round(n_docs / timings["ingest_cold"], 1), "cpus": int(cpus),
+                      "machine": {"os_cpus": os.cpu_count(), "mem_gib": _mem_gib(), "master": f"local[{cpus}]"}}))
     spark.stop()
 
 

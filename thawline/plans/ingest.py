@@ -24,13 +24,18 @@ from thawline.sources import journal as JS
 from thawline.sources.buckets import list_buckets
 
 
-def documents(ev: DataFrame) -> DataFrame:
-    """Decoded journal events -> parsed documents (flat columns)."""
+def parsed_events(ev: DataFrame) -> DataFrame:
+    """Decoded journal events -> text decode (Latin-1 fast path), document id, classification, parsers."""
     ev = ev.withColumns({"message": decode_text_fast(F.col("message"), F.col("index_name")),
                          "bucket_key": R.bucket_key(F.col("index_name"), F.col("bucket_name"))})
     ev = ev.withColumn("doc_id", R.doc_id(F.col("bucket_key"), F.col("stream_id").cast("bigint"),
                                           F.col("stream_offset"), F.col("stream_sub_offset"), F.col("event_ordinal")))
-    c = route_and_parse(classify(ev))
+    return route_and_parse(classify(ev))
+
+
+def documents(ev: DataFrame) -> DataFrame:
+    """Decoded journal events -> parsed documents (flat columns)."""
+    c = parsed_events(ev)
     return c.select(
         "doc_id", "bucket_key", "event_ordinal",
         iso_utc(F.col("ts_ms")).alias("ts_iso"), "message",

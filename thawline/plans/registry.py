@@ -326,15 +326,16 @@ def q_parse_legacy_dataset(spark, sf):
 # ---------------------------------------------------------------------------
 # Flagship: decode-equivalent corpus -> classify -> route/parse -> summary
 # ---------------------------------------------------------------------------
-@register("ingest_summary", W(CLS, PARSED) + """
+INGEST_SUMMARY_SQL = W(CLS, PARSED) + """
 SELECT index_name, kind, event_category, http_response_status_code AS status,
   CAST(count(*) AS BIGINT) AS n_events, CAST(count(event_original) AS BIGINT) AS n_original,
   CAST(count(client_ip) + count(syslog_hostname) + count(aws_cloudtrail_event_name) + count(aws_vpcflow_action) AS BIGINT)
     AS n_parsed,
   min(ts_ms) AS min_ts_ms, max(ts_ms) AS max_ts_ms
-FROM parsed GROUP BY index_name, kind, event_category, http_response_status_code""")
-def q_ingest_summary(spark, sf):
-    p = _parsed(spark, sf)
+FROM parsed GROUP BY index_name, kind, event_category, http_response_status_code"""
+
+
+def _summary(p):
     return p.groupBy("index_name", "kind", "event_category", F.col("http_response_status_code").alias("status")).agg(
         F.count(F.lit(1)).alias("n_events"), F.count("event_original").alias("n_original"),
         (F.count("client_ip") + F.count("syslog_hostname") + F.count("aws_cloudtrail_event_name")
@@ -342,6 +343,12 @@ def q_ingest_summary(spark, sf):
         F.min("ts_ms").alias("min_ts_ms"), F.max("ts_ms").alias("max_ts_ms"))
 
 
+@register("ingest_summary", INGEST_SUMMARY_SQL)
+def q_ingest_summary(spark, sf):
+    """Corpus table -> classify -> route/parse -> per index, kind, category and status counts."""
+    return _summary(_parsed(spark, sf))
+
+
 # ---------------------------------------------------------------------------
 # Run bookkeeping: checkpoint log, resume joins, results, totals
 # ---------------------------------------------------------------------------
@@ -1075,3 +1082,10 @@ def q_bucket_listing_sorted(spark, sf):
     ranking; no single-task window)."""
     lst = list_buckets(spark, journal_root(spark, sf)).select("bucket_key", "index_name", "bucket_name")
     return ordinal_within(lst, [], ["index_name", "bucket_name"], "position").select("bucket_key", "position")
+
+
+@register("ingest_flagship", INGEST_SUMMARY_SQL)
+def q_ingest_flagship(spark, sf):
+    """Flagship: frozen buckets -> frozen_journal scan -> decode -> classify -> parse -> summary."""
+    from thawline.plans.ingest import parsed_events
+    return _summary(parsed_events(journal_events(spark, sf)))
