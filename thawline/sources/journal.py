@@ -44,8 +44,22 @@ OPS_SCHEMA = (
 )
 
 
+def _fs(path: str):
+    """(pyarrow filesystem, path inside it) for URI paths; None for plain or ``file:`` paths."""
+    if "://" not in path or path.startswith("file:"):
+        return None
+    import pyarrow.fs as pafs
+
+    uri = "s3://" + path[len("s3a://"):] if path.startswith("s3a://") else path
+    return pafs.FileSystem.from_uri(uri)
+
+
 def discover(root: str) -> list[tuple[str, str, int, int, int, str, int]]:
     """(index, bucket, latest, earliest, seq, journal path, size) for ``root/<index>/db_*/rawdata/journal.zst``."""
+    root = root[len("file:"):] if root.startswith("file:") else root
+    remote = _fs(root)
+    if remote is not None:
+        return _discover_remote(root, *remote)
     if not os.path.isdir(root):
         raise FileNotFoundError(f"Frozen root not found: {root}")
     out = []
@@ -61,6 +75,23 @@ def discover(root: str) -> list[tuple[str, str, int, int, int, str, int]]:
     return out
 
 
+def _discover_remote(root: str, fs, base: str):
+    import pyarrow.fs as pafs
+
+    out = []
+    prefix = root[: len(root) - len(base)] if root.endswith(base) else root.split("://", 1)[0] + "://"
+    for info in fs.get_file_info(pafs.FileSelector(base.rstrip("/"), recursive=True)):
+        parts = info.path.rstrip("/").split("/")
+        if info.type != pafs.FileType.File or len(parts) < 4 or parts[-2:] != ["rawdata", "journal.zst"]:
+            continue
+        rel = info.path[len(base.rstrip("/")):].strip("/").split("/")
+        m = BUCKET_DIR.match(parts[-3])
+        if len(rel) == 4 and m:
+            out.append((parts[-4], parts[-3], int(m.group(1)), int(m.group(2)), int(m.group(3)),
+                        prefix + info.path, info.size))
+    return sorted(out)
+
+
 class JournalPartition(InputPartition):
     def __init__(self, journals):
         super().__init__(journals)
@@ -103,7 +134,7 @@ class FrozenJournalReader(DataSourceReader):
                 parts = p.rstrip("/").split("/")
                 m = BUCKET_DIR.match(parts[-3])
                 rows.append((parts[-4], parts[-3], int(m.group(1)), int(m.group(2)), int(m.group(3)), p,
-                             os.path.getsize(p) if os.path.exists(p) else 0))
+                             _size_of(p)))
         else:
             rows = discover(self.options["path"])
         rows = [r for r in rows if (not self.keep["index_name"] or r[0] in self.keep["index_name"])
@@ -139,6 +170,15 @@ class FrozenJournalReader(DataSourceReader):
             yield from read_journal(j, self.emit, self.skip_metadata, self.mode)
 
 
+def _size_of(p: str) -> int:
+    remote = _fs(p)
+    if remote is None:
+        q = p[len("file:"):] if p.startswith("file:") else p
+        return os.path.getsize(q) if os.path.exists(q) else 0
+    fs, inner = remote
+    return fs.get_file_info(inner).size or 0
+
+
 class PushdownJournalReader(FrozenJournalReader):
     """Reader that also takes ``index_name`` / ``bucket_name`` ``=`` and ``IN`` filters.
 
@@ -160,10 +200,19 @@ class PushdownJournalReader(FrozenJournalReader):
             self.keep[col] = (self.keep[col] & vals) if self.keep[col] else vals
 
 
+def _open(path: str):
+    path = path[len("file:"):] if path.startswith("file:") else path
+    remote = _fs(path)
+    if remote is None:
+        return open(path, "rb")
+    fs, inner = remote
+    return fs.open_input_stream(inner)
+
+
 def _chunks(path: str):
     import zstandard
 
-    with open(path, "rb") as fh:
+    with _open(path) as fh:
         reader = zstandard.ZstdDecompressor().stream_reader(fh, read_across_frames=True)
         while True:
             c = reader.read(1 << 22)
