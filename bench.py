@@ -50,14 +50,15 @@ def main() -> None:
     # same ingest again into a new table (warm, the steady state of a long-running ingest)
     timed("ingest_cold", lambda: ingest(spark, root, new_run_path(spark, "thawline-bench"), "cold").count())
     out = new_run_path(spark, "thawline-bench")
-    timed("ingest", lambda: ingest(spark, root, out, "bench").count())
+    observed = {}
+    timed("ingest", lambda: ingest(spark, root, out, "bench", metrics=observed).count())
     for q in ("ingest_flagship", "ingest_summary", "classify", "route_and_parse", "scan_by_index", "dry_run_counts", "run_results",
               "journal_scan", "bucket_docs", "event_ordinal", "journal_replay", "metrics_rollup", "bulk_ndjson"):
         timed(q, lambda q=q: noop(RG.QUERIES[q](spark, sf_dir)))
     ing = timings["ingest"]
     print(json.dumps({"metric": "ingest_wall_warm", "value": ing, "unit": "sec", "queries": timings,
                       "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
-                      "docs": n_docs, "docs_per_sec": round(n_docs / ing, 1) if ing else None,
+                      "docs": n_docs, "docs_written": observed.get("documents"), "docs_per_sec": round(n_docs / ing, 1) if ing else None,
                       "docs_per_sec_cold": round(n_docs / timings["ingest_cold"], 1), "cpus": int(cpus),
                       "machine": {"os_cpus": os.cpu_count(), "mem_gib": _mem_gib(), "master": f"local[{cpus}]"}}))
     spark.stop()

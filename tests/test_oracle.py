@@ -47,3 +47,16 @@ def test_corrupt_journals_keep_reason(spark):
     ev = JS.read(spark, corrupt_copy(spark, journal_root(spark, SF)), mode="PERMISSIVE")
     reasons = [r[0] for r in ev.where("_corrupt_reason IS NOT NULL").select("_corrupt_reason").collect()]
     assert reasons and all("truncated" in r for r in reasons)
+
+
+def test_ingest_observed_metrics(spark):
+    from thawline.plans.ingest import ingest
+    from thawline.plans.registry import journal_root
+    from thawline.sinks.documents import new_run_path
+
+    m = {}
+    res = ingest(spark, journal_root(spark, SF), new_run_path(spark, "thawline-test"), "t1", metrics=m)
+    n = spark.read.parquet(f"{SF}/events.parquet").count()
+    assert m["documents"] == n and m["error_documents"] == 0
+    assert sum(m[k] for k in ("access_log", "syslog", "cloud_trail", "vpc_flow", "generic")) == n
+    assert res.agg({"indexed": "sum"}).collect()[0][0] == n

@@ -54,9 +54,13 @@ def documents(ev: DataFrame) -> DataFrame:
 
 def ingest(spark: SparkSession, root: str, out_path: str, ingest_run: str, checkpoint_log_path: str | None = None,
            indices=None, bucket_names=None, resume: bool = True, force: bool = False,
-           skip_metadata: bool = True) -> DataFrame:
+           skip_metadata: bool = True, metrics: dict | None = None) -> DataFrame:
     """Run one ingest; returns the per-bucket results (completed, and skipped when resuming).
 
+    ``metrics`` (a dict) receives the write's observed totals: documents, error
+    documents (decode faults in PERMISSIVE mode) and documents per kind, counted
+    by an ``Observation`` during the write itself (no extra job).
+
     Without a checkpoint log the source lists and prunes the tree itself; with
     one, the Spark listing is anti-joined with the completed checkpoints and
     only the pending journal names go to the source.
@@ -82,9 +86,20 @@ def ingest(spark: SparkSession, root: str, out_path: str, ingest_run: str, check
         paths = [r.journal_path for r in pending.select("journal_path").collect()]  # file names only
         ev = JS.read(spark, None, paths=json.dumps(paths), **opts) if paths else None
     if ev is not None:
-        docs = documents(ev).withColumn("ingest_run", F.lit(ingest_run))
+        from pyspark.sql import Observation
+
+        obs = Observation(f"ingest-{ingest_run}")
+        docs = documents(ev).withColumn("ingest_run", F.lit(ingest_run)).observe(
+            obs, F.count(F.lit(1)).alias("documents"), F.count("error_message").alias("error_documents"),
+            F.count_if(F.col("event_kind") == "access_log").alias("access_log"),
+            F.count_if(F.col("event_kind") == "syslog").alias("syslog"),
+            F.count_if(F.col("event_kind") == "cloud_trail").alias("cloud_trail"),
+            F.count_if(F.col("event_kind") == "vpc_flow").alias("vpc_flow"),
+            F.count_if(F.col("event_kind") == "generic").alias("generic"))
         (docs.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("ingest_run", "splunk_index").parquet(out_path))
+        if metrics is not None:
+            metrics.update(obs.get)
     written = spark.read.parquet(out_path).where(F.col("ingest_run") == ingest_run)
     counts = written.groupBy("bucket_key").agg(F.count(F.lit(1)).alias("indexed"))
     done = pending.join(counts, "bucket_key", "left").select(
