@@ -158,10 +158,10 @@ def q_to_docs(spark, sf):
     return B.docs(B.corpus(spark, sf))
 
 
-@register("pipeline_names", W(CLS) + f"""
+@register("parser_router_names", W(CLS) + f"""
 SELECT DISTINCT index_name, kind, {O.pipeline()} AS parser_pipeline, 'thaw-pipeline-' || index_name AS router_pipeline
 FROM classified""")
-def q_pipeline_names(spark, sf):
+def q_parser_router_names(spark, sf):
     c = B.classified(spark, sf).select("index_name", "kind").distinct()
     return c.select("index_name", "kind", C.parser_name(F.col("kind")).alias("parser_pipeline"),
                     C.router_name(F.col("index_name")).alias("router_pipeline"))
@@ -765,7 +765,7 @@ SELECT bucket_key, event_ordinal,
   CASE WHEN event_id % 10 = 0 THEN 'u' || CAST(event_id % 7 AS VARCHAR) || ',again'
        WHEN event_id % 5 = 0 THEN 'u' || CAST(event_id % 7 AS VARCHAR) END AS user_values,
   CASE WHEN event_id % 23 = 0 THEN 1 ELSE 0 END AS n_errors
-FROM ord WHERE event_id % 5 = 0 OR event_id % 23 = 0"""
+FROM ord"""
 
 
 def _meta_cols(df):
@@ -778,8 +778,7 @@ def _meta_cols(df):
 def q_journal_scan_no_metadata(spark, sf):
     """With ``skipMetadata=false`` metadata maps to fields (repeated key -> list) and errors; the
     default walks the same bytes without mapping (same events, checked by ``journal_scan``)."""
-    ev = journal_events(spark, sf, skipMetadata="false")
-    return _meta_cols(ev.where(F.col("fields").isNotNull() | F.col("extraction_errors").isNotNull()))
+    return _meta_cols(journal_events(spark, sf, skipMetadata="false"))
 
 
 @register("metadata_error_counts", W() + """
@@ -886,7 +885,7 @@ def q_metadata_fields(spark, sf):
     sc = RP.scanned(ops)
     m = RP.metadata_fields(ops, sc)
     ev = RP.fill_state(ops, sc).where(RP.is_event(F.col("opcode"))).select("bucket_key", "ord", "event_ordinal")
-    m = m.join(ev, ["bucket_key", "ord"])
+    m = ev.join(m, ["bucket_key", "ord"], "left")
     return m.select("bucket_key", "event_ordinal", F.array_join(F.col("fields")["user"], ",").alias("user_values"),
                     F.coalesce(F.size("extraction_errors"), F.lit(0)).alias("n_errors"))
 
