@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from thawline.functions import patterns as P
 
-_PREFIX_RE = "^(host|source|sourcetype)::"
 
 
 def col(c: Column | str) -> Column:
@@ -15,8 +14,14 @@ def col(c: Column | str) -> Column:
 
 
 def strip_prefix(c: Column | str) -> Column:
-    """Drop one leading ``host::`` / ``source::`` / ``sourcetype::`` (case-sensitive)."""
-    return F.regexp_replace(col(c), _PREFIX_RE, "")
+    """Drop one leading ``host::`` / ``source::`` / ``sourcetype::`` (case-sensitive), without a regex."""
+    c = col(c)
+    out = None
+    for p in P.PREFIXES:
+        cond = F.startswith(c, F.lit(p))
+        cut = F.substring(c, len(p) + 1, 1 << 30)
+        out = F.when(cond, cut) if out is None else out.when(cond, cut)
+    return out.otherwise(c)
 
 
 # Python's str.isspace() characters (what str.strip() removes); Spark's trim() strips spaces only.
@@ -30,10 +35,11 @@ def strip_ws(c: Column | str) -> Column:
 
 
 def decode_text(b: Column | str) -> Column:
-    """UTF-8 when the bytes are valid UTF-8, else the whole value as Latin-1."""
+    """UTF-8 when the bytes are valid UTF-8 (the bytes are reinterpreted, not re-decoded), else the
+    whole value as Latin-1."""
     b = col(b)
-    return F.when(F.is_valid_utf8(b.cast("string")), F.decode(b, "UTF-8")).otherwise(
-        F.decode(b, "ISO-8859-1"))
+    s = b.cast("string")
+    return F.when(F.is_valid_utf8(s), s).otherwise(F.decode(b, "ISO-8859-1"))
 
 
 def decode_text_fast(b: Column | str, index_name: Column | str, latin1_indices=P.LATIN1_INDICES) -> Column:
