@@ -41,7 +41,9 @@ def test_iso_utc_matches_isoformat(spark):
 
 
 def test_decode_text_utf8_then_latin1(spark):
-    vals = ["Grüße".encode("utf-8"), "Grüße".encode("latin-1"), b"ascii", b"\xe9t\xe9", b""]
+    vals = ["Grüße".encode("utf-8"), "Grüße".encode("latin-1"), b"ascii", b"\xe9t\xe9", b"",
+            b"\xed\xa0\x80", b"\xc0\xaf", b"\xe2\x82", b"\xf4\x90\x80\x80", b"\xf0\x9f\x98\x80", b"\x00nul",
+            b"\xef\xbb\xbfbom"]
     rows = spark.createDataFrame([(v,) for v in vals], "b binary").select("b", decode_text("b").alias("t")).collect()
     for r in rows:
         b = bytes(r.b)
