@@ -142,9 +142,11 @@ def write_journals(raw: DataFrame, root: str, n_parts: int | None = None) -> Dat
     srt = raw.select(*cols).repartition(n, "index_name", "bucket_name").sortWithinPartitions(
         "index_name", "bucket_name", "event_time_ms", "event_id")
     written = srt.mapInPandas(_writer_task(root), SUMMARY)
-    # header-only journals for listed buckets without events
-    listing = R.listing_with_empty(R.buckets_of(raw))
-    empty = listing.join(written.select("bucket_key"), "bucket_key", "left_anti")
+    # header-only journals for listed buckets without events (derived from the per-bucket
+    # aggregate, not from ``written``, so the writer job runs once)
+    buckets = R.buckets_of(raw)
+    listing = R.listing_with_empty(buckets)
+    empty = listing.join(buckets.select("bucket_key"), "bucket_key", "left_anti")
 
     def write_empty(rows):
         import pandas as pd
