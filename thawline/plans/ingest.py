@@ -54,7 +54,7 @@ def documents(ev: DataFrame) -> DataFrame:
 
 def ingest(spark: SparkSession, root: str, out_path: str, ingest_run: str, checkpoint_log_path: str | None = None,
            indices=None, bucket_names=None, resume: bool = True, force: bool = False,
-           skip_metadata: bool = True, metrics: dict | None = None) -> DataFrame:
+           skip_metadata: bool = True, metrics: dict | None = None, rebalance: str | bool = "auto") -> DataFrame:
     """Run one ingest; returns the per-bucket results (completed, and skipped when resuming).
 
     ``metrics`` (a dict) receives the write's observed totals: documents, error
@@ -64,6 +64,11 @@ def ingest(spark: SparkSession, root: str, out_path: str, ingest_run: str, check
     Without a checkpoint log the source lists and prunes the tree itself; with
     one, the Spark listing is anti-joined with the completed checkpoints and
     only the pending journal names go to the source.
+
+    ``rebalance="auto"``: a journal is one task (one stateful stream); when the
+    largest pending journal exceeds twice a fair share of the bytes, the decoded
+    events are round-robined before parsing and writing, so the hot journal's
+    parse/write work is spread.  Decided from file sizes (metadata), no job.
     """
     import json
 
@@ -85,6 +90,10 @@ def ingest(spark: SparkSession, root: str, out_path: str, ingest_run: str, check
         pending = R.resume_pending(listing, latest, resume, force)
         paths = [r.journal_path for r in pending.select("journal_path").collect()]  # file names only
         ev = JS.read(spark, None, paths=json.dumps(paths), **opts) if paths else None
+    if ev is not None and _should_rebalance(spark, root, indices, bucket_names, rebalance):
+        ev = ev.repartition(2 * spark.sparkContext.defaultParallelism)
+        if metrics is not None:
+            metrics["rebalanced"] = True
     if ev is not None:
         from pyspark.sql import Observation
 
@@ -114,6 +123,17 @@ def ingest(spark: SparkSession, root: str, out_path: str, ingest_run: str, check
     return R.run_results(R.resume_skipped(listing, latest), done)
 
 
+def _should_rebalance(spark: SparkSession, root: str, indices, bucket_names, rebalance) -> bool:
+    if rebalance is True or rebalance is False:
+        return rebalance
+    sizes = [n for i, b, *_x, n in JS.discover(root)
+             if (not indices or i in indices) and (not bucket_names or b in bucket_names)]
+    if not sizes:
+        return False
+    fair = sum(sizes) / max(1, 2 * spark.sparkContext.defaultParallelism)
+    return max(sizes) > 2 * fair
+
+
 def _listing(spark: SparkSession, root: str, indices, bucket_names) -> DataFrame:
     """Bucket rows from the same directory walk the source does (metadata only, one row per bucket)."""
     rows = [(i, b, lt, er, sq) for i, b, lt, er, sq, _p, _n in JS.discover(root)

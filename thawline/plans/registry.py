@@ -1088,3 +1088,14 @@ def q_ingest_flagship(spark, sf):
     """Flagship: frozen buckets -> frozen_journal scan -> decode -> classify -> parse -> summary."""
     from thawline.plans.ingest import parsed_events
     return _summary(parsed_events(journal_events(spark, sf)))
+
+
+@register("kinds_by_count", W(CLS) + """
+SELECT index_name, string_agg(kind, ',' ORDER BY n DESC, kind) AS kinds_ranked FROM (
+  SELECT index_name, kind, count(*) AS n FROM classified GROUP BY ALL) GROUP BY index_name""")
+def q_kinds_by_count(spark, sf):
+    """O2: per index, the kinds ordered by event count (ties by name), as the scan report lists them."""
+    k = PR.profile_by_kind(B.classified(spark, sf), by=("index_name", "kind"))
+    ranked = F.sort_array(F.collect_list(F.struct((-F.col("n_events")).alias("o"), F.col("kind"))))
+    return k.groupBy("index_name").agg(F.array_join(F.transform(ranked, lambda x: x["kind"]), ",").alias(
+        "kinds_ranked"))
