@@ -27,6 +27,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, In
 
 BUCKET_DIR = re.compile(r"^db_(\d+)_(\d+)_(\d+)$")
 BATCH_ROWS = 8192
+BATCH_BYTES = 8 << 20  # a batch is flushed at 8192 rows or 8 MiB of message bytes, whichever first
 
 EVENT_SCHEMA = (
     "journal_path STRING, index_name STRING, bucket_name STRING, bucket_latest BIGINT, bucket_earliest BIGINT, "
@@ -230,6 +231,7 @@ def read_journal(j, emit: str, skip_metadata: bool, mode: str):
     schema = _arrow_schema(emit)
     rows: list[tuple] = []
     bad: list = []
+    held = 0
 
     def flush_ops():
         cols = list(zip(*rows))
@@ -260,13 +262,18 @@ def read_journal(j, emit: str, skip_metadata: bool, mode: str):
     try:
         if emit == "ops":
             for o, op, pl in J.decode_ops(_chunks(path), skip_metadata):
-                rows.append(_op_row(path, idx, bucket, o, op, pl, J))
-                if len(rows) >= BATCH_ROWS:
+                row = _op_row(path, idx, bucket, o, op, pl, J)
+                rows.append(row)
+                held += len(row[17] or b"") + len(row[5] or "")
+                if len(rows) >= BATCH_ROWS or held >= BATCH_BYTES:
+                    held = 0
                     yield flush_ops()
         else:
             for e in J.decode_events(_chunks(path), skip_metadata):
                 rows.append(e)
-                if len(rows) >= BATCH_ROWS:
+                held += len(e[3])
+                if len(rows) >= BATCH_ROWS or held >= BATCH_BYTES:
+                    held = 0
                     yield flush_events()
     except Exception as exc:  # noqa: BLE001
         if mode != "PERMISSIVE":
