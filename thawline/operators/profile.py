@@ -48,4 +48,4 @@ def dry_run_counts(listing: DataFrame, counts: DataFrame) -> DataFrame:
 def top_sourcetypes(by_st: DataFrame, k: int, by=("index_name",)) -> DataFrame:
     """O2: top-k sourcetypes per index by count (ties by name); input is already aggregated."""
     w = Window.partitionBy(*by).orderBy(F.desc("n_events"), F.asc("sourcetype"))
-    return by_st.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return by_st.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= k)

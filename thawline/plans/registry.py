@@ -218,7 +218,7 @@ def q_text_decode_latin1(spark, sf):
     d = spark.read.parquet(f"{sf}/documents.parquet")
     idx = F.when(F.col("lang") == "fr", F.lit("apache")).otherwise(F.lit("app"))
     d = d.select("doc_id", idx.alias("index_name"), F.encode("text", "UTF-8").alias("b"))
-    return d.select("doc_id", "index_name", F.length(decode_text_fast(F.col("b"), F.col("index_name"))).alias("n_chars_out"))
+    return d.select("doc_id", "index_name", F.length(decode_text_fast(F.col("b"), F.col("index_name"))).cast("bigint").alias("n_chars_out"))
 
 
 # ---------------------------------------------------------------------------
@@ -484,7 +484,7 @@ def q_bucket_page(spark, sf):
     lst = T.listing(spark, sf)
     total = lst.count()
     return lst.orderBy("index_name", "bucket_name").offset(20).limit(100).select(
-        "bucket_key", F.lit(total).alias("total"))
+        "bucket_key", F.lit(total).cast("bigint").alias("total"))
 
 
 # ---------------------------------------------------------------------------
