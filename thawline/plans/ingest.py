@@ -109,7 +109,16 @@ def ingest(spark: SparkSession, root: str, out_path: str, ingest_run: str, check
          .partitionBy("ingest_run", "splunk_index").parquet(out_path))
         if metrics is not None:
             metrics.update(obs.get)
-    written = spark.read.parquet(out_path).where(F.col("ingest_run") == ingest_run)
+    # only this run's directory is listed (earlier runs' files are never touched or listed)
+    run_dir = os.path.join(out_path, f"ingest_run={ingest_run}")
+    written = spark.createDataFrame([], "bucket_key STRING")
+    if ev is not None:
+        from pyspark.errors import AnalysisException
+
+        try:
+            written = spark.read.option("basePath", out_path).parquet(run_dir).select("bucket_key")
+        except AnalysisException:  # the run wrote no rows (only empty journals were pending)
+            pass
     counts = written.groupBy("bucket_key").agg(F.count(F.lit(1)).alias("indexed"))
     done = pending.join(counts, "bucket_key", "left").select(
         "bucket_key", "index_name", "bucket_name", "target_index", F.coalesce("indexed", F.lit(0)).alias("indexed"),
