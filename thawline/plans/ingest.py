@@ -112,7 +112,8 @@ def ingest(spark: SparkSession, root: str, out_path: str, ingest_run: str, check
     # only this run's directory is listed (earlier runs' files are never touched or listed)
     run_dir = os.path.join(out_path, f"ingest_run={ingest_run}")
     written = spark.createDataFrame([], "bucket_key STRING")
-    if ev is not None:
+    local_missing = "://" not in run_dir and not os.path.exists(run_dir.replace("file:", ""))
+    if ev is not None and not local_missing:
         from pyspark.errors import AnalysisException
 
         try:
