@@ -87,7 +87,13 @@ if __name__ == "__main__":
 
     sf = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
     names = sys.argv[1:]
-    spark = local_session()
+    if os.environ.get("PLAIN_SESSION"):
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+                 .config("spark.sql.session.timeZone", os.environ.get("PLAIN_TZ", "America/Los_Angeles"))
+                 .getOrCreate())
+    else:
+        spark = local_session()
     qs, sq = E.queries(), E.oracle_sql()
     con = duck(sf)
     names = names or sorted(sq)
