@@ -11,6 +11,7 @@ shuffle between scan and write.
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from thawline.functions.text import decode_text_fast, iso_utc, strip_prefix
 from thawline.operators import runs as R
 from thawline.operators.classify import classify, parser_name
 from thawline.operators.parse import PARSED_COLUMNS, route_and_parse
-from thawline.session import ensure_utc
+from thawline.session import checkpoint_dir, ensure_utc
 from thawline.sources import journal as JS
 from thawline.sources.buckets import list_buckets
 
@@ -70,7 +71,6 @@ def ingest(spark: SparkSession, root: str, out_path: str, ingest_run: str, check
     events are round-robined before parsing and writing, so the hot journal's
     parse/write work is spread.  Decided from file sizes (metadata), no job.
     """
-    import json
 
     ensure_utc(spark)
     latest = None
@@ -88,8 +88,12 @@ def ingest(spark: SparkSession, root: str, out_path: str, ingest_run: str, check
     else:
         listing = list_buckets(spark, root, indices, bucket_names).cache()
         pending = R.resume_pending(listing, latest, resume, force)
-        paths = [r.journal_path for r in pending.select("journal_path").collect()]  # file names only
-        ev = JS.read(spark, None, paths=json.dumps(paths), **opts) if paths else None
+        # the pending journal names go to the source as files in the shared folder, not through
+        # the driver's memory (the source reads them when it plans its partitions)
+        pdir = os.path.join(checkpoint_dir(spark).replace("file:", ""), "thawline-pending",
+                            f"{ingest_run}-{uuid.uuid4().hex}")
+        pending.select("journal_path").write.text(pdir)
+        ev = JS.read(spark, None, pathsDir=pdir, **opts)
     if ev is not None and _should_rebalance(spark, root, indices, bucket_names, rebalance):
         ev = ev.repartition(2 * spark.sparkContext.defaultParallelism)
         if metrics is not None:

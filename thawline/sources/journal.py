@@ -7,7 +7,8 @@ cannot be split), largest journals first so the long tasks start early.
 Readers run in executors and yield Arrow record batches.
 
 Options:
-  path          bucket tree root (or ``paths``: JSON list of journal files, e.g. from ``list_buckets``)
+  path          bucket tree root (or ``paths``: JSON list of journal files, or ``pathsDir``: a
+                directory of text files with one journal path per line, e.g. written by Spark)
   emit          ``events`` (default, dictionary/state replayed) or ``ops`` (one row per opcode)
   skipMetadata  ``true`` (default): walk metadata without mapping it (no ``fields``)
   mode          ``FAILFAST`` (default) or ``PERMISSIVE`` (a bad journal becomes one row with
@@ -129,9 +130,11 @@ class FrozenJournalReader(DataSourceReader):
         self.keep = {"index_name": _csv(options.get("indices")), "bucket_name": _csv(options.get("buckets"))}
 
     def _journals(self):
-        if "paths" in self.options:
+        if "paths" in self.options or "pathsdir" in self.options:
+            listed = json.loads(self.options["paths"]) if "paths" in self.options else _read_paths_dir(
+                self.options["pathsdir"])
             rows = []
-            for p in json.loads(self.options["paths"]):
+            for p in listed:
                 parts = p.rstrip("/").split("/")
                 m = BUCKET_DIR.match(parts[-3])
                 rows.append((parts[-4], parts[-3], int(m.group(1)), int(m.group(2)), int(m.group(3)), p,
@@ -171,6 +174,28 @@ class FrozenJournalReader(DataSourceReader):
             yield from read_journal(j, self.emit, self.skip_metadata, self.mode)
 
 
+def _read_paths_dir(d: str) -> list[str]:
+    """Journal paths from the text files of a directory written by Spark (one path per line)."""
+    remote = _fs(d)
+    out: list[str] = []
+    if remote is None:
+        d = d[len("file:"):] if d.startswith("file:") else d
+        names = sorted(f for f in os.listdir(d) if not f.startswith((".", "_")))
+        for f in names:
+            with open(os.path.join(d, f), encoding="utf-8") as fh:
+                out.extend(line.strip() for line in fh if line.strip())
+        return out
+    import pyarrow.fs as pafs
+
+    fs, base = remote
+    for info in fs.get_file_info(pafs.FileSelector(base)):
+        name = info.path.rsplit("/", 1)[-1]
+        if info.type == pafs.FileType.File and not name.startswith((".", "_")):
+            with fs.open_input_stream(info.path) as fh:
+                out.extend(line.strip() for line in fh.read().decode("utf-8").splitlines() if line.strip())
+    return out
+
+
 def _size_of(p: str) -> int:
     remote = _fs(p)
     if remote is None:

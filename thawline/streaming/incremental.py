@@ -10,7 +10,6 @@ overwritten, so a re-delivered micro-batch leaves the same rows (R2).
 
 from __future__ import annotations
 
-import json
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,10 +29,13 @@ def ingest_batch(spark: SparkSession, to_docs, out_path: str):
     from thawline.sources import journal as JS
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        paths = [r.path.replace("file:", "") for r in batch.select("path").collect()]  # file names only, bounded by maxFilesPerTrigger
-        if not paths:
+        if batch.isEmpty():
             return
-        ev = JS.read(spark, None, paths=json.dumps(paths))
+        # the batch's journal names go to the source as files next to the output (ignored by
+        # readers: leading underscore), never through the driver's memory
+        pdir = os.path.join(out_path, "_pending", f"batch_id={batch_id}")
+        batch.select("path").write.mode("overwrite").text(pdir)
+        ev = JS.read(spark, None, pathsDir=pdir)
         docs = to_docs(ev).withColumn("batch_id", F.lit(batch_id))
         docs.write.mode("overwrite").parquet(os.path.join(out_path, f"batch_id={batch_id}"))
 
