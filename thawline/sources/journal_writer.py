@@ -18,7 +18,6 @@ import hashlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from thawline.operators import runs as R
 from thawline.session import checkpoint_dir
@@ -112,8 +111,6 @@ def _writer_task(root: str):
 
 def _with_bad_meta(event_bytes: bytes) -> bytes:
     """Re-encode one event op with an extra metadata pair (key id 1, value id 0)."""
-    import struct
-
     op = event_bytes[0]
     length, p = J._uvarint(event_bytes, 1, len(event_bytes))
     body = bytearray(event_bytes[p:p + length])
@@ -129,7 +126,6 @@ def _with_bad_meta(event_bytes: bytes) -> bytes:
     key = 1 << 1 if op <= 2 else (1 << 2 if op < 36 else 1 << 4)
     # the new pair goes first, right after the count
     new = bytes(body[:q]) + J._enc_uv(nmeta + 1) + J._enc_uv(key) + J._enc_uv(0) + bytes(body[q2:])
-    del struct
     return bytes([op]) + J._enc_uv(len(new)) + new
 
 
@@ -178,7 +174,11 @@ def add_decoys(root: str) -> None:
 
 def ensure_journals(spark: SparkSession, sf_dir: str, raw: DataFrame) -> str:
     """Journal tree of ``sf_dir``'s corpus in the shared folder, written once (``_SUCCESS`` marker)."""
-    tag = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
+    h = hashlib.sha1(os.path.abspath(sf_dir).encode())
+    for mod in (__file__, J.__file__):  # a changed writer or codec never reuses an old tree
+        with open(mod, "rb") as fh:
+            h.update(fh.read())
+    tag = h.hexdigest()[:12]
     root = os.path.join(checkpoint_dir(spark).replace("file:", ""), "thawline-journals", tag)
     if os.path.exists(os.path.join(root, "_SUCCESS")):
         return root
