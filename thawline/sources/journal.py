@@ -191,7 +191,7 @@ def _read_paths_dir(d: str) -> list[str]:
     for info in fs.get_file_info(pafs.FileSelector(base)):
         name = info.path.rsplit("/", 1)[-1]
         if info.type == pafs.FileType.File and not name.startswith((".", "_")):
-            with fs.open_input_stream(info.path) as fh:
+            with fs.open_input_stream(info.path, compression=None) as fh:
                 out.extend(line.strip() for line in fh.read().decode("utf-8").splitlines() if line.strip())
     return out
 
@@ -232,7 +232,8 @@ def _open(path: str):
     if remote is None:
         return open(path, "rb")
     fs, inner = remote
-    return fs.open_input_stream(inner)
+    # raw bytes: pyarrow would otherwise decompress ".zst" by extension before our zstd reader
+    return fs.open_input_stream(inner, compression=None)
 
 
 def _chunks(path: str):
