@@ -41,3 +41,26 @@ def test_runs_never_touch_each_other(spark):
     n = docs.count()
     assert counts == {"1.0-a": n, "1.1-b": n}
     assert sorted(os.listdir(os.path.join(path, "ingest_run=1.0-a"))) == first
+
+
+def test_list_buckets_pruning_and_forced_reingest(spark):
+    from thawline.plans.ingest import ingest
+    from thawline.plans.registry import journal_root
+    from thawline.sources.buckets import list_buckets
+    from thawline.sources.journal import discover
+
+    root = journal_root(spark, SF)
+    all_ = discover(root)
+    some = list_buckets(spark, root, indices=["apache", "syslog"]).collect()
+    assert sorted(r.bucket_key for r in some) == sorted(f"{i}/{b}" for i, b, *_ in all_ if i in ("apache", "syslog"))
+    one = all_[0]
+    assert list_buckets(spark, root, bucket_names=[one[1]], indices=[one[0]]).count() == 1
+
+    base = new_run_path(spark, "thawline-test-force")
+    out, log = os.path.join(base, "docs"), os.path.join(base, "log")
+    first = ingest(spark, root, out, "r1", checkpoint_log_path=log, indices=["apache"])
+    n1 = {r.status: r["count"] for r in first.groupBy("status").count().collect()}
+    again = ingest(spark, root, out, "r2", checkpoint_log_path=log, indices=["apache"])
+    assert {r.status for r in again.collect()} == {"skipped"}
+    forced = ingest(spark, root, out, "r3", checkpoint_log_path=log, indices=["apache"], force=True)
+    assert {r.status for r in forced.collect()} == {"completed"} and n1 == {"completed": forced.count()}
