@@ -101,3 +101,25 @@ def test_uri_paths_match_local_paths(spark, tmp_path):
     finally:
         JS._fs = orig
     assert a == b == c and a
+
+
+def test_discover_prunes_while_walking(spark, monkeypatch):
+    import os as _os
+
+    root = journal_root(spark, SF)
+    listed = []
+    real = _os.listdir
+
+    def spy(p):
+        listed.append(p)
+        return real(p)
+
+    monkeypatch.setattr(JS.os, "listdir", spy)
+    got = JS.discover(root, indices=["apache"])
+    assert got and all(r[0] == "apache" for r in got)
+    assert all(p in (root, _os.path.join(root, "apache")) for p in listed), listed
+    monkeypatch.undo()
+    import pyarrow.fs as pafs
+    fs, inner = pafs.FileSystem.from_uri("file://" + root)
+    remote = JS._discover_remote("file://" + root, fs, inner, {"apache"}, {got[0][1]})
+    assert [r[:5] for r in remote] == [got[0][:5]]

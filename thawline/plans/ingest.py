@@ -140,8 +140,7 @@ def ingest(spark: SparkSession, root: str, out_path: str, ingest_run: str, check
 def _should_rebalance(spark: SparkSession, root: str, indices, bucket_names, rebalance) -> bool:
     if rebalance is True or rebalance is False:
         return rebalance
-    sizes = [n for i, b, *_x, n in JS.discover(root)
-             if (not indices or i in indices) and (not bucket_names or b in bucket_names)]
+    sizes = [r[6] for r in JS.discover(root, indices, bucket_names)]
     if not sizes:
         return False
     fair = sum(sizes) / max(1, 2 * spark.sparkContext.defaultParallelism)
@@ -150,8 +149,7 @@ def _should_rebalance(spark: SparkSession, root: str, indices, bucket_names, reb
 
 def _listing(spark: SparkSession, root: str, indices, bucket_names) -> DataFrame:
     """Bucket rows from the same directory walk the source does (metadata only, one row per bucket)."""
-    rows = [(i, b, lt, er, sq) for i, b, lt, er, sq, _p, _n in JS.discover(root)
-            if (not indices or i in indices) and (not bucket_names or b in bucket_names)]
+    rows = [(i, b, lt, er, sq) for i, b, lt, er, sq, _p, _n in JS.discover(root, indices, bucket_names)]
     df = spark.createDataFrame(rows, "index_name STRING, bucket_name STRING, bucket_latest BIGINT, "
                                      "bucket_earliest BIGINT, bucket_seq BIGINT")
     return df.withColumns({"bucket_key": R.bucket_key(F.col("index_name"), F.col("bucket_name")),

@@ -56,20 +56,29 @@ def _fs(path: str):
     return pafs.FileSystem.from_uri(uri)
 
 
-def discover(root: str) -> list[tuple[str, str, int, int, int, str, int]]:
-    """(index, bucket, latest, earliest, seq, journal path, size) for ``root/<index>/db_*/rawdata/journal.zst``."""
+def discover(root: str, indices=None, buckets=None) -> list[tuple[str, str, int, int, int, str, int]]:
+    """(index, bucket, latest, earliest, seq, journal path, size) for ``root/<index>/db_*/rawdata/journal.zst``.
+
+    ``indices`` / ``buckets`` prune while walking: other index directories are never listed and
+    other bucket directories never stat'ed.
+    """
     root = root[len("file:"):] if root.startswith("file:") else root
+    indices, buckets = (set(indices) if indices else None), (set(buckets) if buckets else None)
     remote = _fs(root)
     if remote is not None:
-        return _discover_remote(root, *remote)
+        return _discover_remote(root, *remote, indices, buckets)
     if not os.path.isdir(root):
         raise FileNotFoundError(f"Frozen root not found: {root}")
     out = []
     for idx in sorted(os.listdir(root)):
+        if indices is not None and idx not in indices:
+            continue
         ip = os.path.join(root, idx)
         if not os.path.isdir(ip):
             continue
         for b in sorted(os.listdir(ip)):
+            if buckets is not None and b not in buckets:
+                continue
             m = BUCKET_DIR.match(b)
             j = os.path.join(ip, b, "rawdata", "journal.zst")
             if m and os.path.isdir(os.path.join(ip, b)) and os.path.isfile(j):
@@ -77,20 +86,26 @@ def discover(root: str) -> list[tuple[str, str, int, int, int, str, int]]:
     return out
 
 
-def _discover_remote(root: str, fs, base: str):
+def _discover_remote(root: str, fs, base: str, indices=None, buckets=None):
     import pyarrow.fs as pafs
 
     out = []
-    prefix = root[: len(root) - len(base)] if root.endswith(base) else root.split("://", 1)[0] + "://"
-    for info in fs.get_file_info(pafs.FileSelector(base.rstrip("/"), recursive=True)):
-        parts = info.path.rstrip("/").split("/")
-        if info.type != pafs.FileType.File or len(parts) < 4 or parts[-2:] != ["rawdata", "journal.zst"]:
-            continue
-        rel = info.path[len(base.rstrip("/")):].strip("/").split("/")
-        m = BUCKET_DIR.match(parts[-3])
-        if len(rel) == 4 and m:
-            out.append((parts[-4], parts[-3], int(m.group(1)), int(m.group(2)), int(m.group(3)),
-                        prefix + info.path, info.size))
+    base = base.rstrip("/")
+    prefix = root[: len(root) - len(base)] if root.rstrip("/").endswith(base) else root.split("://", 1)[0] + "://"
+    if indices is None:
+        selectors = [pafs.FileSelector(base, recursive=True)]
+    else:
+        selectors = [pafs.FileSelector(f"{base}/{i}", recursive=True, allow_not_found=True) for i in sorted(indices)]
+    for sel in selectors:
+        for info in fs.get_file_info(sel):
+            parts = info.path.rstrip("/").split("/")
+            if info.type != pafs.FileType.File or len(parts) < 4 or parts[-2:] != ["rawdata", "journal.zst"]:
+                continue
+            rel = info.path[len(base):].strip("/").split("/")
+            m = BUCKET_DIR.match(parts[-3])
+            if len(rel) == 4 and m and (buckets is None or parts[-3] in buckets):
+                out.append((parts[-4], parts[-3], int(m.group(1)), int(m.group(2)), int(m.group(3)),
+                            prefix + info.path, info.size))
     return sorted(out)
 
 
@@ -140,7 +155,7 @@ class FrozenJournalReader(DataSourceReader):
                 rows.append((parts[-4], parts[-3], int(m.group(1)), int(m.group(2)), int(m.group(3)), p,
                              _size_of(p)))
         else:
-            rows = discover(self.options["path"])
+            rows = discover(self.options["path"], self.keep["index_name"] or None, self.keep["bucket_name"] or None)
         rows = [r for r in rows if (not self.keep["index_name"] or r[0] in self.keep["index_name"])
                 and (not self.keep["bucket_name"] or r[1] in self.keep["bucket_name"])]
         return sorted(rows, key=lambda r: -r[6])
