@@ -12,11 +12,11 @@ Every document has a set of word shingles; its sketch is the k smallest hashes o
 3. A list of up to ``list_bound`` classes yields its pairs.  Longer lists are not capped.  A
    class that has enough runs outside them is found there (the same bounds hold for what is
    left), so it leaves them; the others are compared with the list's leader, and what is not
-   linked to its leader is compared with the leader's other members block by block, keeping
-   only pairs whose retained values overlap enough.
+   linked to its leader is compared with the leader's other members block by block, on full
+   sets; each block returns a spanning forest of its links.
 4. The union sketch (k smallest of both sketches) estimates the similarity; pairs clearly
    below the threshold go.
-5. The rest is confirmed on full sets, and the confirmed links' components are taken.
+5. The rest is confirmed on full sets, and the components of all links are taken.
 
 Defined cases: null or empty text, or text without words: empty set, linked with nothing, its
 own component.  A null doc_id is returned with a null component and ``kept`` true.  Rows that
@@ -138,45 +138,72 @@ def _sets(words: int):
     return run
 
 
-def _rest_of_block(k: int, percent: int):
-    """Cogroup of one leader's unlinked block with a block of all its members: pairs worth a look."""
-
-    def incidence(sketches, values):
-        m = np.zeros((len(sketches), len(values)), np.float32)
-        for i, s in enumerate(sketches):
-            x = np.frombuffer(s, np.int64)
-            at = np.searchsorted(values, x)
-            at[at == len(values)] = 0
-            m[i, at[values[at] == x]] = 1
-        return m
+def _common(left: list[np.ndarray], right: list[np.ndarray]):
+    """Yields (i, intersection sizes of left[i] with every set of ``right``)."""
+    nr = len(right)
+    values, inverse, count = np.unique(np.concatenate(right), return_inverse=True, return_counts=True)
+    rows = np.repeat(np.arange(nr), [len(x) for x in right])[np.argsort(inverse, kind="stable")]
+    first = np.cumsum(count) - count
+    frequent = np.flatnonzero(count > max(32, nr // 16))  # at most 16 average sets' worth
+    column = np.full(len(values), -1)
+    column[frequent] = np.arange(len(frequent))
+    for at in range(0, len(left), 256):
+        part = left[at : at + 256]
+        found = []
+        for x in part:
+            v = np.minimum(np.searchsorted(values, x), len(values) - 1)
+            found.append(v[values[v] == x])
+        total = np.zeros((len(part), nr), np.float32)
+        for c0 in range(0, len(frequent), 4096):
+            width = min(4096, len(frequent) - c0)
+            ml, mr = np.zeros((len(part), width), np.float32), np.zeros((nr, width), np.float32)
+            for i, v in enumerate(found):
+                c = column[v] - c0
+                ml[i, c[(c >= 0) & (c < width)]] = 1
+            for c in range(width):
+                f = frequent[c0 + c]
+                mr[rows[first[f] : first[f] + count[f]], c] = 1
+            total += ml @ mr.T
+        for i, v in enumerate(found):
+            v = v[column[v] < 0]
+            k = count[v]
+            at_rows = np.repeat(first[v] - (np.cumsum(k) - k), k) + np.arange(k.sum())
+            yield at + i, total[i].astype(np.int64) + np.bincount(rows[at_rows], minlength=nr)
+
+
+def _rest_of_block(percent: int):
+    """Cogroup of one leader's unlinked members with a block of all its members.
+
+    Returns links that connect what the block's links connect (a spanning forest), so their
+    number stays below that of the members.
+    """
 
     def run(left, right):
         import pandas as pd
 
-        empty = pd.DataFrame({"a": pd.Series([], dtype="int64"), "b": pd.Series([], dtype="int64")})
-        if not len(left) or not len(right):
-            return empty
-        vl = np.unique(np.concatenate([np.frombuffer(s, np.int64) for s in left["sketch"]]))
-        vr = np.unique(np.concatenate([np.frombuffer(s, np.int64) for s in right["r_sketch"]]))
-        values = np.intersect1d(vl, vr, assume_unique=True)
-        if not len(values):
-            return empty
-        out_a, out_b = [], []
-        nl, nr = left["n_shingles"].to_numpy(), right["r_n_shingles"].to_numpy()
-        ll, lr = left["label"].to_numpy(), right["r_label"].to_numpy()
-        cl, cr = left["cid"].to_numpy(), right["r_cid"].to_numpy()
-        mr = incidence(right["r_sketch"], values)
-        for at in range(0, len(left), 256):
-            s = slice(at, at + 256)
-            common = incidence(left["sketch"].iloc[s], values) @ mr.T
-            least = np.minimum(np.minimum(nl[s, None], nr[None, :]), k) * (percent / 100) * 0.6
-            ok = (common >= least) & (ll[s, None] != lr[None, :]) & (cl[s, None] != cr[None, :])
-            ok &= (100 * nl[s, None] >= percent * nr[None, :]) & (100 * nr[None, :] >= percent * nl[s, None])
-            i, j = np.nonzero(ok)
-            out_a.append(cl[s][i])
-            out_b.append(cr[j])
-        a, b = np.concatenate(out_a), np.concatenate(out_b)
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+        edges = []
+        if len(left) and len(right):
+            ls = [np.frombuffer(x, np.int64) for x in left["shingles"]]
+            rs = [np.frombuffer(x, np.int64) for x in right["r_shingles"]]
+            ll, lr = left["label"].to_numpy(), right["r_label"].to_numpy()
+            cl, cr = left["cid"].to_numpy(), right["r_cid"].to_numpy()
+            sizes = np.array([len(x) for x in rs])
+            group = dict(zip([*ll.tolist(), *lr.tolist()], [*ll.tolist(), *lr.tolist()]))
+
+            def find(x):
+                while group[x] != x:
+                    group[x] = x = group[group[x]]
+                return x
+
+            for i, c in _common(ls, rs):
+                near = np.flatnonzero((100 * c >= percent * (len(ls[i]) + sizes - c)) & (lr != ll[i]))
+                labels, one = np.unique(lr[near], return_index=True)
+                for label, j in zip(labels.tolist(), near[one].tolist()):
+                    a, b = find(int(ll[i])), find(label)
+                    if a != b:
+                        group[a] = b
+                        edges.append((cl[i], cr[j]))
+        return pd.DataFrame(edges, columns=["a", "b"]).astype("int64")
 
     return run
 
@@ -211,9 +238,10 @@ def _candidates(cls: DataFrame, k: int, list_bound: int) -> tuple[DataFrame, Dat
         F.col("hot_runs") <= 0.22 * (k - RUN + 1)
     )
     stay = long_lists.join(hot.where(~found_elsewhere).select("cid"), "cid").select("key", "cid")
-    leader = stay.groupBy("key").agg(F.min("cid").alias("leader"))
+    weight = stay.join(size, "key").groupBy("cid").agg(F.sum("members").alias("weight"))  # central members share the longest lists
+    leader = stay.join(weight, "cid").groupBy("key").agg(F.max(F.struct("weight", "cid")).alias("most")).select("key", F.col("most.cid").alias("leader"))
     star = saved(stay.join(leader, "key").select("leader", "cid").distinct(), "op10-star")
-    return pairs.union(star.where("leader <> cid").selectExpr("leader", "cid")).distinct(), star
+    return pairs.union(star.where("leader <> cid").selectExpr("least(leader, cid)", "greatest(leader, cid)")).distinct(), star
 
 
 def _pass_sketch(pairs: DataFrame, cls: DataFrame, k: int, percent: int) -> DataFrame:
@@ -223,32 +251,38 @@ def _pass_sketch(pairs: DataFrame, cls: DataFrame, k: int, percent: int) -> Data
     return near.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_union_filter(k, percent, 7.0), "a bigint, b bigint")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, cls: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs whose full sets reach the threshold."""
-    ends = pairs.selectExpr("a as cid").union(pairs.selectExpr("b as cid")).distinct()
-    need = cls.join(ends, "cid", "left_semi").select("cid", "first_doc", "digest")
+def _full_sets(cids: DataFrame, docs: DataFrame, cls: DataFrame, words: int) -> DataFrame:
+    """(cid, shingles) of the named classes, computed from the text of each class's first document."""
+    need = cls.join(cids.distinct(), "cid", "left_semi").select("cid", "first_doc", "digest")
     texts = doc_texts(docs).join(need.selectExpr("first_doc as doc_id"), "doc_id", "left_semi")
     found = texts.select("text").mapInArrow(_sets(words), "digest binary, shingles binary")
-    sets = saved(found.join(need.select("digest", "cid"), "digest").dropDuplicates(["cid"]).select("cid", "shingles"), "op10-sets")
+    return saved(found.join(need.select("digest", "cid"), "digest").dropDuplicates(["cid"]).select("cid", "shingles"), "op10-sets")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose full sets reach the threshold."""
     both = pairs.join(sets.selectExpr("cid as a", "shingles as set_a"), "a").join(sets.selectExpr("cid as b", "shingles as set_b"), "b")
     return both.select("a", "b", "set_a", "set_b").mapInArrow(_confirm(percent), "a bigint, b bigint")
 
 
-def _rest_of_long_lists(star: DataFrame, links: DataFrame, cls: DataFrame, k: int, percent: int, block: int) -> DataFrame:
-    """Pairs of a long list that its leader does not join: unlinked members against all others."""
+def _rest_of_long_lists(star: DataFrame, links: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+    """Links of a long list's members that its leader does not give: unlinked members against all members."""
     linked = links.selectExpr("a as leader", "b as cid").union(links.selectExpr("b as leader", "a as cid"))
     near = star.join(linked, ["leader", "cid"], "left_semi").union(star.where("leader = cid"))
     label = near.groupBy("cid").agg(F.min("leader").alias("label"))
-    members = star.join(label, "cid", "left").join(cls.select("cid", "n_shingles", "sketch"), "cid")
-    members = members.withColumn("label", F.coalesce("label", F.col("cid")))
-    far = members.join(near, ["leader", "cid"], "left_anti")
-    blocks = members.groupBy("leader").agg(F.ceil(F.count("*") / block).alias("blocks"))
-    part = F.pmod(F.xxhash64("cid"), F.col("blocks"))
+    members = star.join(label, "cid", "left").withColumn("label", F.coalesce("label", F.col("cid")))
+    mark = near.withColumn("is_near", F.lit(True))
+    members = members.join(mark, ["leader", "cid"], "left")
+    blocks = members.groupBy("leader").agg(F.ceil(F.count("*") / block).alias("blocks"), F.count_if(F.col("is_near").isNull()).alias("far"))
+    # leaders all of whose members are linked to them have nothing left to compare
+    members = members.join(blocks.where("far > 0"), "leader").withColumn("part", F.pmod(F.xxhash64("cid"), F.col("blocks")))
+    members = saved(members.join(sets, "cid"), "op10-members")
     every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
-    cols = ["leader", "cid", "label", "n_shingles", "sketch"]
-    left = far.join(blocks, "leader").withColumn("i", part).select(*cols, "i", every.alias("j"))
-    right = members.join(blocks, "leader").withColumn("j", part).select(*cols, "j", every.alias("i")).toDF(*(f"r_{c}" for c in [*cols, "j", "i"]))
-    return left.groupBy("leader", "i", "j").cogroup(right.groupBy("r_leader", "r_i", "r_j")).applyInPandas(_rest_of_block(k, percent), "a bigint, b bigint").distinct()
+    cols = ["leader", "cid", "label", "shingles"]
+    left = members.where("is_near is null").select(*cols, F.col("part").alias("i"), every.alias("j"))
+    right = members.select(*(F.col(c).alias(f"r_{c}") for c in cols), F.col("part").alias("r_j"), every.alias("r_i"))
+    found = left.groupBy("leader", "i", "j").cogroup(right.groupBy("r_leader", "r_i", "r_j"))
+    return found.applyInPandas(_rest_of_block(percent), "a bigint, b bigint")
 
 
 def near_duplicates(
@@ -262,12 +296,10 @@ def near_duplicates(
     """
     rows, cls = _classes(docs, words, k)
     pairs, star = _candidates(cls, k, list_bound)
-    first = saved(_confirmed(saved(_pass_sketch(pairs, cls, k, percent), "op10-pairs"), docs, cls, words, percent), "op10-links")
-    rest = saved(_rest_of_long_lists(star, first, cls, k, percent, block), "op10-rest")
-    links = first
-    if not rest.isEmpty():
-        more = saved(_pass_sketch(rest, cls, k, percent).join(first, ["a", "b"], "left_anti"), "op10-pairs")
-        links = first.union(_confirmed(more, docs, cls, words, percent))
+    pairs = saved(_pass_sketch(pairs, cls, k, percent), "op10-pairs")
+    sets = _full_sets(pairs.selectExpr("a as cid").union(pairs.selectExpr("b as cid")).union(star.select("cid")), docs, cls, words)
+    links = saved(_confirmed(pairs, sets, percent), "op10-links")
+    links = links.union(_rest_of_long_lists(star, links, sets, percent, block))
     node = components(links)
     of_class = cls.select("cid", "first_doc", "digest").join(node.withColumnRenamed("node", "cid"), "cid", "left")
     of_class = of_class.withColumn("component", F.coalesce("component", "cid"))
@@ -284,11 +316,12 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80, **options) -> D
     Rows with a null doc_id stay.
     """
     out = near_duplicates(docs, words, percent, **options)
-    gone = out.where("not kept").select(F.col("doc_id").alias("gone_id")).distinct()
-    kept = docs.join(gone, docs["doc_id"] == F.col("gone_id"), "left_anti")
+    out = saved(out, "op10-kept")
+    gone = out.where("not kept").select("doc_id").distinct()
+    kept = docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")
     twice = out.where("kept and doc_id is not null and n_shingles > 0").groupBy("doc_id").count().where("count > 1")
     if twice.isEmpty():
         return kept
-    again = kept.join(twice.select(F.col("doc_id").alias("twice_id")), F.col("doc_id") == F.col("twice_id"), "left_semi")
-    once = kept.join(twice.select(F.col("doc_id").alias("twice_id")), F.col("doc_id") == F.col("twice_id"), "left_anti")
+    once = kept.join(twice, kept["doc_id"] == twice["doc_id"], "left_anti")
+    again = kept.join(twice, kept["doc_id"] == twice["doc_id"], "left_semi")
     return once.unionByName(again.dropDuplicates(["doc_id"]))
