@@ -105,6 +105,7 @@ class Block:
 
     def __init__(self, items: list[tuple[int, str]], q: int, per_edit: int):
         self.q = q
+        self.texts = [t for _, t in items]
         self.items = [(i, _codes(t)) for i, t in items]
         m = np.array([len(x) for _, x in self.items])
         self.edits = np.array([edit_budget(int(k), q, per_edit) for k in m], np.int64)
@@ -159,12 +160,16 @@ class Block:
 
     def find(self, texts: list[str]):
         """(text index, item id, edits, start, end) of the best region of each found item, normalised positions."""
-        codes = [_codes(normalised(t)) for t in texts]
+        plain = [normalised(t) for t in texts]
+        codes = [_codes(t) for t in plain]
         lengths = np.array([len(c) for c in codes])
         best: dict = {}
         for d, i, lo, hi in self.candidates(np.concatenate(codes).astype(np.uint64), lengths):
             item, pattern = self.items[i]
-            e, s, t = banded_distance(pattern, codes[d], lo, hi, int(self.edits[i]))
+            if best.get((d, item), (1,))[0] == 0:
+                continue
+            s = plain[d].find(self.texts[i], max(0, lo), hi + 1 + len(pattern))
+            e, s, t = (0, s, s + len(pattern)) if s >= 0 else banded_distance(pattern, codes[d], lo, hi, int(self.edits[i]))
             if e <= self.edits[i] and (e, s) < best.get((d, item), (1 << 30, 0, 0))[:2]:
                 best[d, item] = (e, s, t)
         return [(d, item, *v) for (d, item), v in sorted(best.items())]
@@ -251,5 +256,4 @@ def _has_leak(block):
                 group, held = [], 0
         return pd.Series(out)
 
-    run.__annotations__ = {"texts": "pd.Series", "return": "pd.Series"}
     return run

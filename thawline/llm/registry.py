@@ -4,16 +4,58 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from thawline.llm import op10_minhash
+from thawline.llm import (
+    op4_suffix,
+    op6_token_ids,
+    op7_quality,
+    op8_toxicity,
+    op9_decontam,
+    op10_minhash,
+)
 from thawline.llm.common import table
 
 
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4_suffix.removed_bytes(table(spark, sf_dir, "documents"), threshold=400)
+
+
+def op6_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = op6_token_ids.write_shards(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=2)
+    return op6_token_ids.read_digests(manifest)
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op7_quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
+
+
+def op8_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8_toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.5)
+
+
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op9_decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
 
 
 QUERIES = {
-    "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    f.__name__: f
+    for f in (
+        op4_suffix_array_dedup,
+        op6_token_id_output,
+        op7_quality_classifier,
+        op8_toxicity_scores,
+        op9_benchmark_decontamination,
+        op10_minhash_near_dedup,
+    )
 }
 
 SQL: dict[str, str] = {}
