@@ -7,24 +7,44 @@ from Parquet as its ``docs``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from thawline.llm import op10_minhash
+from thawline.llm import op4_suffix, op7_quality, op9_decontam, op10_minhash
 from thawline.llm.common import saved, table
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the line CRF accepts."""
+    return op7_quality.keep_good(docs, table(spark, sf_dir, "labels"), threshold=0.3)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five-word shingles, similarity 0.8 or more)."""
     return op10_minhash.keep_one(docs, words=5, percent=80)
 
 
-STAGES = [("MinHash near-dedup", near_dedup)]
+def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages of 50 words or more that occur elsewhere too."""
+    return op4_suffix.without_repeats(docs, threshold=50)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark item."""
+    return op9_decontam.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+STAGES = [
+    ("quality classifier", quality),
+    ("MinHash near-dedup", near_dedup),
+    ("suffix-array dedup", passages),
+    ("benchmark decontamination", decontamination),
+]
 
 # Trained scores, sketches and tokenizer ids have no SQL form; tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over ``documents``, each written and read again."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = saved(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
