@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from thawline.llm import (
+    op1_sentencepiece,
+    op2_ann,
+    op3_license,
     op4_suffix,
+    op5_lm,
     op6_token_ids,
     op7_quality,
     op8_toxicity,
@@ -21,10 +25,28 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = op1_sentencepiece.Pieces.load(tokenizer_path("piece_bpe_32k.model"))
+    return op1_sentencepiece.encode(table(spark, sf_dir, "documents"), vocabulary, digest=True)
+
+
+def op2_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2_ann.neighbours(table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op3_license.license_scan(table(spark, sf_dir, "documents"))
+
+
 def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_suffix.removed_bytes(table(spark, sf_dir, "documents"), threshold=400)
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = table(spark, sf_dir, "labels").where("quality = 1")
+    return op5_lm.rounded(op5_lm.cross_entropy_difference(table(spark, sf_dir, "documents"), target))
+
+
 def op6_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = op6_token_ids.write_shards(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=2)
     return op6_token_ids.read_digests(manifest)
@@ -49,7 +71,11 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_sentencepiece_codec,
+        op2_ann_search,
+        op3_license_scan,
         op4_suffix_array_dedup,
+        op5_lm_scoring,
         op6_token_id_output,
         op7_quality_classifier,
         op8_toxicity_scores,
@@ -58,4 +84,7 @@ QUERIES = {
     )
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op3_license_scan": op3_license.license_sql(),
+    "op5_lm_scoring": op5_lm.cross_entropy_sql(),
+}
