@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from thawline.llm import op4_suffix, op7_quality, op9_decontam, op10_minhash
+from thawline.llm import op1_sentencepiece, op4_suffix, op7_quality, op9_decontam, op10_minhash
 from thawline.llm.common import saved, table
+from thawline.llm.registry import tokenizer_path
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,11 +33,17 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return op9_decontam.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
+def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of the documents that are left, and the text decoded from them."""
+    return op1_sentencepiece.encode(docs, op1_sentencepiece.Pieces.load(tokenizer_path("piece_bpe_32k.model")))
+
+
 STAGES = [
     ("quality classifier", quality),
     ("MinHash near-dedup", near_dedup),
     ("suffix-array dedup", passages),
     ("benchmark decontamination", decontamination),
+    ("SentencePiece encoding and decoding", pieces),
 ]
 
 # Trained scores, sketches and tokenizer ids have no SQL form; tests compare with brute force.
