@@ -225,22 +225,20 @@ def _classes(docs: DataFrame, words: int, k: int) -> tuple[DataFrame, DataFrame]
 def _candidates(cls: DataFrame, k: int, list_bound: int) -> tuple[DataFrame, DataFrame]:
     """Pairs (a, b) of the inverted lists, and the stars (leader, cid) of their long lists."""
     posts = cls.select("cid", "sketch").mapInArrow(_postings, "key bigint, cid bigint")
-    size = posts.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
+    size = posts.groupBy("key").agg(F.count("*").alias("members"), F.min("cid").alias("leader")).where("members > 1")
     lists = saved(posts.join(size, "key"), "op10-lists")
     short = lists.where(F.col("members") <= list_bound).groupBy("key").agg(F.sort_array(F.collect_set("cid")).alias("m"))
     pairs = short.select(
         F.explode(F.expr("flatten(transform(m, (x, i) -> transform(slice(m, i + 2, size(m)), y -> struct(x as a, y as b))))")).alias("p")
     ).select("p.a", "p.b")
 
-    long_lists = lists.where(F.col("members") > list_bound)
-    hot = long_lists.groupBy("cid").agg(F.count("*").alias("hot_runs")).join(cls.select("cid", "n_shingles"), "cid")
+    # a class's long lists as one row: how many, and their leaders
+    long_lists = lists.where(F.col("members") > list_bound).groupBy("cid").agg(F.count("*").alias("hot_runs"), F.collect_set("leader").alias("leaders"))
     found_elsewhere = F.when(F.col("n_shingles") <= k, F.col("hot_runs") < 0.25 * F.col("n_shingles") - 2).otherwise(
         F.col("hot_runs") <= 0.22 * (k - RUN + 1)
     )
-    stay = long_lists.join(hot.where(~found_elsewhere).select("cid"), "cid").select("key", "cid")
-    weight = stay.join(size, "key").groupBy("cid").agg(F.sum("members").alias("weight"))  # central members share the longest lists
-    leader = stay.join(weight, "cid").groupBy("key").agg(F.max(F.struct("weight", "cid")).alias("most")).select("key", F.col("most.cid").alias("leader"))
-    star = saved(stay.join(leader, "key").select("leader", "cid").distinct(), "op10-star")
+    stay = long_lists.join(cls.select("cid", "n_shingles"), "cid").where(~found_elsewhere)
+    star = saved(stay.select(F.explode("leaders").alias("leader"), "cid"), "op10-star")
     return pairs.union(star.where("leader <> cid").selectExpr("least(leader, cid)", "greatest(leader, cid)")).distinct(), star
 
 
@@ -297,7 +295,7 @@ def near_duplicates(
     rows, cls = _classes(docs, words, k)
     pairs, star = _candidates(cls, k, list_bound)
     pairs = saved(_pass_sketch(pairs, cls, k, percent), "op10-pairs")
-    sets = _full_sets(pairs.selectExpr("a as cid").union(pairs.selectExpr("b as cid")).union(star.select("cid")), docs, cls, words)
+    sets = _full_sets(pairs.selectExpr("a as cid").union(pairs.selectExpr("b as cid")).union(star.select("cid")).union(star.select("leader")), docs, cls, words)
     links = saved(_confirmed(pairs, sets, percent), "op10-links")
     links = links.union(_rest_of_long_lists(star, links, sets, percent, block))
     node = components(links)
