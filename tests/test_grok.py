@@ -1,11 +1,12 @@
 """Grok fast path (one regexp_replace + split) equals a plain regex search, edge rows included."""
 
 import re
+import time
 
 from pyspark.sql import functions as F
 
 from thawline.functions import patterns as P
-from thawline.operators.parse import SEP, with_grok
+from thawline.operators.parse import SEP, route_and_parse, with_access_grok, with_grok
 
 ACCESS = [
     '1.2.3.4 - frank [10/Oct/2000:13:55:36 -0700] "GET /a.gif HTTP/1.0" 200 2326 "http://x/" "Mozilla/4.08"',
@@ -51,6 +52,35 @@ def test_access_grok(spark):
     check(spark, ACCESS, P.ACCESS_GROK, P.ACCESS_FIELDS)
 
 
+LINE = '[10/Oct/2000:13:55:36 -0700] "GET /a HTTP/1.0" 200 1 "r" "ua"'
+HEADS = ["h - - ", "h  - ", "h -  ", "h  ", "h ", "", "#h.x: a b c ", "..h-1 x y z ", "--- h i j ", "x\nh i j ", "h i j\n", "h\t- - ", "é h i j ",
+         "h - - [bad] ", "h i\u0001 j ", "a#b c d e ", "a b:c_ d ", "h - -", "h i j  "]
+
+
+def test_linear_access_grok_equals_search(spark):
+    values = ACCESS + [h + LINE for h in HEADS] + [h + LINE + "\n" + h + LINE for h in HEADS] + ["junk " + h + LINE[:-1] for h in HEADS]
+    df = spark.createDataFrame([(v,) for v in values], "m string")
+    for r in with_access_grok(df, F.col("m"), "g", F.lit(True)).collect():
+        got = None if r.g is None else tuple(r.g)
+        assert got == search(P.ACCESS_GROK, r.m, len(P.ACCESS_FIELDS)), repr(r.m)
+
+
+def test_long_lines_take_linear_time(spark):
+    long = ["a b " * 25_000, "a" * 100_000, ("x " * 30_000) + LINE, LINE + " y" * 50_000, ("h " * 20_000) + LINE[:-1], '"' * 100_000,
+            "[10/Oct/2000:13:55:36 -0700] " * 3_000, "<1>Oct 11 22:14:15 h " + "p" * 100_000, "bob" * 30_000 + " : TTY="]
+    df = spark.createDataFrame([(v, "access_log", 0) for v in long] + [(v, "syslog", 0) for v in long], "message string, kind string, event_time_ms long")
+    start = time.time()
+    rows = route_and_parse(df).select("client_ip", "event_category").collect()
+    assert len(rows) == 2 * len(long) and time.time() - start < 60
+
+
+def test_sshd_addresses(spark):
+    lines = [f"Failed password for root from {ip} port 22 ssh2" for ip in ("10.0.0.1", "2001:db8::7", "::1", "fe80::1%eth0", "::ffff:10.0.0.1")]
+    df = spark.createDataFrame([(v,) for v in lines], "m string")
+    got = [r.g.source_ip for r in with_grok(df, F.col("m"), P.SSHD_FAILED_GROK, P.SSHD_FIELDS, "g").collect()]
+    assert got == ["10.0.0.1", "2001:db8::7", "::1", "fe80::1%eth0", "::ffff:10.0.0.1"]
+
+
 def test_syslog_grok(spark):
     check(spark, SYSLOG, P.SYSLOG_GROK, P.SYSLOG_FIELDS)
 

@@ -61,6 +61,8 @@ POSINT = r"[1-9][0-9]*"
 NOTSPACE = r"\S+"
 USERNAME = r"[a-zA-Z0-9._-]+"
 IPV4 = r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}"
+IPV6 = r"[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){2,7}(?:(?:\.[0-9]{1,3}){3})?(?:%[0-9A-Za-z]+)?"
+IP = "(?:" + IPV6 + "|" + IPV4 + ")"
 MONTH = r"[A-Z][a-z]{2}"
 HTTPDATE = r"[0-9]{2}/" + MONTH + r"/[0-9]{4}:[0-9]{2}:[0-9]{2}:[0-9]{2} [+-][0-9]{4}"
 SYSLOGTIMESTAMP = MONTH + r" +[0-9]{1,2} [0-9]{2}:[0-9]{2}:[0-9]{2}"
@@ -70,11 +72,18 @@ def g(p: str) -> str:
     return "(" + p + ")"
 
 
-ACCESS_GROK = (
-    g(IPORHOST) + " (?:" + g(DATA) + "|-) (?:" + g(DATA) + "|-) "
+# ---------------------------------------------------------------------------
+# The field order and literals of the four grok templates must equal the archive
+# tool's; the blocks they are filled with are the ones above.
+# ---------------------------------------------------------------------------
+ACCESS_TAIL = (
     r"\[" + g(HTTPDATE) + r"\] \"" + g(WORD) + " " + g(DATA) + " HTTP/" + g(NUMBER) + r"\" "
     + g(NUMBER) + " " + g(NUMBER) + r" \"" + g(DATA) + r"\" \"" + g(DATA) + r"\""
 )
+ACCESS_GROK = g(IPORHOST) + " (?:" + g(DATA) + "|-) (?:" + g(DATA) + "|-) " + ACCESS_TAIL
+# The part of an access line before its bracketed date, when that part is already cut out: host, ident and
+# auth, tried once per run of host characters (so long lines cost linear time).
+ACCESS_HEAD_JAVA = r"(?<![0-9A-Za-z.:_-])[.:_-]*+([0-9A-Za-z][0-9A-Za-z.:_-]*+) ([^ ]*+) (.*) $"
 ACCESS_FIELDS = (
     "client_ip", "http_ident", "http_auth", "http_request_timestamp", "http_request_method",
     "url_original", "http_version", "http_response_status_code", "http_response_body_bytes",
@@ -91,7 +100,7 @@ SYSLOG_FIELDS = (
 )
 
 SSHD_FAILED_GROK = (
-    "Failed password for (?:invalid user )?" + g(USERNAME) + " from " + g(IPV4)
+    "Failed password for (?:invalid user )?" + g(USERNAME) + " from " + g(IP)
     + " port " + g(NUMBER) + " " + GREEDYDATA
 )
 SSHD_FIELDS = ("sshd_user_name", "source_ip", "source_port")

@@ -43,6 +43,36 @@ def with_grok(df: DataFrame, src: Column, pattern: str, names: tuple[str, ...],
     return df.drop(tmp)
 
 
+def with_access_grok(df: DataFrame, src: Column, out: str, cond: Column) -> DataFrame:
+    """``with_grok`` for access lines in time linear in the line.
+
+    Four lazy groups in front of a date make a plain search retry every combination of their ends
+    on lines that do not match.  Here the first bracketed date with a whole request behind it is
+    found first; host, ident and auth are then taken from the rest of its line before it.
+    """
+    whole = P.java(r"^([\s\S]*?)" + P.ACCESS_TAIL + r"[\s\S]*$")
+    head = P.java(r"^[\s\S]*?" + P.ACCESS_HEAD_JAVA)
+    n_head, n = 3, len(P.ACCESS_FIELDS)
+    on = cond & src.isNotNull()
+    has_sep = F.contains(src, F.lit(SEP))
+
+    def groups(c: Column, pattern: str, k: int) -> Column:
+        """The pattern's k groups; some other number of parts where it does not match."""
+        fast = F.split(F.regexp_replace(c, pattern, SEP.join(f"${i + 1}" for i in range(k))), SEP, -1)
+        slow = F.when(c.rlike(pattern), F.array(*(F.regexp_extract(c, pattern, i + 1) for i in range(k))))
+        return F.when(has_sep, slow).otherwise(fast)
+
+    tail, line, first = f"_{out}_tail", f"_{out}_line", f"_{out}_head"
+    df = df.withColumn(tail, F.when(on, groups(src, whole, n - n_head + 1)))
+    t = F.col(tail)
+    df = df.withColumn(line, F.when(F.size(t) == n - n_head + 1, F.substring_index(t.getItem(0), "\n", -1)))
+    df = df.withColumn(first, F.when(F.endswith(F.col(line), F.lit(" ")), groups(F.col(line), head, n_head)))
+    h = F.col(first)
+    values = [h.getItem(i) for i in range(n_head)] + [t.getItem(i + 1) for i in range(n - n_head)]
+    found = F.struct(*(v.alias(nm) for v, nm in zip(values, P.ACCESS_FIELDS)))
+    return df.withColumn(out, F.when(F.size(h) == n_head, found)).drop(tail, line, first)
+
+
 def set_original(message: Column) -> Column:
     """``event.original`` copy of the message, skipped when empty."""
     return F.when(F.length(message) > 0, message)
@@ -127,7 +157,7 @@ def route_and_parse(df: DataFrame, kinds=P.KINDS, kind="kind", message="message"
         return (k == kd) if kd in kinds else F.lit(False)
 
     # stage 1: one regex / JSON parse / split per row, only for its own kind
-    df = with_grok(df, m, P.ACCESS_GROK, P.ACCESS_FIELDS, "_acc", on(P.ACCESS_LOG))
+    df = with_access_grok(df, m, "_acc", on(P.ACCESS_LOG))
     df = with_grok(df, m, P.SYSLOG_GROK, P.SYSLOG_FIELDS, "_sys", on(P.SYSLOG))
     df = df.withColumns({
         "_ct": F.when(on(P.CLOUD_TRAIL) & F.startswith(F.ltrim(m), F.lit("{")), F.try_parse_json(m)),
@@ -136,7 +166,8 @@ def route_and_parse(df: DataFrame, kinds=P.KINDS, kind="kind", message="message"
     # stage 2: sub-parsers of the syslog message (sshd failure, sudo)
     sm = F.col("_sys.syslog_message")
     df = with_grok(df, sm, P.SSHD_FAILED_GROK, P.SSHD_FIELDS, "_sshd")
-    df = with_grok(df, sm, P.SUDO_GROK, P.SUDO_FIELDS, "_sudo")
+    # a user name starts where no user-name character precedes it: long words are tried once
+    df = with_grok(df, sm, r"(?<![a-zA-Z0-9._-])" + P.SUDO_GROK, P.SUDO_FIELDS, "_sudo", F.contains(sm, F.lit(" : TTY=")))
     # stage 3: dates, converts, sets
     a, sy, sh, su = (F.col("_acc"), F.col("_sys"), F.col("_sshd"), F.col("_sudo"))
     acc_ts = access_timestamp_ms(a.getField("http_request_timestamp"))

@@ -3,19 +3,21 @@
 listing -> anti join completed checkpoints (J1) -> ``frozen_journal`` scan of
 the pending journals (one task per journal, big first) -> text decode with the
 Latin-1 fast path -> prefix strip + classification -> router/parsers -> stable
-document id -> Parquet partitioned by run and index -> checkpoint rows
+document id -> Parquet partitioned by run, attempt and index -> checkpoint rows
 appended to the checkpoint log.  One Spark job writes the documents; no
-shuffle between scan and write.
+shuffle between scan and write unless asked for.
 """
 
 from __future__ import annotations
 
-import os
+import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from thawline import storage
+from thawline.functions.patterns import KINDS
 from thawline.functions.text import decode_text_fast, iso_utc, strip_prefix
 from thawline.operators import runs as R
 from thawline.operators.classify import classify, parser_name
@@ -29,7 +31,7 @@ def parsed_events(ev: DataFrame) -> DataFrame:
     """Decoded journal events -> text decode (Latin-1 fast path), document id, classification, parsers."""
     ev = ev.withColumns({"message": decode_text_fast(F.col("message"), F.col("index_name")),
                          "bucket_key": R.bucket_key(F.col("index_name"), F.col("bucket_name"))})
-    ev = ev.withColumn("doc_id", R.doc_id(F.col("bucket_key"), F.col("stream_id").cast("bigint"),
+    ev = ev.withColumn("doc_id", R.doc_id(F.col("bucket_key"), F.col("stream_id"),
                                           F.col("stream_offset"), F.col("stream_sub_offset"), F.col("event_ordinal")))
     return route_and_parse(classify(ev))
 
@@ -53,104 +55,113 @@ def documents(ev: DataFrame) -> DataFrame:
         F.col("_corrupt_reason").alias("error_message"))
 
 
-def ingest(spark: SparkSession, root: str, out_path: str, ingest_run: str, checkpoint_log_path: str | None = None,
-           indices=None, bucket_names=None, resume: bool = True, force: bool = False,
-           skip_metadata: bool = True, metrics: dict | None = None, rebalance: str | bool = "auto") -> DataFrame:
-    """Run one ingest; returns the per-bucket results (completed, and skipped when resuming).
-
-    ``metrics`` (a dict) receives the write's observed totals: documents, error
-    documents (decode faults in PERMISSIVE mode) and documents per kind, counted
-    by an ``Observation`` during the write itself (no extra job).
+LOG_COLUMNS = ("bucket_key", "index_name", "bucket_name", "status", "indexed", "errors", "updated_at", "version")
 
-    Without a checkpoint log the source lists and prunes the tree itself; with
-    one, the Spark listing is anti-joined with the completed checkpoints and
-    only the pending journal names go to the source.
 
-    ``rebalance="auto"``: a journal is one task (one stateful stream); when the
-    largest pending journal exceeds twice a fair share of the bytes, the decoded
-    events are round-robined before parsing and writing, so the hot journal's
-    parse/write work is spread.  Decided from file sizes (metadata), no job.
+def ingest(spark: SparkSession, root: str, out_path: str, ingest_run: str, checkpoint_log_path: str | None = None,
+           indices=None, bucket_names=None, resume: bool = True, force: bool = False,
+           skip_metadata: bool = True, metrics: dict | None = None, mode: str = "FAILFAST",
+           output_partition_bytes: int | None = None, max_records_per_file: int = 1_000_000) -> DataFrame:
+    """Run one ingest; returns the per-bucket results (completed, failed, and skipped when resuming).
+
+    The documents of one call go to ``<out>/ingest_run=<run>/attempt=<unique>/splunk_index=...``.  An
+    attempt is written under a hidden name and moved to its place when it is whole, so readers of
+    ``out`` see whole attempts only, and an attempt never touches what others wrote.  Resuming a run
+    adds an attempt with the buckets that no completed checkpoint names; ``force``, or a run without
+    a checkpoint log, replaces the run's earlier attempts after its own is in place.
+
+    ``mode="PERMISSIVE"`` isolates bad journals: their buckets are reported and logged as
+    ``failed`` with counts 0 and none of their documents reaches the table; FAILFAST ends the call
+    at the first one.  The log gets ``in_progress`` rows before the write and the outcome after it.
+
+    ``metrics`` (a dict) receives the totals of the rows decoded, counted by an ``Observation``
+    during the write itself, and the number of buckets per status.
+
+    ``output_partition_bytes``: deal the decoded events anew into one partition per so many journal
+    bytes before parsing and writing, so that a hot journal's parse and write work is spread;
+    without it scan, parse and write are one narrow stage.
     """
 
     ensure_utc(spark)
-    latest = None
-    if checkpoint_log_path and os.path.exists(checkpoint_log_path) and resume and not force:
-        latest = R.checkpoint_latest(spark.read.parquet(checkpoint_log_path))
-    opts = {"skipMetadata": str(skip_metadata).lower()}
-    if indices:
-        opts["indices"] = ",".join(indices)
-    if bucket_names:
-        opts["buckets"] = ",".join(bucket_names)
-    if latest is None:
-        listing = _listing(spark, root, indices, bucket_names)
-        pending = listing
-        ev = JS.read(spark, root, **opts)
-    else:
-        listing = list_buckets(spark, root, indices, bucket_names).cache()
-        pending = R.resume_pending(listing, latest, resume, force)
-        # the pending journal names go to the source as files in the shared folder, not through
-        # the driver's memory (the source reads them when it plans its partitions)
-        pdir = os.path.join(checkpoint_dir(spark).replace("file:", ""), "thawline-pending",
-                            f"{ingest_run}-{uuid.uuid4().hex}")
-        pending.select("journal_path").write.text(pdir)
-        ev = JS.read(spark, None, pathsDir=pdir, **opts)
-    if ev is not None and _should_rebalance(spark, root, indices, bucket_names, rebalance):
-        ev = ev.repartition(2 * spark.sparkContext.defaultParallelism)
-        if metrics is not None:
-            metrics["rebalanced"] = True
-    if ev is not None:
-        from pyspark.sql import Observation
-
-        obs = Observation(f"ingest-{ingest_run}")
-        docs = documents(ev).withColumn("ingest_run", F.lit(ingest_run)).observe(
-            obs, F.count(F.lit(1)).alias("documents"), F.count("error_message").alias("error_documents"),
-            F.count_if(F.col("event_kind") == "access_log").alias("access_log"),
-            F.count_if(F.col("event_kind") == "syslog").alias("syslog"),
-            F.count_if(F.col("event_kind") == "cloud_trail").alias("cloud_trail"),
-            F.count_if(F.col("event_kind") == "vpc_flow").alias("vpc_flow"),
-            F.count_if(F.col("event_kind") == "generic").alias("generic"))
-        (docs.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("ingest_run", "splunk_index").parquet(out_path))
-        if metrics is not None:
-            metrics.update(obs.get)
-    # only this run's directory is listed (earlier runs' files are never touched or listed)
-    run_dir = os.path.join(out_path, f"ingest_run={ingest_run}")
-    written = spark.createDataFrame([], "bucket_key STRING")
-    local_missing = "://" not in run_dir and not os.path.exists(run_dir.replace("file:", ""))
-    if ev is not None and not local_missing:
-        from pyspark.errors import AnalysisException
-
-        try:
-            written = spark.read.option("basePath", out_path).parquet(run_dir).select("bucket_key")
-        except AnalysisException:  # the run wrote no rows (only empty journals were pending)
-            pass
-    counts = written.groupBy("bucket_key").agg(F.count(F.lit(1)).alias("indexed"))
-    done = pending.join(counts, "bucket_key", "left").select(
+    if mode.upper() not in ("FAILFAST", "PERMISSIVE"):
+        raise ValueError(f"mode must be FAILFAST or PERMISSIVE, not {mode}")
+    out_path = out_path.rstrip("/")
+    attempt = uuid.uuid4().hex
+    started = time.time_ns() // 1_000_000
+    logged = checkpoint_log_path is not None and storage.exists(spark, checkpoint_log_path)
+    latest = R.checkpoint_latest(spark.read.parquet(checkpoint_log_path)) if logged and resume and not force else None
+
+    # one listing per call: it plans the scan (names and lengths go to the source as files in the
+    # shared folder), gives the pending buckets, and is what the results are joined to
+    work = f"{checkpoint_dir(spark).rstrip('/')}/thawline-ingest/{attempt}"
+    list_buckets(spark, root, indices, bucket_names).write.parquet(f"{work}/listing")
+    listing = spark.read.parquet(f"{work}/listing")
+    pending = listing if latest is None else R.resume_pending(listing, latest, resume, force)
+    skipped = None if latest is None else R.resume_skipped(listing, latest)
+    if skipped is not None:
+        skipped.write.parquet(f"{work}/skipped")  # as the log stands now; the call's own rows come later
+        skipped = spark.read.parquet(f"{work}/skipped")
+        pending.write.parquet(f"{work}/pending")
+        pending = spark.read.parquet(f"{work}/pending")
+    pending.select(F.concat_ws("\t", "journal_path", "journal_size_bytes")).write.text(f"{work}/journals")
+    if checkpoint_log_path:
+        _log(pending.select("bucket_key", "index_name", "bucket_name", F.lit("in_progress").alias("status"),
+                            F.lit(0).cast("bigint").alias("indexed"), F.lit(0).cast("bigint").alias("errors")),
+             checkpoint_log_path, started)
+
+    ev = JS.read(spark, None, pathsDir=f"{work}/journals", skipMetadata=str(skip_metadata).lower(), mode=mode)
+    if output_partition_bytes:
+        size = pending.agg(F.sum("journal_size_bytes")).first()[0] or 0
+        ev = ev.repartition(max(1, -(-size // output_partition_bytes)))
+    obs = Observation(f"ingest-{attempt}")
+    docs = documents(ev).observe(
+        obs, F.count(F.lit(1)).alias("documents"), F.count("error_message").alias("error_documents"),
+        *(F.count_if(F.col("event_kind") == k).alias(k) for k in KINDS))
+    run_dir, staged = f"{out_path}/ingest_run={ingest_run}", f"{out_path}/_staging-{attempt}"
+    (docs.write.option("maxRecordsPerFile", max_records_per_file).partitionBy("splunk_index").parquet(f"{staged}/all"))
+    totals = obs.get
+    whole = f"{staged}/all"
+    rows = spark.read.schema(docs.schema).option("basePath", whole).parquet(whole)
+    kept, bad = rows, spark.createDataFrame([], "bucket_key STRING, is_bad BOOLEAN")
+    if totals["error_documents"]:
+        failed = rows.where("error_message is not null").select("bucket_key").distinct()
+        kept, bad = rows.join(failed, "bucket_key", "left_anti"), failed.withColumn("is_bad", F.lit(True))
+        whole = f"{staged}/kept"
+        (kept.write.option("maxRecordsPerFile", max_records_per_file)
+         .partitionBy("splunk_index").parquet(whole))
+    counts = kept.groupBy("bucket_key").agg(F.count(F.lit(1)).alias("indexed"))
+    results = pending.join(counts, "bucket_key", "left").join(bad, "bucket_key", "left").select(
         "bucket_key", "index_name", "bucket_name", "target_index", F.coalesce("indexed", F.lit(0)).alias("indexed"),
-        F.lit(0).cast("bigint").alias("errors"), F.lit("completed").alias("status"))
+        F.lit(0).cast("bigint").alias("errors"), F.when(F.col("is_bad"), "failed").otherwise("completed").alias("status"))
+    results.write.parquet(f"{work}/results")  # fixed before the attempt moves to its place
+    results = spark.read.parquet(f"{work}/results")
+
+    earlier = [n for n in storage.children(spark, run_dir) if n.startswith("attempt=")]
+    if any(n.startswith("splunk_index=") for n in storage.children(spark, whole)):
+        storage.rename(spark, whole, f"{run_dir}/attempt={attempt}")
+    if force or checkpoint_log_path is None:
+        for name in earlier:
+            storage.delete(spark, f"{run_dir}/{name}")
+    storage.delete(spark, staged)
     if checkpoint_log_path:
-        done.select("bucket_key", "index_name", "bucket_name", "status", "indexed", "errors",
-                    F.unix_timestamp(F.current_timestamp()).alias("updated_at"),
-                    F.lit(0).cast("bigint").alias("version")).write.mode("append").parquet(checkpoint_log_path)
-    if latest is None:
-        return done
-    return R.run_results(R.resume_skipped(listing, latest), done)
-
-
-def _should_rebalance(spark: SparkSession, root: str, indices, bucket_names, rebalance) -> bool:
-    if rebalance is True or rebalance is False:
-        return rebalance
-    sizes = [r[6] for r in JS.discover(root, indices, bucket_names)]
-    if not sizes:
-        return False
-    fair = sum(sizes) / max(1, 2 * spark.sparkContext.defaultParallelism)
-    return max(sizes) > 2 * fair
-
-
-def _listing(spark: SparkSession, root: str, indices, bucket_names) -> DataFrame:
-    """Bucket rows from the same directory walk the source does (metadata only, one row per bucket)."""
-    rows = [(i, b, lt, er, sq) for i, b, lt, er, sq, _p, _n in JS.discover(root, indices, bucket_names)]
-    df = spark.createDataFrame(rows, "index_name STRING, bucket_name STRING, bucket_latest BIGINT, "
-                                     "bucket_earliest BIGINT, bucket_seq BIGINT")
-    return df.withColumns({"bucket_key": R.bucket_key(F.col("index_name"), F.col("bucket_name")),
-                           "target_index": R.target_index(F.col("index_name"))})
+        _log(results.select("bucket_key", "index_name", "bucket_name", "status", "indexed", "errors"), checkpoint_log_path, started + 1)
+    if metrics is not None:
+        metrics.update(totals)
+        metrics.update({r["status"]: r["count"] for r in results.groupBy("status").count().collect()})
+    return results if skipped is None else R.run_results(skipped, results)
+
+
+def clear_checkpoints(spark: SparkSession, checkpoint_log_path: str, bucket_keys=None) -> None:
+    """Append tombstones for the named buckets, or for all: the next ingest takes them up again."""
+    latest = R.checkpoint_latest(spark.read.parquet(checkpoint_log_path))
+    if bucket_keys is not None:
+        latest = latest.where(F.col("bucket_key").isin(list(bucket_keys)))
+    gone = latest.select("bucket_key", "index_name", "bucket_name", F.lit(R.CLEARED).alias("status"),
+                         F.lit(0).cast("bigint").alias("indexed"), F.lit(0).cast("bigint").alias("errors"))
+    _log(gone, checkpoint_log_path, time.time_ns() // 1_000_000)
+
+
+def _log(rows: DataFrame, path: str, version: int) -> None:
+    """Append checkpoint rows; ``version`` is the call's time in ms, so calls within a second keep their order."""
+    rows = rows.withColumns({"updated_at": F.lit(version // 1000).cast("bigint"), "version": F.lit(version).cast("bigint")})
+    rows.select(*LOG_COLUMNS).write.mode("append").parquet(path)

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from thawline import storage
 from thawline.functions import patterns as P
 from thawline.functions.text import decode_text, decode_text_fast, iso_utc, strip_prefix
 from thawline.operators import classify as C
@@ -914,7 +915,7 @@ def ingest_docs(ev: DataFrame) -> DataFrame:
     """Flagship ingest plan from decoded journal events to documents with ids (S4 -> P1/P2 -> F -> P8)."""
     ev = ev.withColumns({"message": _dtf(F.col("message"), F.col("index_name")),
                          "bucket_key": R.bucket_key(F.col("index_name"), F.col("bucket_name"))})
-    ev = ev.withColumn("doc_id", R.doc_id(F.col("bucket_key"), F.col("stream_id").cast("bigint"),
+    ev = ev.withColumn("doc_id", R.doc_id(F.col("bucket_key"), F.col("stream_id"),
                                           F.col("stream_offset"), F.col("stream_sub_offset"), F.col("event_ordinal")))
     return B.docs(ev, keys=("doc_id", "bucket_key", "event_ordinal"))
 
@@ -993,11 +994,8 @@ def q_reparse_docs(spark, sf):
     new_path = SK.new_run_path(spark, "thawline-reparsed")
     rp(stored).write.parquet(new_path)
     pointer = os.path.join(SK.runs_root(spark, "thawline-reparsed"), "_CURRENT")
-    with open(pointer + ".tmp", "w") as fh:
-        fh.write(new_path)
-    os.replace(pointer + ".tmp", pointer)
-    with open(pointer) as fh:
-        cur = spark.read.parquet(fh.read().strip())
+    storage.write_text(spark, pointer, new_path)
+    cur = spark.read.parquet(storage.read_text(spark, pointer).strip())
     return cur.groupBy("kind", "event_category").agg(
         F.count(F.lit(1)).alias("n_docs"), F.count("client_ip").alias("n_access_parsed"),
         F.count("syslog_hostname").alias("n_syslog_parsed"))
@@ -1021,7 +1019,7 @@ def q_incremental_idempotent(spark, sf):
     from thawline.streaming.incremental import ingest_batch
     root = journal_root(spark, sf)
     out = os.path.join(SK.new_run_path(spark, "thawline-stream"), "out")
-    batch = list_buckets(spark, root).select(F.col("journal_path").alias("path"))
+    batch = list_buckets(spark, root).select(F.col("journal_path").alias("path"), F.col("journal_size_bytes").alias("length"))
     run = ingest_batch(spark, ingest_docs, out)
     run(batch, 0)
     run(batch, 0)  # re-delivery of batch 0

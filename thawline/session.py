@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -22,16 +23,20 @@ def ensure_utc(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and run state.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) do we create one of our own.
+    The cluster names it in ``spark.checkpoint.dir`` (a path or URI).  Where that is unset, local
+    mode gets a folder of its own; on a cluster that is an error, as its machines share no
+    temporary folder.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
-        # unset (local tests only): a folder of our own; the static conf cannot change at runtime
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="thawline-ckpt-")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
-    return d
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
+    # in local mode Python reads and writes below the folder too: a plain path serves both
+    return "/" + d[len("file:"):].lstrip("/") if d.startswith("file:") and sc.master.startswith("local") else d
 
 
 def _driver_memory() -> str:
@@ -69,10 +74,9 @@ _SHIPPED: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """Make ``thawline`` importable in Python workers (data source, ``mapInPandas`` functions).
 
-    Equivalent of ``--py-files``: the package is zipped once into the shared
-    folder and added to the context; workers put it on ``sys.path`` per task.
+    Equivalent of ``--py-files``: the package is zipped once on the driver, whose file server hands
+    it to the executors; workers put it on ``sys.path`` per task.
     """
-    import hashlib
     import zipfile
 
     sc = spark.sparkContext
@@ -85,18 +89,9 @@ def ship_package(spark: SparkSession) -> None:
         for f in fn:
             if f.endswith(".py"):
                 files.append(os.path.join(dp, f))
-    h = hashlib.sha1()
-    for f in sorted(files):
-        with open(f, "rb") as fh:
-            h.update(f.encode() + fh.read())
-    out_dir = os.path.join(checkpoint_dir(spark).replace("file:", ""), "thawline-pyfiles")
-    os.makedirs(out_dir, exist_ok=True)
-    z = os.path.join(out_dir, f"thawline-{h.hexdigest()[:16]}.zip")
-    if not os.path.exists(z):
-        tmp = f"{z}.tmp-{os.getpid()}"
-        with zipfile.ZipFile(tmp, "w", zipfile.ZIP_DEFLATED) as zf:
-            for f in sorted(files):
-                zf.write(f, os.path.relpath(f, os.path.dirname(pkg)))
-        os.replace(tmp, z)
-    sc.addPyFile(z)
+    z = os.path.join(tempfile.mkdtemp(prefix="thawline-pyfiles-"), "thawline-package.zip")
+    with zipfile.ZipFile(z, "w", zipfile.ZIP_DEFLATED) as zf:
+        for f in sorted(files):
+            zf.write(f, os.path.relpath(f, os.path.dirname(pkg)))
+    sc.addPyFile(z)  # served to the executors from here
     _SHIPPED.add(key)

@@ -26,7 +26,7 @@ def enforce_schema(docs: DataFrame, extra=()) -> DataFrame:
 
 
 def runs_root(spark: SparkSession, name: str = "thawline-runs") -> str:
-    return os.path.join(checkpoint_dir(spark).replace("file:", ""), name)
+    return os.path.join(checkpoint_dir(spark), name)
 
 
 def new_run_path(spark: SparkSession, name: str = "thawline-runs") -> str:

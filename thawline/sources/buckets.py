@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from thawline import storage
+
 from thawline.operators.runs import bucket_key, target_index
 
 BUCKET_RE = r"^db_([0-9]+)_([0-9]+)_([0-9]+)$"
@@ -17,8 +20,15 @@ def list_buckets(spark: SparkSession, root: str, indices=None, bucket_names=None
     anchored regex drops look-alike names.  Only path and length are selected,
     so no journal bytes are read.  ``indices`` / ``bucket_names`` prune (S3).
     """
-    files = (spark.read.format("binaryFile").load(root.rstrip("/") + "/*/db_*/rawdata/journal.zst")
-             .select("path", "length"))
+    if not storage.exists(spark, root):
+        raise FileNotFoundError(f"Frozen root not found: {root}")
+    try:
+        files = spark.read.format("binaryFile").load(root.rstrip("/") + "/*/db_*/rawdata/journal.zst")
+    except AnalysisException as e:  # a root without a bucket lists nothing
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        files = spark.createDataFrame([], "path STRING, length BIGINT")
+    files = files.select("path", "length")
     parts = F.split(F.regexp_replace("path", "^[a-z]+:", ""), "/")
     n = F.size(parts)
     df = files.select(
@@ -27,9 +37,9 @@ def list_buckets(spark: SparkSession, root: str, indices=None, bucket_names=None
         F.regexp_replace("path", "^file:", "").alias("journal_path"),
         F.col("length").alias("journal_size_bytes"))
     df = df.where(F.col("bucket_name").rlike(BUCKET_RE))
-    if indices:
+    if indices is not None:
         df = df.where(F.col("index_name").isin(list(indices)))
-    if bucket_names:
+    if bucket_names is not None:
         df = df.where(F.col("bucket_name").isin(list(bucket_names)))
     return df.select(
         "index_name", "bucket_name",

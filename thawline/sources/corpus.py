@@ -46,45 +46,33 @@ def _case(key: Column, mapping: dict, default=None) -> Column:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ``events`` scan, spread over the cluster when the file is too small to split.
-
-    A small file is one row group, i.e. one task for all the per-row regex work
-    downstream; then (only then) round-robin the narrow input to the cluster's
-    parallelism.  Large inputs already scan as many partitions and are left alone.
-    """
-    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
-    want = spark.sparkContext.defaultParallelism
-    if ev.rdd.getNumPartitions() < want:
-        ev = ev.repartition(want)
-    return ev
+    """The ``events`` scan, dealt evenly by ``event_id``: row groups do not bound the regex work downstream."""
+    return spark.read.parquet(f"{sf_dir}/events.parquet").repartition("event_id")
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw archive events derived from ``events``, materialised once as a Parquet table.
 
-    The table lives in the shared checkpoint folder, keyed by the input path and
-    this module's source, and is written atomically (temporary name, rename).
-    Later plans scan it with column pruning instead of re-deriving every row.
+    The table lives in the shared checkpoint folder, keyed by the input's files
+    (names, sizes, times) and this module's source, and is written under another
+    name first.  Later plans scan it with column pruning instead of re-deriving every row.
     """
-    import hashlib
-    import os
+    import inspect
+    import sys
     import uuid
 
+    from thawline import storage
     from thawline.session import checkpoint_dir
 
     ensure_utc(spark)
-    with open(__file__, "rb") as fh:
-        code = fh.read()
-    key = hashlib.sha1(os.path.abspath(sf_dir).encode() + code).hexdigest()[:16]
-    base = os.path.join(checkpoint_dir(spark).replace("file:", ""), "thawline-corpus")
-    path = os.path.join(base, key)
-    if not os.path.exists(os.path.join(path, "_SUCCESS")):
-        tmp = os.path.join(base, f"{key}.tmp-{uuid.uuid4().hex}")
+    code = inspect.getsource(sys.modules[__name__]).encode()
+    key = storage.fingerprint(spark, f"{sf_dir}/events.parquet", code)
+    base = f"{checkpoint_dir(spark).rstrip('/')}/thawline-corpus"
+    path = f"{base}/{key}"
+    if not storage.exists(spark, f"{path}/_SUCCESS"):
+        tmp = f"{base}/{key}.tmp-{uuid.uuid4().hex}"
         raw_events_from(events(spark, sf_dir)).write.parquet(tmp)
-        try:
-            os.replace(tmp, path)
-        except OSError:
-            pass  # another writer won the rename; its table is identical
+        storage.rename(spark, tmp, path)  # where another writer was first, its table is identical
     return spark.read.parquet(path)
 
 

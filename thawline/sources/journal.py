@@ -62,8 +62,8 @@ def discover(root: str, indices=None, buckets=None) -> list[tuple[str, str, int,
     ``indices`` / ``buckets`` prune while walking: other index directories are never listed and
     other bucket directories never stat'ed.
     """
-    root = root[len("file:"):] if root.startswith("file:") else root
-    indices, buckets = (set(indices) if indices else None), (set(buckets) if buckets else None)
+    root = "/" + root[len("file:"):].lstrip("/") if root.startswith("file:") else root
+    indices, buckets = (None if x is None else set(x) for x in (indices, buckets))
     remote = _fs(root)
     if remote is not None:
         return _discover_remote(root, *remote, indices, buckets)
@@ -131,7 +131,8 @@ class FrozenJournalSource(DataSource):
 
 
 def _csv(v):
-    return {x for x in (v or "").split(",") if x}
+    """Names of a comma list; None (no filter) if the option is not given.  An empty set keeps nothing."""
+    return None if v is None else {x for x in v.split(",") if x}
 
 
 class FrozenJournalReader(DataSourceReader):
@@ -149,15 +150,18 @@ class FrozenJournalReader(DataSourceReader):
             listed = json.loads(self.options["paths"]) if "paths" in self.options else _read_paths_dir(
                 self.options["pathsdir"])
             rows = []
-            for p in listed:
+            for line in listed:
+                p, _, size = line.partition("\t")  # a listing that knows the length passes it along
                 parts = p.rstrip("/").split("/")
-                m = BUCKET_DIR.match(parts[-3])
+                m = BUCKET_DIR.match(parts[-3]) if len(parts) > 3 else None
+                if m is None:
+                    raise ValueError(f"not a bucket's journal: {p}")
                 rows.append((parts[-4], parts[-3], int(m.group(1)), int(m.group(2)), int(m.group(3)), p,
-                             _size_of(p)))
+                             int(size) if size else _size_of(p)))
         else:
-            rows = discover(self.options["path"], self.keep["index_name"] or None, self.keep["bucket_name"] or None)
-        rows = [r for r in rows if (not self.keep["index_name"] or r[0] in self.keep["index_name"])
-                and (not self.keep["bucket_name"] or r[1] in self.keep["bucket_name"])]
+            rows = discover(self.options["path"], self.keep["index_name"], self.keep["bucket_name"])
+        for at, keep in ((0, self.keep["index_name"]), (1, self.keep["bucket_name"])):
+            rows = rows if keep is None else [r for r in rows if r[at] in keep]
         return sorted(rows, key=lambda r: -r[6])
 
     def partitions(self):
@@ -238,7 +242,7 @@ class PushdownJournalReader(FrozenJournalReader):
             else:
                 yield f
                 continue
-            self.keep[col] = (self.keep[col] & vals) if self.keep[col] else vals
+            self.keep[col] = vals if self.keep[col] is None else self.keep[col] & vals
 
 
 def _open(path: str):

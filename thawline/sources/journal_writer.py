@@ -14,14 +14,16 @@ frames in buckets whose sequence is a multiple of 5.
 
 from __future__ import annotations
 
-import hashlib
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from thawline.operators import runs as R
+from thawline import storage
 from thawline.session import checkpoint_dir
 from thawline.sources import journal_codec as J
+from thawline.storage import open_fs
 
 EVENT_OPS = (J.EVENT, J.EVENT_HASH, 34, 38)
 SUMMARY = "bucket_key STRING, journal_path STRING, n_events BIGINT"
@@ -34,9 +36,10 @@ def journal_path(root: str, index_name: str, bucket_name: str) -> str:
 def _write_file(path: str, chunks, two_frames: bool) -> None:
     import zstandard
 
-    os.makedirs(os.path.dirname(path), exist_ok=True)
-    tmp = f"{path}.tmp-{os.getpid()}-{id(chunks)}"
-    with open(tmp, "wb") as fh:
+    fs, inner = open_fs(path)
+    fs.create_dir(os.path.dirname(inner), recursive=True)
+    tmp = f"{inner}.tmp-{uuid.uuid4().hex}"
+    with fs.open_output_stream(tmp, compression=None) as fh:
         cctx = zstandard.ZstdCompressor(level=3)
         w = cctx.stream_writer(fh, closefd=False)
         for i, c in enumerate(chunks):
@@ -44,7 +47,7 @@ def _write_file(path: str, chunks, two_frames: bool) -> None:
             if two_frames and i == 0:
                 w.flush(zstandard.FLUSH_FRAME)
         w.flush(zstandard.FLUSH_FRAME)
-    os.replace(tmp, path)
+    fs.move(tmp, inner)
 
 
 def _writer_task(root: str):
@@ -161,33 +164,36 @@ def write_journals(raw: DataFrame, root: str, n_parts: int | None = None) -> Dat
 
 def add_decoys(root: str) -> None:
     """Directories and files the listing must ignore (hot bucket, replicated bucket, no journal, stray file)."""
-    idx = sorted(d for d in os.listdir(root) if os.path.isdir(os.path.join(root, d)))[0]
-    for d in ("hot_v1_0", "rb_1700000000_1690000000_0_ABC"):
-        p = os.path.join(root, idx, d, "rawdata")
-        os.makedirs(p, exist_ok=True)
-        with open(os.path.join(p, "journal.zst"), "wb") as fh:
+    from pyarrow.fs import FileSelector, FileType
+
+    fs, inner = open_fs(root)
+    idx = sorted(i.base_name for i in fs.get_file_info(FileSelector(inner)) if i.type == FileType.Directory)[0]
+    for d in ("hot_v1_0", "rb_1700000000_1690000000_0_ABC", "db_hot_v1"):
+        p = f"{inner}/{idx}/{d}/rawdata"
+        fs.create_dir(p, recursive=True)
+        with fs.open_output_stream(f"{p}/journal.zst", compression=None) as fh:
             fh.write(b"not a journal")
-    os.makedirs(os.path.join(root, idx, "db_1_0_0", "rawdata"), exist_ok=True)
-    with open(os.path.join(root, idx, "stray.txt"), "w") as fh:
-        fh.write("x")
+    fs.create_dir(f"{inner}/{idx}/db_1_0_0/rawdata", recursive=True)
+    with fs.open_output_stream(f"{inner}/{idx}/stray.txt") as fh:
+        fh.write(b"x")
 
 
 def ensure_journals(spark: SparkSession, sf_dir: str, raw: DataFrame) -> str:
     """Journal tree of ``sf_dir``'s corpus in the shared folder, written once (``_SUCCESS`` marker)."""
-    h = hashlib.sha1(os.path.abspath(sf_dir).encode())
-    for mod in (__file__, J.__file__):  # a changed writer or codec never reuses an old tree
-        with open(mod, "rb") as fh:
-            h.update(fh.read())
-    tag = h.hexdigest()[:12]
-    root = os.path.join(checkpoint_dir(spark).replace("file:", ""), "thawline-journals", tag)
-    if os.path.exists(os.path.join(root, "_SUCCESS")):
+    import inspect
+    import sys
+
+    # a changed input, writer or codec never reuses an old tree
+    code = [inspect.getsource(m).encode() for m in (sys.modules[__name__], J)]
+    tag = storage.fingerprint(spark, f"{sf_dir}/events.parquet", *code)
+    root = f"{checkpoint_dir(spark).rstrip('/')}/thawline-journals/{tag}"
+    if storage.exists(spark, f"{root}/_SUCCESS"):
         return root
     written, empty = write_journals(raw, root)
     written.count()
     empty.count()
     add_decoys(root)
-    with open(os.path.join(root, "_SUCCESS"), "w") as fh:
-        fh.write("ok")
+    storage.write_text(spark, f"{root}/_SUCCESS", "ok")
     return root
 
 
@@ -210,7 +216,7 @@ def corrupt_copy(spark: SparkSession, root: str) -> str:
     from thawline.sources.buckets import list_buckets
 
     out = root.rstrip("/") + "-corrupt-v3"
-    if os.path.exists(os.path.join(out, "_SUCCESS")):
+    if storage.exists(spark, f"{out}/_SUCCESS"):
         return out
 
     def copy(batches):
@@ -220,7 +226,8 @@ def corrupt_copy(spark: SparkSession, root: str) -> str:
         done = []
         for pdf in batches:
             for r in pdf.itertuples(index=False):
-                with open(r.journal_path, "rb") as fh:
+                fs, inner = open_fs(r.journal_path)
+                with fs.open_input_stream(inner, compression=None) as fh:
                     data = zstandard.ZstdDecompressor().stream_reader(fh, read_across_frames=True).read()
                 cut = r.sequence % 7 == 0 and len(data) > 16
                 if cut:
@@ -232,6 +239,5 @@ def corrupt_copy(spark: SparkSession, root: str) -> str:
 
     lst = list_buckets(spark, root).select("index_name", "bucket_name", "sequence", "journal_path")
     lst.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).mapInPandas(copy, SUMMARY).count()
-    with open(os.path.join(out, "_SUCCESS"), "w") as fh:
-        fh.write("ok")
+    storage.write_text(spark, f"{out}/_SUCCESS", "ok")
     return out

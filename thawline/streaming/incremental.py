@@ -15,13 +15,15 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+JOURNAL_RE = r"/db_[0-9]+_[0-9]+_[0-9]+/rawdata/journal\.zst$"
 BINARY_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 
 
 def new_journals(spark: SparkSession, root: str, max_files_per_trigger: int = 1000) -> DataFrame:
     return (spark.readStream.format("binaryFile").schema(BINARY_SCHEMA)
             .option("maxFilesPerTrigger", max_files_per_trigger)
-            .load(root.rstrip("/") + "/*/db_*/rawdata/journal.zst").select("path"))
+            .load(root.rstrip("/") + "/*/db_*/rawdata/journal.zst").select("path", "length")
+            .where(F.col("path").rlike(JOURNAL_RE)))  # look-alike directories are no buckets
 
 
 def ingest_batch(spark: SparkSession, to_docs, out_path: str):
@@ -34,7 +36,7 @@ def ingest_batch(spark: SparkSession, to_docs, out_path: str):
         # the batch's journal names go to the source as files next to the output (ignored by
         # readers: leading underscore), never through the driver's memory
         pdir = os.path.join(out_path, "_pending", f"batch_id={batch_id}")
-        batch.select("path").write.mode("overwrite").text(pdir)
+        batch.select(F.concat_ws("\t", "path", "length")).write.mode("overwrite").text(pdir)
         ev = JS.read(spark, None, pathsDir=pdir)
         docs = to_docs(ev).withColumn("batch_id", F.lit(batch_id))
         docs.write.mode("overwrite").parquet(os.path.join(out_path, f"batch_id={batch_id}"))
