@@ -1,6 +1,6 @@
 """Driver contract: every oracle has a query, and column names and types agree with the DuckDB twin."""
 
-import __spark_entry__ as E
+from thawline.plans import registry
 from tests.harness import duck
 from tests.types_check import MAP
 
@@ -9,8 +9,8 @@ SF = "/root/testdata/sf0.001"
 
 def test_schemas_match_oracles(spark):
     con = duck(SF)
-    qs, sq = E.queries(), E.oracle_sql()
-    assert set(sq) <= set(qs) and len(sq) >= len(qs) - 1
+    qs, sq = registry.QUERIES, registry.SQL
+    assert set(sq) <= set(qs) and len(sq) == len(qs)
     bad = {}
     for k, sql in sq.items():
         st = {f.name: MAP.get(f.dataType.simpleString(), f.dataType.simpleString())

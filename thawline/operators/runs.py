@@ -166,3 +166,17 @@ def parsers_reused(required: DataFrame, registered: DataFrame, key: str = "parse
 def dedupe_docs(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """Idempotent re-delivery: one row per document id."""
     return docs.dropDuplicates([key])
+
+
+def new_docs(docs: DataFrame, stored: DataFrame, key: str = "doc_id") -> DataFrame:
+    """U3 on re-run: delivered documents that the target does not hold yet, each once."""
+    return dedupe_docs(docs, key).join(stored.select(key), key, "left_anti")
+
+
+def error_summary(ev: DataFrame) -> DataFrame:
+    """Metadata errors by index and ``context: error type``, with the events that hold any."""
+    one = ev.where(F.col("extraction_errors").isNotNull()).select(
+        "index_name", "journal_path", "event_ordinal", F.explode("extraction_errors").alias("e"))
+    kind = F.when(F.endswith("e", F.lit("id out of range")), "decode_field: IndexError").otherwise(F.concat(F.lit("decode_metadata: "), F.col("e")))
+    per_event = one.groupBy("index_name", "journal_path", "event_ordinal", kind.alias("error_key")).agg(F.count(F.lit(1)).alias("n"))
+    return per_event.groupBy("index_name", "error_key").agg(F.sum("n").alias("n_errors"), F.count(F.lit(1)).alias("n_events"))

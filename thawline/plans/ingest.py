@@ -55,13 +55,16 @@ def documents(ev: DataFrame) -> DataFrame:
         F.col("_corrupt_reason").alias("error_message"))
 
 
+METRIC_COLUMNS = ("bucket_key", "index_name", "status", "bucket_latest", "ingest_iteration", "attempt", "journal_size_bytes", "message_bytes",
+                  "event_count", "docs_success", "docs_error", "wall_ms")
 LOG_COLUMNS = ("bucket_key", "index_name", "bucket_name", "status", "indexed", "errors", "updated_at", "version")
 
 
 def ingest(spark: SparkSession, root: str, out_path: str, ingest_run: str, checkpoint_log_path: str | None = None,
            indices=None, bucket_names=None, resume: bool = True, force: bool = False,
            skip_metadata: bool = True, metrics: dict | None = None, mode: str = "FAILFAST",
-           output_partition_bytes: int | None = None, max_records_per_file: int = 1_000_000) -> DataFrame:
+           output_partition_bytes: int | None = None, max_records_per_file: int = 1_000_000,
+           metrics_path: str | None = None) -> DataFrame:
     """Run one ingest; returns the per-bucket results (completed, failed, and skipped when resuming).
 
     The documents of one call go to ``<out>/ingest_run=<run>/attempt=<unique>/splunk_index=...``.  An
@@ -77,6 +80,10 @@ def ingest(spark: SparkSession, root: str, out_path: str, ingest_run: str, check
     ``metrics`` (a dict) receives the totals of the rows decoded, counted by an ``Observation``
     during the write itself, and the number of buckets per status.
 
+    ``metrics_path``: a table to which the call appends one row per listed bucket (``METRIC_COLUMNS``):
+    journal and message bytes, events decoded, documents by outcome, status, wall time of the call's
+    scan-parse-write job.
+
     ``output_partition_bytes``: deal the decoded events anew into one partition per so many journal
     bytes before parsing and writing, so that a hot journal's parse and write work is spread;
     without it scan, parse and write are one narrow stage.
@@ -117,9 +124,11 @@ def ingest(spark: SparkSession, root: str, out_path: str, ingest_run: str, check
     docs = documents(ev).observe(
         obs, F.count(F.lit(1)).alias("documents"), F.count("error_message").alias("error_documents"),
         *(F.count_if(F.col("event_kind") == k).alias(k) for k in KINDS))
+    began = time.time_ns() // 1_000_000
     run_dir, staged = f"{out_path}/ingest_run={ingest_run}", f"{out_path}/_staging-{attempt}"
     (docs.write.option("maxRecordsPerFile", max_records_per_file).partitionBy("splunk_index").parquet(f"{staged}/all"))
     totals = obs.get
+    wall_ms = time.time_ns() // 1_000_000 - began
     whole = f"{staged}/all"
     rows = spark.read.schema(docs.schema).option("basePath", whole).parquet(whole)
     kept, bad = rows, spark.createDataFrame([], "bucket_key STRING, is_bad BOOLEAN")
@@ -129,10 +138,13 @@ def ingest(spark: SparkSession, root: str, out_path: str, ingest_run: str, check
         whole = f"{staged}/kept"
         (kept.write.option("maxRecordsPerFile", max_records_per_file)
          .partitionBy("splunk_index").parquet(whole))
-    counts = kept.groupBy("bucket_key").agg(F.count(F.lit(1)).alias("indexed"))
+    # message lengths are only read where metrics are asked for
+    size = F.sum(F.octet_length("message")) if metrics_path else F.lit(0).cast("bigint")
+    counts = kept.groupBy("bucket_key").agg(F.count(F.lit(1)).alias("indexed"), size.alias("message_bytes"))
     results = pending.join(counts, "bucket_key", "left").join(bad, "bucket_key", "left").select(
         "bucket_key", "index_name", "bucket_name", "target_index", F.coalesce("indexed", F.lit(0)).alias("indexed"),
-        F.lit(0).cast("bigint").alias("errors"), F.when(F.col("is_bad"), "failed").otherwise("completed").alias("status"))
+        F.lit(0).cast("bigint").alias("errors"), F.when(F.col("is_bad"), "failed").otherwise("completed").alias("status"),
+        F.coalesce("message_bytes", F.lit(0)).alias("message_bytes"))
     results.write.parquet(f"{work}/results")  # fixed before the attempt moves to its place
     results = spark.read.parquet(f"{work}/results")
 
@@ -145,6 +157,15 @@ def ingest(spark: SparkSession, root: str, out_path: str, ingest_run: str, check
     storage.delete(spark, staged)
     if checkpoint_log_path:
         _log(results.select("bucket_key", "index_name", "bucket_name", "status", "indexed", "errors"), checkpoint_log_path, started + 1)
+    if metrics_path:
+        all_ = results if skipped is None else results.unionByName(skipped.withColumns({"message_bytes": F.lit(0).cast("bigint"), "indexed": F.lit(0).cast("bigint")}))
+        info = listing.select("bucket_key", "journal_size_bytes", F.col("latest_epoch").alias("bucket_latest"))
+        rows = all_.join(info, "bucket_key").select(
+            "bucket_key", "index_name", "status", "bucket_latest", F.lit(ingest_run).alias("ingest_iteration"), F.lit(attempt).alias("attempt"),
+            "journal_size_bytes", "message_bytes", F.col("indexed").alias("event_count"), F.col("indexed").alias("docs_success"),
+            F.col("errors").alias("docs_error"), F.lit(wall_ms).cast("bigint").alias("wall_ms"))
+        rows.select(*METRIC_COLUMNS).write.mode("append").parquet(metrics_path)
+    results = results.drop("message_bytes")
     if metrics is not None:
         metrics.update(totals)
         metrics.update({r["status"]: r["count"] for r in results.groupBy("status").count().collect()})

@@ -319,17 +319,5 @@ processed AS (
          coalesce(c.n_empty, 0) AS errors, 'completed' AS status
   FROM pending p LEFT JOIN counts c ON c.bucket_key = p.bucket_key
 ),
-results AS (SELECT * FROM skipped UNION ALL SELECT * FROM processed),
-bucket_metrics AS (
-  SELECT l.bucket_key, l.index_name, r.status, l.bucket_latest,
-         CASE WHEN l.bucket_seq % 2 = 0 THEN '1.0' ELSE '1.1' END AS ingest_iteration,
-         coalesce(c.n_bytes, 0) + 16 * coalesce(c.n_events, 0) AS journal_size_bytes,
-         coalesce(c.n_events, 0) AS event_count,
-         coalesce(c.n_events, 0) - coalesce(c.n_empty, 0) AS docs_success, coalesce(c.n_empty, 0) AS docs_error,
-         coalesce(c.n_bytes, 0) // 1000 AS read_ms, coalesce(c.n_events, 0) // 50 AS decode_ms,
-         coalesce(c.n_events, 0) // 20 AS bulk_ms,
-         coalesce(c.n_bytes, 0) // 1000 + coalesce(c.n_events, 0) // 50 + coalesce(c.n_events, 0) // 20 AS wall_ms,
-         100000000 + 3 * coalesce(c.n_bytes, 0) AS rss_bytes
-  FROM listing l JOIN results r ON r.bucket_key = l.bucket_key LEFT JOIN counts c ON c.bucket_key = l.bucket_key
-)
+results AS (SELECT * FROM skipped UNION ALL SELECT * FROM processed)
 """

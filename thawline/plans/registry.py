@@ -494,53 +494,78 @@ def q_bucket_page(spark, sf):
 from thawline.operators import metrics as M  # noqa: E402
 
 
-@register("metrics_rollup", W(TB) + """
+_METRIC_RUNS: dict[tuple, str] = {}
+
+
+def run_metrics(spark, sf):
+    """Metric rows of two real ingests ("1.0", then "1.1" resuming) over the partly corrupt tree."""
+    from thawline.plans.ingest import ingest
+    root = corrupt_copy(spark, journal_root(spark, sf))
+    key = (spark.sparkContext.applicationId, root)
+    if key not in _METRIC_RUNS:
+        base = SK.new_run_path(spark, "thawline-metrics")
+        for run in ("1.0", "1.1"):
+            ingest(spark, root, f"{base}/docs", run, checkpoint_log_path=f"{base}/log", mode="PERMISSIVE", metrics_path=f"{base}/metrics")
+        _METRIC_RUNS[key] = f"{base}/metrics"
+    return spark.read.parquet(_METRIC_RUNS[key])
+
+
+RUN_METRICS = """
+first_run AS (
+  SELECT l.bucket_key, l.index_name, l.bucket_latest, l.bucket_seq % 7 = 0 AND coalesce(c.n_events, 0) > 0 AS bad,
+    coalesce(c.n_events, 0) AS n, coalesce(c.n_bytes, 0) AS b
+  FROM listing l LEFT JOIN counts c ON c.bucket_key = l.bucket_key
+),
+run_metrics AS (
+  SELECT bucket_key, index_name, bucket_latest, '1.0' AS ingest_iteration, CASE WHEN bad THEN 'failed' ELSE 'completed' END AS status,
+    CASE WHEN bad THEN 0 ELSE n END AS event_count, CASE WHEN bad THEN 0 ELSE b END AS message_bytes FROM first_run
+  UNION ALL
+  SELECT bucket_key, index_name, bucket_latest, '1.1', CASE WHEN bad THEN 'failed' ELSE 'skipped' END, 0, 0 FROM first_run
+)"""
+
+
+@register("metrics_rollup", W(TB, RUN_METRICS) + """
 SELECT index_name, ingest_iteration, count(*) AS journals, CAST(sum(event_count) AS BIGINT) AS events,
-  CAST(sum(journal_size_bytes) AS BIGINT) AS bytes, CAST(sum(docs_success) AS BIGINT) AS docs_success,
-  CAST(sum(docs_error) AS BIGINT) AS docs_error,
+  CAST(sum(message_bytes) AS BIGINT) AS bytes, CAST(sum(event_count) AS BIGINT) AS docs_success,
+  CAST(0 AS BIGINT) AS docs_error,
   count(*) FILTER (WHERE status = 'completed') AS buckets_completed,
   count(*) FILTER (WHERE status = 'failed') AS buckets_failed,
   count(*) FILTER (WHERE status = 'skipped') AS buckets_skipped
-FROM bucket_metrics GROUP BY index_name, ingest_iteration""")
+FROM run_metrics GROUP BY index_name, ingest_iteration""")
 def q_metrics_rollup(spark, sf):
-    return M.rollup(T.bucket_metrics(spark, sf))
+    return M.rollup(run_metrics(spark, sf))
 
 
-_BOUNDS = ", ".join(str(b) for b in M.BOUNDS_MS)
-
-
-HIST_CTES = (f"""
-long AS (
-  SELECT index_name, ingest_iteration, unnest(['read_ms', 'decode_ms', 'bulk_ms', 'wall_ms']) AS metric,
-         unnest([read_ms, decode_ms, bulk_ms, wall_ms]) AS v FROM bucket_metrics
-)""", f"""
+_BOUNDS = ", ".join(str(b) for b in M.BOUNDS)
+HIST_CTES = ("""
+long AS (SELECT index_name, ingest_iteration, unnest(['event_count', 'message_bytes']) AS metric,
+         unnest([event_count, message_bytes]) AS v FROM run_metrics)""", f"""
 lb AS (SELECT *, unnest([{_BOUNDS}, NULL]) AS bound FROM long)""")
 
 
-@register("metrics_histogram", W(TB, *HIST_CTES) + """
+@register("metrics_histogram", W(TB, RUN_METRICS, *HIST_CTES) + """
 SELECT index_name, ingest_iteration, metric, coalesce(CAST(bound AS VARCHAR), '+Inf') AS le,
   count(*) FILTER (WHERE bound IS NULL OR v <= bound) AS count
 FROM lb GROUP BY index_name, ingest_iteration, metric, bound""")
 def q_metrics_histogram(spark, sf):
-    return M.histogram(T.bucket_metrics(spark, sf))
+    return M.histogram(run_metrics(spark, sf))
 
 
-@register("metrics_latest", W(TB) + """
-SELECT ingest_iteration, arg_max(wall_ms, (bucket_latest, bucket_key)) AS last_wall_ms,
-  arg_max(rss_bytes, (bucket_latest, bucket_key)) AS last_rss_bytes
-FROM bucket_metrics GROUP BY ingest_iteration""")
+@register("metrics_latest", W(TB, RUN_METRICS) + """
+SELECT ingest_iteration, CAST(arg_max(event_count, (bucket_latest, bucket_key)) AS BIGINT) AS last_event_count,
+  CAST(arg_max(message_bytes, (bucket_latest, bucket_key)) AS BIGINT) AS last_message_bytes
+FROM run_metrics WHERE status = 'completed' GROUP BY ingest_iteration""")
 def q_metrics_latest(spark, sf):
-    return M.latest_gauges(T.bucket_metrics(spark, sf))
+    return M.latest_gauges(run_metrics(spark, sf))
 
 
-@register("throughput", W(TB) + """
-SELECT index_name, docs, wall_ms,
-  CASE WHEN wall_ms > 0 THEN docs * 1000.0 / wall_ms ELSE 0.0 END AS docs_per_s,
-  CASE WHEN wall_ms > 0 THEN bulk_ms * 100.0 / wall_ms ELSE 0.0 END AS bulk_pct
-FROM (SELECT index_name, CAST(sum(docs_success) AS BIGINT) AS docs, CAST(sum(wall_ms) AS BIGINT) AS wall_ms,
-             CAST(sum(bulk_ms) AS BIGINT) AS bulk_ms FROM bucket_metrics GROUP BY index_name)""")
+@register("throughput", W(TB, RUN_METRICS) + """
+SELECT ingest_iteration, CAST(sum(event_count) AS BIGINT) AS docs, CAST(sum(event_count) AS BIGINT) AS docs_from_rate
+FROM run_metrics GROUP BY ingest_iteration""")
 def q_throughput(spark, sf):
-    return M.throughput(T.bucket_metrics(spark, sf))
+    """Wall times differ from run to run, so the rate is checked against the documents it stands for."""
+    t = M.throughput(run_metrics(spark, sf))
+    return t.select("ingest_iteration", "docs", F.round(F.col("docs_per_s") * F.col("wall_ms") / 1000).cast("bigint").alias("docs_from_rate"))
 
 
 # ---------------------------------------------------------------------------
@@ -706,6 +731,18 @@ def q_bucket_filter(spark, sf):
         F.count(F.lit(1)).alias("n_events"))
 
 
+@register("bucket_filter_contradiction", W() + """
+SELECT route, CAST(0 AS BIGINT) AS n_events FROM (SELECT unnest(['in_and_equal', 'option_and_equal']) AS route)
+WHERE (SELECT count(*) FROM corpus) > 0""")
+def q_bucket_filter_contradiction(spark, sf):
+    """S3: filters that exclude each other keep no journal, pushed down or given as an option."""
+    index = F.col("index_name")
+    both = journal_events(spark, sf).where(index.isin("apache", "syslog") & (index == "nginx"))
+    option = journal_events(spark, sf, indices="apache").where(index == "nginx")
+    one = lambda df, name: df.agg(F.count(F.lit(1)).alias("n_events")).select(F.lit(name).alias("route"), "n_events")
+    return one(both, "in_and_equal").unionByName(one(option, "option_and_equal"))
+
+
 SCAN_COLS_SQL = """bucket_key, event_ordinal, index_time, event_time_ms, message, host, source, sourcetype,
   index_time % 1000 AS stream_id, event_time_ms // 1000 AS stream_offset"""
 
@@ -960,12 +997,27 @@ def q_bulk_ndjson(spark, sf):
     return SK.bulk_lines(ingest_docs(journal_events(spark, sf)))
 
 
-@register("batch_by_bytes")
+BATCH_SQL = "WITH RECURSIVE" + BULK_SQL.strip()[len("WITH"):].replace("AS doc_id,", "AS doc_id, bucket_key, event_ordinal,", 1)
+i_ = BATCH_SQL.rindex("SELECT ", 0, BATCH_SQL.index("AS doc_id, bucket_key, event_ordinal"))
+BATCH_SQL = BATCH_SQL[:i_].rstrip() + """,
+sized AS (SELECT bucket_key, event_ordinal, strlen(action) + strlen(body) + 2 AS nb FROM (""" + BATCH_SQL[i_:] + """) x),
+walk AS (
+  SELECT bucket_key, event_ordinal, CAST(0 AS BIGINT) AS batch, CAST(1 AS BIGINT) AS docs, CAST(nb AS BIGINT) AS bytes
+  FROM sized WHERE event_ordinal = 0
+  UNION ALL
+  SELECT s.bucket_key, s.event_ordinal,
+    w.batch + CASE WHEN w.docs >= 500 OR w.bytes >= 65536 THEN 1 ELSE 0 END,
+    CASE WHEN w.docs >= 500 OR w.bytes >= 65536 THEN 1 ELSE w.docs + 1 END,
+    CASE WHEN w.docs >= 500 OR w.bytes >= 65536 THEN s.nb ELSE w.bytes + s.nb END
+  FROM walk w JOIN sized s ON s.bucket_key = w.bucket_key AND s.event_ordinal = w.event_ordinal + 1
+)
+SELECT bucket_key, batch, max(docs) AS n_docs, max(bytes) AS n_bytes FROM walk GROUP BY bucket_key, batch"""
+
+
+@register("batch_by_bytes", BATCH_SQL)
 def q_batch_by_bytes(spark, sf):
-    """K3: greedy batches capped by documents (500) and bytes (64 KiB here, 15 MiB by default)."""
-    d = ingest_docs(journal_events(spark, sf))
-    lines = SK.bulk_lines(d).join(d.select("doc_id", "bucket_key", "event_ordinal"), "doc_id")
-    return SK.batch_by_bytes(lines, max_bytes=64 * 1024)
+    """K3: per bucket, batches flushed at 500 documents or at 64 KiB (15 MiB by default), in event order."""
+    return SK.batch_by_bytes(SK.bulk_lines(ingest_docs(journal_events(spark, sf)), keys=("bucket_key", "event_ordinal")), max_bytes=64 * 1024)
 
 
 REPARSE_SQL = W(CLS, f"""
@@ -984,18 +1036,14 @@ SELECT kind, event_category, count(*) AS n_docs, count(client_ip) AS n_access_pa
 def q_reparse_docs(spark, sf):
     """Stored documents (every second one without a kind) re-parsed through the router into a new
     table; the current-table pointer is swapped only after the write succeeded."""
-    from thawline.operators.parse import route_and_parse as rp
+    from thawline.plans.reparse import current, reparse
     raw = B.corpus(spark, sf)
     stored_path = SK.new_run_path(spark, "thawline-stored")
     c = C.classify(raw).withColumn("kind", F.when(F.col("event_id") % 2 == 0, F.col("kind")))
     c.select("event_id", "message", "sourcetype", "event_time_ms", "kind").write.parquet(stored_path)
-    stored = spark.read.parquet(stored_path)
-    stored = stored.withColumn("kind", C.router_default_kind(F.col("kind"), strip_prefix(F.col("sourcetype"))))
-    new_path = SK.new_run_path(spark, "thawline-reparsed")
-    rp(stored).write.parquet(new_path)
-    pointer = os.path.join(SK.runs_root(spark, "thawline-reparsed"), "_CURRENT")
-    storage.write_text(spark, pointer, new_path)
-    cur = spark.read.parquet(storage.read_text(spark, pointer).strip())
+    target = SK.new_run_path(spark, "thawline-reparsed")
+    reparse(spark, stored_path, target)
+    cur = current(spark, target)
     return cur.groupBy("kind", "event_category").agg(
         F.count(F.lit(1)).alias("n_docs"), F.count("client_ip").alias("n_access_parsed"),
         F.count("syslog_hostname").alias("n_syslog_parsed"))
@@ -1051,6 +1099,72 @@ def q_ingest_resume(spark, sf):
                                      "status")
 
 
+@register("ingest_resume_same_run", W() + """
+SELECT index_name AS splunk_index, count(*) AS n_docs, count(*) AS n_ids FROM corpus GROUP BY index_name""")
+def q_ingest_resume_same_run(spark, sf):
+    """A run is resumed under its own id after more buckets have come: every document is there once."""
+    from thawline.plans.ingest import ingest
+    root = journal_root(spark, sf)
+    base = SK.new_run_path(spark, "thawline-ingest")
+    out, log = os.path.join(base, "docs"), os.path.join(base, "checkpoint_log")
+    ingest(spark, root, out, "1.0", checkpoint_log_path=log, indices=["apache", "syslog"])
+    ingest(spark, root, out, "1.0", checkpoint_log_path=log)
+    return spark.read.parquet(out).groupBy("splunk_index").agg(F.count(F.lit(1)).alias("n_docs"), F.count_distinct("doc_id").alias("n_ids"))
+
+
+@register("ingest_resume_uri", W(TB) + """
+SELECT l.bucket_key, 'skipped' AS status, coalesce(c.n_events, 0) AS indexed, coalesce(c.n_events, 0) AS n_docs
+FROM listing l LEFT JOIN counts c ON c.bucket_key = l.bucket_key""")
+def q_ingest_resume_uri(spark, sf):
+    """A checkpoint log given as a URI is found: the second call skips every bucket and writes nothing."""
+    from thawline.plans.ingest import ingest
+    root = journal_root(spark, sf)
+    base = SK.new_run_path(spark, "thawline-ingest")
+    uri = base if ":" in base else f"file://{base}"
+    for _ in range(2):
+        last = ingest(spark, root, f"{uri}/docs", "1.0", checkpoint_log_path=f"{uri}/checkpoint_log")
+    docs = spark.read.parquet(f"{uri}/docs").groupBy("bucket_key").agg(F.count(F.lit(1)).alias("n_docs"))
+    return last.select("bucket_key", "status", "indexed").join(docs, "bucket_key", "left").fillna(0, ["n_docs"])
+
+
+@register("ingest_with_failures", W(TB) + """
+SELECT bucket_key, status, indexed, errors, indexed AS n_docs, logged FROM (
+  SELECT l.bucket_key, CASE WHEN bad THEN 'failed' ELSE 'completed' END AS status, CASE WHEN bad THEN 0 ELSE n END AS indexed,
+    CAST(0 AS BIGINT) AS errors, CASE WHEN bad THEN 'failed' ELSE 'completed' END AS logged
+  FROM (SELECT l.*, coalesce(c.n_events, 0) AS n, l.bucket_seq % 7 = 0 AND coalesce(c.n_events, 0) > 0 AS bad
+        FROM listing l LEFT JOIN counts c ON c.bucket_key = l.bucket_key) l)""")
+def q_ingest_with_failures(spark, sf):
+    """Bad journals fail alone: status, counts, documents in the table and the log's last state."""
+    from thawline.plans.ingest import ingest
+    root = corrupt_copy(spark, journal_root(spark, sf))
+    base = SK.new_run_path(spark, "thawline-ingest")
+    res = ingest(spark, root, f"{base}/docs", "1.0", checkpoint_log_path=f"{base}/log", mode="PERMISSIVE")
+    docs = spark.read.parquet(f"{base}/docs").groupBy("bucket_key").agg(F.count(F.lit(1)).alias("n_docs"))
+    log = R.checkpoint_latest(spark.read.parquet(f"{base}/log")).select("bucket_key", F.col("status").alias("logged"))
+    out = res.select("bucket_key", "status", "indexed", "errors").join(docs, "bucket_key", "left").join(log, "bucket_key")
+    return out.fillna(0, ["n_docs"])
+
+
+@register("dedupe_against_target", W() + """
+SELECT index_name AS splunk_index, count(*) AS n_docs, count(*) AS n_ids FROM corpus GROUP BY index_name""")
+def q_dedupe_against_target(spark, sf):
+    """A second delivery holds every document twice, half of which are stored already; only new ones are added."""
+    docs = ingest_docs(journal_events(spark, sf))
+    path = SK.new_run_path(spark, "thawline-target")
+    SK.write_docs(docs.where(F.col("event_ordinal") % 2 == 0), path, "first")
+    stored = spark.read.parquet(path)
+    SK.write_docs(R.new_docs(docs.unionByName(docs), stored), path, "second")
+    return spark.read.parquet(path).groupBy("splunk_index").agg(F.count(F.lit(1)).alias("n_docs"), F.count_distinct("doc_id").alias("n_ids"))
+
+
+@register("metadata_error_summary", W() + """
+SELECT index_name, 'decode_field: IndexError' AS error_key, count(*) AS n_errors, count(*) AS n_events
+FROM corpus WHERE event_id % 23 = 0 GROUP BY index_name""")
+def q_metadata_error_summary(spark, sf):
+    """Metadata decode errors by index and ``context: error type``."""
+    return R.error_summary(journal_events(spark, sf, skipMetadata="false"))
+
+
 @register("profile_merge", W(CLS) + """
 SELECT kind, CAST(sum(n) AS BIGINT) AS n_events, count(*) AS n_buckets FROM (
   SELECT index_name, bucket_name, kind, count(*) AS n FROM classified GROUP BY ALL) GROUP BY kind""")

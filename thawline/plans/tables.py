@@ -40,24 +40,3 @@ def results(spark: SparkSession, sf: str) -> DataFrame:
     lst, lt, cnt = listing(spark, sf), latest(spark, sf), counts(spark, sf)
     return R.run_results(R.resume_skipped(lst, lt), R.processed_results(R.resume_pending(lst, lt), cnt))
 
-
-def bucket_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    """Per-bucket decode/bulk metrics rows of one run (durations derived from the bucket's size)."""
-    res = results(spark, sf).select("bucket_key", "status")
-    lst = listing(spark, sf).select("bucket_key", "index_name", "bucket_seq", "bucket_latest")
-    c = counts(spark, sf).select("bucket_key", "n_events", "n_empty", "n_bytes")
-    m = lst.join(res, "bucket_key").join(c, "bucket_key", "left").fillna(0, ["n_events", "n_empty", "n_bytes"])
-    read_ms = F.floor(F.col("n_bytes") / 1000)
-    decode_ms = F.floor(F.col("n_events") / 50)
-    bulk_ms = F.floor(F.col("n_events") / 20)
-    return m.select(
-        "bucket_key", "index_name", "status", "bucket_latest",
-        F.when(F.col("bucket_seq") % 2 == 0, F.lit("1.0")).otherwise(F.lit("1.1")).alias("ingest_iteration"),
-        (F.col("n_bytes") + 16 * F.col("n_events")).alias("journal_size_bytes"),
-        F.col("n_events").alias("event_count"),
-        (F.col("n_events") - F.col("n_empty")).alias("docs_success"),
-        F.col("n_empty").alias("docs_error"),
-        read_ms.alias("read_ms"), decode_ms.alias("decode_ms"), bulk_ms.alias("bulk_ms"),
-        (read_ms + decode_ms + bulk_ms).alias("wall_ms"),
-        (F.lit(100000000) + 3 * F.col("n_bytes")).alias("rss_bytes"),
-    )

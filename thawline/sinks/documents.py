@@ -45,8 +45,8 @@ def write_docs(docs: DataFrame, path: str, ingest_run: str, max_records_per_file
      .partitionBy("ingest_run", "splunk_index").parquet(path))
 
 
-def bulk_lines(docs: DataFrame) -> DataFrame:
-    """K2: action line (document id only) and body line (the document without its id)."""
+def bulk_lines(docs: DataFrame, keys=()) -> DataFrame:
+    """K2: action line (document id only) and body line (the document without its id); ``keys`` go along."""
     body = F.to_json(F.struct(
         F.col("ts_iso").alias("@timestamp"), "message", "host", "source", "sourcetype",
         F.struct(F.col("event_kind").alias("kind"), F.col("event_dataset").alias("dataset")).alias("event"),
@@ -55,7 +55,7 @@ def bulk_lines(docs: DataFrame) -> DataFrame:
         F.col("splunk_pipeline").alias("splunk.pipeline"),
         F.col("splunk_classify_reason").alias("splunk.classify_reason")))
     action = F.concat(F.lit('{"index":{"_id":"'), F.col("doc_id"), F.lit('"}}'))
-    return docs.select("doc_id", action.alias("action"), body.alias("body"))
+    return docs.select("doc_id", *keys, action.alias("action"), body.alias("body"))
 
 
 def write_bulk_files(lines: DataFrame, path: str) -> None:
@@ -64,37 +64,39 @@ def write_bulk_files(lines: DataFrame, path: str) -> None:
         "compression", "gzip").text(path)
 
 
-def batch_by_bytes(lines: DataFrame, order=("bucket_key", "event_ordinal"), max_docs: int = DEFAULT_BATCH_DOCS,
-                   max_bytes: int = DEFAULT_BATCH_BYTES) -> DataFrame:
-    """K3: greedy batches of at most ``max_docs`` documents and ``max_bytes`` NDJSON bytes.
+def batch_by_bytes(lines: DataFrame, max_docs: int = DEFAULT_BATCH_DOCS, max_bytes: int = DEFAULT_BATCH_BYTES,
+                   in_scan_order: bool = True) -> DataFrame:
+    """K3: per bucket, consecutive batches, each flushed once it holds ``max_docs`` documents or ``max_bytes`` NDJSON bytes.
 
-    Range partitioning on the full order key spreads a hot bucket over many
-    tasks; each task cuts its own rows into batches while streaming (batches
-    never span tasks), so no group is ever held whole.
+    (bucket_key, batch, n_docs, n_bytes); ``lines`` has bucket_key, event_ordinal, action, body.  A
+    journal scan delivers a bucket's events in order within one task, so batches are cut there
+    while streaming, without a shuffle, and do not depend on the partitioning.  Other inputs
+    (``in_scan_order=False``) are dealt by bucket and sorted first.
     """
-    n = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sized = lines.select(*order, (F.octet_length("action") + F.octet_length("body") + 2).alias("nbytes"))
-    sized = sized.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    sized = lines.select("bucket_key", "event_ordinal", (F.octet_length("action") + F.octet_length("body") + 2).cast("bigint").alias("nbytes"))
+    if not in_scan_order:
+        sized = sized.repartition("bucket_key").sortWithinPartitions("bucket_key", "event_ordinal")
 
     def cut(batches):
-        import pandas as pd
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
-        out = []
-        b = docs = size = 0
-        first = None
-        for pdf in batches:
-            for key, nb in zip(pdf[order[0]].tolist(), pdf["nbytes"].tolist()):
-                if docs and (docs + 1 > max_docs or size + nb > max_bytes or key != first):
-                    out.append((pid, b, first, docs, size))
-                    b, docs, size = b + 1, 0, 0
-                if docs == 0:
-                    first = key
-                docs += 1
-                size += nb
+        import pyarrow as pa
+
+        names = ["bucket_key", "batch", "n_docs", "n_bytes"]
+        types = [pa.string(), pa.int64(), pa.int64(), pa.int64()]
+        key, batch, docs, size = None, 0, 0, 0
+        for b in batches:
+            out = []
+            for k, nb in zip(b.column("bucket_key").to_pylist(), b.column("nbytes").to_pylist()):
+                if k != key:
+                    if docs:
+                        out.append((key, batch, docs, size))
+                    key, batch, docs, size = k, 0, 0, 0
+                docs, size = docs + 1, size + nb
+                if docs >= max_docs or size >= max_bytes:
+                    out.append((key, batch, docs, size))
+                    batch, docs, size = batch + 1, 0, 0
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names=names)
         if docs:
-            out.append((pid, b, first, docs, size))
-        yield pd.DataFrame(out, columns=["task", "batch", "bucket_key", "n_docs", "n_bytes"])
+            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((key, batch, docs, size), types)], names=names)
 
-    return sized.mapInPandas(cut, "task INT, batch BIGINT, bucket_key STRING, n_docs BIGINT, n_bytes BIGINT")
+    return sized.mapInArrow(cut, "bucket_key STRING, batch BIGINT, n_docs BIGINT, n_bytes BIGINT")
