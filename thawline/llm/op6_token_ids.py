@@ -34,7 +34,9 @@ between them).  Empty table: no shard, empty result.
 
 from __future__ import annotations
 
+import re
 import struct
+import unicodedata
 import uuid
 import zlib
 
@@ -146,10 +148,29 @@ class Shard:
         return [self.ids[self.offsets[r] : self.offsets[r + 1]] for r in range(int(first[0]), int(first[0] + n[0]))]
 
 
+# letters (non-ASCII bytes are looked at again), with at most one stop or comma behind them
+_PLAIN = re.compile(rb"([A-Za-z\x80-\xff]+)([.,]?)")
+
+
+def _byte_chars() -> dict[int, str]:
+    """Byte-level alphabet: visible Latin-1 characters stand for their own bytes, the others follow from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(other)}
+
+
+_BYTE_CHARS = _byte_chars()
+
+
 class Encoder:
-    """Ids of white-space-free pieces, remembered per worker; emptied when it has grown large."""
+    """Ids of white-space-free pieces, remembered per worker; emptied when the memory has grown large.
+
+    A piece of plain lower-case Latin letters is one word to the tokenizer's splitter, so its
+    model is asked directly; a capital or a closing stop or comma goes back to the plain word.
+    Every other piece goes through the whole tokenizer.
+    """
 
-    LIMIT = 500_000
+    LIMIT = 700_000
     _made: dict = {}
 
     def __init__(self, path: str):
@@ -157,7 +178,8 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.id_bytes = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
-        self.known: dict = {}
+        self.known: dict[bytes, bytes] = {}
+        self.plain = self._plain_words()
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -165,17 +187,57 @@ class Encoder:
             cls._made[path] = cls(path)
         return cls._made[path]
 
+    def _plain_words(self) -> bool:
+        """Whether this tokenizer lowers its text, splits at letters and maps bytes one to one."""
+        probe = ["aba", "Thé", "straße,", "Ünd."]
+        return all(self._whole([w])[0] == self._ids_of_plain(w.rstrip(".,").lower()) + (self._whole([w[-1]])[0] if w[-1] in ".," else b"") for w in probe)
+
+    def _whole(self, pieces: list[str]) -> list[bytes]:
+        done = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
+        return [self._pack(e.ids) for e in done]
+
+    def _pack(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{'H' if self.id_bytes == 2 else 'I'}", *ids)
+
+    def _ids_of_plain(self, word: str) -> bytes:
+        return self._pack([t.id for t in self.tokenizer.model.tokenize(word.encode("utf-8").decode("latin-1").translate(_BYTE_CHARS))])
+
+    def _learn(self, pieces: set[bytes]) -> None:
+        known, rest = self.known, []
+        for p in pieces:
+            m = _PLAIN.fullmatch(p) if self.plain else None
+            if m is None:
+                rest.append(p)
+                continue
+            word = m.group(1).lower()
+            if not word.isascii():
+                text = word.decode("utf-8")
+                low = text.lower()
+                if not low.isalpha() or max(low) > "\u024f" or len(low) != len(text) or not unicodedata.is_normalized("NFC", low):
+                    rest.append(p)
+                    continue
+                word = low.encode("utf-8")
+            ids = known.get(word)
+            if ids is None:
+                ids = known[word] = self._ids_of_plain(word.decode("utf-8"))
+            if m.group(2):
+                ids += self._stop(m.group(2))
+            known[p] = ids
+        for at in range(0, len(rest), 20_000):
+            part = rest[at : at + 20_000]
+            known.update(zip(part, self._whole([p.decode("utf-8", "replace") for p in part])))
+
+    def _stop(self, mark: bytes) -> bytes:
+        if mark not in self.known:
+            self.known[mark] = self._whole([mark.decode()])[0]
+        return self.known[mark]
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian ids of each text."""
         split = [t.split() for t in texts]
         if len(self.known) > self.LIMIT:
             self.known.clear()
-        new = list(set().union(*split) - self.known.keys())
-        dtype = f"<u{self.id_bytes}"
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            done = self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in part], add_special_tokens=False)
-            self.known.update((p, np.array(e.ids, dtype).tobytes()) for p, e in zip(part, done))
+        self._learn(set().union(*split).difference(self.known))
         get = self.known.__getitem__
         return [b"".join(map(get, s)) for s in split]
 
