@@ -123,3 +123,31 @@ def test_discover_prunes_while_walking(spark, monkeypatch):
     fs, inner = pafs.FileSystem.from_uri("file://" + root)
     remote = JS._discover_remote("file://" + root, fs, inner, {"apache"}, {got[0][1]})
     assert [r[:5] for r in remote] == [got[0][:5]]
+
+
+def test_columns_option_builds_only_what_is_asked(spark):
+    root = journal_root(spark, SF)
+    all_ = JS.read(spark, root)
+    some = JS.read(spark, root, columns="bucket_name,event_ordinal,stream_id")
+    assert some.columns == ["bucket_name", "event_ordinal", "stream_id"]
+    assert sorted(some.collect()) == sorted(all_.select(*some.columns).collect())
+    try:
+        JS.read(spark, root, columns="nothing").collect()
+    except Exception as e:  # noqa: BLE001
+        assert "no such event columns" in str(e)
+    else:
+        raise AssertionError("unknown column accepted")
+
+
+def test_ordinals_write_no_messages_between_slices(spark):
+    from thawline.plans.registry import QUERIES
+
+    for key in ("event_ordinal", "doc_id", "write_outcome", "batch_by_docs"):
+        scan = [x for x in formatted(QUERIES[key](spark, SF)).split("\n") if "Scan ExistingRDD" in x]
+        assert scan and not any("message" in x for x in scan), key
+
+
+def test_excluding_filters_keep_no_journal(spark):
+    ev = JS.read(spark, journal_root(spark, SF), indices="apache").where(F.col("index_name") == "nginx")
+    assert ev.count() == 0
+    assert JS.discover(journal_root(spark, SF), indices=[]) == []

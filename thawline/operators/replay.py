@@ -86,6 +86,14 @@ def _resolve(events: DataFrame, d: DataFrame, opcode: int, id_col: str, out: str
         f"_{out}_idx", f"_{out}_def", f"_{out}_text")
 
 
+def event_times(ops: DataFrame) -> DataFrame:
+    """W1 + W3 + P7: event ordinals and times; no dictionary and no message takes part in the scan."""
+    keep = ["index_name", "bucket_name", "ord", "opcode", *STATE, "index_time_diff", "time_sub_raw"]
+    s = fill_state(ops.select(*keep)).where(is_event(F.col("opcode")))
+    return s.withColumns(rebase_times(F.col("base_index_time"), F.col("index_time_diff"), F.col("base_event_time"),
+                                      F.col("time_sub_raw")))
+
+
 def replay_events(ops: DataFrame) -> DataFrame:
     """W1 + W2 + W3 + J3 + P7: events of the op log with resolved metadata strings and rebased times."""
     sc = scanned(ops)

@@ -23,6 +23,7 @@ from thawline.operators import runs as R
 from thawline.operators.classify import classify, parser_name
 from thawline.operators.parse import PARSED_COLUMNS, route_and_parse
 from thawline.session import checkpoint_dir, ensure_utc
+from thawline.sinks.documents import DOC_COLUMNS, enforce_schema
 from thawline.sources import journal as JS
 from thawline.sources.buckets import list_buckets
 
@@ -57,6 +58,9 @@ def documents(ev: DataFrame) -> DataFrame:
 
 METRIC_COLUMNS = ("bucket_key", "index_name", "status", "bucket_latest", "ingest_iteration", "attempt", "journal_size_bytes", "message_bytes",
                   "event_count", "docs_success", "docs_error", "wall_ms")
+# event columns that documents are made of; the others are not built by the source
+READ_COLUMNS = ("index_name", "bucket_name", "bucket_latest", "bucket_earliest", "event_ordinal", "index_time", "event_time_ms",
+                "message", "host", "source", "sourcetype", "stream_id", "stream_offset", "stream_sub_offset", "fields", "_corrupt_reason")
 LOG_COLUMNS = ("bucket_key", "index_name", "bucket_name", "status", "indexed", "errors", "updated_at", "version")
 
 
@@ -116,12 +120,15 @@ def ingest(spark: SparkSession, root: str, out_path: str, ingest_run: str, check
                             F.lit(0).cast("bigint").alias("indexed"), F.lit(0).cast("bigint").alias("errors")),
              checkpoint_log_path, started)
 
-    ev = JS.read(spark, None, pathsDir=f"{work}/journals", skipMetadata=str(skip_metadata).lower(), mode=mode)
+    ev = JS.read(spark, None, pathsDir=f"{work}/journals", skipMetadata=str(skip_metadata).lower(), mode=mode,
+                 columns=",".join(READ_COLUMNS))
     if output_partition_bytes:
         size = pending.agg(F.sum("journal_size_bytes")).first()[0] or 0
         ev = ev.repartition(max(1, -(-size // output_partition_bytes)))
     obs = Observation(f"ingest-{attempt}")
-    docs = documents(ev).observe(
+    docs = documents(ev)
+    # the fixed document columns as declared, then ids and parsed fields
+    docs = enforce_schema(docs, [c for c in docs.columns if c not in dict(DOC_COLUMNS)]).observe(
         obs, F.count(F.lit(1)).alias("documents"), F.count("error_message").alias("error_documents"),
         *(F.count_if(F.col("event_kind") == k).alias(k) for k in KINDS))
     began = time.time_ns() // 1_000_000

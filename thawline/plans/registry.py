@@ -574,8 +574,10 @@ def q_throughput(spark, sf):
 from thawline.operators.scan import ordinal_within  # noqa: E402
 
 
-def _with_ordinal(spark, sf):
-    raw = B.corpus(spark, sf).withColumn("bucket_key", R.bucket_key(F.col("index_name"), F.col("bucket_name")))
+def _with_ordinal(spark, sf, *extra):
+    """Event keys and ``extra`` columns with the ordinal; only these are cut and written between slices."""
+    key = R.bucket_key(F.col("index_name"), F.col("bucket_name")).alias("bucket_key")
+    raw = B.corpus(spark, sf).select("event_id", "event_time_ms", key, *extra)
     return ordinal_within(raw, ["bucket_key"], ["event_time_ms", "event_id"], "event_ordinal")
 
 
@@ -605,7 +607,7 @@ def _doc_id_col():
 @register("doc_id", W(ORD_SQL) + f"SELECT event_id, event_ordinal, {DOC_ID_SQL} AS doc_id FROM ord")
 def q_doc_id(spark, sf):
     """Stream id = index_time % 1000, offset = event second, sub-offset 0 (they collide; the ordinal does not)."""
-    return _with_ordinal(spark, sf).select("event_id", "event_ordinal", _doc_id_col().alias("doc_id"))
+    return _with_ordinal(spark, sf, "index_time").select("event_id", "event_ordinal", _doc_id_col().alias("doc_id"))
 
 
 BATCH = 500
@@ -617,9 +619,9 @@ SELECT bucket_key, event_ordinal // {BATCH} AS batch, count(*) FILTER (WHERE mes
 FROM ord GROUP BY bucket_key, event_ordinal // {BATCH}""")
 def q_write_outcome(spark, sf):
     """Per bulk batch of 500 documents: written and rejected (empty body) items."""
-    o = _with_ordinal(spark, sf)
+    o = _with_ordinal(spark, sf, (F.col("message") == "").alias("is_empty"))
     return o.groupBy("bucket_key", F.floor(F.col("event_ordinal") / BATCH).alias("batch")).agg(
-        F.count_if(F.col("message") != "").alias("success"), F.count_if(F.col("message") == "").alias("errors"))
+        F.count_if(~F.col("is_empty")).alias("success"), F.count_if("is_empty").alias("errors"))
 
 
 @register("batch_by_docs", W(ORD_SQL) + f"""
@@ -628,9 +630,9 @@ SELECT bucket_key, event_ordinal // {BATCH} AS batch, count(*) AS n_docs,
 FROM ord GROUP BY bucket_key, event_ordinal // {BATCH}""")
 def q_batch_by_docs(spark, sf):
     """K3: document-count batches (500 per request) per bucket with their body bytes."""
-    o = _with_ordinal(spark, sf)
+    o = _with_ordinal(spark, sf, F.octet_length("message").alias("body_bytes"))
     return o.groupBy("bucket_key", F.floor(F.col("event_ordinal") / BATCH).alias("batch")).agg(
-        F.count(F.lit(1)).alias("n_docs"), F.sum(F.octet_length("message")).alias("n_bytes"))
+        F.count(F.lit(1)).alias("n_docs"), F.sum("body_bytes").alias("n_bytes"))
 
 
 PARSER_SETS_SQL = """
@@ -678,7 +680,7 @@ SELECT index_name, count(*) AS n_docs, count(DISTINCT {DOC_ID_SQL}) AS n_ids,
 FROM ord GROUP BY index_name""")
 def q_dedupe_docs(spark, sf):
     """Every tenth document delivered twice; dedupe on the id restores one row per event."""
-    o = _with_ordinal(spark, sf).withColumn("doc_id", _doc_id_col()).select("index_name", "event_id", "doc_id")
+    o = _with_ordinal(spark, sf, "index_name", "index_time").withColumn("doc_id", _doc_id_col()).select("index_name", "event_id", "doc_id")
     delivered = o.unionByName(o.where(F.col("event_id") % 10 == 0))
     d = R.dedupe_docs(delivered)
     n_del = delivered.groupBy("index_name").agg(F.count(F.lit(1)).alias("n_delivered"))
@@ -726,7 +728,7 @@ SELECT index_name || '/' || bucket_name AS bucket_key, count(*) AS n_events FROM
 WHERE index_name IN ('apache', 'syslog') GROUP BY ALL""")
 def q_bucket_filter(spark, sf):
     """S3: index filter pushed into the source: pruned journals become no partition."""
-    ev = journal_events(spark, sf).where(F.col("index_name").isin("apache", "syslog"))
+    ev = journal_events(spark, sf, columns="index_name,bucket_name").where(F.col("index_name").isin("apache", "syslog"))
     return ev.groupBy(R.bucket_key(F.col("index_name"), F.col("bucket_name")).alias("bucket_key")).agg(
         F.count(F.lit(1)).alias("n_events"))
 
@@ -790,7 +792,7 @@ FROM ord GROUP BY bucket_key""")
 def q_journal_tombstones_skipped(spark, sf):
     """Delete and hash-slice blocks are skipped as length-prefixed blocks between events."""
     root = journal_root(spark, sf)
-    ev = JS.read(spark, root).groupBy(R.bucket_key(F.col("index_name"), F.col("bucket_name")).alias("bucket_key")) \
+    ev = JS.read(spark, root, columns="index_name,bucket_name").groupBy(R.bucket_key(F.col("index_name"), F.col("bucket_name")).alias("bucket_key")) \
         .agg(F.count(F.lit(1)).alias("n_events"))
     ops = JS.read(spark, root, emit="ops").where(F.col("opcode").isin(8, 11)).groupBy(
         R.bucket_key(F.col("index_name"), F.col("bucket_name")).alias("bucket_key")).agg(
@@ -873,8 +875,7 @@ def q_journal_replay(spark, sf):
 
 @register("event_time_rebase", W(ORD_SQL) + "SELECT bucket_key, event_ordinal, index_time, event_time_ms FROM ord")
 def q_event_time_rebase(spark, sf):
-    r = RP.replay_events(_ops(spark, sf))
-    return r.select("bucket_key", "event_ordinal", "index_time", "event_time_ms")
+    return RP.event_times(_ops(spark, sf)).select("bucket_key", "event_ordinal", "index_time", "event_time_ms")
 
 
 DICT_SQL = """

@@ -10,6 +10,8 @@ Options:
   path          bucket tree root (or ``paths``: JSON list of journal files, or ``pathsDir``: a
                 directory of text files with one journal path per line, e.g. written by Spark)
   emit          ``events`` (default, dictionary/state replayed) or ``ops`` (one row per opcode)
+  columns       comma list of the event columns to build (default all); others are neither
+                built nor sent to Spark
   skipMetadata  ``true`` (default): walk metadata without mapping it (no ``fields``)
   mode          ``FAILFAST`` (default) or ``PERMISSIVE`` (a bad journal becomes one row with
                 ``_corrupt_reason``; the events decoded before the fault are kept)
@@ -37,6 +39,7 @@ EVENT_SCHEMA = (
     "hash BINARY, include_punctuation BOOLEAN, fields MAP<STRING, ARRAY<STRING>>, extraction_errors ARRAY<STRING>, "
     "_corrupt_reason STRING"
 )
+EVENT_COLUMNS = dict(re.findall(r"(\w+) ((?:[A-Z]+)(?:<.*?>+|\([0-9,]+\))?)(?:, |$)", EVENT_SCHEMA))
 OPS_SCHEMA = (
     "journal_path STRING, index_name STRING, bucket_name STRING, ord BIGINT, opcode INT, text STRING, "
     "state_host BIGINT, state_source BIGINT, state_sourcetype BIGINT, base_event_time INT, base_index_time INT, "
@@ -121,8 +124,11 @@ class FrozenJournalSource(DataSource):
         return "frozen_journal"
 
     def schema(self):
-        emit = {k.lower(): v for k, v in self.options.items()}.get("emit", "events")
-        return OPS_SCHEMA if emit.lower() == "ops" else EVENT_SCHEMA
+        options = {k.lower(): v for k, v in self.options.items()}
+        if options.get("emit", "events").lower() == "ops":
+            return OPS_SCHEMA
+        kept = _kept(options)
+        return EVENT_SCHEMA if kept is None else ", ".join(f"{n} {t}" for n, t in EVENT_COLUMNS.items() if n in kept)
 
     def reader(self, schema):
         opts = dict(self.options)
@@ -130,6 +136,14 @@ class FrozenJournalSource(DataSource):
         return (PushdownJournalReader if pushdown else FrozenJournalReader)(opts)
 
 
+def _kept(options: dict) -> set | None:
+    """Event columns of the ``columns`` option (None: all); unknown names are an error."""
+    kept = _csv(options.get("columns"))
+    if kept is not None and not kept <= set(EVENT_COLUMNS):
+        raise ValueError(f"no such event columns: {sorted(kept - set(EVENT_COLUMNS))}")
+    return kept
+
+
 def _csv(v):
     """Names of a comma list; None (no filter) if the option is not given.  An empty set keeps nothing."""
     return None if v is None else {x for x in v.split(",") if x}
@@ -142,6 +156,7 @@ class FrozenJournalReader(DataSourceReader):
         self.emit = options.get("emit", "events").lower()
         self.skip_metadata = options.get("skipmetadata", "true").lower() == "true"
         self.mode = options.get("mode", "FAILFAST").upper()
+        self.columns = _kept(options)
         self.target_bytes = int(options.get("maxpartitionbytes", 64 << 20))
         self.keep = {"index_name": _csv(options.get("indices")), "bucket_name": _csv(options.get("buckets"))}
 
@@ -190,7 +205,7 @@ class FrozenJournalReader(DataSourceReader):
 
     def read(self, partition):
         for j in partition.journals:
-            yield from read_journal(j, self.emit, self.skip_metadata, self.mode)
+            yield from read_journal(j, self.emit, self.skip_metadata, self.mode, self.columns)
 
 
 def _read_paths_dir(d: str) -> list[str]:
@@ -267,15 +282,16 @@ def _chunks(path: str):
             yield c
 
 
-def read_journal(j, emit: str, skip_metadata: bool, mode: str):
+def read_journal(j, emit: str, skip_metadata: bool, mode: str, columns: set | None = None):
     import pyarrow as pa
 
     from thawline.sources import journal_codec as J
 
     idx, bucket, latest, earliest, _seq, path, _size = j
     schema = _arrow_schema(emit)
+    kept = schema if columns is None else pa.schema([f for f in schema if f.name in columns])
     rows: list[tuple] = []
-    bad: list = []
+    bad: dict = {}
     held = 0
 
     def flush_ops():
@@ -290,19 +306,22 @@ def read_journal(j, emit: str, skip_metadata: bool, mode: str):
         n = len(rows)
         (ordn, it, et, msg, host, src, st, sid, off, sub, hh, h, punct, fields, errs) = (
             list(c) for c in zip(*rows)) if n else ([],) * 15
-        f = schema.field
-        arrays = [
-            pa.repeat(pa.scalar(path, f(0).type), n), pa.repeat(pa.scalar(idx, f(1).type), n),
-            pa.repeat(pa.scalar(bucket, f(2).type), n), pa.repeat(pa.scalar(latest, f(3).type), n),
-            pa.repeat(pa.scalar(earliest, f(4).type), n),
-            pa.array(ordn, f(5).type), pa.array(it, f(6).type), pa.array(et, f(7).type), pa.array(msg, f(8).type),
-            pa.array(host, f(9).type), pa.array(src, f(10).type), pa.array(st, f(11).type),
-            pa.array(sid, pa.uint64()).cast(f(12).type), pa.array(off, f(13).type), pa.array(sub, f(14).type),
-            pa.array(hh, f(15).type), pa.array(h, f(16).type), pa.array(punct, f(17).type),
-            pa.array([None if x is None else list(x.items()) for x in fields], f(18).type),
-            pa.array(errs, f(19).type), pa.nulls(n, f(20).type)]
+        constant = {"journal_path": path, "index_name": idx, "bucket_name": bucket, "bucket_latest": latest, "bucket_earliest": earliest}
+        values = {"event_ordinal": ordn, "index_time": it, "event_time_ms": et, "message": msg, "host": host, "source": src,
+                  "sourcetype": st, "stream_offset": off, "stream_sub_offset": sub, "has_hash": hh, "hash": h,
+                  "include_punctuation": punct, "extraction_errors": errs}
+
+        def array(f):
+            if f.name in constant:
+                return pa.repeat(pa.scalar(constant[f.name], f.type), n)
+            if f.name == "stream_id":
+                return pa.array(sid, pa.uint64()).cast(f.type)
+            if f.name == "fields":
+                return pa.array([None if x is None else list(x.items()) for x in fields], f.type)
+            return pa.nulls(n, f.type) if f.name == "_corrupt_reason" else pa.array(values[f.name], f.type)
+
         rows.clear()
-        return pa.RecordBatch.from_arrays(arrays, schema=schema)
+        return pa.RecordBatch.from_arrays([array(f) for f in kept], schema=kept)
 
     try:
         if emit == "ops":
@@ -323,14 +342,11 @@ def read_journal(j, emit: str, skip_metadata: bool, mode: str):
     except Exception as exc:  # noqa: BLE001
         if mode != "PERMISSIVE":
             raise RuntimeError(f"Journal decode error in {path}: {exc}") from exc
-        bad = [None] * len(schema)
-        bad[0], bad[1], bad[2] = path, idx, bucket
-        bad[-1] = f"{type(exc).__name__}: {exc}"
+        bad = {"journal_path": path, "index_name": idx, "bucket_name": bucket, "_corrupt_reason": f"{type(exc).__name__}: {exc}"}
     if rows:
         yield flush_ops() if emit == "ops" else flush_events()
     if bad:
-        yield pa.RecordBatch.from_arrays([pa.array([v], schema.field(i).type) for i, v in enumerate(bad)],
-                                         schema=schema)
+        yield pa.RecordBatch.from_arrays([pa.array([bad.get(f.name)], f.type) for f in kept], schema=kept)
 
 
 def _op_row(path, idx, bucket, o, op, pl, J):
