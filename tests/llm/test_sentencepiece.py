@@ -41,7 +41,7 @@ def test_documents_equal_library(spark, vocabulary, library):
     df, rows = docs(spark)
     rows = rows + [(9000 + i, t) for i, t in enumerate(odd_texts(300, 9))]
     df, rows = docs(spark, rows)
-    got = M.encode(df, vocabulary, block_chars=20_000).collect()
+    got = M.encode(df, vocabulary, chunk_chars=20_000).collect()
     want = [(d, len(t or ""), library.encode(t or ""), t or "") for d, t in rows]
     assert sorted(((r.doc_id, r.n_chars, np.frombuffer(bytes(r.ids), "<i4").tolist(), r.decoded) for r in got), key=str) == sorted(want, key=str)
     assert all(r.n_pieces == len(r.ids) // 4 for r in got)

@@ -15,10 +15,12 @@ Words are cut where no piece of the vocabulary can cross, so their ids follow ea
 document: before a space run, and between letters or digits and other characters.  Characters
 without a piece become the pieces of their UTF-8 bytes.
 
-Documents are dealt out to blocks of about ``block_chars`` characters by the hash of their id and
-text, compressed; each block's distinct words are joined to the folded words, and a block's
-documents and words meet in one task.  Words longer than ``LONGEST`` characters are folded there
-by the same rule with a heap.
+Texts are never shuffled: each scan partition names the distinct words of its chunks of about
+``chunk_chars`` characters, these are joined to the folded words, and every chunk's words and ids
+are written to a file in the shared folder, which the second scan of the partition reads when it
+comes to that chunk.  Words longer than ``LONGEST`` characters, and words a chunk's file does not
+hold because an upstream plan gave the rows in another order, are folded in place by the same
+rule with a heap.
 
 Decoding joins ids to pieces, bytes back to characters, and drops the space put before the text.
 
@@ -31,6 +33,7 @@ from __future__ import annotations
 
 import heapq
 import re
+import uuid
 import zlib
 from functools import cached_property
 
@@ -39,7 +42,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thawline.llm.common import doc_texts
+from thawline.llm.common import doc_texts, shared_path
+from thawline.storage import open_fs
 
 SPACE = "▁"
 LONGEST = 60
@@ -154,8 +158,21 @@ class Pieces:
         return text[1:] if text.startswith(" ") else text
 
     def table(self, spark: SparkSession) -> DataFrame:
-        rows = [(p, i, float(s)) for p, i, s in self.pieces]
-        return spark.createDataFrame(rows, "piece string, piece_id int, score double")
+        opens = self.opening()
+        rows = [(p, i, float(s), p in opens) for p, i, s in self.pieces]
+        return spark.createDataFrame(rows, "piece string, piece_id int, score double, opens boolean")
+
+    def opening(self) -> set[str]:
+        """Pieces that begin or end a piece of a better score whose other part is a piece or a character."""
+        out = set()
+        for p, _, score in self.pieces:
+            for n in range(1, len(p)):
+                a, b = p[:n], p[n:]
+                for part, other in ((a, b), (b, a)):
+                    # equal scores: the merge to the left is better, so they count as better
+                    if len(part) > 1 and part in self.by_text and self.by_text[part][1] <= score and (len(other) == 1 or other in self.by_text):
+                        out.add(part)
+        return out
 
 
 def _model_type(data: bytes) -> int:
@@ -203,24 +220,33 @@ def lattice(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
     # a single character stays without a piece, so every word keeps an edge for each of its characters
     edge = sub.join(F.broadcast(pieces), "piece", "left").where("piece_id is not null or size = 1")
     rank = F.expr(
-        "struct(-coalesce(score, double('-infinity')) as rank, start, start + size as end, piece_id,"
+        "struct(-coalesce(score, double('-infinity')) as rank, start, start + size as end, piece_id, coalesce(opens, false) as opens,"
         " shiftleft(1L, start) | shiftleft(1L, start + size) as ends, shiftleft(1L, start + size) - shiftleft(2L, start) as inside)"
     )
     return edge.select("word", rank.alias("edge")).groupBy("word").agg(F.sort_array(F.collect_list("edge")).alias("edges"))
 
 
-def _spans_bpe() -> str:
-    """Cut positions (a bit mask over 0 .. n) after all merges."""
-    best = "get(filter(joins, e -> (cuts & e.ends) = e.ends and bit_count(cuts & e.inside) = 1), 0)"
-    steps = "if(n > 1, sequence(1, n - 1), array())"
-    return f"aggregate({steps}, shiftleft(1L, n) * 2L - 1L, (cuts, k) -> coalesce(cuts & ~{best}.inside, cuts))"
+# one merge: the edge's ends are cuts, and exactly one cut lies inside
+_JOINS = "(cuts & e.ends) = e.ends and bit_count(cuts & e.inside) = 1"
 
 
 def _fold_bpe(edges: DataFrame) -> DataFrame:
+    """Cuts of each word (a bit mask over 0 .. n) after all merges.
+
+    One pass over the edges from the best score on makes the model's merges in the model's order,
+    unless a merge opens a better one that was passed already.  Only pieces marked ``opens`` can
+    do that; words that merged such a piece are folded again, taking the best open edge each time.
+    """
     x = edges.selectExpr("word", "edges", "length(word) as n", "filter(edges, e -> e.end - e.start > 1) as joins")
-    x = x.selectExpr("word", "edges", "n", f"{_spans_bpe()} as cuts")
-    x = x.selectExpr("word", "edges", "filter(sequence(0, n), i -> (cuts & shiftleft(1L, i)) <> 0) as cuts")
-    return x.selectExpr("word", "edges", "transform(slice(cuts, 1, size(cuts) - 1), (s, i) -> struct(s as s, cuts[i + 1] as e)) as spans")
+    once = (
+        "aggregate(joins, named_struct('cuts', shiftleft(1L, n) * 2L - 1L, 'again', false), (a, e) -> "
+        "if((a.cuts & e.ends) = e.ends and bit_count(a.cuts & e.inside) = 1, "
+        "named_struct('cuts', a.cuts & ~e.inside, 'again', a.again or e.opens), a))"
+    )
+    best = f"get(filter(joins, e -> {_JOINS}), 0)"
+    full = f"aggregate(if(n > 1, sequence(1, n - 1), array()), shiftleft(1L, n) * 2L - 1L, (cuts, k) -> coalesce(cuts & ~{best}.inside, cuts))"
+    x = x.selectExpr("word", "edges", "n", "joins", f"{once} as once")
+    return x.selectExpr("word", "edges", f"if(once.again, {full}, once.cuts) as cuts")
 
 
 def _fold_viterbi(edges: DataFrame, low: float) -> DataFrame:
@@ -231,8 +257,8 @@ def _fold_viterbi(edges: DataFrame, low: float) -> DataFrame:
     acc = f"aggregate(sequence(1, n), array(struct(0D as score, 0 as start)), (acc, i) -> concat(acc, array({best})))"
     x = edges.selectExpr("word", "edges", "length(word) as n").selectExpr("word", "edges", "n", f"{acc} as acc")
     back = "aggregate(sequence(1, n), array(n), (cuts, k) -> if(cuts[0] = 0, cuts, concat(array(acc[cuts[0]].start), cuts)))"
-    x = x.selectExpr("word", "edges", f"{back} as cuts")
-    return x.selectExpr("word", "edges", "transform(slice(cuts, 1, size(cuts) - 1), (s, i) -> struct(s as s, cuts[i + 1] as e)) as spans")
+    x = x.selectExpr("word", "edges", f"{back} as at")
+    return x.selectExpr("word", "edges", "aggregate(at, 0L, (m, i) -> m | shiftleft(1L, i)) as cuts")
 
 
 def encode_words(words: DataFrame, vocabulary: Pieces) -> DataFrame:
@@ -240,58 +266,50 @@ def encode_words(words: DataFrame, vocabulary: Pieces) -> DataFrame:
     spark = words.sparkSession
     edges = lattice(words, vocabulary.table(spark), vocabulary.longest)
     low = min((s for _, _, s in vocabulary.pieces), default=0.0) - 10
-    spans = _fold_viterbi(edges, low) if vocabulary.fold == "unigram" else _fold_bpe(edges)
-    of_span = "get(filter(edges, e -> e.start = x.s and e.end = x.e), 0).piece_id"
+    cut = _fold_viterbi(edges, low) if vocabulary.fold == "unigram" else _fold_bpe(edges)
+    # the word's pieces are the edges that reach from one cut to the next
+    path = "sort_array(transform(filter(edges, e -> (cuts & e.ends) = e.ends and (cuts & e.inside) = 0), e -> struct(e.start, e.piece_id)))"
     if vocabulary.byte_ids:
         table = f"array({', '.join(map(str, vocabulary.byte_ids))})"
-        utf8 = "encode(substring(word, x.s + 1, 1), 'UTF-8')"
+        utf8 = "encode(substring(word, x.start + 1, 1), 'UTF-8')"
         unknown = f"transform(sequence(1, octet_length({utf8})), k -> get({table}, cast(conv(hex(substring({utf8}, k, 1)), 16, 10) as int)))"
     else:
         unknown = f"array({vocabulary.unknown})"
-    ids = f"transform(spans, x -> if({of_span} is not null, array({of_span}), {unknown}))"
-    return spans.selectExpr("word", f"flatten({ids}) as ids")
-
-
-def _compress(blocks: int):
-    def run(batches):
-        for b in batches:
-            z, size, block = [], [], []
-            texts, ids = b.column("text"), b.column("doc_id").to_pylist()
-            for i in range(b.num_rows):
-                data = texts[i].as_py().encode("utf-8", "surrogatepass")
-                size.append(len(data))
-                z.append(pa.compress(data, codec="zstd", asbytes=True))
-                block.append((zlib.crc32(data) ^ zlib.crc32(str(ids[i]).encode())) % blocks)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(block, pa.int32()), b.column("doc_id"), pa.array(size, pa.int32()), pa.array(z, pa.binary())], names=["block", "doc_id", "size", "z"]
-            )
+    cut = cut.selectExpr("word", f"{path} as path")
+    known = "not exists(path, x -> x.piece_id is null)"
+    spelled = f"flatten(transform(path, x -> if(x.piece_id is null, {unknown}, array(x.piece_id))))"
+    return cut.selectExpr("word", f"if({known}, path.piece_id, {spelled}) as ids")
 
-    return run
 
+def _chunk_id(chunk: int) -> int:
+    """Number of a partition's chunk; a rescan of the same partitions gives the same numbers."""
+    from pyspark import TaskContext
 
-def _text(z: bytes, size: int) -> str:
-    return pa.decompress(z, decompressed_size=size, codec="zstd", asbytes=True).decode("utf-8", "surrogatepass") if size else ""
+    return (TaskContext.get().partitionId() << 20) | min(chunk, (1 << 20) - 1)
 
 
-def _block_words(vocabulary):
-    """Distinct words of each block that a partition holds."""
+def _chunk_words(vocabulary, chunk_chars: int):
+    """Distinct words of each chunk of consecutive documents."""
 
     def run(batches):
         v = vocabulary.value
-        held: dict[int, set] = {}
-        for b in batches:
-            for block, size, z in zip(b.column("block").to_pylist(), b.column("size").to_pylist(), b.column("z").to_pylist()):
-                held.setdefault(block, set()).update(v.words(_text(z, size)))
-                if sum(map(len, held.values())) > 2_000_000:
-                    yield from rows(held)
-        yield from rows(held)
-
-    def rows(held):
-        for block in list(held):
-            words = [w for w in held.pop(block) if len(w) <= LONGEST]
+        chunk, chars, held = 0, 0, set()
+
+        def rows():
+            words, block = list(held), _chunk_id(chunk)
             for at in range(0, len(words), 20_000):
                 part = words[at : at + 20_000]
-                yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([block] * len(part), pa.int32())], names=["word", "block"])
+                yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([block] * len(part), pa.int64())], names=["word", "block"])
+
+        for b in batches:
+            for t in b.column("text"):
+                text = t.as_py()
+                held.update(w for w in v.words(text) if len(w) <= LONGEST)
+                chars += len(text)
+                if chars >= chunk_chars:
+                    yield from rows()
+                    chunk, chars, held = chunk + 1, 0, set()
+        yield from rows()
 
     return run
 
@@ -310,7 +328,59 @@ def _pack(batches):
                 w.write_batch(part)
             out.append((int(block[s]), sink.getvalue().to_pybytes()))
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.int32()), pa.array([v for _, v in out], pa.binary())], names=["block", "packed"])
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.int64()), pa.array([v for _, v in out], pa.binary())], names=["block", "packed"])
+
+
+_PACKED = pa.schema([("packed", pa.binary())])
+
+
+def _write_chunks(folder: str):
+    """One file of packed words for each chunk; rows come sorted by chunk.  A repeated task writes the same again."""
+
+    def run(batches):
+        block, sink, tmp = None, None, ""
+        fs, base = open_fs(folder)
+        fs.create_dir(base, recursive=True)
+
+        def close():
+            sink[1].close()
+            sink[0].close()
+            fs.move(tmp, f"{base}/{block}.words")
+            return pa.RecordBatch.from_arrays([pa.array([block], pa.int64())], names=["block"])
+
+        for b in batches:
+            for k, packed in zip(b.column("block").to_pylist(), b.column("packed")):
+                if k != block:
+                    if sink:
+                        yield close()
+                    block, tmp = k, f"{base}/{k}.{uuid.uuid4().hex}.tmp"
+                    out = fs.open_output_stream(tmp, compression=None)
+                    sink = (out, pa.ipc.new_stream(out, _PACKED))
+                sink[1].write_batch(pa.RecordBatch.from_arrays([pa.array([packed.as_py()], pa.binary())], schema=_PACKED))
+        if sink:
+            yield close()
+
+    return run
+
+
+def _chunk_ids(folder: str, block: int) -> dict[str, bytes]:
+    """Word -> little-endian 32-bit ids of a chunk's file."""
+    import pyarrow.fs as pafs
+
+    fs, base = open_fs(folder)
+    path = f"{base}/{block}.words"
+    known: dict[str, bytes] = {}
+    if fs.get_file_info(path).type == pafs.FileType.NotFound:
+        return known
+    with fs.open_input_stream(path, compression=None) as f, pa.ipc.open_stream(f) as rows:
+        for row in rows:
+            for blob in row.column("packed"):
+                with pa.ipc.open_stream(blob.as_py()) as r:
+                    for batch in r:
+                        ids = batch.column("ids")
+                        flat, off = ids.values.to_numpy().astype("<i4"), ids.offsets.to_numpy()
+                        known.update((w, flat[off[i] : off[i + 1]].tobytes()) for i, w in enumerate(batch.column("word").to_pylist()))
+    return known
 
 
 _FULL = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("n_pieces", pa.int64()), ("ids", pa.binary()), ("decoded", pa.string())])
@@ -319,37 +389,45 @@ _DIGEST = pa.schema(
 )
 
 
-def _encode_block(vocabulary, digest: bool):
-    def run(docs: pa.Table, packed: pa.Table) -> pa.Table:
+def _encode_texts(vocabulary, folder: str, chunk_chars: int, digest: bool):
+    schema = _DIGEST if digest else _FULL
+
+    def run(batches):
         v = vocabulary.value
-        known: dict[str, bytes] = {}
-        for blob in packed.column("packed"):
-            with pa.ipc.open_stream(blob.as_py()) as r:
-                for batch in r:
-                    ids = batch.column("ids")
-                    flat, off = ids.values.to_numpy().astype("<i4"), ids.offsets.to_numpy()
-                    known.update((w, flat[off[i] : off[i + 1]].tobytes()) for i, w in enumerate(batch.column("word").to_pylist()))
-        rows = []
-        for doc_id, size, z in zip(docs.column("doc_id").to_pylist(), docs.column("size"), docs.column("z")):
-            text = _text(z.as_py(), size.as_py())
-            parts = []
-            for w in v.words(text):
-                if w not in known:
-                    if len(w) <= LONGEST:
-                        raise KeyError(f"word without ids: {w!r}")
-                    known[w] = np.array(v.fold_long(w), "<i4").tobytes()
-                parts.append(known[w])
-            ids = b"".join(parts)
-            decoded = v.decode(np.frombuffer(ids, "<i4").tolist())
-            found = (zlib.crc32(ids), zlib.crc32(decoded.encode("utf-8", "surrogatepass")), decoded == text) if digest else (ids, decoded)
-            rows.append((doc_id, len(text), len(ids) // 4, *found))
-        schema = _DIGEST if digest else _FULL
-        return pa.Table.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
+        chunk, chars, known = 0, 0, _chunk_ids(folder, _chunk_id(0))
+
+        def batch(rows):
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
+
+        for b in batches:
+            rows, held = [], 0
+            for doc_id, t in zip(b.column("doc_id").to_pylist(), b.column("text")):
+                text = t.as_py()
+                parts = []
+                for w in v.words(text):
+                    got = known.get(w)
+                    if got is None:  # a long word, or a row that was not in this chunk when it was read first
+                        got = known[w] = np.array(v.fold_long(w), "<i4").tobytes()
+                    parts.append(got)
+                ids = b"".join(parts)
+                decoded = v.decode(np.frombuffer(ids, "<i4").tolist())
+                found = (zlib.crc32(ids), zlib.crc32(decoded.encode("utf-8", "surrogatepass")), decoded == text) if digest else (ids, decoded)
+                rows.append((doc_id, len(text), len(ids) // 4, *found))
+                held += len(text)
+                chars += len(text)
+                if held >= 1 << 21:
+                    yield batch(rows)
+                    rows, held = [], 0
+                if chars >= chunk_chars:
+                    chunk, chars = chunk + 1, 0
+                    known = _chunk_ids(folder, _chunk_id(chunk))
+            if rows:
+                yield batch(rows)
 
     return run
 
 
-def encode(docs: DataFrame, vocabulary: Pieces, block_chars: int = 48_000_000, digest: bool = False) -> DataFrame:
+def encode(docs: DataFrame, vocabulary: Pieces, chunk_chars: int = 16_000_000, digest: bool = False) -> DataFrame:
     """(doc_id, n_chars, n_pieces, ids, decoded) of every document; ids as little-endian 32-bit integers.
 
     With ``digest``: (doc_id, n_chars, n_pieces, ids_crc32, decoded_crc32, exact) instead of ids
@@ -357,16 +435,13 @@ def encode(docs: DataFrame, vocabulary: Pieces, block_chars: int = 48_000_000, d
     """
     spark = docs.sparkSession
     texts = doc_texts(docs)
-    chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(1, -(-chars // block_chars))
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shared = spark.sparkContext.broadcast(vocabulary)
-    width = max(blocks, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    # both shuffles are read twice; equal columns let Spark reuse them
-    dealt = texts.mapInArrow(_compress(blocks), "block int, doc_id bigint, size int, z binary").repartition(width, "block")
-    by_word = dealt.mapInArrow(_block_words(shared), "word string, block int").repartition(width, "word")
+    folder = shared_path(spark, "op1-words")
+    # the shuffle by word is read twice; equal columns let Spark reuse it
+    by_word = texts.select("text").mapInArrow(_chunk_words(shared, chunk_chars), "word string, block bigint").repartition(width, "word")
     words = by_word.groupBy("word").agg(F.count("block").alias("blocks")).where("blocks > 0").select("word")
-    coded = encode_words(words, vocabulary)
-    packed = by_word.join(coded, "word").select("block", "word", "ids").mapInArrow(_pack, "block int, packed binary")
-    both = dealt.groupBy("block").cogroup(packed.withColumnRenamed("block", "in_block").groupBy("in_block"))
+    packed = by_word.join(encode_words(words, vocabulary), "word").select("block", "word", "ids").mapInArrow(_pack, "block bigint, packed binary")
+    packed.repartition(width, "block").sortWithinPartitions("block").mapInArrow(_write_chunks(folder), "block bigint").count()
     schema = "doc_id bigint, n_chars bigint, n_pieces bigint, " + ("ids_crc32 bigint, decoded_crc32 bigint, exact boolean" if digest else "ids binary, decoded string")
-    return both.applyInArrow(_encode_block(shared, digest), schema)
+    return texts.mapInArrow(_encode_texts(shared, folder, chunk_chars, digest), schema)
