@@ -38,7 +38,7 @@ parts AS (
 msgs AS (
   SELECT *,
     concat(
-      CASE WHEN event_id % 11 = 0 THEN '  ' ELSE '' END,
+      CASE WHEN b97 = 12 THEN repeat('a b ', 5000) || '#' WHEN event_id % 11 = 0 THEN '  ' ELSE '' END,
       concat_ws('.', '10', CAST(user_id % 256 AS VARCHAR), CAST(event_id % 256 AS VARCHAR),
                 CAST((event_id // 256) % 256 AS VARCHAR)),
       ' - ', CASE WHEN user_id % 3 = 0 THEN '-' ELSE 'u' || su END,
@@ -64,8 +64,8 @@ msgs AS (
       CASE k WHEN 3 THEN pid WHEN 4 THEN '' ELSE CASE WHEN event_id % 2 = 0 THEN pid ELSE '' END END,
       ': ',
       CASE k WHEN 3 THEN 'Failed password for ' || CASE WHEN event_id % 2 = 0 THEN 'invalid user ' ELSE '' END
-                         || 'bob' || su || ' from 10.1.' || CAST(user_id % 256 AS VARCHAR) || '.'
-                         || CAST(event_id % 256 AS VARCHAR) || ' port ' || CAST(event_id % 60000 + 1024 AS VARCHAR)
+                         || 'bob' || su || ' from ' || CASE WHEN b97 = 11 THEN '2001:db8::' || CAST(user_id % 256 AS VARCHAR)
+                           ELSE '10.1.' || CAST(user_id % 256 AS VARCHAR) || '.' || CAST(event_id % 256 AS VARCHAR) END || ' port ' || CAST(event_id % 60000 + 1024 AS VARCHAR)
                          || ' ssh2'
              WHEN 4 THEN 'alice' || su || ' : TTY=pts/' || CAST(event_id % 5 AS VARCHAR) || ' ; PWD=/home/alice'
                          || su || ' ; USER=root ; COMMAND=/bin/' || event_type || ' --id ' || CAST(event_id AS VARCHAR)

@@ -745,14 +745,16 @@ def q_bucket_filter_contradiction(spark, sf):
     return one(both, "in_and_equal").unionByName(one(option, "option_and_equal"))
 
 
+# the writer's stream ids: every 29th does not fit a signed 64-bit integer
+STREAM_ID_SQL = "(CAST(index_time % 1000 AS HUGEINT) + CASE WHEN event_id % 29 = 0 THEN 9223372036854775808::HUGEINT ELSE 0::HUGEINT END)"
 SCAN_COLS_SQL = """bucket_key, event_ordinal, index_time, event_time_ms, message, host, source, sourcetype,
-  index_time % 1000 AS stream_id, event_time_ms // 1000 AS stream_offset"""
+  CAST(""" + STREAM_ID_SQL + """ AS VARCHAR) AS stream_id, event_time_ms // 1000 AS stream_offset"""
 
 
 def _scan_cols(df):
     return df.select(R.bucket_key(F.col("index_name"), F.col("bucket_name")).alias("bucket_key"), "event_ordinal",
                      "index_time", "event_time_ms", decode_text(F.col("message")).alias("message"), "host", "source",
-                     "sourcetype", F.col("stream_id").cast("bigint").alias("stream_id"), "stream_offset")
+                     "sourcetype", F.col("stream_id").cast("string").alias("stream_id"), "stream_offset")
 
 
 @register("journal_scan", W(ORD_SQL) + f"SELECT {SCAN_COLS_SQL} FROM ord")
@@ -981,9 +983,10 @@ def q_runs_isolated(spark, sf):
     return spark.read.parquet(path).groupBy("ingest_run").agg(F.count(F.lit(1)).alias("n_docs"))
 
 
+JOURNAL_ID_SQL = DOC_ID_SQL.replace("index_time % 1000", STREAM_ID_SQL)
 BULK_SQL = W(ORD_SQL, CLS.replace("FROM corpus", "FROM ord")) + f"""
-SELECT {DOC_ID_SQL} AS doc_id,
-  '{{"index":{{"_id":"' || {DOC_ID_SQL} || '"}}}}' AS action,
+SELECT {JOURNAL_ID_SQL} AS doc_id,
+  '{{"index":{{"_id":"' || {JOURNAL_ID_SQL} || '"}}}}' AS action,
   json_object('@timestamp', {ISO_SQL}, 'message', message, 'host', {O.strip_prefix('host')},
               'source', {O.strip_prefix('source')}, 'sourcetype', {O.strip_prefix('sourcetype')},
               'event', json_object('kind', kind, 'dataset', {O.dataset()}), 'splunk.index', index_name,

@@ -6,8 +6,8 @@ picked by ``event_id % 8`` (0-1 access, 2 syslog, 3 sshd failure, 4 sudo,
 evidence by ``event_id % 3`` (0 sourcetype, 1 only source, 2 only message), so
 every classification branch is reached.  Broken rows (``-`` bytes, missing
 HTTP version, impossible date, December line read in January, 29 February,
-broken JSON, short flow lines, empty and tab-only text, CR inside a line) come
-from ``event_id % 97``.
+broken JSON, short flow lines, empty and tab-only text, CR inside a line, an
+IPv6 address, 20 KB in front of an access line) come from ``event_id % 97``.
 
 The same definition is written in DuckDB SQL in ``plans/oracle.py``; the two
 must stay in step.  Pure per-row column expressions: one narrow ``select``
@@ -123,8 +123,8 @@ def raw_events_from(ev: DataFrame) -> DataFrame:
     referrer = F.when(i % 5 == 0, lit("")).otherwise(F.concat(lit("https://example.com/"), et))
     agent = F.concat(lit("Mozilla/5.0 (X11; Linux x86_64) Agent/"), s(u % 7))
     access = F.concat(
-        F.when(i % 11 == 0, lit("  ")).otherwise(lit("")),
-        ip, lit(" - "), auth, lit(" ["), hdate, lit(" "), zone, lit('] "'), method, lit(" "), url, proto,
+        F.when(b97 == 12, F.repeat(lit("a b "), 5000)).when(i % 11 == 0, lit("  ")).otherwise(lit("")),
+        F.when(b97 == 12, lit("#")).otherwise(lit("")), ip, lit(" - "), auth, lit(" ["), hdate, lit(" "), zone, lit('] "'), method, lit(" "), url, proto,
         lit('" '), status, lit(" "), nbytes, lit(' "'), referrer, lit('" "'), agent, lit('"'))
 
     # -- syslog family -------------------------------------------------------
@@ -134,10 +134,12 @@ def raw_events_from(ev: DataFrame) -> DataFrame:
     prog = _case(k, {3: "sshd", 4: "sudo"}, _case(i % 3, {0: "cron", 1: "kernel"}, "systemd"))
     pid = F.concat(lit("["), s(u + 1000), lit("]"))
     pidpart = _case(k, {3: pid, 4: lit("")}, F.when(i % 2 == 0, pid).otherwise(lit("")))
+    source_ip = F.when(b97 == 11, F.concat(lit("2001:db8::"), s(u % 256))).otherwise(
+        F.concat(lit("10.1."), s(u % 256), lit("."), s(i % 256)))
     sys_text = _case(
         k,
         {3: F.concat(lit("Failed password for "), F.when(i % 2 == 0, lit("invalid user ")).otherwise(lit("")),
-                     lit("bob"), s(u), lit(" from 10.1."), s(u % 256), lit("."), s(i % 256), lit(" port "),
+                     lit("bob"), s(u), lit(" from "), source_ip, lit(" port "),
                      s(i % 60000 + 1024), lit(" ssh2")),
          4: F.concat(lit("alice"), s(u), lit(" : TTY=pts/"), s(i % 5), lit(" ; PWD=/home/alice"), s(u),
                      lit(" ; USER=root ; COMMAND=/bin/"), et, lit(" --id "), s(i))},

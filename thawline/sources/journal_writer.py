@@ -6,6 +6,7 @@ zstd stream writer (bounded memory, never a whole bucket in one pandas frame).
 Files are written under a temporary name and renamed, so a retried task
 leaves exactly one journal.  Buckets that hold no events get a header-only
 journal.  Injected variety (all by ``event_id``): event opcode 1/2/34/38,
+a stream id of 2**63 and more on every 29th,
 metadata on every fifth event (a repeated key on every tenth), a dangling
 metadata id on every 23rd, delete / hash-slice / private / NOP blocks, junk low
 bit in the sub-seconds, Latin-1 message bytes on every 17th, and two zstd
@@ -89,7 +90,7 @@ def _writer_task(root: str):
                     except UnicodeEncodeError:
                         pass
                 w.event(EVENT_OPS[eid % 4], r.host, r.source, r.sourcetype, int(r.index_time), int(r.event_time_ms),
-                        raw, int(r.index_time) % 1000, int(r.event_time_ms) // 1000, 0, fields, junk_bit=eid % 2)
+                        raw, int(r.index_time) % 1000 + (2**63 if eid % 29 == 0 else 0), int(r.event_time_ms) // 1000, 0, fields, junk_bit=eid % 2)
                 if eid % 23 == 0:
                     # a metadata pair whose value id is 0 (dangling): decoded as an extraction error
                     w.parts[-1] = _with_bad_meta(w.parts[-1])
