@@ -323,3 +323,28 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80, **options) -> D
     once = kept.join(twice, kept["doc_id"] == twice["doc_id"], "left_anti")
     again = kept.join(twice, kept["doc_id"] == twice["doc_id"], "left_semi")
     return once.unionByName(again.dropDuplicates(["doc_id"]))
+
+
+def near_duplicates_sql(words: int = 2, percent: int = 80) -> str:
+    """DuckDB twin of ``near_duplicates`` over ``documents`` (all overlaps counted; small tables only)."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    k = words
+    return f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+    list_filter(string_split_regex(translate(coalesce(text, ''), '{upper}', '{lower}'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS ws
+  FROM documents),
+sets AS (
+  SELECT rid, doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < {k} THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - {k - 2}), lambda i: array_to_string(ws[i:i + {k - 1}], ' '))) END AS sh
+  FROM d),
+items AS (SELECT rid, unnest(sh) AS s FROM sets WHERE doc_id IS NOT NULL),
+shared_items AS (SELECT a.rid AS a, b.rid AS b, count(*) AS c FROM items a JOIN items b ON a.s = b.s AND a.rid <> b.rid GROUP BY a.rid, b.rid),
+links AS (
+  SELECT o.a, o.b FROM shared_items o JOIN sets x ON x.rid = o.a JOIN sets y ON y.rid = o.b
+  WHERE 100 * o.c >= {percent} * (len(x.sh) + len(y.sh) - o.c)),
+reached AS (SELECT rid AS a, rid AS b FROM sets WHERE doc_id IS NOT NULL UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b),
+lowest AS (SELECT r.a AS rid, min(s.doc_id) AS component_id FROM reached r JOIN sets s ON s.rid = r.b GROUP BY r.a)
+SELECT doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, component_id, coalesce(doc_id = component_id, true) AS kept
+FROM sets LEFT JOIN lowest USING (rid)
+"""

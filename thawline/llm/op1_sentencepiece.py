@@ -43,10 +43,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from thawline.llm.common import doc_texts, shared_path
-from thawline.storage import open_fs
+from thawline.storage import open_fs, put_in_place
 
 SPACE = "▁"
 LONGEST = 60
+KEPT_UNITS = 150_000
+_WHOLE = "(?s).+"
 
 
 class Pieces:
@@ -55,6 +57,7 @@ class Pieces:
     def __init__(self, pieces: list[tuple[str, int, float]], byte_ids: list[int], unknown: int, fold: str):
         self.pieces, self.byte_ids, self.unknown, self.fold = pieces, byte_ids, unknown, fold
         self.by_text = {p: (i, s) for p, i, s in pieces}
+        self.wide = max([unknown, *byte_ids, *(i for _, i, _ in pieces)]) >= 1 << 16
         self.longest = max((len(p) for p, _, _ in pieces), default=1)
         self.pattern = self._pattern()
 
@@ -76,7 +79,7 @@ class Pieces:
         """Cuts a marked text where no piece crosses."""
         glue = {(a, b) for p, _, _ in self.pieces for a, b in zip(p, p[1:])}
         if any(b == SPACE and a != SPACE for a, b in glue):
-            return re.compile(r"(?s).+")
+            return re.compile(_WHOLE)
         apart: set[str] = set()
 
         def kind(c):
@@ -95,6 +98,18 @@ class Pieces:
     def words(self, text: str) -> list[str]:
         return self.pattern.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
+    def units(self, text: str) -> tuple[list[str], bool]:
+        """The text in parts that are encoded on their own: (parts, whether each stands behind a space).
+
+        A text without runs of spaces is cut at its spaces, the space in front of each part left
+        out; any other text is cut into words at once.
+        """
+        if not text:
+            return [], False
+        if self.pattern.pattern == _WHOLE or text[0] == " " or "  " in text or SPACE in text:
+            return self.words(text), False
+        return text.split(" "), True
+
     def char_ids(self, char: str) -> list[int]:
         if char in self.by_text:
             return [self.by_text[char][0]]
@@ -293,10 +308,12 @@ def _chunk_words(vocabulary, chunk_chars: int):
 
     def run(batches):
         v = vocabulary.value
-        chunk, chars, held = 0, 0, set()
+        chunk, chars, held, units = 0, 0, set(), set()
 
         def rows():
-            words, block = list(held), _chunk_id(chunk)
+            for u in units:
+                held.update(v.pattern.findall(SPACE + u))
+            words, block = [w for w in held if len(w) <= LONGEST], _chunk_id(chunk)
             for at in range(0, len(words), 20_000):
                 part = words[at : at + 20_000]
                 yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([block] * len(part), pa.int64())], names=["word", "block"])
@@ -304,31 +321,76 @@ def _chunk_words(vocabulary, chunk_chars: int):
         for b in batches:
             for t in b.column("text"):
                 text = t.as_py()
-                held.update(w for w in v.words(text) if len(w) <= LONGEST)
+                parts, behind_space = v.units(text)
+                (units if behind_space else held).update(parts)
                 chars += len(text)
                 if chars >= chunk_chars:
                     yield from rows()
-                    chunk, chars, held = chunk + 1, 0, set()
+                    chunk, chars, held, units = chunk + 1, 0, set(), set()
         yield from rows()
 
     return run
 
 
-def _pack(batches):
-    """Words and ids of an Arrow batch as one compressed record per block."""
-    for b in batches:
-        by_block = b.sort_by("block")
-        block = by_block.column("block").to_numpy()
-        cut = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1], [True]])) if len(block) else np.zeros(1, int)
-        out = []
+_ROWS = 200_000
+
+
+def _blob(words: list[str], ids: list[np.ndarray], wide: bool) -> bytes:
+    """Words and their ids, compressed: lengths, counts, words, ids."""
+    data = [w.encode("utf-8", "surrogatepass") for w in words]
+    raw = b"".join(
+        [
+            np.array([len(words)], "<u4").tobytes(), np.array([len(w) for w in data], np.uint8).tobytes(), np.array([len(x) for x in ids], np.uint8).tobytes(),
+            b"".join(data), np.concatenate(ids).astype("<u4" if wide else "<u2").tobytes(),
+        ]
+    )
+    return np.array([len(raw)], "<u4").tobytes() + pa.Codec("zstd", compression_level=9).compress(raw, asbytes=True)
+
+
+def _unblob(blob: bytes, wide: bool) -> dict[str, bytes]:
+    """Word -> little-endian 32-bit ids."""
+    raw = pa.Codec("zstd").decompress(blob[4:], decompressed_size=int.from_bytes(blob[:4], "little"), asbytes=True)
+    n = int.from_bytes(raw[:4], "little")
+    size, count = np.frombuffer(raw, np.uint8, n, 4).astype(np.int64), np.frombuffer(raw, np.uint8, n, 4 + n).astype(np.int64)
+    at = np.concatenate([[0], np.cumsum(size)]) + 4 + 2 * n
+    ids = np.frombuffer(raw, "<u4" if wide else "<u2", int(count.sum()), int(at[-1])).astype("<i4").tobytes()
+    off = (np.concatenate([[0], np.cumsum(count)]) * 4).tolist()
+    at = at.tolist()
+    return {raw[at[i] : at[i + 1]].decode("utf-8", "surrogatepass"): ids[off[i] : off[i + 1]] for i in range(n)}
+
+
+def _pack(wide: bool):
+    """Words and ids as compressed records, one per chunk for every so many rows."""
+
+    def flush(held: list):
+        rows = pa.Table.from_batches(held).combine_chunks()
+        block = rows.column("block").to_numpy()
+        order = np.argsort(block, kind="stable")
+        block = block[order]
+        words = rows.column("word").to_pylist()
+        column = rows.column("ids").chunk(0)
+        flat, off = column.values.to_numpy(), column.offsets.to_numpy()
+        cut = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1], [True]]))
+        keys, blobs = [], []
         for s, e in zip(cut[:-1].tolist(), cut[1:].tolist()):
-            part = by_block.slice(s, e - s).select(["word", "ids"])
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
-                w.write_batch(part)
-            out.append((int(block[s]), sink.getvalue().to_pybytes()))
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.int64()), pa.array([v for _, v in out], pa.binary())], names=["block", "packed"])
+            at = order[s:e].tolist()
+            keys.append(int(block[s]))
+            blobs.append(_blob([words[i] for i in at], [flat[off[i] : off[i + 1]] for i in at], wide))
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(blobs, pa.binary())], names=["block", "packed"])
+
+    def run(batches):
+        held, n = [], 0
+        for b in batches:
+            if b.num_rows:
+                held.append(b)
+                n += b.num_rows
+            if n >= _ROWS:
+                yield flush(held)
+                held, n = [], 0
+        if held:
+            yield flush(held)
+
+    return run
 
 
 _PACKED = pa.schema([("packed", pa.binary())])
@@ -345,7 +407,7 @@ def _write_chunks(folder: str):
         def close():
             sink[1].close()
             sink[0].close()
-            fs.move(tmp, f"{base}/{block}.words")
+            put_in_place(fs, tmp, f"{base}/{block}.words")
             return pa.RecordBatch.from_arrays([pa.array([block], pa.int64())], names=["block"])
 
         for b in batches:
@@ -363,24 +425,42 @@ def _write_chunks(folder: str):
     return run
 
 
-def _chunk_ids(folder: str, block: int) -> dict[str, bytes]:
-    """Word -> little-endian 32-bit ids of a chunk's file."""
-    import pyarrow.fs as pafs
+class _Ids(dict):
+    """Words' little-endian 32-bit ids as a chunk's file gives them; others are folded here.
+
+    Others are long words, and words of rows that an upstream plan gave in another order.
+    """
+
+    def __init__(self, vocabulary: Pieces, folder: str, block: int):
+        import pyarrow.fs as pafs
+
+        super().__init__()
+        self.vocabulary = vocabulary
+        fs, base = open_fs(folder)
+        path = f"{base}/{block}.words"
+        if fs.get_file_info(path).type != pafs.FileType.NotFound:
+            with fs.open_input_stream(path, compression=None) as f, pa.ipc.open_stream(f) as rows:
+                for row in rows:
+                    for blob in row.column("packed"):
+                        self.update(_unblob(blob.as_py(), vocabulary.wide))
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self[word] = np.array(self.vocabulary.fold_long(word), "<i4").tobytes()
+        return ids
+
+
+class _UnitIds(dict):
+    """Ids of parts that stand behind a space; emptied when it has grown large."""
+
+    def __init__(self, words: _Ids):
+        super().__init__()
+        self.words = words
 
-    fs, base = open_fs(folder)
-    path = f"{base}/{block}.words"
-    known: dict[str, bytes] = {}
-    if fs.get_file_info(path).type == pafs.FileType.NotFound:
-        return known
-    with fs.open_input_stream(path, compression=None) as f, pa.ipc.open_stream(f) as rows:
-        for row in rows:
-            for blob in row.column("packed"):
-                with pa.ipc.open_stream(blob.as_py()) as r:
-                    for batch in r:
-                        ids = batch.column("ids")
-                        flat, off = ids.values.to_numpy().astype("<i4"), ids.offsets.to_numpy()
-                        known.update((w, flat[off[i] : off[i + 1]].tobytes()) for i, w in enumerate(batch.column("word").to_pylist()))
-    return known
+    def __missing__(self, unit: str) -> bytes:
+        if len(self) >= KEPT_UNITS:
+            self.clear()
+        ids = self[unit] = b"".join(map(self.words.__getitem__, self.words.vocabulary.pattern.findall(SPACE + unit)))
+        return ids
 
 
 _FULL = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("n_pieces", pa.int64()), ("ids", pa.binary()), ("decoded", pa.string())])
@@ -394,7 +474,9 @@ def _encode_texts(vocabulary, folder: str, chunk_chars: int, digest: bool):
 
     def run(batches):
         v = vocabulary.value
-        chunk, chars, known = 0, 0, _chunk_ids(folder, _chunk_id(0))
+        chunk, chars = 0, 0
+        known = _Ids(v, folder, _chunk_id(0))
+        units = _UnitIds(known)
 
         def batch(rows):
             return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
@@ -403,13 +485,8 @@ def _encode_texts(vocabulary, folder: str, chunk_chars: int, digest: bool):
             rows, held = [], 0
             for doc_id, t in zip(b.column("doc_id").to_pylist(), b.column("text")):
                 text = t.as_py()
-                parts = []
-                for w in v.words(text):
-                    got = known.get(w)
-                    if got is None:  # a long word, or a row that was not in this chunk when it was read first
-                        got = known[w] = np.array(v.fold_long(w), "<i4").tobytes()
-                    parts.append(got)
-                ids = b"".join(parts)
+                parts, behind_space = v.units(text)
+                ids = b"".join(map((units if behind_space else known).__getitem__, parts))
                 decoded = v.decode(np.frombuffer(ids, "<i4").tolist())
                 found = (zlib.crc32(ids), zlib.crc32(decoded.encode("utf-8", "surrogatepass")), decoded == text) if digest else (ids, decoded)
                 rows.append((doc_id, len(text), len(ids) // 4, *found))
@@ -420,7 +497,9 @@ def _encode_texts(vocabulary, folder: str, chunk_chars: int, digest: bool):
                     rows, held = [], 0
                 if chars >= chunk_chars:
                     chunk, chars = chunk + 1, 0
-                    known = _chunk_ids(folder, _chunk_id(chunk))
+                    known = units = None  # before the next chunk's are read
+                    known = _Ids(v, folder, _chunk_id(chunk))
+                    units = _UnitIds(known)
             if rows:
                 yield batch(rows)
 
@@ -441,7 +520,7 @@ def encode(docs: DataFrame, vocabulary: Pieces, chunk_chars: int = 16_000_000, d
     # the shuffle by word is read twice; equal columns let Spark reuse it
     by_word = texts.select("text").mapInArrow(_chunk_words(shared, chunk_chars), "word string, block bigint").repartition(width, "word")
     words = by_word.groupBy("word").agg(F.count("block").alias("blocks")).where("blocks > 0").select("word")
-    packed = by_word.join(encode_words(words, vocabulary), "word").select("block", "word", "ids").mapInArrow(_pack, "block bigint, packed binary")
+    packed = by_word.join(encode_words(words, vocabulary), "word").select("block", "word", "ids").mapInArrow(_pack(vocabulary.wide), "block bigint, packed binary")
     packed.repartition(width, "block").sortWithinPartitions("block").mapInArrow(_write_chunks(folder), "block bigint").count()
     schema = "doc_id bigint, n_chars bigint, n_pieces bigint, " + ("ids_crc32 bigint, decoded_crc32 bigint, exact boolean" if digest else "ids binary, decoded string")
     return texts.mapInArrow(_encode_texts(shared, folder, chunk_chars, digest), schema)

@@ -93,7 +93,7 @@ def _h8(data: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
 
 
-_RUN = "rid bigint, rk int, digest bigint, key bigint, p0 int, n int, off int"
+_RUN = "rid bigint, rk bigint, digest bigint, key bigint, p0 int, n int, off int"
 
 
 def _runs(unit: str, threshold: int, gram: int):
@@ -149,7 +149,7 @@ def _blocks(unit: str, threshold: int, step: int):
                                _h8(x[lo : hi + threshold].tobytes()), lo, hi - lo + 1)
                         for c, v in zip(out, row):
                             c.append(v)
-            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+            types = [*[pa.int64()] * 5, pa.int32(), pa.int32()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=["rid", "rk", "c1", "c2", "digest", "p0", "n"])
 
     return run
@@ -166,7 +166,7 @@ def _suffixes(unit: str, threshold: int):
                     row = (rid, rk, int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True), p)
                     for c, v in zip(out, row):
                         c.append(v)
-            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32()]
+            types = [*[pa.int64()] * 4, pa.int32()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=["rid", "rk", "c1", "c2", "p0"])
 
     return run
@@ -178,7 +178,7 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63))).alias("rid"),
-        F.hash(text).alias("rk"),
+        F.xxhash64(text).alias("rk"),
         text.alias("text"),
     )
 
@@ -213,7 +213,7 @@ def repeated(texts: DataFrame, unit: str, threshold: int, gram: int, step: int)
     with_runs = saved(with_runs, "op4-open")
     blocks = saved(
         with_runs.select("rid", "rk", "text", "runs").mapInArrow(
-            _blocks(unit, threshold, step), "rid bigint, rk int, c1 bigint, c2 bigint, digest bigint, p0 int, n int"
+            _blocks(unit, threshold, step), "rid bigint, rk bigint, c1 bigint, c2 bigint, digest bigint, p0 int, n int"
         ),
         "op4-blocks",
     )
@@ -226,7 +226,7 @@ def repeated(texts: DataFrame, unit: str, threshold: int, gram: int, step: int)
 
     open2 = _with_text(with_runs, texts2.select("one.*"), ["p0", "n"])
     single = saved(
-        open2.select("rid", "rk", "text", "runs").mapInArrow(_suffixes(unit, threshold), "rid bigint, rk int, c1 bigint, c2 bigint, p0 int"),
+        open2.select("rid", "rk", "text", "runs").mapInArrow(_suffixes(unit, threshold), "rid bigint, rk bigint, c1 bigint, c2 bigint, p0 int"),
         "op4-pass3",
     )
     twice = single.groupBy("c1", "c2").agg(F.count("*").alias("size")).where("size > 1").select("c1", "c2")
@@ -300,12 +300,10 @@ def without_repeats(docs: DataFrame, threshold: int = 50, gram: int = 8, step: i
     ranges = _ranges(docs, "words", threshold, gram, step)
     cut = F.pandas_udf(lambda t, r: _cut(t, r, threshold), "string")
     names = docs.columns
-    key = keyed(docs.select("doc_id", "text")).select("rid", "rk", "text").schema
-    del key
     inner = docs.select(
         F.struct(*(docs[c] for c in names)).alias("row"),
         F.coalesce(docs["doc_id"].cast("bigint"), F.lit(-(2**63))).alias("rid"),
-        F.hash(F.coalesce(docs["text"], F.lit(""))).alias("rk"),
+        F.xxhash64(F.coalesce(docs["text"], F.lit(""))).alias("rk"),
     )
     both = inner.join(ranges, ["rid", "rk"], "left")
     text = F.when(F.col("ranges").isNull(), F.col("row.text")).otherwise(cut(F.coalesce("row.text", F.lit("")), "ranges"))
@@ -320,3 +318,27 @@ def _cut(texts, ranges, threshold):
     return pd.Series(
         [t if r is None else cut_words(t, merged([{"p0": x["p0"], "n": x["n"]} for x in r], threshold)) for t, r in zip(texts, ranges)]
     )
+
+
+def removed_bytes_sql(threshold: int = 400) -> str:
+    """DuckDB twin of ``removed_bytes`` over ``documents`` (every window by its digest; small tables only)."""
+    t = threshold
+    return f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n
+  FROM documents),
+starts AS (SELECT rid, h, unnest(range(0, n - {t - 1})) AS p FROM d WHERE n >= {t}),
+windows AS (SELECT rid, p, md5(substr(h, CAST(2 * p + 1 AS BIGINT), {2 * t})) AS k FROM starts),
+twice AS (SELECT rid, p FROM windows WHERE k IN (SELECT k FROM windows GROUP BY k HAVING count(*) > 1)),
+marked AS (SELECT rid, p, CASE WHEN p <= lag(p) OVER (PARTITION BY rid ORDER BY p) + {t} THEN 0 ELSE 1 END AS is_new FROM twice),
+grouped AS (SELECT rid, p, sum(is_new) OVER (PARTITION BY rid ORDER BY p) AS g FROM marked),
+spans AS (SELECT rid, g, min(p) AS s, max(p) + {t} AS e FROM grouped GROUP BY rid, g),
+gaps AS (SELECT rid, s, e, coalesce(lag(e) OVER (PARTITION BY rid ORDER BY s), 0) AS before FROM spans),
+kept AS (
+  SELECT g.rid, count(*) AS n_spans, sum(e - s) AS n_removed, max(e) AS last,
+    string_agg(substr(d.h, CAST(2 * before + 1 AS BIGINT), CAST(2 * (s - before) AS BIGINT)), '' ORDER BY s) AS head
+  FROM gaps g JOIN d ON d.rid = g.rid GROUP BY g.rid)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(head, '') || substr(h, CAST(2 * coalesce(last, 0) + 1 AS BIGINT)))) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid)
+"""

@@ -86,5 +86,7 @@ QUERIES = {
 
 SQL: dict[str, str] = {
     "op3_license_scan": op3_license.license_sql(),
+    "op4_suffix_array_dedup": op4_suffix.removed_bytes_sql(400),
     "op5_lm_scoring": op5_lm.cross_entropy_sql(),
+    "op10_minhash_near_dedup": op10_minhash.near_duplicates_sql(2, 80),
 }
