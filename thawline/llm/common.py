@@ -58,7 +58,7 @@ def digest16(data: bytes) -> bytes:
 class WordHashes(dict):
     """64-bit hashes of words, computed once per distinct word; emptied when it has grown large."""
 
-    LIMIT = 400_000
+    LIMIT = 150_000
 
     def __missing__(self, word: bytes) -> int:
         import xxhash

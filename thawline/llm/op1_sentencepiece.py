@@ -47,7 +47,7 @@ from thawline.storage import open_fs, put_in_place
 
 SPACE = "▁"
 LONGEST = 60
-KEPT_UNITS = 150_000
+KEPT_UNITS = 100_000
 _WHOLE = "(?s).+"
 
 
@@ -332,7 +332,7 @@ def _chunk_words(vocabulary, chunk_chars: int):
     return run
 
 
-_ROWS = 200_000
+_ROWS = 60_000
 
 
 def _blob(words: list[str], ids: list[np.ndarray], wide: bool) -> bytes:
@@ -492,7 +492,7 @@ def _encode_texts(vocabulary, folder: str, chunk_chars: int, digest: bool):
                 rows.append((doc_id, len(text), len(ids) // 4, *found))
                 held += len(text)
                 chars += len(text)
-                if held >= 1 << 21:
+                if held >= 1 << 20:
                     yield batch(rows)
                     rows, held = [], 0
                 if chars >= chunk_chars:
@@ -506,7 +506,7 @@ def _encode_texts(vocabulary, folder: str, chunk_chars: int, digest: bool):
     return run
 
 
-def encode(docs: DataFrame, vocabulary: Pieces, chunk_chars: int = 16_000_000, digest: bool = False) -> DataFrame:
+def encode(docs: DataFrame, vocabulary: Pieces, chunk_chars: int = 12_000_000, digest: bool = False) -> DataFrame:
     """(doc_id, n_chars, n_pieces, ids, decoded) of every document; ids as little-endian 32-bit integers.
 
     With ``digest``: (doc_id, n_chars, n_pieces, ids_crc32, decoded_crc32, exact) instead of ids
