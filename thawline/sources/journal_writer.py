@@ -24,7 +24,7 @@ from thawline.operators import runs as R
 from thawline import storage
 from thawline.session import checkpoint_dir
 from thawline.sources import journal_codec as J
-from thawline.storage import open_fs
+from thawline.storage import open_fs, put_in_place
 
 EVENT_OPS = (J.EVENT, J.EVENT_HASH, 34, 38)
 SUMMARY = "bucket_key STRING, journal_path STRING, n_events BIGINT"
@@ -48,7 +48,7 @@ def _write_file(path: str, chunks, two_frames: bool) -> None:
             if two_frames and i == 0:
                 w.flush(zstandard.FLUSH_FRAME)
         w.flush(zstandard.FLUSH_FRAME)
-    fs.move(tmp, inner)
+    put_in_place(fs, tmp, inner)
 
 
 def _writer_task(root: str):

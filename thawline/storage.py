@@ -74,6 +74,16 @@ def fingerprint(spark: SparkSession, path: str, *more: bytes) -> str:
     return h.hexdigest()[:16]
 
 
+def put_in_place(fs, tmp: str, path: str) -> None:
+    """Give a task's finished file its name; a repeated task has written the same and only cleans up."""
+    import pyarrow.fs as pafs
+
+    if fs.get_file_info(path).type == pafs.FileType.NotFound:
+        fs.move(tmp, path)
+    else:
+        fs.delete_file(tmp)
+
+
 def open_fs(path: str):
     """(pyarrow filesystem, path in it) of a plain path or URI, for use in tasks."""
     import pyarrow.fs as pafs
