@@ -35,8 +35,8 @@ def test_shard_lookup():
 def test_pieces_equal_whole_text():
     tokenizer, enc = Tokenizer.from_file(PATH), M.Encoder(PATH)
     texts = odd_texts(1500) + ["<|endoftext|> a<|endoftext|>b", "don't we'LL İstanbul ΑΣ ẞ", "á b́ ́c"]
-    for t, data in zip(texts, enc.encode([t.encode() for t in texts])):
-        assert np.frombuffer(data, "<u2").tolist() == tokenizer.encode(t, add_special_tokens=False).ids, t
+    for t in texts:
+        assert np.frombuffer(enc.encode(t.encode()), "<u2").tolist() == tokenizer.encode(t, add_special_tokens=False).ids, t
 
 
 def test_documents_round_trip(spark):

@@ -34,11 +34,11 @@ between them).  Empty table: no shard, empty result.
 
 from __future__ import annotations
 
-import re
 import struct
 import unicodedata
 import uuid
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -148,10 +148,6 @@ class Shard:
         return [self.ids[self.offsets[r] : self.offsets[r + 1]] for r in range(int(first[0]), int(first[0] + n[0]))]
 
 
-# letters (non-ASCII bytes are looked at again), with at most one stop or comma behind them
-_PLAIN = re.compile(rb"([A-Za-z\x80-\xff]+)([.,]?)")
-
-
 def _byte_chars() -> dict[int, str]:
     """Byte-level alphabet: visible Latin-1 characters stand for their own bytes, the others follow from 256 on."""
     own = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -162,12 +158,12 @@ def _byte_chars() -> dict[int, str]:
 _BYTE_CHARS = _byte_chars()
 
 
-class Encoder:
+class Encoder(dict):
     """Ids of white-space-free pieces, remembered per worker; emptied when the memory has grown large.
 
-    A piece of plain lower-case Latin letters is one word to the tokenizer's splitter, so its
-    model is asked directly; a capital or a closing stop or comma goes back to the plain word.
-    Every other piece goes through the whole tokenizer.
+    A piece of plain Latin letters is one word to the tokenizer's splitter, so the tokenizer's
+    model is asked directly for its lower-case form; a capital or a closing stop or comma goes
+    back to that word.  Every other piece goes through the whole tokenizer.
     """
 
     LIMIT = 700_000
@@ -176,10 +172,12 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.id_bytes = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
-        self.known: dict[bytes, bytes] = {}
         self.plain = self._plain_words()
+        self.stops = {b",": self._whole(b","), b".": self._whole(b".")}
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -190,56 +188,51 @@ class Encoder:
     def _plain_words(self) -> bool:
         """Whether this tokenizer lowers its text, splits at letters and maps bytes one to one."""
         probe = ["aba", "Thé", "straße,", "Ünd."]
-        return all(self._whole([w])[0] == self._ids_of_plain(w.rstrip(".,").lower()) + (self._whole([w[-1]])[0] if w[-1] in ".," else b"") for w in probe)
-
-    def _whole(self, pieces: list[str]) -> list[bytes]:
-        done = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [self._pack(e.ids) for e in done]
-
-    def _pack(self, ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}{'H' if self.id_bytes == 2 else 'I'}", *ids)
-
-    def _ids_of_plain(self, word: str) -> bytes:
-        return self._pack([t.id for t in self.tokenizer.model.tokenize(word.encode("utf-8").decode("latin-1").translate(_BYTE_CHARS))])
-
-    def _learn(self, pieces: set[bytes]) -> None:
-        known, rest = self.known, []
-        for p in pieces:
-            m = _PLAIN.fullmatch(p) if self.plain else None
-            if m is None:
-                rest.append(p)
-                continue
-            word = m.group(1).lower()
-            if not word.isascii():
-                text = word.decode("utf-8")
-                low = text.lower()
-                if not low.isalpha() or max(low) > "\u024f" or len(low) != len(text) or not unicodedata.is_normalized("NFC", low):
-                    rest.append(p)
-                    continue
-                word = low.encode("utf-8")
-            ids = known.get(word)
-            if ids is None:
-                ids = known[word] = self._ids_of_plain(word.decode("utf-8"))
-            if m.group(2):
-                ids += self._stop(m.group(2))
-            known[p] = ids
-        for at in range(0, len(rest), 20_000):
-            part = rest[at : at + 20_000]
-            known.update(zip(part, self._whole([p.decode("utf-8", "replace") for p in part])))
-
-    def _stop(self, mark: bytes) -> bytes:
-        if mark not in self.known:
-            self.known[mark] = self._whole([mark.decode()])[0]
-        return self.known[mark]
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Little-endian ids of each text."""
-        split = [t.split() for t in texts]
-        if len(self.known) > self.LIMIT:
-            self.known.clear()
-        self._learn(set().union(*split).difference(self.known))
-        get = self.known.__getitem__
-        return [b"".join(map(get, s)) for s in split]
+        return all(
+            self._whole(w.encode()) == self._word(w.rstrip(".,").lower().encode()) + (self._whole(w[-1].encode()) if w[-1] in ".," else b"") for w in probe
+        )
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return array("H" if self.id_bytes == 2 else "I", ids).tobytes()
+
+    def _whole(self, piece: bytes) -> bytes:
+        return self._packed(self.tokenizer.encode(piece.decode("utf-8", "replace"), add_special_tokens=False).ids)
+
+    def _word(self, word: bytes) -> bytes:
+        text = word.decode("ascii") if word.isascii() else word.decode("latin-1").translate(_BYTE_CHARS)
+        return self._packed([t.id for t in self.model.tokenize(text)])
+
+    def __missing__(self, piece: bytes) -> bytes:
+        if len(self) >= self.LIMIT:
+            self.clear()
+        stop = piece[-1:] if self.plain and piece[-1] in b",." else b""
+        word = piece[:-1] if stop else piece
+        low = _plain_lower(word) if self.plain else None
+        if low is None:
+            ids = self._whole(piece)
+        elif low == piece:
+            ids = self._word(low)
+        else:
+            ids = self[low] + self.stops[stop] if stop else self[low]
+        self[piece] = ids
+        return ids
+
+    def encode(self, text: bytes) -> bytes:
+        """Little-endian ids of a text."""
+        return b"".join(map(self.__getitem__, text.split()))
+
+
+def _plain_lower(word: bytes) -> bytes | None:
+    """Lower-case form of a word of Latin letters; None for anything else."""
+    if word.isalpha():  # ASCII letters only
+        return word.lower()
+    if word.isascii() or not word:
+        return None
+    text = word.decode("utf-8", "replace")
+    low = text.lower()
+    if not low.isalpha() or max(low) > "\u024f" or len(low) != len(text) or not unicodedata.is_normalized("NFC", low):
+        return None
+    return low.encode("utf-8")
 
 
 _MANIFEST = "partition int, part int, path string, low bigint, high bigint, n_rows bigint, n_tokens bigint"
@@ -274,19 +267,13 @@ def _writer(folder: str, tokenizer_path: str, end_id: int, shard_tokens: int):
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names=[f.split()[0] for f in _MANIFEST.split(", ")])
 
         for b in batches:
-            ids, texts = b.column("key"), b.column("text")
-            group, size, at = [], 0, 0
-            for i in range(b.num_rows):
-                group.append(texts[i].as_py().encode("utf-8"))
-                size += len(group[-1])
-                if size >= 1 << 20 or i == b.num_rows - 1:
-                    for k, data in zip(ids.slice(at, len(group)).to_pylist(), enc.encode(group)):
-                        keys.append(k)
-                        chunks.append(data + end)
-                        held += len(chunks[-1])
-                        if held >= shard_tokens * enc.id_bytes:
-                            yield flush()
-                    group, size, at = [], 0, i + 1
+            ids, texts = b.column("key"), b.column("text").cast(pa.binary())
+            for k, text in zip(ids.to_pylist(), texts):
+                keys.append(k)
+                chunks.append(enc.encode(text.as_py()) + end)
+                held += len(chunks[-1])
+                if held >= shard_tokens * enc.id_bytes:
+                    yield flush()
         if keys:
             yield flush()
 
