@@ -206,12 +206,6 @@ def route_and_parse(df: DataFrame, kinds=P.KINDS, kind="kind", message="message"
     return df.withColumns(out).drop("_acc", "_sys", "_ct", "_vpc", "_sshd", "_sudo")
 
 
-def error_message(decode_error: Column | None = None) -> Column:
-    """``error.message``; every processor ignores its own failure, so only
-    upstream errors (decode) set it."""
-    return decode_error if decode_error is not None else F.lit(None).cast("string")
-
-
 def legacy_parse(df: DataFrame, index_name: str = "index_name") -> DataFrame:
     """The older fixed per-index parsers: the index picks the parser (apache/nginx access,
     syslog) and ``event.dataset`` is a fixed name; no ``event.kind`` is set."""

@@ -58,13 +58,6 @@ def listing_with_empty(buckets: DataFrame) -> DataFrame:
     return buckets.unionByName(nxt)
 
 
-def bucket_counts(raw: DataFrame) -> DataFrame:
-    """Events and empty-message events per bucket (map-side partial aggregation)."""
-    return raw.groupBy("index_name", "bucket_name").agg(
-        F.count(F.lit(1)).alias("n_events"), F.count_if(F.col("message") == "").alias("n_empty")
-    ).withColumn("bucket_key", bucket_key(F.col("index_name"), F.col("bucket_name")))
-
-
 STATUSES = ("in_progress", "completed", "failed")
 CLEARED = "cleared"
 

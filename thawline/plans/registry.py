@@ -212,14 +212,15 @@ def q_text_decode(spark, sf):
 
 @register("text_decode_latin1", """
 SELECT doc_id, CASE WHEN lang = 'fr' THEN 'apache' ELSE 'app' END AS index_name,
-  CASE WHEN lang = 'fr' THEN strlen(text) ELSE length(text) END AS n_chars_out
+  CASE WHEN lang = 'fr' THEN array_to_string(list_transform(range(0, octet_length(encode(text))),
+    lambda i: chr(CAST('0x' || substr(hex(encode(text)), CAST(2 * i + 1 AS BIGINT), 2) AS INTEGER))), '') ELSE text END AS decoded
 FROM documents""")
 def q_text_decode_latin1(spark, sf):
     """UTF-8 bytes read through the Latin-1 fast path (index 'apache') keep one char per byte."""
     d = spark.read.parquet(f"{sf}/documents.parquet")
     idx = F.when(F.col("lang") == "fr", F.lit("apache")).otherwise(F.lit("app"))
     d = d.select("doc_id", idx.alias("index_name"), F.encode("text", "UTF-8").alias("b"))
-    return d.select("doc_id", "index_name", F.length(decode_text_fast(F.col("b"), F.col("index_name"))).cast("bigint").alias("n_chars_out"))
+    return d.select("doc_id", "index_name", decode_text_fast(F.col("b"), F.col("index_name")).alias("decoded"))
 
 
 # ---------------------------------------------------------------------------
@@ -297,13 +298,6 @@ def q_route_partial_router(spark, sf):
                 ("kind", "event_original", "event_category", "ts_ms", "client_ip", "syslog_hostname"))
 
 
-@register("parse_errors", W(CLS) + "SELECT event_id, CAST(NULL AS VARCHAR) AS error_message FROM classified")
-def q_parse_errors(spark, sf):
-    """Every processor ignores its own failure, so ``error.message`` stays NULL on clean input."""
-    from thawline.operators.parse import error_message
-    return B.classified(spark, sf).select("event_id", error_message().alias("error_message"))
-
-
 LEGACY_SQL = """
 legacy AS (
   SELECT * REPLACE (CASE WHEN index_name = 'syslog' THEN 'syslog' ELSE 'access_log' END AS kind)
@@ -960,16 +954,6 @@ def ingest_docs(ev: DataFrame) -> DataFrame:
     return B.docs(ev, keys=("doc_id", "bucket_key", "event_ordinal"))
 
 
-@register("write_docs_readback", W(CLS) + """
-SELECT index_name AS splunk_index, kind AS event_kind, count(*) AS n_docs FROM classified GROUP BY ALL""")
-def q_write_docs_readback(spark, sf):
-    """K1: documents written as a partitioned Parquet table (schema enforced), read back and counted."""
-    path = SK.new_run_path(spark)
-    SK.write_docs(ingest_docs(journal_events(spark, sf)), path, "1.0-run")
-    back = spark.read.parquet(path)
-    return back.groupBy("splunk_index", "event_kind").agg(F.count(F.lit(1)).alias("n_docs"))
-
-
 @register("runs_isolated", W() + """
 SELECT ingest_run, count(*) AS n_docs FROM (SELECT '1.0-a' AS ingest_run FROM corpus UNION ALL
   SELECT '1.1-b' FROM corpus) GROUP BY ingest_run""")
@@ -995,6 +979,22 @@ SELECT {JOURNAL_ID_SQL} AS doc_id,
 FROM classified"""
 
 
+@register("write_docs_readback", W(ORD_SQL, CLS.replace("FROM corpus", "FROM ord")) + f"""
+SELECT {JOURNAL_ID_SQL} AS doc_id, index_name AS splunk_index, kind AS event_kind, message, reason AS splunk_classify_reason FROM classified""")
+def q_write_docs_readback(spark, sf):
+    """K1: documents written as a partitioned Parquet table (schema enforced) and read back row by row."""
+    path = SK.new_run_path(spark)
+    SK.write_docs(ingest_docs(journal_events(spark, sf)), path, "1.0-run")
+    return spark.read.parquet(path).select("doc_id", "splunk_index", "event_kind", "message", "splunk_classify_reason")
+
+
+@register("parse_errors", W(ORD_SQL) + "SELECT bucket_key, event_ordinal, CAST(NULL AS VARCHAR) AS error_message FROM ord")
+def q_parse_errors(spark, sf):
+    """Every processor ignores its own failure, so the documents of clean journals carry no ``error_message``."""
+    from thawline.plans.ingest import documents
+    return documents(journal_events(spark, sf)).select("bucket_key", "event_ordinal", "error_message")
+
+
 @register("bulk_ndjson", BULK_SQL)
 def q_bulk_ndjson(spark, sf):
     """K2: bulk request lines: action with the document id only, body without it."""
