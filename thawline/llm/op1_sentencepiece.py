@@ -77,10 +77,11 @@ class Pieces:
 
     def _pattern(self) -> re.Pattern:
         """Cuts a marked text where no piece crosses."""
+        self.apart: set[str] = set()
         glue = {(a, b) for p, _, _ in self.pieces for a, b in zip(p, p[1:])}
         if any(b == SPACE and a != SPACE for a, b in glue):
             return re.compile(_WHOLE)
-        apart: set[str] = set()
+        apart = self.apart  # letters and digits that are cut like other characters
 
         def kind(c):
             return c.isalnum() and c not in apart
@@ -250,18 +251,19 @@ def _fold_bpe(edges: DataFrame) -> DataFrame:
 
     One pass over the edges from the best score on makes the model's merges in the model's order,
     unless a merge opens a better one that was passed already.  Only pieces marked ``opens`` can
-    do that; words that merged such a piece are folded again, taking the best open edge each time.
+    do that, and only where the word has a better edge over them; such words (bit 62 of the state)
+    are folded again, taking the best open edge each time.
     """
     x = edges.selectExpr("word", "edges", "length(word) as n", "filter(edges, e -> e.end - e.start > 1) as joins")
+    better = "exists(joins, f -> f.rank < e.rank and ((f.start = e.start and f.end > e.end) or (f.end = e.end and f.start < e.start)))"
     once = (
-        "aggregate(joins, named_struct('cuts', shiftleft(1L, n) * 2L - 1L, 'again', false), (a, e) -> "
-        "if((a.cuts & e.ends) = e.ends and bit_count(a.cuts & e.inside) = 1, "
-        "named_struct('cuts', a.cuts & ~e.inside, 'again', a.again or e.opens), a))"
+        f"aggregate(joins, shiftleft(1L, n) * 2L - 1L, (cuts, e) -> if({_JOINS}, "
+        f"(cuts & ~e.inside) | if(e.opens and {better}, shiftleft(1L, 62), 0L), cuts))"
     )
     best = f"get(filter(joins, e -> {_JOINS}), 0)"
     full = f"aggregate(if(n > 1, sequence(1, n - 1), array()), shiftleft(1L, n) * 2L - 1L, (cuts, k) -> coalesce(cuts & ~{best}.inside, cuts))"
     x = x.selectExpr("word", "edges", "n", "joins", f"{once} as once")
-    return x.selectExpr("word", "edges", f"if(once.again, {full}, once.cuts) as cuts")
+    return x.selectExpr("word", "edges", f"if(once >= shiftleft(1L, 62), {full}, once) as cuts")
 
 
 def _fold_viterbi(edges: DataFrame, low: float) -> DataFrame:
@@ -335,16 +337,13 @@ def _chunk_words(vocabulary, chunk_chars: int):
 _ROWS = 60_000
 
 
-def _blob(words: list[str], ids: list[np.ndarray], wide: bool) -> bytes:
-    """Words and their ids, compressed: lengths, counts, words, ids."""
-    data = [w.encode("utf-8", "surrogatepass") for w in words]
-    raw = b"".join(
-        [
-            np.array([len(words)], "<u4").tobytes(), np.array([len(w) for w in data], np.uint8).tobytes(), np.array([len(x) for x in ids], np.uint8).tobytes(),
-            b"".join(data), np.concatenate(ids).astype("<u4" if wide else "<u2").tobytes(),
-        ]
-    )
-    return np.array([len(raw)], "<u4").tobytes() + pa.Codec("zstd", compression_level=9).compress(raw, asbytes=True)
+def _blob(words: pa.Array, ids: np.ndarray, counts: np.ndarray, wide: bool) -> bytes:
+    """Words and their ids, compressed: number, lengths, counts, words, ids."""
+    off = np.frombuffer(words.buffers()[1], np.int32, len(words) + 1, words.offset * 4)
+    data = words.buffers()[2].slice(int(off[0]), int(off[-1] - off[0])).to_pybytes()
+    head = [np.array([len(words)], "<u4"), np.diff(off).astype(np.uint8), counts.astype(np.uint8)]
+    raw = b"".join([*(x.tobytes() for x in head), data, ids.astype("<u4" if wide else "<u2").tobytes()])
+    return np.array([len(raw)], "<u4").tobytes() + pa.Codec("zstd", compression_level=6).compress(raw, asbytes=True)
 
 
 def _unblob(blob: bytes, wide: bool) -> dict[str, bytes]:
@@ -367,15 +366,17 @@ def _pack(wide: bool):
         block = rows.column("block").to_numpy()
         order = np.argsort(block, kind="stable")
         block = block[order]
-        words = rows.column("word").to_pylist()
+        words = rows.column("word").chunk(0)
         column = rows.column("ids").chunk(0)
-        flat, off = column.values.to_numpy(), column.offsets.to_numpy()
+        flat, off = column.values.to_numpy(), column.offsets.to_numpy().astype(np.int64)
         cut = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1], [True]]))
         keys, blobs = [], []
         for s, e in zip(cut[:-1].tolist(), cut[1:].tolist()):
-            at = order[s:e].tolist()
+            at = order[s:e]
+            n = off[at + 1] - off[at]
+            ids = flat[np.repeat(off[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
             keys.append(int(block[s]))
-            blobs.append(_blob([words[i] for i in at], [flat[off[i] : off[i + 1]] for i in at], wide))
+            blobs.append(_blob(words.take(pa.array(at)), ids, n, wide))
         return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(blobs, pa.binary())], names=["block", "packed"])
 
     def run(batches):
@@ -425,44 +426,58 @@ def _write_chunks(folder: str):
     return run
 
 
+class _Behind(dict):
+    """Ids of the parts that stand behind a space, the space left out."""
+
+    def __init__(self, vocabulary: Pieces, words: dict):
+        super().__init__()
+        self.vocabulary, self.words, self.room = vocabulary, words, KEPT_UNITS
+
+    def __missing__(self, unit: str) -> bytes:
+        last = unit[-1:]
+        if last in self.words and last in ",." and unit[-2:-1].isalpha() and unit[:-1] in self and unit[-2] not in self.vocabulary.apart:
+            ids = self[unit[:-1]] + self.words[last]
+        else:
+            parts = self.vocabulary.pattern.findall(SPACE + unit)
+            first = self.words[parts[0]] if len(parts) == 1 or parts[0] == SPACE else self[parts[0][1:]]
+            ids = first + b"".join(map(self.words.__getitem__, parts[1:]))
+        if self.room:  # what a chunk's words do not make up is kept up to a bound
+            self.room -= 1
+            self[unit] = ids
+        return ids
+
+
 class _Ids(dict):
     """Words' little-endian 32-bit ids as a chunk's file gives them; others are folded here.
 
-    Others are long words, and words of rows that an upstream plan gave in another order.
+    Others are long words, and words of rows that an upstream plan gave in another order.  Words
+    with one space in front are in ``behind``.
     """
 
     def __init__(self, vocabulary: Pieces, folder: str, block: int):
         import pyarrow.fs as pafs
 
         super().__init__()
-        self.vocabulary = vocabulary
+        self.vocabulary, self.behind = vocabulary, _Behind(vocabulary, self)
         fs, base = open_fs(folder)
         path = f"{base}/{block}.words"
         if fs.get_file_info(path).type != pafs.FileType.NotFound:
             with fs.open_input_stream(path, compression=None) as f, pa.ipc.open_stream(f) as rows:
                 for row in rows:
                     for blob in row.column("packed"):
-                        self.update(_unblob(blob.as_py(), vocabulary.wide))
+                        for w, ids in _unblob(blob.as_py(), vocabulary.wide).items():
+                            if w[0] == SPACE and w[1:2] not in ("", SPACE):
+                                self.behind[w[1:]] = ids
+                            else:
+                                self[w] = ids
 
     def __missing__(self, word: str) -> bytes:
+        if word[0] == SPACE and word[1:] in self.behind:
+            return self.behind[word[1:]]
         ids = self[word] = np.array(self.vocabulary.fold_long(word), "<i4").tobytes()
         return ids
 
 
-class _UnitIds(dict):
-    """Ids of parts that stand behind a space; emptied when it has grown large."""
-
-    def __init__(self, words: _Ids):
-        super().__init__()
-        self.words = words
-
-    def __missing__(self, unit: str) -> bytes:
-        if len(self) >= KEPT_UNITS:
-            self.clear()
-        ids = self[unit] = b"".join(map(self.words.__getitem__, self.words.vocabulary.pattern.findall(SPACE + unit)))
-        return ids
-
-
 _FULL = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("n_pieces", pa.int64()), ("ids", pa.binary()), ("decoded", pa.string())])
 _DIGEST = pa.schema(
     [("doc_id", pa.int64()), ("n_chars", pa.int64()), ("n_pieces", pa.int64()), ("ids_crc32", pa.int64()), ("decoded_crc32", pa.int64()), ("exact", pa.bool_())]
@@ -476,7 +491,6 @@ def _encode_texts(vocabulary, folder: str, chunk_chars: int, digest: bool):
         v = vocabulary.value
         chunk, chars = 0, 0
         known = _Ids(v, folder, _chunk_id(0))
-        units = _UnitIds(known)
 
         def batch(rows):
             return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
@@ -486,7 +500,7 @@ def _encode_texts(vocabulary, folder: str, chunk_chars: int, digest: bool):
             for doc_id, t in zip(b.column("doc_id").to_pylist(), b.column("text")):
                 text = t.as_py()
                 parts, behind_space = v.units(text)
-                ids = b"".join(map((units if behind_space else known).__getitem__, parts))
+                ids = b"".join(map((known.behind if behind_space else known).__getitem__, parts))
                 decoded = v.decode(np.frombuffer(ids, "<i4").tolist())
                 found = (zlib.crc32(ids), zlib.crc32(decoded.encode("utf-8", "surrogatepass")), decoded == text) if digest else (ids, decoded)
                 rows.append((doc_id, len(text), len(ids) // 4, *found))
@@ -497,9 +511,8 @@ def _encode_texts(vocabulary, folder: str, chunk_chars: int, digest: bool):
                     rows, held = [], 0
                 if chars >= chunk_chars:
                     chunk, chars = chunk + 1, 0
-                    known = units = None  # before the next chunk's are read
+                    known = None  # before the next chunk's are read
                     known = _Ids(v, folder, _chunk_id(chunk))
-                    units = _UnitIds(known)
             if rows:
                 yield batch(rows)
 
