@@ -47,7 +47,7 @@ from thawline.storage import open_fs, put_in_place
 
 SPACE = "▁"
 LONGEST = 60
-KEPT_UNITS = 100_000
+KEPT_UNITS = 80_000
 _WHOLE = "(?s).+"
 
 
@@ -311,10 +311,17 @@ def _chunk_words(vocabulary, chunk_chars: int):
     def run(batches):
         v = vocabulary.value
         chunk, chars, held, units = 0, 0, set(), set()
+        plain, marks = not any(c.isalpha() for c in v.apart) and v.pattern.pattern != _WHOLE, frozenset(",.")
 
         def rows():
             for u in units:
-                held.update(v.pattern.findall(SPACE + u))
+                if u.isalpha() and plain:
+                    held.add(SPACE + u)
+                elif u[-1:] in marks and u[:-1].isalpha() and plain:
+                    held.add(SPACE + u[:-1])
+                    held.add(u[-1])
+                else:
+                    held.update(v.pattern.findall(SPACE + u))
             words, block = [w for w in held if len(w) <= LONGEST], _chunk_id(chunk)
             for at in range(0, len(words), 20_000):
                 part = words[at : at + 20_000]
