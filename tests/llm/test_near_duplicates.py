@@ -47,7 +47,15 @@ def test_equals_brute_force(spark, words, list_bound, block):
     assert all(r.kept == (r.doc_id is None or r.doc_id == r.component_id) for r in got)
 
 
-def test_large_group_of_near_copies(spark):
+@pytest.fixture
+def apart(spark):
+    """Every shuffle partition stays a task of its own, as on a cluster."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_large_group_of_near_copies(spark, apart):
     """Lists longer than the bound: leaders, then blocks; documents that only share a passage stay apart."""
     rng = random.Random(2)
     base, passage = prose(rng, 120).split(), prose(rng, 60)

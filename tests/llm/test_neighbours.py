@@ -1,6 +1,7 @@
 """Neighbour search against brute force."""
 
 import numpy as np
+import pytest
 
 from thawline.llm import op2_ann as M
 
@@ -30,7 +31,15 @@ def rows(n=700, dim=12, seed=1):
                 (2100, [float("inf")] * dim), (None, [1.0] * dim), (2120, [1.0, 2.0]), (2140, [2.0, 1.0])]
 
 
-def test_recall_order_and_scores(spark):
+@pytest.fixture
+def apart(spark):
+    """Every shuffle partition stays a task of its own, as on a cluster."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_recall_order_and_scores(spark, apart):
     data = rows()
     want = brute(data, 20, 20)
     got = {}
@@ -47,7 +56,7 @@ def test_recall_order_and_scores(spark):
     assert got[2120] == [(1, 2140, 4.0)]
 
 
-def test_copies_give_their_smallest_ids(spark):
+def test_copies_give_their_smallest_ids(spark, apart):
     data = [(i, [1.0, 0.5]) for i in range(50)]
     got = [(r.query_id, r.vec_id) for r in M.neighbours(table(spark, data), k=3, block_rows=7).collect()]
     assert sorted(got) == [(0, 1), (0, 2), (0, 3), (20, 0), (20, 1), (20, 2), (40, 0), (40, 1), (40, 2)]

@@ -167,10 +167,11 @@ def neighbours(
     norm = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
     n, n_q, largest = rows.agg(F.count("*"), F.count_if(F.col("v_id") % every == 0), F.max(norm)).first()
     blocks, parts = max(1, -(-n // block_rows)), max(1, -(-n_q // query_rows))
-    index = rows.withColumn("dim", F.size("v")).withColumn("block", F.pmod(F.xxhash64("v_id"), F.lit(blocks)))
+    # keys of both sides have the same types: equal numbers of other types hash apart
+    index = rows.withColumn("dim", F.size("v")).withColumn("block", F.pmod(F.xxhash64("v_id"), F.lit(blocks)).cast("int"))
     index = index.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     asked = rows.where(F.col("v_id") % every == 0).select(F.col("v_id").alias("q_id"), F.col("v").alias("q")).distinct()
-    asked = asked.withColumn("q_dim", F.size("q")).withColumn("q_part", F.pmod(F.xxhash64("q_id", F.lit(7)), F.lit(parts)))
+    asked = asked.withColumn("q_dim", F.size("q")).withColumn("q_part", F.pmod(F.xxhash64("q_id", F.lit(7)), F.lit(parts)).cast("int"))
     asked = asked.withColumn("q_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     found = index.groupBy("dim", "block", "part").cogroup(asked.groupBy("q_dim", "q_block", "q_part"))
     found = found.applyInPandas(_pair(k, largest or 0.0, projections, confidence, seed), "query_id bigint, vec_id bigint, score double")
