@@ -298,7 +298,6 @@ def without_repeats(docs: DataFrame, threshold: int = 50, gram: int = 8, step: i
     Every row stays, also one whose whole text goes; ``n_chars``, where present, is counted anew.
     """
     ranges = _ranges(docs, "words", threshold, gram, step)
-    cut = F.pandas_udf(lambda t, r: _cut(t, r, threshold), "string")
     names = docs.columns
     inner = docs.select(
         F.struct(*(docs[c] for c in names)).alias("row"),
@@ -306,18 +305,34 @@ def without_repeats(docs: DataFrame, threshold: int = 50, gram: int = 8, step: i
         F.xxhash64(F.coalesce(docs["text"], F.lit(""))).alias("rk"),
     )
     both = inner.join(ranges, ["rid", "rk"], "left")
-    text = F.when(F.col("ranges").isNull(), F.col("row.text")).otherwise(cut(F.coalesce("row.text", F.lit("")), "ranges"))
-    both = both.withColumn("cut_text", text)
-    new = {"text": F.col("cut_text"), "n_chars": F.when(F.col("ranges").isNull(), F.col("row.n_chars")).otherwise(F.length("cut_text").cast("bigint"))} if "n_chars" in names else {"text": F.col("cut_text")}
-    return both.select(*(new.get(c, F.col("row").getField(c)).alias(c) for c in names))
+    flat = both.select(*(F.col("row").getField(c).alias(c) for c in names), F.col("ranges").alias("thawline_op4_ranges"))
+    return flat.mapInArrow(_cut_rows(names, threshold), docs.schema)
 
 
-def _cut(texts, ranges, threshold):
-    import pandas as pd
+def _cut_rows(names: list[str], threshold: int):
+    """Texts without their ranges' words (the column behind the table's own), some bytes of text at a time."""
 
-    return pd.Series(
-        [t if r is None else cut_words(t, merged([{"p0": x["p0"], "n": x["n"]} for x in r], threshold)) for t, r in zip(texts, ranges)]
-    )
+    def run(batches):
+        text, chars = names.index("text"), names.index("n_chars") if "n_chars" in names else None
+        for b in batches:
+            columns, ranges = b.columns[: len(names)], b.column(len(names))
+            start, held, new, sizes = 0, 0, [], []
+            for i in range(b.num_rows):
+                t, r = columns[text][i].as_py(), ranges[i].as_py()
+                if r is not None:
+                    t = cut_words(t or "", merged(r, threshold))
+                new.append(t)
+                sizes.append(columns[chars][i].as_py() if chars is not None and r is None else len(t or ""))
+                held += len(t or "")
+                if held >= 1 << 20 or i == b.num_rows - 1:
+                    out = [c.slice(start, len(new)) for c in columns]
+                    out[text] = pa.array(new, columns[text].type)
+                    if chars is not None:
+                        out[chars] = pa.array(sizes, columns[chars].type)
+                    yield pa.RecordBatch.from_arrays(out, schema=pa.schema([b.schema.field(k) for k in range(len(names))]))
+                    start, held, new, sizes = i + 1, 0, [], []
+
+    return run
 
 
 def removed_bytes_sql(threshold: int = 400) -> str:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from thawline.llm.common import doc_texts
 
 WRAP = 256
-GROUP = 2 << 20
+GROUP = 1 << 20
 FOLDS = 5
 
 _KINDS = [
@@ -270,20 +270,20 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, t
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, train_docs: int = 4000, train_lines: int = 200) -> DataFrame:
     """The rows of ``docs`` that are predicted good, all columns as they were (no shuffle)."""
     m = trained(docs, labels, train_docs, train_lines)
+    return docs.mapInArrow(keep_slices("text", lambda texts: score(m, texts) >= threshold), docs.schema)
 
-    @F.pandas_udf("double")
-    def quality(texts):
-        import pandas as pd
-
-        out, group, held = [np.zeros(0)], [], 0
-        for t in texts:
-            group.append(t.encode("utf-8", "surrogatepass"))
-            held += len(group[-1])
-            if held >= GROUP:
-                out.append(score(m, group))
-                group, held = [], 0
-        if group:
-            out.append(score(m, group))
-        return pd.Series(np.concatenate(out))
-
-    return docs.where(quality(F.coalesce(docs["text"], F.lit(""))) >= threshold)
+
+def keep_slices(column: str, good):
+    """Function for ``mapInArrow`` that passes on the rows whose text ``good`` accepts, some bytes of text at a time."""
+
+    def run(batches):
+        for b in batches:
+            texts, group, held, start = b.column(b.schema.names.index(column)), [], 0, 0
+            for i in range(b.num_rows):
+                group.append((texts[i].as_py() or "").encode("utf-8", "surrogatepass"))
+                held += len(group[-1])
+                if held >= GROUP or i == b.num_rows - 1:
+                    yield b.slice(start, len(group)).filter(pa.array(good(group)))
+                    group, held, start = [], 0, i + 1
+
+    return run

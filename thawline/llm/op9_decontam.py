@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from thawline.llm.common import U64, doc_texts, mix
-from thawline.llm.op7_quality import GROUP
+from thawline.llm.op7_quality import GROUP, keep_slices
 
 _OTHER = re.compile(r"[\W_]+")
 _MULT = 0x9E3779B97F4A7C15
@@ -237,23 +237,15 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
     kept = docs
     for items in _blocks(benchmark, options.get("q", 12), options.get("block_chars", 4_000_000)):
         block = spark.sparkContext.broadcast(Block(items, options.get("q", 12), options.get("per_edit", 16)))
-        kept = kept.where(~F.pandas_udf(_has_leak(block), "boolean")(F.coalesce(docs["text"], F.lit(""))))
+        kept = kept.mapInArrow(keep_slices("text", _without_leak(block)), docs.schema)
     return kept
 
 
-def _has_leak(block):
-    def run(texts):
-        import pandas as pd
+def _without_leak(block):
+    def good(texts: list[bytes]) -> np.ndarray:
+        out = np.ones(len(texts), bool)
+        for d, *_ in block.value.find([t.decode("utf-8", "surrogatepass") for t in texts]):
+            out[d] = False
+        return out
 
-        out = np.zeros(len(texts), bool)
-        group, held = [], 0
-        for i, t in enumerate(texts):
-            group.append(t)
-            held += len(t)
-            if held >= GROUP or i == len(texts) - 1:
-                for d, *_ in block.value.find(group):
-                    out[i + 1 - len(group) + d] = True
-                group, held = [], 0
-        return pd.Series(out)
-
-    return run
+    return good
