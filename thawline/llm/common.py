@@ -19,6 +19,18 @@ U64 = np.uint64
 _M1, _M2 = U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB)
 
 
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hand texts to Python in Arrow batches of 4 MB, unless the session has a setting of its own.
+
+    Spark's own 64 MB stand in an executor several times: in the JVM and in every worker.
+    """
+    if spark.conf.get(_BATCH_BYTES, "") == "67108864b":
+        spark.conf.set(_BATCH_BYTES, "4m")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ensure_utc(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -26,6 +38,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def doc_texts(docs: DataFrame) -> DataFrame:
     """(doc_id, text) of a documents table; a null text is the empty text."""
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 

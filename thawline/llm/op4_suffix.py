@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thawline.llm.common import U64, WORD_HASHES, mix, saved
+from thawline.llm.common import U64, WORD_HASHES, mix, saved, small_batches
 
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * U64(0x9E3779B97F4A7C15))
 _BASE = 0xD6E8FEB86659FD93
@@ -174,6 +174,7 @@ def _suffixes(unit: str, threshold: int):
 
 def keyed(docs: DataFrame) -> DataFrame:
     """(doc_id, rid, rk, text): rid stands for the doc_id also when null, rk tells texts of one doc_id apart."""
+    small_batches(docs.sparkSession)
     text = F.coalesce(F.col("text"), F.lit(""))
     return docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),

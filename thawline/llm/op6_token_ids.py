@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from thawline.llm.common import U64, mix, saved, shared_path
+from thawline.llm.common import U64, mix, saved, shared_path, small_batches
 
 MAGIC = b"THAWIDS1"
 HEAD = struct.Struct("<8sIIQQQ")
@@ -288,6 +288,7 @@ def write_shards(
     Manifest: partition, part, path, low, high, n_rows, n_tokens, start (ids before the shard).
     """
     spark = docs.sparkSession
+    small_batches(spark)
     folder = folder or shared_path(spark, "token-ids")
     text = F.coalesce(F.col("text"), F.lit(""))
     keyed = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NULL_KEY)).alias("key"), F.xxhash64(text).alias("tie"), text.alias("text"))
