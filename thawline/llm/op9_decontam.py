@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thawline.llm.common import U64, doc_texts, mix
+from thawline.llm.common import U64, doc_texts, mix, small_batches
 from thawline.llm.op7_quality import GROUP, keep_slices
 
 _OTHER = re.compile(r"[\W_]+")
@@ -234,6 +234,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, q: int = 12, per_edit: i
 def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, all columns as they were."""
     spark = docs.sparkSession
+    small_batches(spark)
     kept = docs
     for items in _blocks(benchmark, options.get("q", 12), options.get("block_chars", 4_000_000)):
         block = spark.sparkContext.broadcast(Block(items, options.get("q", 12), options.get("per_edit", 16)))
