@@ -27,7 +27,7 @@ def small_batches(spark: SparkSession) -> None:
 
     Spark's own 64 MB stand in an executor several times: in the JVM and in every worker.
     """
-    if spark.conf.get(_BATCH_BYTES, "") == "67108864b":
+    if spark.conf.get(_BATCH_BYTES) == "67108864b":
         spark.conf.set(_BATCH_BYTES, "4m")
 
 
