@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 LEAF = 64
-BATCH = 128
+OPEN = 32  # leaves opened at once
+BATCH = 2048  # projected neighbours verified at once
 
 
 def chi_square_quantile(p: float, m: int) -> float:
@@ -53,7 +54,7 @@ def chi_square_quantile(p: float, m: int) -> float:
 class Tree:
     """kd-tree leaves over projected points: median splits on the widest axis down to LEAF points."""
 
-    def __init__(self, points: np.ndarray):
+    def __init__(self, points: np.ndarray, vectors: np.ndarray):
         self.points = points
         self.order = np.arange(len(points))
         bounds, todo = [], [(0, len(points))]
@@ -69,28 +70,33 @@ class Tree:
             todo += [(s, s + mid), (s + mid, e)]
         self.bounds = np.array(sorted(bounds)).reshape(-1, 2)
         boxes = [points[self.order[s:e]] for s, e in self.bounds]
+        self.placed, self.rough = points[self.order], vectors[self.order].astype(np.float32)  # leaf by leaf
         self.low, self.high = np.array([b.min(0) for b in boxes]), np.array([b.max(0) for b in boxes])
 
-    def nearest(self, q: np.ndarray):
-        """Points in the order of squared projected distance: yields (indices, squared distances, next one's least)."""
+    def nearest(self, q: np.ndarray, vector: np.ndarray):
+        """Points in the order of squared projected distance, some at a time.
+
+        Yields (indices, single-precision inner products with ``vector``, least squared distance of what follows).
+        """
         gap = np.maximum(np.maximum(self.low - q, q - self.high), 0)
         least = (gap * gap).sum(1)
-        leaves = np.argsort(least, kind="stable")
-        ids, dist, at = np.zeros(0, np.int64), np.zeros(0), 0
+        leaves, vector = np.argsort(least, kind="stable"), vector.astype(np.float32)
+        ids, dist, ip, at = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.float32), 0
         while at < len(leaves) or len(ids):
             limit = least[leaves[at]] if at < len(leaves) else np.inf
             ready = dist <= limit
-            if ready.sum() < BATCH and at < len(leaves):
-                opened = np.concatenate([self.order[s:e] for s, e in self.bounds[leaves[at : at + 4]]])
-                diff = self.points[opened] - q
-                ids, dist, at = np.concatenate([ids, opened]), np.concatenate([dist, (diff * diff).sum(1)]), at + 4
+            if at < len(leaves) and np.count_nonzero(ready) < BATCH:
+                spans = self.bounds[leaves[at : at + OPEN]].tolist()
+                diff = np.concatenate([self.placed[s:e] for s, e in spans]) - q
+                ids = np.concatenate([ids, *(self.order[s:e] for s, e in spans)])
+                dist = np.concatenate([dist, np.einsum("ij,ij->i", diff, diff)])
+                ip = np.concatenate([ip, *(self.rough[s:e] @ vector for s, e in spans)])
+                at += OPEN
                 continue
-            take = np.flatnonzero(ready)
-            take = take[np.argsort(dist[take], kind="stable")]
             rest = ~ready
             ahead = min(limit, dist[rest].min() if rest.any() else np.inf)
-            yield ids[take], dist[take], ahead
-            ids, dist = ids[rest], dist[rest]
+            yield ids[ready], ip[ready], ahead
+            ids, dist, ip = ids[rest], dist[rest], ip[rest]
 
 
 def search(vec_ids, vectors, query_ids, queries, k: int, largest: float, projections: int, confidence: float, seed: int):
@@ -103,14 +109,17 @@ def search(vec_ids, vectors, query_ids, queries, k: int, largest: float, project
     extra = np.sqrt(np.maximum(largest - (points * points).sum(1), 0))
     rng = np.random.default_rng(seed)
     a = rng.standard_normal((points.shape[1] + 1, projections))
-    tree = Tree(np.column_stack([points, extra]) @ a)
+    tree = Tree(np.column_stack([points, extra]) @ a, points)
     stop = chi_square_quantile(confidence, projections)
     out_q, out_id, out_s, verified = [], [], [], 0
     for i, q in enumerate(queries):
         norm = float(q @ q) + largest
         ids, score = np.zeros(0, np.int64), np.zeros(0)
-        for found, _, ahead in tree.nearest(np.append(q, 0) @ a):
+        slack = 1e-4 * (float(q @ q) * largest) ** 0.5  # far above single precision's error
+        for found, rough, ahead in tree.nearest(np.append(q, 0) @ a, q):
             verified += len(found)
+            if len(score) >= k:
+                found = found[rough >= score[k - 1] - slack]
             ip = (points[found] * q).sum(1)
             if len(score) >= k:
                 better = ip >= score[k - 1]
