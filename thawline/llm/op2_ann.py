@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 LEAF = 64
-OPEN = 32  # leaves opened at once
-BATCH = 2048  # projected neighbours verified at once
+OPEN = 16  # leaves opened at once
+BATCH = 1024  # projected neighbours verified at once
 
 
 def chi_square_quantile(p: float, m: int) -> float:
@@ -120,6 +120,8 @@ def search(vec_ids, vectors, query_ids, queries, k: int, largest: float, project
             verified += len(found)
             if len(score) >= k:
                 found = found[rough >= score[k - 1] - slack]
+            elif len(found) > k + 1:  # one of them may be the query's own
+                found = found[rough >= np.partition(rough, -k - 1)[-k - 1] - 2 * slack]
             ip = (points[found] * q).sum(1)
             if len(score) >= k:
                 better = ip >= score[k - 1]
