@@ -49,6 +49,19 @@ def test_equals_twin(spark):
     assert sorted(map(tuple, M.license_scan(df).select(*cols).collect()), key=str) == sorted(want, key=str)
 
 
+def test_every_wrap_width_equals_twin(spark):
+    """First lines of one word, and more lines than the twin joins (MIT below 40 characters)."""
+    rows = [(w, wrapped(APACHE, w)) for w in range(20, 101)] + [(1000 + w, wrapped(MIT, w)) for w in range(20, 101)]
+    df, _ = docs(spark, rows)
+    got = [tuple(r) for r in M.license_scan(df).select("doc_id", "rule_id", "n_matches", "first_unit").collect()]
+    assert {d for d, r, n, _ in got if r == "apache-2.0-header" and n == 1} == set(range(20, 101))
+    assert {d - 1000 for d, r, n, _ in got if r == "mit-text" and n == 1} == set(range(20, 101))
+    con = duckdb.connect()
+    con.register("documents", df.select("doc_id", "text").toPandas())
+    want = con.execute(f"SELECT doc_id, rule_id, n_matches, first_unit FROM ({M.license_sql()})").fetchall()
+    assert sorted(g for g in got if not 1000 < g[0] < 1040) == sorted(w for w in want if not 1000 < w[0] < 1040)
+
+
 def test_every_sentence_has_a_keyword_and_no_python_runs(spark):
     assert all(any(k in s for k in M.KEYWORDS) for s in M.SENTENCES.values())
     assert all(s in M.SENTENCES for _, _, seq in M.RULES for s in seq)

@@ -1,8 +1,9 @@
 """License scans by sentence rules, in DataFrame operations only.
 
 A text is cut into units (lines, and sentences within lines) and normalised: lower case,
-everything but a-z and 0-9 one space.  A known licence sentence is a run of up to ``MAX_UNITS``
-units, so hard-wrapped sentences are found too.  The units are mapped to the identifiers of known
+everything but a-z and 0-9 one space.  A known licence sentence is a run of units, as many as it
+has words at most, so sentences wrapped at any width are found too; runs are formed only where a
+unit is a known sentence or the beginning of one.  The units are mapped to the identifiers of known
 sentences by an equi-join with the sentence table; a document's identifiers in text order are
 then matched against the ordered rules: a rule is found where its identifiers follow each other.
 Other sentences in between carry no identifier and do not disturb a rule.
@@ -22,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_UNITS = 16
+MAX_UNITS = 16  # of the DuckDB twin only
 
 # Sentences of public licence texts and notices, in normalised form.
 SENTENCES = {
@@ -98,7 +99,9 @@ def _cover(sentences: list[str]) -> list[str]:
 
 
 KEYWORDS = _cover(list(SENTENCES.values()))
-_OPENINGS = "^(" + "|".join(sorted({" ".join(s.split()[:2]) for s in SENTENCES.values()})) + ")( |$)"
+# a unit has a word at least, so no sentence spans more units than it has words
+_MOST_UNITS = max(len(s.split()) for s in SENTENCES.values())
+_OPENINGS = sorted({" ".join(s.split()[: n + 1]) for s in SENTENCES.values() for n in range(len(s.split()))})
 
 
 def _units(text):
@@ -114,12 +117,12 @@ def sentence_ids(docs: DataFrame) -> DataFrame:
     text = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"))
     text = text.where(F.lower("text").rlike("|".join(KEYWORDS)))
     units = text.select("doc_id", F.xxhash64("text").alias("tie"), _units(F.col("text")).alias("units"))
-    starts = F.filter(F.sequence(F.lit(1), F.size("units")), lambda i: F.element_at("units", i).rlike(_OPENINGS))
+    starts = F.filter(F.sequence(F.lit(1), F.size("units")), lambda i: F.element_at("units", i).isin(_OPENINGS))
     places = units.where(F.size("units") > 0).select("doc_id", "tie", "units", F.explode(starts).alias("unit"))
     runs = places.select(
         "doc_id", "tie", "unit",
         F.explode(F.transform(
-            F.sequence(F.lit(1), F.least(F.lit(MAX_UNITS), F.size("units") - F.col("unit") + 1)),
+            F.sequence(F.lit(1), F.least(F.lit(_MOST_UNITS), F.size("units") - F.col("unit") + 1)),
             lambda n: F.struct(n.alias("n"), F.array_join(F.slice("units", F.col("unit"), n), " ").alias("body")),
         )).alias("run"),
     )
