@@ -83,6 +83,31 @@ def test_keep_one_keeps_columns_and_one_row_a_group(spark):
     assert len(with_words) == 1
 
 
+def test_keep_one_by_row_not_by_id(spark):
+    rng = random.Random(4)
+    a, b, c = (prose(rng, 60) for _ in range(3))
+    # id 20: leader of a's group, and near to id 10; id 30: two unlinked texts, one of them twice
+    rows = [(10, b), (20, a), (20, b + " end"), (21, a + " end"), (22, a), (30, c), (30, c), (30, prose(rng, 60)), (31, c + " end"), (30, None), (30, ""), (None, a)]
+    rows.append((20, a.upper()))  # the same shingles, another text
+    df, _ = docs(spark, rows)
+
+    def kept(**options):
+        return sorted(((r.doc_id, (r.text or "").lower()) for r in M.keep_one(df, words=2, **options).collect()), key=str)
+
+    always = [(10, b), (20, a), (30, ""), (30, ""), (None, a)]
+    assert kept(one_row_an_id=False) == sorted([*always, (30, c), (30, rows[7][1])], key=str)
+    got = kept()
+    assert len(got) == 6 and all(x in got for x in always)
+
+
+def test_pipeline_stage_keeps_every_group(spark):
+    import corpus_pipeline
+
+    df, _ = docs(spark)
+    texts = [r.text for r in corpus_pipeline.near_dedup(spark, df, "").collect() if r.doc_id == 5000]
+    assert sorted(texts) == ["another text of the id", "same row again and again"]
+
+
 def test_empty_table(spark):
     assert M.near_duplicates(empty(spark)).count() == 0 and M.keep_one(empty(spark)).count() == 0
 

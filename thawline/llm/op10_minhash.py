@@ -65,6 +65,11 @@ def run_keys(sketch: np.ndarray) -> np.ndarray:
     return np.concatenate(out).astype(np.int64) if out else np.zeros(0, np.int64)
 
 
+def text_tag(docs: DataFrame):
+    """Hash that tells texts of one doc_id apart (null and empty text are the same)."""
+    return F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+
+
 def _sketches(words: int, k: int):
     def run(batches):
         for b in batches:
@@ -75,8 +80,8 @@ def _sketches(words: int, k: int):
                 dig.append(digest16(s.tobytes()) if len(s) else None)
                 sk.append(s[:k].tobytes())
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(dig, pa.binary()), pa.array(sk, pa.binary())],
-                names=["doc_id", "n_shingles", "digest", "sketch"],
+                [b.column("doc_id"), b.column("tag"), pa.array(n, pa.int64()), pa.array(dig, pa.binary()), pa.array(sk, pa.binary())],
+                names=["doc_id", "tag", "n_shingles", "digest", "sketch"],
             )
 
     return run
@@ -209,9 +214,11 @@ def _rest_of_block(percent: int):
 
 
 def _classes(docs: DataFrame, words: int, k: int) -> tuple[DataFrame, DataFrame]:
-    """Rows (doc_id, n_shingles, digest) and classes of equal sets (cid, first_doc, digest, n_shingles, sketch)."""
+    """Rows (doc_id, tag, n_shingles, digest) and classes of equal sets (cid, first_doc, digest, n_shingles, sketch)."""
+    texts = doc_texts(docs)
+    texts = texts.withColumn("tag", text_tag(texts))
     rows = saved(
-        doc_texts(docs).mapInArrow(_sketches(words, k), "doc_id bigint, n_shingles bigint, digest binary, sketch binary"), "op10-rows"
+        texts.mapInArrow(_sketches(words, k), "doc_id bigint, tag bigint, n_shingles bigint, digest binary, sketch binary"), "op10-rows"
     )
     reps = (
         rows.where("digest is not null and doc_id is not null")
@@ -283,15 +290,8 @@ def _rest_of_long_lists(star: DataFrame, links: DataFrame, sets: DataFrame, perc
     return found.applyInPandas(_rest_of_block(percent), "a bigint, b bigint")
 
 
-def near_duplicates(
-    docs: DataFrame, words: int = 5, percent: int = 80, k: int = 64, list_bound: int = 32, block: int = 2048
-) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``.
-
-    ``words``: words per shingle; ``percent``: least similarity; ``k``: retained values;
-    ``list_bound``: inverted lists longer than this go the leader's way; ``block``: members per
-    block there.
-    """
+def _grouped(docs: DataFrame, words: int, percent: int, k: int, list_bound: int, block: int) -> DataFrame:
+    """(doc_id, tag, n_shingles, component, component_id, kept) for every row; ``component`` is unique, its least id need not be."""
     rows, cls = _classes(docs, words, k)
     pairs, star = _candidates(cls, k, list_bound)
     pairs = saved(_pass_sketch(pairs, cls, k, percent), "op10-pairs")
@@ -302,27 +302,51 @@ def near_duplicates(
     of_class = cls.select("cid", "first_doc", "digest").join(node.withColumnRenamed("node", "cid"), "cid", "left")
     of_class = of_class.withColumn("component", F.coalesce("component", "cid"))
     low = of_class.groupBy("component").agg(F.min("first_doc").alias("component_id"))
-    named = of_class.join(low, "component").select("digest", "component_id")
+    named = of_class.join(low, "component").select("digest", "component", "component_id")
     out = rows.join(named, "digest", "left").withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")))
-    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")
+    return out.select("doc_id", "tag", "n_shingles", "component", "component_id", kept)
 
 
-def keep_one(docs: DataFrame, words: int = 5, percent: int = 80, **options) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, words: int = 5, percent: int = 80, k: int = 64, list_bound: int = 32, block: int = 2048
+) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``.
+
+    ``words``: words per shingle; ``percent``: least similarity; ``k``: retained values;
+    ``list_bound``: inverted lists longer than this go the leader's way; ``block``: members per
+    block there.
+    """
+    return _grouped(docs, words, percent, k, list_bound, block).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def keep_one(
+    docs: DataFrame, words: int = 5, percent: int = 80, k: int = 64, list_bound: int = 32, block: int = 2048, one_row_an_id: bool = True
+) -> DataFrame:
     """``docs`` with one row for each group of near duplicates, all columns as they were.
 
-    Rows without words are in no group and stay; of rows that repeat the kept doc_id one stays.
-    Rows with a null doc_id stay.
+    A row is known by its doc_id and text, so an id's texts are kept or not each by its own group.
+    Rows without words are in no group and stay, as do rows with a null doc_id.  With
+    ``one_row_an_id``, of several groups whose kept row has the same doc_id one row stays; without
+    it each group keeps its own.
     """
-    out = near_duplicates(docs, words, percent, **options)
-    out = saved(out, "op10-kept")
-    gone = out.where("not kept").select("doc_id").distinct()
-    kept = docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")
-    twice = out.where("kept and doc_id is not null and n_shingles > 0").groupBy("doc_id").count().where("count > 1")
-    if twice.isEmpty():
+    out = saved(_grouped(docs, words, percent, k, list_bound, block), "op10-kept")
+    first = out.where("kept and doc_id is not null and n_shingles > 0")
+    group = "doc_id" if one_row_an_id else "component"
+    twice = first.groupBy(group).agg(F.min("tag").alias("first_tag"), F.count("*").alias("n")).where("n > 1")
+    twice = saved(twice.select(F.col(group).alias("group"), "first_tag"), "op10-twice")
+    gone = out.where("not kept").select("doc_id", "tag")
+    repeated = not twice.isEmpty()
+    if repeated:
+        more = first.join(twice, first[group] == twice["group"]).select("doc_id", "tag", "first_tag")
+        gone = gone.union(more.where("tag <> first_tag").select("doc_id", "tag"))
+    gone = gone.distinct()
+    kept = docs.join(gone, (docs["doc_id"] == gone["doc_id"]) & (text_tag(docs) == gone["tag"]), "left_anti")
+    if not repeated:
         return kept
-    once = kept.join(twice, kept["doc_id"] == twice["doc_id"], "left_anti")
-    again = kept.join(twice, kept["doc_id"] == twice["doc_id"], "left_semi")
-    return once.unionByName(again.dropDuplicates(["doc_id"]))
+    again = more.where("tag = first_tag").groupBy("doc_id", "tag").count().where("count > 1")
+    same = (kept["doc_id"] == again["doc_id"]) & (text_tag(kept) == again["tag"])
+    return kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def near_duplicates_sql(words: int = 2, percent: int = 80) -> str:
