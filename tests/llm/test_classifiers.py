@@ -106,6 +106,20 @@ def test_offending_sentences():
     assert X.score(m, b"All is well here.")[0] < 0.5 and X.score(m, b"") == (m.leak + 0.0, []) or m.leak < 0.5
 
 
+def test_documents_with_one_header_all_train():
+    """The same 20 first words in every text, and the rows in any order."""
+    rng = np.random.default_rng(3)
+    words = [f"word{i}" for i in range(200)]
+    header = " ".join(f"head{i}" for i in range(25)) + ". "
+    texts = [(header + " ".join(rng.choice(words, 30)) + (" vilething now." if i % 3 == 0 else ".")).encode() for i in range(300)]
+    toxic = np.arange(300) % 3 == 0
+    m = X.fit(texts, toxic.astype(float))
+    assert X.score(m, (header + "a vilething here.").encode())[0] > 0.5 > X.score(m, (header + "all is well.").encode())[0]
+    order = rng.permutation(300)
+    again = X.fit([texts[i] for i in order], toxic[order].astype(float))
+    assert list(again.terms.items()) == list(m.terms.items()) and again.leak == m.leak and (again.weights == m.weights).all()
+
+
 def test_sentences_cover_the_text():
     t = 'Hello there. This is v2.0 ok! "Right?" yes\nnew line... and\n\n x'.encode()
     got = X.sentences(t)

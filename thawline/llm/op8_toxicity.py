@@ -7,9 +7,10 @@ documents' likelihood reaches the sentences through the noisy-or.  Sentences wit
 of one half or more are the offending ones.
 
 Training: a sample of at most ``train_docs`` labelled documents (those with the smallest hashes
-of their ids, only the training folds; of texts that share their first words one counts).  Terms
-are words and word beginnings of the sample that at least ``MIN_DOCS`` documents hold and that a
-likelihood-ratio test finds over-represented in toxic documents.  All documents are scored whole.
+of their ids, only the training folds), whatever their texts share, fitted in the order of the
+texts so that the order of the rows does not matter.  Terms are words and word beginnings of the
+sample that at least ``MIN_DOCS`` documents hold and that a likelihood-ratio test finds
+over-represented in toxic documents.  All documents are scored whole.
 
 Defined cases: null or empty text scores the leak; without labels, or with one kind only, every
 document scores the share of toxic labels (0 without any) and no sentence offends.  Null doc_ids
@@ -83,7 +84,7 @@ def _over_represented(texts: list[bytes], toxic: np.ndarray, least: float) -> di
             bad.update(w)
     n, n1 = len(texts), toxic.sum()
     terms = {}
-    for w, k in seen.items():
+    for w, k in sorted(seen.items()):
         if k < MIN_DOCS:
             continue
         obs = np.array([bad[w], k - bad[w], n1 - bad[w], n - n1 - k + bad[w]], float)
@@ -95,11 +96,8 @@ def _over_represented(texts: list[bytes], toxic: np.ndarray, least: float) -> di
 
 
 def fit(texts: list[bytes], toxic: np.ndarray, steps: int = 300, least: float = 30.0) -> Bags:
-    first = {}
-    for i, t in enumerate(texts):
-        first.setdefault(tuple(words(t[:400])[:20]), i)
-    keep = sorted(first.values())
-    texts, toxic = [texts[i] for i in keep], toxic[keep]
+    order = sorted(range(len(texts)), key=lambda i: (texts[i], toxic[i]))
+    texts, toxic = [texts[i] for i in order], toxic[order]
     share = float(toxic.mean()) if len(toxic) else 0.0
     if share in (0.0, 1.0):
         return Bags(leak=share)
@@ -149,7 +147,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.5,
     ``train_chars`` bounds what a training document gives; four rows an id at most, should ids repeat.
     """
     head = training_sample(docs, labels, "toxic", train_docs)
-    head = head.select(F.substring("text", 1, train_chars).alias("text"), "label").limit(4 * train_docs).toPandas()
+    head = head.select(F.substring("text", 1, train_chars).alias("text"), "label")
+    head = head.orderBy(F.xxhash64("text"), "text", "label").limit(4 * train_docs).toPandas()
     m = fit([t.encode("utf-8", "surrogatepass") for t in head["text"]], head["label"].to_numpy(float))
     offence = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("p", pa.float64())]))
 
