@@ -15,6 +15,7 @@ from thawline.llm import (
     op8_toxicity,
     op9_decontam,
     op10_minhash,
+    op11_token_counts,
 )
 from thawline.llm.common import table
 
@@ -73,8 +74,12 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
 
 
+def op11_token_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), limit=2048)
+
+
 QUERIES = {
-    f.__name__: f
+    f.__name__.removesuffix("_query"): f
     for f in (
         op1_sentencepiece_codec,
         op2_ann_search,
@@ -87,6 +92,7 @@ QUERIES = {
         op8_toxicity_scores,
         op9_benchmark_decontamination,
         op10_minhash_near_dedup,
+        op11_token_counts_query,
     )
 }
 
