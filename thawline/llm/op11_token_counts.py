@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from thawline.llm.common import U64, doc_texts, mix, saved
+from thawline.llm.op6_token_ids import _BYTE_CHARS, _plain_lower
 
 SLOTS = 1 << 15
 SHORT = 15  # bytes of a piece in tier one: a slot's last byte is the size
@@ -62,8 +63,15 @@ class Tokens:
             t = Tokenizer.from_file(path)
             t.no_truncation()
             t.no_padding()
-            self._ids = lambda texts: [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
+            self._ids = lambda texts: [e.ids for e in t.encode_batch_fast(texts, add_special_tokens=False)]
         self.mode = pieces_of(self._ids)
+        self.model = None
+        if self.mode == "drop" and not path.endswith(".model"):
+            self.model = t.model
+            self.stops = {c: len(i) for c, i in zip(b",.", self._ids([",", "."]))}
+            words = [b"aba", b"ABA", "Th\u00e9".encode(), b"other,", "stra\u00dfe,".encode(), "\u00dcnd.".encode(), b"x."]
+            if [self._word(w) for w in words] != [len(i) for i in self._ids([w.decode() for w in words])]:
+                self.model = None
 
     @classmethod
     def of(cls, path: str) -> Tokens:
@@ -71,8 +79,20 @@ class Tokens:
             cls._made[path] = cls(path)
         return cls._made[path]
 
+    def _word(self, piece: bytes) -> int | None:
+        """Tokens of a piece that is one word of Latin letters, perhaps with a comma or stop behind it, by the model alone."""
+        stop = self.stops.get(piece[-1], 0)
+        low = _plain_lower(piece[:-1] if stop else piece)
+        if low is None:
+            return None
+        return len(self.model.tokenize(low.decode("ascii") if low.isascii() else low.decode("latin-1").translate(_BYTE_CHARS))) + stop
+
     def fresh(self, pieces: list[bytes]) -> list[int]:
-        return [len(i) for i in self._ids([p.decode("utf-8", "replace") for p in pieces])]
+        out = [self._word(p) for p in pieces] if self.model else [None] * len(pieces)
+        left = [i for i, n in enumerate(out) if n is None]
+        for i, ids in zip(left, self._ids([pieces[i].decode("utf-8", "replace") for i in left])):
+            out[i] = len(ids)
+        return out
 
     def counts(self, pieces: list[bytes]) -> np.ndarray:
         """Tokens of each piece, through the worker's cache."""
