@@ -16,6 +16,7 @@ from thawline.llm import (
     op9_decontam,
     op10_minhash,
     op11_token_counts,
+    op13_whitening,
 )
 from thawline.llm.common import table
 
@@ -78,6 +79,10 @@ def op11_token_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op11_token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), limit=2048)
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_whitening.whiten(table(spark, sf_dir, "embeddings"), components=4)
+
+
 QUERIES = {
     f.__name__.removesuffix("_query"): f
     for f in (
@@ -93,6 +98,7 @@ QUERIES = {
         op9_benchmark_decontamination,
         op10_minhash_near_dedup,
         op11_token_counts_query,
+        op13_embedding_whitening,
     )
 }
 
