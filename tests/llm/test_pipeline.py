@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.01"
 def test_names():
     assert [f for _, f in P.STAGES] == [P.quality, P.near_dedup, P.passages, P.decontamination, P.pieces]
     names = entry.queries()
-    assert "pipeline" in names and {f"op{n}_" for n in range(1, 11)} <= {x.split("_")[0] + "_" for x in names if x.startswith("op")}
+    assert "pipeline" in names and {f"op{n}_" for n in range(1, 14)} <= {x.split("_")[0] + "_" for x in names if x.startswith("op")}
 
 
 @pytest.mark.parametrize("name", sorted(registry.SQL))

@@ -16,6 +16,7 @@ from thawline.llm import (
     op9_decontam,
     op10_minhash,
     op11_token_counts,
+    op12_collocations,
     op13_whitening,
 )
 from thawline.llm.common import table
@@ -79,6 +80,10 @@ def op11_token_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op11_token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), limit=2048)
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_collocations.collocations(table(spark, sf_dir, "documents"), least=10, max_words=3, inside=50, top=2000)
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op13_whitening.whiten(table(spark, sf_dir, "embeddings"), components=4)
 
@@ -98,6 +103,7 @@ QUERIES = {
         op9_benchmark_decontamination,
         op10_minhash_near_dedup,
         op11_token_counts_query,
+        op12_phrase_collocations,
         op13_embedding_whitening,
     )
 }
@@ -108,4 +114,5 @@ SQL: dict[str, str] = {
     "op5_lm_scoring": op5_lm.cross_entropy_sql(),
     "op5_lm_scoring_every_word": op5_lm.cross_entropy_sql(vocabulary=10**12),
     "op10_minhash_near_dedup": op10_minhash.near_duplicates_sql(2, 80),
+    "op12_phrase_collocations": op12_collocations.collocations_sql(10, 50, 2000),
 }
