@@ -92,12 +92,15 @@ def test_trie_bursts_and_spills(monkeypatch):
                 want.update((("en", "de")[i % 2], " ".join(w[j : j + size])) for j in range(len(w) - size + 1))
         for entries, held_words in [(10**6, 10**6), (40, 10**6), (10**6, 12)]:
             got, runs = Counter(), 0
-            for b in M._count_phrases(size, held, held, entries, held_words)(batch.slice(i, 1) for i in range(batch.num_rows)):
-                rows = list(zip(*(b.column(c).to_pylist() for c in ("lang", "prefix", "last"))))
-                assert rows == sorted(rows, key=lambda r: (r[0], r[1].split(b" "), r[2]))
+            hot = {(b"en", b"the"), (b"de", b"of the")}
+            for b in M._count_phrases(size, held, held, hot, entries, held_words)(batch.slice(i, 1) for i in range(batch.num_rows)):
+                rows = list(zip(*(b.column(c).to_pylist() for c in b.schema.names)))
+                assert rows == sorted(rows, key=lambda r: (r[0], r[1].split(b" "), r[2])) and len({r[:3] for r in rows}) == len(rows)
+                assert all(s == 0 or (g, p) in hot for g, p, s, _, _ in rows)
                 runs += 1
-                for (g, p, w), n in zip(rows, b.column("n").to_pylist()):
-                    got[g.decode(), (p + b" " + w).decode()] += n
+                for g, p, _, lasts, n in rows:
+                    assert lasts.split() == sorted(lasts.split())
+                    got.update({(g.decode(), (p + b" " + w).decode()): k for w, k in zip(lasts.split(b" "), n, strict=True)})
             assert got == want and (runs > 5 if entries == 40 else runs >= 1)
 
 

@@ -10,8 +10,9 @@ same at every size of the corpus.
 In a task, phrases are counted in a trie over word ids: under the first word lies a hash container
 of what follows; a container that outgrows ``BURST`` becomes a node with a container for each next
 word.  When the trie holds ``ENTRIES`` phrases, whole subtrees leave it as sorted runs, those whose
-phrases repeat least first.  The runs are dealt by prefix (all words but the last; a prefix is
-split by its last word into ``SLICES``, as one prefix may hold much of the corpus) and merged.
+phrases repeat least first.  A run has one record a prefix (all words but the last): the last words
+and their counts.  Runs are dealt by prefix and merged.  A prefix that holds a ``HOT``-th of all
+words or more (there are ``HOT`` of them at most) is split by the last word into ``SLICES``.
 
 Texts are read in slices that end at piece borders, so a long text is never held as words at once.
 
@@ -32,12 +33,14 @@ from pyspark.sql.window import Window
 
 from thawline.llm.common import U64, mix, saved, small_batches
 
-GROUP = 1 << 20
+GROUP = 3 << 20
 BURST = 4096
 ENTRIES = 400_000
 WORDS = 400_000
 SLICES = 64
+HOT = 1000
 SALTS = 8
+BUCKETS = 32
 _BORDER = b".,;:!?\n\x0b\x0c\r"
 _TO_STOP = bytes.maketrans(_BORDER, b"." * len(_BORDER))
 _BORDERS = re.compile(rb"[.,;:!?\x0a-\x0d]")
@@ -188,29 +191,31 @@ class HatTrie:
                 for r, k in under.items():
                     node.setdefault(r >> 32, {})[r & _LOW32] = k
 
-    def _subtree(self, f: int) -> tuple[list[int], list[int]]:
+    def _repeats(self, f: int) -> float:
+        """Occurrences for each phrase under a first word."""
         under = self.root[f]
         if type(under) is _Node:
-            return [s << 32 | r for s, leaf in under.items() for r in leaf], [k for leaf in under.values() for k in leaf.values()]
-        return list(under), list(under.values())
+            return sum(sum(leaf.values()) for leaf in under.values()) / sum(map(len, under.values()))
+        return sum(under.values()) / len(under)
 
     def spill(self, keep: int = 0):
         """(first, rest, n) of subtrees that leave, until at most ``keep`` phrases are left."""
-        trees = []
-        for f in self.root:
-            rest, n = self._subtree(f)
-            trees.append((sum(n) / len(n), f, rest, n))
-        trees.sort(key=lambda t: t[:2])
-        first, rests, counts = [], [], []
-        for _, f, rest, n in trees:
+        first, sizes, rests, counts = [], [], [], []
+        for f in sorted(self.root, key=self._repeats) if keep else list(self.root):
             if self.entries <= keep:
                 break
-            del self.root[f]
-            self.entries -= len(n)
-            first.append(np.full(len(n), f))
-            rests += rest
-            counts += n
-        return np.concatenate(first) if first else np.zeros(0, np.int64), np.array(rests, np.int64), np.array(counts, np.int64)
+            under, before = self.root.pop(f), len(rests)
+            if type(under) is _Node:
+                for second, leaf in under.items():
+                    rests += [second << 32 | r for r in leaf]
+                    counts += leaf.values()
+            else:
+                rests += under
+                counts += under.values()
+            first.append(f)
+            sizes.append(len(rests) - before)
+            self.entries -= sizes[-1]
+        return np.repeat(np.array(first, np.int64), np.array(sizes, np.int64)), np.array(rests, np.int64), np.array(counts, np.int64)
 
 
 def _phrases(a: np.ndarray, words: Words, size: int, pairs: BitFilter | None):
@@ -231,28 +236,48 @@ def _phrases(a: np.ndarray, words: Words, size: int, pairs: BitFilter | None):
     return first[new], rest[new], np.diff(np.append(new, len(first)))
 
 
-_RUN = "lang binary, prefix binary, last binary, n bigint"
-
-
-def _sorted_run(words: Words, size: int, first, rest, n):
-    """Arrow batches of spilled phrases, sorted by language, prefix and last word."""
-    text = words.text
-    columns = [first, rest] if size == 2 else [first, rest >> 32, rest & _LOW32]
-    order = sorted(np.unique(np.concatenate(columns)).tolist(), key=lambda i: (words.langs[i - 1], text[i]))
-    rank = np.zeros(len(text), np.int64)
-    rank[order] = np.arange(len(order))
-    by = np.lexsort([rank[c] for c in reversed(columns)])
-    columns, n = [c[by] for c in columns], n[by]
-    values = pa.array(text, pa.binary())
-    for at in range(0, len(n), 65_536):
-        ids = [c[at : at + 65_536] for c in columns]
-        parts = [values.take(pa.array(c)) for c in ids]
-        prefix = parts[0] if size == 2 else pa.array([p + b" " + q for p, q in zip(parts[0].to_pylist(), parts[1].to_pylist())], pa.binary())
-        langs = pa.array([words.langs[i - 1] for i in ids[0].tolist()], pa.binary())
-        yield pa.RecordBatch.from_arrays([langs, prefix, parts[-1], pa.array(n[at : at + 65_536])], names=["lang", "prefix", "last", "n"])
-
-
-def _count_phrases(size: int, known, pairs, entries: int = ENTRIES, held_words: int = WORDS):
+_RUN = "lang binary, prefix binary, slice int, lasts binary, counts array<bigint>"
+
+
+def _sorted_run(words: Words, size: int, first, rest, n, hot: set):
+    """Arrow batches of spilled phrases, sorted by language, prefix, slice and last word; one row a prefix and slice."""
+    import pyarrow.compute as pc
+
+    values = pa.array(words.text, pa.binary())
+    rank = np.zeros(len(values), np.int64)
+    rank[pc.array_sort_indices(values).to_numpy()] = np.arange(len(values))
+    langs = {g: i for i, g in enumerate(sorted(words.of_lang))}
+    lang = np.array([0] + [langs[g] for g in words.langs], np.int64)
+    last = rest & _LOW32
+    prefix = [first] if size == 2 else [first, rest >> 32]
+    slice_ = np.zeros(len(first), np.int64)
+    if hot:
+        text, key = words.text, [words.langs[i - 1] for i in first.tolist()]
+        named = zip(key, first.tolist()) if size == 2 else zip(key, first.tolist(), prefix[1].tolist())
+        at = np.flatnonzero(np.fromiter(((g, b" ".join(text[i] for i in p)) in hot for g, *p in named), bool, len(first)))
+        slice_[at] = (np.array(words.hash, np.uint64)[last[at]] % U64(SLICES)).astype(np.int64)
+    by = np.lexsort([rank[last], slice_, *(rank[c] for c in reversed(prefix)), lang[first]])
+    prefix, slice_, last, n = [c[by] for c in prefix], slice_[by], last[by], n[by]
+    new = np.diff(slice_, prepend=-1) != 0
+    for c in prefix:
+        new |= np.diff(c, prepend=-1) != 0
+    starts = np.append(np.flatnonzero(new), len(n))
+    for at in range(0, len(starts) - 1, 16_384):
+        edge = starts[at : at + 16_384 + 1]
+        lo, hi = edge[0], edge[-1]
+        offsets = pa.array((edge - lo).astype(np.int32))
+        lasts = pc.binary_join(pa.ListArray.from_arrays(offsets, values.take(pa.array(last[lo:hi]))), b" ")
+        head = edge[:-1]
+        names = [values.take(pa.array(c[head])) for c in prefix]
+        before = names[0] if size == 2 else pc.binary_join_element_wise(*names, pa.scalar(b" ", pa.binary()))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([words.langs[i - 1] for i in prefix[0][head].tolist()], pa.binary()), before, pa.array(slice_[head].astype(np.int32)), lasts,
+             pa.ListArray.from_arrays(offsets, pa.array(n[lo:hi]))],
+            names=["lang", "prefix", "slice", "lasts", "counts"],
+        )
+
+
+def _count_phrases(size: int, known, pairs, hot: set, entries: int = ENTRIES, held_words: int = WORDS):
     def run(batches):
         words, trie = Words(known.value), HatTrie(size)
         for lang, data in _by_lang(batches):
@@ -261,10 +286,10 @@ def _count_phrases(size: int, known, pairs, entries: int = ENTRIES, held_words:
                 trie.add(*_phrases(a, words, size, pairs.value if pairs else None))
             full = words.held() > held_words  # ids end with the words, so all phrases leave first
             if full or trie.entries > entries:
-                yield from _sorted_run(words, size, *trie.spill(0 if full else entries // 2))
+                yield from _sorted_run(words, size, *trie.spill(0 if full else entries // 2), hot)
             if full:
                 words.clear()
-        yield from _sorted_run(words, size, *trie.spill())
+        yield from _sorted_run(words, size, *trie.spill(), hot)
 
     return run
 
@@ -328,14 +353,19 @@ def phrase_counts(docs: DataFrame, least: int, max_words: int, filter_bits: int)
     total = saved(words.groupBy("lang").agg(F.sum("n").alias("n")), "op12-totals")
     frequent = words.where(F.col("n") >= least)
     known = spark.sparkContext.broadcast(_filter_of(frequent, ["word"], filter_bits))
+    all_words = total.agg(F.sum("n")).first()[0] or 0
     phrases, pairs = [], None
+    prefixes = frequent.select("lang", F.col("word").alias("prefix"), "n")
     for size in range(2, max_words + 1):
-        runs = texts.mapInArrow(_count_phrases(size, known, pairs), _RUN)
-        runs = runs.withColumn("slice", F.pmod(F.xxhash64("last"), F.lit(SLICES))).repartition("lang", "prefix", "slice")
-        merged = runs.groupBy("lang", "prefix", "slice", "last").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-        phrases.append(saved(merged.select("lang", "prefix", "last", "n"), f"op12-phrases-{size}"))
+        hot = {(bytes(r.lang), bytes(r.prefix)) for r in prefixes.where(F.col("n") * HOT >= all_words).collect()}  # HOT rows at most
+        runs = texts.mapInArrow(_count_phrases(size, known, pairs, hot), _RUN).repartition("lang", "prefix", "slice")
+        pair = F.arrays_zip(F.split(F.col("lasts").cast("string"), " ").alias("last"), F.col("counts").alias("n"))
+        merged = runs.select("lang", "prefix", "slice", F.inline(pair)).groupBy("lang", "prefix", "slice", "last").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+        found = saved(merged.select("lang", "prefix", F.col("last").cast("binary").alias("last"), "n"), f"op12-phrases-{size}")
+        phrases.append(found)
         if size < max_words:
-            pairs = spark.sparkContext.broadcast(_filter_of(phrases[-1], ["prefix", "last"], filter_bits))
+            pairs = spark.sparkContext.broadcast(_filter_of(found, ["prefix", "last"], filter_bits))
+            prefixes = found.select("lang", F.concat_ws(" ", F.col("prefix").cast("string"), F.col("last").cast("string")).cast("binary").alias("prefix"), "n")
     return total, frequent, phrases
 
 
@@ -388,8 +418,11 @@ def collocations(docs: DataFrame, least: int = 10, max_words: int = 3, inside: i
     cuts = [F.struct(_score(f"l{k}", f"r{k}").alias("score"), F.lit(k).alias("k"), F.col(f"l{k}").alias("l"), F.col(f"r{k}").alias("r")) for k in range(1, max_words)]
     worst = F.array_min(F.filter(F.array(*cuts), lambda c: c["k"] < F.col("size")))
     scored = flat.withColumn("cut", worst).select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    first = scored.withColumn("rank", F.row_number().over(order).cast("bigint")).where(F.col("rank") <= top)
+    # the first of each bucket, then of these: a language's last task reads BUCKETS * top rows at most
+    best = [F.desc("score"), F.desc("a"), "phrase"]
+    scored = scored.withColumn("bucket", F.pmod(F.xxhash64("phrase"), F.lit(BUCKETS)))
+    some = scored.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "bucket").orderBy(*best))).where(F.col("rank") <= top)
+    first = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*best)).cast("bigint")).where(F.col("rank") <= top)
     return first.join(total, "lang").select(F.col("lang").cast("string").alias("lang"), "rank", "phrase", "a", "l", "r", "n", "score")
 
 
