@@ -41,7 +41,7 @@ def cases():
         rows.append((len(rows), t[: len(t) // 2]))
         rows.append((len(rows), t.replace(" ", " ,\n")))
     rows += [(1000, ""), (1001, None), (1002, "short"), (None, items[0][1]), (1003, items[1][1]), (1003, items[1][1]), (1004, items[2][1] * 3 + " " + items[3][1])]
-    items += [(50, None), (51, ""), (52, "tiny"), (None, "an item without an id but with a long enough text"), (53, items[0][1])]
+    items += [(50, None), (51, ""), (52, "tiny"), (None, "an item without an id but with a long enough text"), (53, items[0][1]), (54, "Short!")]
     return items, rows
 
 
@@ -53,7 +53,11 @@ def test_equals_brute_force(spark):
     for d, t in rows:
         for i, x in items:
             p = D.normalised(x or "")
-            if i is None or len(p) < 12:
+            if i is None or not p:
+                continue
+            if len(p) < 12:
+                if f" {p} " in f" {D.normalised(t or '')} ":
+                    want.append((d, i, 0))
                 continue
             k = least_edits(p, D.normalised(t or ""))
             if k <= D.edit_budget(len(p), 12, 16):
@@ -76,3 +80,26 @@ def test_empty_tables(spark):
     df, _ = docs(spark, rows)
     assert D.contaminated(empty(spark), bench).count() == 0 and D.contaminated(df, bench.where("false")).count() == 0
     assert D.without_leaks(df, bench.where("false")).count() == len(rows) and D.without_leaks(empty(spark), bench).count() == 0
+
+
+def test_short_items(spark):
+    question = "\u4f60\u597d\u4e16\u754c\u5417\uff1f"  # five characters and a mark, no spaces around
+    items = [(1, question), (2, "Tiny one"), (3, "x"), (4, "!?"), (5, "\u4e16"), (2, "other")]
+    rows = [(1, "\u8bf7\u95ee" + question + "\u662f"), (2, "a tiny, ONE."), (3, "a tiny ones untiny one"), (4, "X"), (5, "xx ax xa"), (6, ""), (None, "x"), (7, "other tiny one"), (7, "other tiny one")]
+    got = D.contaminated(docs(spark, rows)[0], spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert sorted(((r.doc_id, r.item_id, r.edits, r.start) for r in got), key=str) == sorted([(1, 1, 0, 2), (1, 5, 0, 4), (2, 2, 0, 2), (4, 3, 0, 0), (None, 3, 0, 0), (7, 2, 0, 0), (7, 2, 0, 0)], key=str)
+    block = D.Block([(i, "w%d" % i) for i in range(200)], 12, 16)  # many short items: every place is looked up
+    assert {(item, s) for _, item, _, s, _ in block.find(["w7 aw8 w19 w7 w199x"])} == {(7, 0), (19, 7)}
+
+
+def test_item_with_texts_in_several_blocks(spark):
+    rng = random.Random(3)
+    a, b = prose(rng, 40), prose(rng, 40)
+    rows = [(1, "x " + a + " y " + edited(rng, b, 2)), (1, "x " + a + " y " + b), (2, edited(rng, b, 3)), (3, a), (3, a)]
+    bench = spark.createDataFrame([(9, a), (9, b), (8, b)], "item_id bigint, text string")
+    want = None
+    for block_chars in (4_000_000, 10):
+        got = sorted(tuple(r) for r in D.contaminated(docs(spark, rows)[0], bench, block_chars=block_chars).collect())
+        assert want in (None, got)
+        want = got
+    assert [r[:2] for r in want] == [(1, 8), (1, 8), (1, 9), (1, 9), (2, 8), (2, 9), (3, 9), (3, 9)]

@@ -11,15 +11,19 @@ with at most ``m // per_edit`` edits (semi-global edit distance).  Such a region
 3. bands below the bound go; the others are verified by banded dynamic programming.
 
 The edit budget is lowered for short items so that the bound stays at least one.  Items with
-fewer than ``q`` normalised characters match by chance and are not looked for.
+fewer than ``q`` normalised characters have no q-gram: they are found where the whole item stands
+at word borders without an edit.  Characters from U+0E00 on (scripts that put no spaces between
+words) are borders themselves.
 
 The benchmark is the stated query set: it goes to the executors in blocks of at most
 ``block_chars`` characters, each a broadcast of that bounded size, and every block meets all
-documents.  Documents are read as they are partitioned; nothing is shuffled but the found rows.
+documents.  Documents are read as they are partitioned; nothing is shuffled but the found rows,
+of which the best of an item's texts stays, wherever the blocks end.
 
-Defined cases: null or empty document text: no match; null or empty item text or null item_id:
+Defined cases: null or empty document text: no match; null or empty item text (also one without
+letters and digits) or null item_id:
 not looked for; repeated item ids: each text is looked for, one row per id and document; null
-doc_id: reported with a null id.  Empty tables: empty result.
+doc_id: reported with a null id; repeated rows: one row each.  Empty tables: empty result.
 """
 
 from __future__ import annotations
@@ -100,11 +104,28 @@ def banded_distance(pattern: np.ndarray, text: np.ndarray, lo: int, hi: int, bud
     return int(cost[j]), int(start[j]), int(at[j])
 
 
+def _places(text: str, part: str):
+    at = text.find(part)
+    while at >= 0:
+        yield at
+        at = text.find(part, at + 1)
+
+
+def _border(text: str, at: int) -> bool:
+    """Whether a word may end or begin before ``at``."""
+    return at in (0, len(text)) or " " in text[at - 1 : at + 1] or max(text[at - 1 : at + 1]) >= "\u0e00"
+
+
 class Block:
     """Q-gram table of some benchmark items."""
 
     def __init__(self, items: list[tuple[int, str]], q: int, per_edit: int):
         self.q = q
+        self.short: dict[int, dict[str, list[int]]] = {}  # items too short for a q-gram, by length
+        for i, t in items:
+            if len(t) < q:
+                self.short.setdefault(len(t), {}).setdefault(t, []).append(i)
+        items = [(i, t) for i, t in items if len(t) >= q]
         self.texts = [t for _, t in items]
         self.items = [(i, _codes(t)) for i, t in items]
         m = np.array([len(x) for _, x in self.items])
@@ -123,6 +144,8 @@ class Block:
 
     def candidates(self, x: np.ndarray, lengths: np.ndarray):
         """(document, item, first diagonal, last diagonal) of bands that reach the bound."""
+        if not self.items:
+            return []
         h = gram_hashes(x, self.q)
         at = np.flatnonzero(self.seen[(h >> U64(64 - self.bits)).astype(np.int64)])
         g = np.minimum(np.searchsorted(self.grams, h[at]), len(self.grams) - 1)
@@ -172,16 +195,31 @@ class Block:
             e, s, t = (0, s, s + len(pattern)) if s >= 0 else banded_distance(pattern, codes[d], lo, hi, int(self.edits[i]))
             if e <= self.edits[i] and (e, s) < best.get((d, item), (1 << 30, 0, 0))[:2]:
                 best[d, item] = (e, s, t)
+        for d, item, s, t in self._short_items(plain):
+            if (0, s) < best.get((d, item), (1 << 30, 0))[:2]:
+                best[d, item] = (0, s, t)
         return [(d, item, *v) for (d, item), v in sorted(best.items())]
 
+    def _short_items(self, plain: list[str]):
+        """(text index, item id, start, end) of the first place of each short item at word borders."""
+        for size, items in self.short.items():
+            for d, t in enumerate(plain):
+                found = set()
+                for s in range(len(t) - size + 1) if len(items) > 64 else sorted({p for x in items for p in _places(t, x)}):
+                    ids = items.get(t[s : s + size])
+                    if ids and t[s : s + size] not in found and _border(t, s) and _border(t, s + size):
+                        found.add(t[s : s + size])
+                        for item in ids:
+                            yield d, item, s, s + size
+
 
-def _blocks(benchmark: DataFrame, q: int, block_chars: int):
+def _blocks(benchmark: DataFrame, block_chars: int):
     """Benchmark items read block by block through the driver, each of bounded size."""
     rows = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("bigint"), "text")
     block, held = [], 0
     for item, text in rows.distinct().toLocalIterator():
         text = normalised(text)
-        if len(text) < q:
+        if not text:
             continue
         block.append((item, text))
         held += len(text)
@@ -192,7 +230,7 @@ def _blocks(benchmark: DataFrame, q: int, block_chars: int):
         yield block
 
 
-_OUT = "doc_id bigint, item_id bigint, edits int, start int, end int"
+_OUT = "doc_id bigint, tag bigint, item_id bigint, edits int, start int, end int"
 
 
 def _find(block):
@@ -200,18 +238,18 @@ def _find(block):
         b = block.value
         for batch in batches:
             texts, group, held = batch.column("text"), [], 0
-            ids = batch.column("doc_id").to_pylist()
+            ids, tags = batch.column("doc_id").to_pylist(), batch.column("tag").to_pylist()
             rows = []
             for i in range(batch.num_rows):
                 group.append(texts[i].as_py())
                 held += len(group[-1])
                 if held >= GROUP or i == batch.num_rows - 1:
                     at = i + 1 - len(group)
-                    rows += [(ids[at + d], item, e, s, t) for d, item, e, s, t in b.find(group)]
+                    rows += [(ids[at + d], tags[at + d], item, e, s, t) for d, item, e, s, t in b.find(group)]
                     group, held = [], 0
-            cols = list(zip(*rows)) if rows else [()] * 5
-            types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types)], names=["doc_id", "item_id", "edits", "start", "end"])
+            cols = list(zip(*rows)) if rows else [()] * 6
+            types = [*[pa.int64()] * 3, *[pa.int32()] * 3]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types)], names=["doc_id", "tag", "item_id", "edits", "start", "end"])
 
     return run
 
@@ -223,12 +261,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, q: int = 12, per_edit: i
     is allowed for so many characters of the item.
     """
     spark = docs.sparkSession
-    out = None
-    for items in _blocks(benchmark, q, block_chars):
+    out, texts = None, doc_texts(docs)
+    texts = texts.withColumn("tag", F.xxhash64("text"))
+    for number, items in enumerate(_blocks(benchmark, block_chars)):
         block = spark.sparkContext.broadcast(Block(items, q, per_edit))
-        part = doc_texts(docs).mapInArrow(_find(block), _OUT)
+        part = texts.mapInArrow(_find(block), _OUT).withColumn("block", F.lit(number))
         out = part if out is None else out.union(part)
-    return spark.createDataFrame([], _OUT) if out is None else out
+    if out is None:
+        out = spark.createDataFrame([], _OUT + ", block int")
+    # rows that repeat an id and its text are told from an item that several blocks found
+    best = out.groupBy("doc_id", "tag", "item_id", "block").agg(F.min(F.struct("edits", "start", "end")).alias("best"), F.count("*").alias("copies"))
+    best = best.groupBy("doc_id", "tag", "item_id").agg(F.min("best").alias("best"), F.max("copies").alias("copies"))
+    best = best.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")))
+    return best.select("doc_id", "item_id", "best.edits", "best.start", "best.end")
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
@@ -236,7 +281,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
     spark = docs.sparkSession
     small_batches(spark)
     kept = docs
-    for items in _blocks(benchmark, options.get("q", 12), options.get("block_chars", 4_000_000)):
+    for items in _blocks(benchmark, options.get("block_chars", 4_000_000)):
         block = spark.sparkContext.broadcast(Block(items, options.get("q", 12), options.get("per_edit", 16)))
         kept = kept.mapInArrow(keep_slices("text", _without_leak(block)), docs.schema)
     return kept
