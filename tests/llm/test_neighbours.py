@@ -81,3 +81,16 @@ def test_quantile():
 
 def test_empty_table(spark):
     assert M.neighbours(table(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("size", [1e-42, 1e-25, 1e25, 3e37])
+def test_every_magnitude(spark, size):
+    rng = np.random.default_rng(3)
+    data = [(i, (rng.standard_normal(12) * size).tolist()) for i in range(400)] + [(400, [0.0] * 11 + [size / 4]), (500, [1e-3 * size] * 12)]
+    vec = {i: np.array(v, np.float32).astype(float) for i, v in data}
+    got = {}
+    for r in M.neighbours(table(spark, data), block_rows=150, query_rows=16).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+        assert r.score == pytest.approx(float((vec[r.query_id] * vec[r.vec_id]).sum()), rel=1e-9, abs=1e-9 * size * size)
+    want = brute(data, 20, 20)
+    assert set(got) == set(want) and np.mean([len(set(got[q]) & set(want[q])) / len(want[q]) for q in want]) >= 0.95

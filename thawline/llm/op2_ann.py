@@ -99,10 +99,17 @@ class Tree:
             ids, dist, ip = ids[rest], dist[rest], ip[rest]
 
 
-def search(vec_ids, vectors, query_ids, queries, k: int, largest: float, projections: int, confidence: float, seed: int):
-    """(query row, vec_id, score) of the ``k`` best found for each query among ``vectors``."""
+def search(vec_ids, vectors, query_ids, queries, k: int, largest: float, projections: int, confidence: float, seed: int, exponent: int = 0):
+    """(query row, vec_id, score) of the ``k`` best found for each query among ``vectors``.
+
+    ``largest``: the largest squared norm of all vectors times ``2 ** -exponent``.
+    """
     vectors, queries = vectors.astype(np.float64), queries.astype(np.float64)
+    # powers of two change no digit: all magnitudes meet single precision, and products do not overflow
+    scale = -np.frexp(np.abs(queries).max(1, initial=0))[1]
+    originals, queries = queries, np.ldexp(queries, scale[:, None])
     points, where = np.unique(vectors, axis=0, return_inverse=True)
+    exact, points = points, np.ldexp(points, -exponent)
     by = np.lexsort((vec_ids, where.ravel()))
     first = np.searchsorted(where.ravel()[by], np.arange(len(points) + 1))
     held = [np.unique(vec_ids[by[s:e]])[: k + 1] for s, e in zip(first[:-1], first[1:])]  # k + 1 least ids of equal vectors
@@ -114,7 +121,7 @@ def search(vec_ids, vectors, query_ids, queries, k: int, largest: float, project
     out_q, out_id, out_s, verified = [], [], [], 0
     for i, q in enumerate(queries):
         norm = float(q @ q) + largest
-        ids, score = np.zeros(0, np.int64), np.zeros(0)
+        ids, score, place = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
         slack = 1e-4 * (float(q @ q) * largest) ** 0.5  # far above single precision's error
         for found, rough, ahead in tree.nearest(np.append(q, 0) @ a, q):
             verified += len(found)
@@ -130,18 +137,20 @@ def search(vec_ids, vectors, query_ids, queries, k: int, largest: float, project
             new_ids = np.concatenate(own) if own else np.zeros(0, np.int64)
             new_scores = np.repeat(ip, [len(x) for x in own])
             other = new_ids != query_ids[i]
-            ids, score = np.concatenate([ids, new_ids[other]]), np.concatenate([score, new_scores[other]])
+            new_place = np.repeat(found, [len(x) for x in own]).astype(np.int64)
+            ids, score, place = np.concatenate([ids, new_ids[other]]), np.concatenate([score, new_scores[other]]), np.concatenate([place, new_place[other]])
             best = np.lexsort((ids, -score))[:k]
-            ids, score = ids[best], score[best]
+            ids, score, place = ids[best], score[best], place[best]
             if len(score) >= k and ahead > stop * max(norm - 2 * score[k - 1], 0):
                 break
         out_q += [i] * len(ids)
         out_id.append(ids)
-        out_s.append(score)
+        with np.errstate(over="ignore", invalid="ignore"):
+            out_s.append((exact[place] * originals[i]).sum(1))
     return out_q, np.concatenate(out_id or [np.zeros(0, np.int64)]), np.concatenate(out_s or [np.zeros(0)]), verified
 
 
-def _pair(k, largest, projections, confidence, seed):
+def _pair(k, largest, projections, confidence, seed, exponent):
     def run(index, queries):
         import pandas as pd
 
@@ -149,7 +158,7 @@ def _pair(k, largest, projections, confidence, seed):
             return pd.DataFrame({"query_id": pd.Series([], dtype="int64"), "vec_id": pd.Series([], dtype="int64"), "score": pd.Series([], dtype="float64")})
         q_ids = queries["q_id"].to_numpy()
         row, ids, score, _ = search(
-            index["v_id"].to_numpy(), np.stack(index["v"].to_list()), q_ids, np.stack(queries["q"].to_list()), k, largest, projections, confidence, seed
+            index["v_id"].to_numpy(), np.stack(index["v"].to_list()), q_ids, np.stack(queries["q"].to_list()), k, largest, projections, confidence, seed, exponent
         )
         return pd.DataFrame({"query_id": q_ids[row], "vec_id": ids, "score": score})
 
@@ -175,8 +184,11 @@ def neighbours(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found for each row whose id ``every`` divides."""
     rows = usable(embeddings)
-    norm = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
-    n, n_q, largest = rows.agg(F.count("*"), F.count_if(F.col("v_id") % every == 0), F.max(norm)).first()
+    n, n_q, top = rows.agg(F.count("*"), F.count_if(F.col("v_id") % every == 0), F.max(F.array_max(F.transform("v", F.abs)))).first()
+    exponent = int(np.frexp(top or 1.0)[1])  # no entry is over one at this scale
+    half = exponent // 2
+    norm = F.aggregate("v", F.lit(0.0), lambda s, x: s + F.pow(x * 2.0**-half * 2.0 ** (half - exponent), F.lit(2.0)))
+    largest = rows.agg(F.max(norm)).first()[0]
     blocks, parts = max(1, -(-n // block_rows)), max(1, -(-n_q // query_rows))
     # keys of both sides have the same types: equal numbers of other types hash apart
     index = rows.withColumn("dim", F.size("v")).withColumn("block", F.pmod(F.xxhash64("v_id"), F.lit(blocks)).cast("int"))
@@ -185,6 +197,6 @@ def neighbours(
     asked = asked.withColumn("q_dim", F.size("q")).withColumn("q_part", F.pmod(F.xxhash64("q_id", F.lit(7)), F.lit(parts)).cast("int"))
     asked = asked.withColumn("q_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     found = index.groupBy("dim", "block", "part").cogroup(asked.groupBy("q_dim", "q_block", "q_part"))
-    found = found.applyInPandas(_pair(k, largest or 0.0, projections, confidence, seed), "query_id bigint, vec_id bigint, score double")
+    found = found.applyInPandas(_pair(k, largest or 0.0, projections, confidence, seed, exponent), "query_id bigint, vec_id bigint, score double")
     ranked = found.distinct().withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
