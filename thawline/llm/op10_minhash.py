@@ -8,7 +8,8 @@ Every document has a set of word shingles; its sketch is the k smallest hashes o
    sets with similarity 0.8 share such a run unless the union's retained values hold no three
    common ones in a row: impossible when both sketches are whole sets of more than four
    shingles (at most a fifth of the union differs; smaller sets also use runs of two and one),
-   and about 1e-10 for k = 64 otherwise.
+   and about 1e-10 for k = 64 otherwise (about 1e-6 where three quarters of the retained values
+   stand in long lists, which leave fewer runs to meet in).
 3. A list of up to ``list_bound`` classes yields its pairs.  Longer lists are not capped.  A
    class that has enough runs outside them is found there (the same bounds hold for what is
    left), so it leaves them; the others are compared with the list's leader, and what is not
