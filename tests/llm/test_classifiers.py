@@ -125,3 +125,55 @@ def test_sentences_cover_the_text():
     got = X.sentences(t)
     assert b"".join(t[s:e] for s, e in got).replace(b" ", b"").replace(b"\n", b"") == t.replace(b" ", b"").replace(b"\n", b"")
     assert len(got) >= 5
+
+
+def test_noisy_or_by_hand():
+    m = X.Bags({b"vile": 0, b"wors-": 1}, np.array([3.0, 1.5]), -2.0, 0.1)
+    text = "A vile, VILE thing. Nothing here! It gets worse? vile worst"
+    none = 0.9
+    for sentence in ("a vile vile thing", "nothing here", "it gets worse", "vile worst"):
+        z = -2.0 + 3.0 * ("vile" in sentence.split()) + 1.5 * any(w.startswith("wors") and len(w) > 4 for w in sentence.split())
+        none *= 1 if z == -2.0 else 1 - 1 / (1 + np.exp(-z))  # sentences without a term are no evidence
+    assert abs(X.score(m, text.encode())[0] - (1 - none)) < 1e-12
+
+
+def test_gradient_equals_differences():
+    rng = np.random.default_rng(4)
+    bag = np.array([0, 0, 1, 3, 3, 3])
+    rows, cols = np.array([0, 0, 1, 2, 3, 4, 5, 5]), np.array([0, 1, 2, 0, 1, 1, 2, 0])
+    y = np.array([1.0, 0, 0, 1, 1])  # the last document has no sentence: only the leak explains it
+    p = rng.standard_normal(5)
+    value, g = X.likelihood(p, rows, cols, bag, y)
+    q = [1 / (1 + np.exp(-(p[3] + sum(p[c] for r, c in zip(rows, cols) if r == s)))) for s in range(6)]
+    leak = 1 / (1 + np.exp(-p[4]))
+    none = [(1 - leak) * np.prod([1 - q[s] for s in range(6) if bag[s] == d]) for d in range(5)]
+    assert abs(value - np.mean([np.log(1 - x) if t else np.log(x) for x, t in zip(none, y)])) < 1e-9
+    for i in range(5):
+        step = np.eye(5)[i] * 1e-6
+        assert abs((X.likelihood(p + step, rows, cols, bag, y)[0] - X.likelihood(p - step, rows, cols, bag, y)[0]) / 2e-6 - g[i]) < 1e-6
+
+
+def test_long_training_texts_are_read_whole(spark):
+    """What tells the classes apart stands behind 60,000 characters."""
+    rng = np.random.default_rng(6)
+    words = [f"word{i}" for i in range(300)]
+    train = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 5][:60]
+    rows = [(d, " ".join(rng.choice(words, 9000)) + ". " + ("one vilething here." if i % 2 else "all is well.")) for i, d in enumerate(train)]
+    df = spark.createDataFrame(rows + rows[:5], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(d, 0, i % 2) for i, d in enumerate(train)], "doc_id bigint, quality int, toxic int")
+    got = {r.doc_id: r.predicted for r in X.toxicity_scores(df, labels).collect()}
+    assert got == {d: i % 2 for i, d in enumerate(train)}
+    junk = "|*|*|*|*|*|*|*|*|*|*|*|*|\n" * 900
+    rows = [(d, (rows[i][1] + "\n") + (junk * 4 if i % 2 else "")) for i, d in enumerate(train)]
+    labels = labels.select("doc_id", (1 - F.col("toxic")).alias("quality"))
+    got = {r.doc_id: r.predicted for r in Q.quality_scores(spark.createDataFrame(rows, "doc_id bigint, text string"), labels).collect()}
+    assert got == {d: 1 - i % 2 for i, d in enumerate(train)}
+
+
+def test_sample_bounds(spark):
+    df = spark.createDataFrame([(i, "x" * (i % 50 + 1)) for i in range(400)] * 2, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id bigint, quality int")
+    rows = Q.training_sample(df, labels, "quality", 100, 10**9).dropDuplicates(["at"]).collect()
+    assert len(rows) == 100 and sorted(r["at"] for r in rows) == list(range(100))
+    few = Q.training_sample(df, labels, "quality", 100, 300).dropDuplicates(["at"]).collect()
+    assert 0 < sum(len(r.text) for r in few) <= 300

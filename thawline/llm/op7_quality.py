@@ -5,8 +5,9 @@ binned shape features of the line and of both neighbours; the chain adds transit
 good and bad.  Forward-backward gives each line's probability of being good; their mean,
 weighted by line length, is calibrated to the document's score.
 
-Training: a sample of at most ``train_docs`` labelled documents (those with the smallest hashes
-of their ids, only the training folds), of each at most ``train_lines`` lines.  Lines inherit
+Training: a sample of at most ``train_docs`` labelled documents and ``train_bytes`` of text, whole
+texts in the order of their ids' hashes, only the training folds.  Tasks turn the sample's lines
+into binned features; the driver gets 13 bytes a line and fits.  Lines inherit
 their document's label; a second round relabels lines of bad documents that the first model
 finds clearly good, so that a bad document may hold good lines.  All documents are scored whole.
 
@@ -54,7 +55,7 @@ def line_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     size = stop - start
     start, size = start[size > 0], size[size > 0]
     if not len(start):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, len(_EDGES)), np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, len(_EDGES)), np.uint8)
     parts = -(-size // WRAP)
     k = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
     start = np.repeat(start, parts) + k * WRAP
@@ -83,7 +84,7 @@ def line_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
               counts[:, 7] / words, counts[:, 8] / words, counts[:, 9] / words, (counts[:, 10] + counts[:, 11]) / size, repeats / words,
               (size - counts[:, 3]) / words, size]
     bins = np.stack([np.digitize(v, e) + i * BINS for i, (v, e) in enumerate(zip(values, _EDGES))], axis=1)
-    return doc, size, bins
+    return doc, size, bins.astype(np.uint8)
 
 
 @dataclass
@@ -108,11 +109,19 @@ def _neighbours(doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return has_prev, has_next
 
 
+def _weight(w: np.ndarray, bins: np.ndarray) -> np.ndarray:
+    """Sum of the weights of each line's bins, feature by feature."""
+    out = np.zeros(len(bins))
+    for j in range(bins.shape[1]):
+        out += w[bins[:, j]]
+    return out
+
+
 def _emissions(m: Chain, doc, bins) -> np.ndarray:
     has_prev, has_next = _neighbours(doc)
-    e = m.bias + m.own[bins].sum(1)
-    e[1:] += np.where(has_prev[1:], m.before[bins[:-1]].sum(1), 0)
-    e[:-1] += np.where(has_next[:-1], m.after[bins[1:]].sum(1), 0)
+    e = m.bias + _weight(m.own, bins)
+    e[1:] += np.where(has_prev[1:], _weight(m.before, bins[:-1]), 0)
+    e[:-1] += np.where(has_next[:-1], _weight(m.after, bins[1:]), 0)
     return e
 
 
@@ -156,14 +165,14 @@ def _fit(doc, bins, y, rounds: int, rate: float, ridge: float, m: Chain) -> Chai
     np.add.at(pairs_seen, (y[i], y[i + 1]), 1)
     p = np.concatenate([m.own, m.before, m.after, [m.bias], m.trans.ravel()])
     mom, sq = np.zeros_like(p), np.zeros_like(p)
-    nf, flat, width = N_FEATURES, bins.ravel(), bins.shape[1]
+    nf, columns = N_FEATURES, [np.ascontiguousarray(c) for c in bins.T]
     for step in range(1, rounds + 1):
         m = Chain(p[:nf], p[nf : 2 * nf], p[2 * nf : 3 * nf], p[3 * nf], p[3 * nf + 1 :].reshape(2, 2))
         bad, pairs = marginals(_emissions(m, doc, bins), doc, m.trans)
         r = y - bad
         before = np.where(has_next, np.concatenate([r[1:], [0]]), 0)  # this line as the previous one of the next
         after = np.where(has_prev, np.concatenate([[0], r[:-1]]), 0)
-        g = np.concatenate([*(np.bincount(flat, weights=np.repeat(v, width), minlength=nf) for v in (r, before, after)), [r.sum()], (pairs_seen - pairs).ravel()])
+        g = np.concatenate([*(sum(np.bincount(c, weights=v, minlength=nf) for c in columns) for v in (r, before, after)), [r.sum()], (pairs_seen - pairs).ravel()])
         g = g / len(y) - ridge * p
         mom, sq = 0.9 * mom + 0.1 * g, 0.99 * sq + 0.01 * g * g
         p = p + rate * (mom / (1 - 0.9**step)) / (np.sqrt(sq / (1 - 0.99**step)) + 1e-8)
@@ -188,11 +197,11 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(w[0]), float(w[1])
 
 
-def fit(texts: list[bytes], quality: np.ndarray, rounds: int = 60) -> Chain:
+def fit(doc: np.ndarray, size: np.ndarray, bins: np.ndarray, quality: np.ndarray, rounds: int = 60) -> Chain:
+    """Model of lines (document, length, bins) and of the documents' labels (1 = good)."""
     zero = np.zeros(N_FEATURES)
     m = Chain(zero, zero, zero, 0.0, np.zeros((2, 2)), prior=float(quality.mean()) if len(quality) else 0.5)
     prior = m.prior
-    doc, size, bins = line_features(texts) if texts else (np.zeros(0),) * 3
     if not len(doc) or prior in (0.0, 1.0):
         return m
     bad_doc = (1 - quality).astype(np.int64)
@@ -202,7 +211,7 @@ def fit(texts: list[bytes], quality: np.ndarray, rounds: int = 60) -> Chain:
     y = np.where((y == 1) & (bad < 0.5), 0, y)
     m = _fit(doc, bins, y, rounds, 0.1, 1e-4, m)
     bad, _ = marginals(_emissions(m, doc, bins), doc, m.trans)
-    share = _document_share(doc, size, bad, len(texts))
+    share = _document_share(doc, size, bad, len(quality))
     has = ~np.isnan(share)
     m.slope, m.offset = _logistic(share[has] * 4 - 2, quality[has])
     m.prior, m.fitted = prior, True
@@ -227,12 +236,25 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int) -> DataFrame:
-    """(text, label) of at most ``bound`` labelled ids of the training folds."""
+def training_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, total_bytes: int) -> DataFrame:
+    """(at, text, label): whole texts of at most ``rows`` labelled rows of the training folds.
+
+    They come in the order of their ids' hashes (then ids and text hashes), numbered by ``at``; a text that
+    would bring the sample over ``total_bytes`` is passed over.  Rows that repeat an id and its text count once.
+    """
+    spark = docs.sparkSession
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy(F.col("doc_id").cast("bigint").alias("doc_id"))
     known = known.agg(F.min(label).cast("int").alias("label")).where(~held_out(F.col("doc_id")))
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
-    return doc_texts(docs).join(F.broadcast(chosen), "doc_id").select("text", "label")  # at most ``bound`` ids
+    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    texts = doc_texts(docs).withColumn("tag", F.xxhash64("text"))
+    sizes = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "tag", "label", F.octet_length("text").alias("n")).distinct()  # at most ``rows`` ids
+    keep, held = [], 0
+    for r in sizes.orderBy(F.xxhash64("doc_id"), "doc_id", "tag").limit(rows).collect():  # four numbers a row
+        if held + r.n <= total_bytes:
+            keep.append((r.doc_id, r.tag, r.label, len(keep)))
+            held += r.n
+    sample = spark.createDataFrame(keep, "doc_id bigint, tag bigint, label int, at int")
+    return texts.join(F.broadcast(sample), ["doc_id", "tag"]).select("at", "text", "label")
 
 
 def groups(batch, size: int = GROUP):
@@ -246,16 +268,31 @@ def groups(batch, size: int = GROUP):
             group, held = [], 0
 
 
-def trained(docs: DataFrame, labels: DataFrame, train_docs: int, train_lines: int) -> Chain:
-    """Model fitted on the driver to the bounded sample (four rows an id at most, should ids repeat)."""
-    head = training_sample(docs, labels, "quality", train_docs)
-    head = head.select(F.substring("text", 1, train_lines * WRAP).alias("text"), "label").limit(4 * train_docs).toPandas()
-    return fit([t.encode("utf-8", "surrogatepass") for t in head["text"]], head["label"].to_numpy(float))
+def _sample_features(batches):
+    """One row a text: its lines' lengths less one, and bins, a byte each."""
+    for b in batches:
+        for first, texts in groups(b):
+            doc, size, bins = line_features(texts)
+            edge = np.searchsorted(doc, np.arange(len(texts) + 1))
+            cut = list(zip(edge[:-1].tolist(), edge[1:].tolist()))
+            columns = [pa.array([(size[i:j] - 1).astype(np.uint8).tobytes() for i, j in cut], pa.binary()), pa.array([bins[i:j].tobytes() for i, j in cut], pa.binary())]
+            yield pa.RecordBatch.from_arrays([b.column("at").slice(first, len(texts)), b.column("label").slice(first, len(texts)), *columns], names=["at", "label", "sizes", "bins"])
+
+
+def trained(docs: DataFrame, labels: DataFrame, train_docs: int, train_bytes: int) -> Chain:
+    """Model fitted on the driver to the features of the bounded sample."""
+    sample = training_sample(docs, labels, "quality", train_docs, train_bytes)
+    rows = sample.mapInArrow(_sample_features, "at int, label int, sizes binary, bins binary").dropDuplicates(["at"]).orderBy("at").toArrow()
+    sizes = rows["sizes"].to_pylist()
+    doc = np.repeat(np.arange(len(sizes)), [len(x) for x in sizes])
+    size = np.frombuffer(b"".join(sizes), np.uint8).astype(np.int64) + 1
+    bins = np.frombuffer(b"".join(rows["bins"].to_pylist()), np.uint8).reshape(-1, len(_EDGES))
+    return fit(doc, size, bins, rows["label"].to_numpy().astype(float))
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, train_docs: int = 4000, train_lines: int = 200) -> DataFrame:
+def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, train_docs: int = 4000, train_bytes: int = 1 << 25) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every document."""
-    m = trained(docs, labels, train_docs, train_lines)
+    m = trained(docs, labels, train_docs, train_bytes)
 
     def run(batches):
         for b in batches:
@@ -267,9 +304,9 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, t
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, train_docs: int = 4000, train_lines: int = 200) -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, train_docs: int = 4000, train_bytes: int = 1 << 25) -> DataFrame:
     """The rows of ``docs`` that are predicted good, all columns as they were (no shuffle)."""
-    m = trained(docs, labels, train_docs, train_lines)
+    m = trained(docs, labels, train_docs, train_bytes)
     return docs.mapInArrow(keep_slices("text", lambda texts: score(m, texts) >= threshold), docs.schema)
 
 

@@ -6,11 +6,11 @@ toxic labels that no term explains.  Only documents carry labels; the gradient o
 documents' likelihood reaches the sentences through the noisy-or.  Sentences with a probability
 of one half or more are the offending ones.
 
-Training: a sample of at most ``train_docs`` labelled documents (those with the smallest hashes
-of their ids, only the training folds), whatever their texts share, fitted in the order of the
-texts so that the order of the rows does not matter.  Terms are words and word beginnings of the
-sample that at least ``MIN_DOCS`` documents hold and that a likelihood-ratio test finds
-over-represented in toxic documents.  All documents are scored whole.
+Training: a sample of at most ``train_docs`` labelled documents and ``train_bytes`` of text, whole
+texts in the order of their ids' hashes, only the training folds, whatever they share.  Terms
+are words and word beginnings of the sample that at least ``MIN_DOCS`` documents hold and that a
+likelihood-ratio test finds over-represented in toxic documents.  Tasks count the terms and turn
+the texts into the terms of their sentences; the driver fits those.  All documents are scored whole.
 
 Defined cases: null or empty text scores the leak; without labels, or with one kind only, every
 document scores the share of toxic labels (0 without any) and no sentence offends.  Null doc_ids
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thawline.llm.common import doc_texts
+from thawline.llm.common import doc_texts, saved
 from thawline.llm.op7_quality import held_out, training_sample
 
 MIN_DOCS = 5
@@ -75,19 +75,13 @@ def _instances(text: bytes, terms: dict) -> list[tuple[int, int, list[int]]]:
     return out
 
 
-def _over_represented(texts: list[bytes], toxic: np.ndarray, least: float) -> dict:
-    seen, bad = Counter(), Counter()
-    for t, y in zip(texts, toxic):
-        w = terms_of(t)
-        seen.update(w)
-        if y:
-            bad.update(w)
-    n, n1 = len(texts), toxic.sum()
+def over_represented(counts: dict, n: int, n1: float, least: float) -> dict:
+    """Numbers of the terms (term: documents, toxic documents) that toxic ones of ``n`` (``n1`` toxic) hold too often."""
     terms = {}
-    for w, k in sorted(seen.items()):
+    for w, (k, bad) in sorted(counts.items()):
         if k < MIN_DOCS:
             continue
-        obs = np.array([bad[w], k - bad[w], n1 - bad[w], n - n1 - k + bad[w]], float)
+        obs = np.array([bad, k - bad, n1 - bad, n - n1 - k + bad], float)
         exp = np.array([k * n1, k * (n - n1), (n - k) * n1, (n - k) * (n - n1)], float) / n
         g = 2 * np.sum(np.where(obs > 0, obs * np.log(np.maximum(obs, 1e-9) / np.maximum(exp, 1e-9)), 0))
         if obs[0] > exp[0] and g >= least:
@@ -95,40 +89,86 @@ def _over_represented(texts: list[bytes], toxic: np.ndarray, least: float) -> di
     return terms
 
 
-def fit(texts: list[bytes], toxic: np.ndarray, steps: int = 300, least: float = 30.0) -> Bags:
-    order = sorted(range(len(texts)), key=lambda i: (texts[i], toxic[i]))
-    texts, toxic = [texts[i] for i in order], toxic[order]
-    share = float(toxic.mean()) if len(toxic) else 0.0
-    if share in (0.0, 1.0):
-        return Bags(leak=share)
-    terms = _over_represented(texts, toxic, least)
-    rows, cols, bag, n_inst = [], [], [], 0
-    for d, t in enumerate(texts):
-        for _, _, hit in _instances(t, terms):
-            rows += [n_inst] * len(hit)
-            cols += hit
-            bag.append(d)
-            n_inst += 1
-    rows, cols, bag = np.array(rows, int), np.array(cols, int), np.array(bag, int)
+def likelihood(p: np.ndarray, rows, cols, bag, y) -> tuple[float, np.ndarray]:
+    """Mean log-likelihood of the documents' labels and its gradient.
+
+    ``p``: term weights, sentence bias, log odds of the leak; (rows, cols): terms of each sentence; ``bag``: document of each.
+    """
+    n_terms = len(p) - 2
+    z = p[-2] + np.bincount(rows, weights=p[cols], minlength=len(bag))
+    q = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    leak = 1 / (1 + np.exp(-p[-1]))
+    log_not = np.bincount(bag, weights=np.log1p(-np.minimum(q, 1 - 1e-9)), minlength=len(y)) + np.log1p(-leak)
+    none = np.exp(log_not)
+    value = np.where(y > 0, np.log(np.maximum(1 - none, 1e-9)), log_not).mean()
+    # d loglik / d log_not: toxic documents pull it down, the others up
+    pull = np.where(y > 0, -none / np.maximum(1 - none, 1e-9), 1.0)
+    dz = -pull[bag] * q
+    return float(value), np.concatenate([np.bincount(cols, weights=dz[rows], minlength=n_terms), [dz.sum(), (-pull * leak).sum()]]) / len(y)
+
+
+def fit_bags(terms: dict, bags: list[list[list[int]]], toxic: np.ndarray, steps: int = 300) -> Bags:
+    """Model of documents given as their sentences' terms, and of their labels."""
+    sentences_ = [hit for b in bags for hit in b]
+    bag = np.repeat(np.arange(len(bags)), [len(b) for b in bags]).astype(int)
+    rows = np.repeat(np.arange(len(sentences_)), [len(h) for h in sentences_]).astype(int)
+    cols = np.array([t for h in sentences_ for t in h], int)
     p = np.concatenate([np.full(len(terms), 2.0), [-1.0, np.log(0.05)]])
     mom, sq = np.zeros_like(p), np.zeros_like(p)
     y = toxic.astype(float)
     for step in range(1, steps + 1):
-        z = p[-2] + np.bincount(rows, weights=p[cols], minlength=n_inst)
-        q = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        leak = 1 / (1 + np.exp(-p[-1]))
-        log_not = np.bincount(bag, weights=np.log1p(-np.minimum(q, 1 - 1e-9)), minlength=len(y)) + np.log1p(-leak)
-        none = np.exp(log_not)
-        # d loglik / d log_not: toxic documents pull it down, the others up
-        pull = np.where(y > 0, -none / np.maximum(1 - none, 1e-9), 1.0)
-        dz = -pull[bag] * q
-        g = np.concatenate([np.bincount(cols, weights=dz[rows], minlength=len(terms)), [dz.sum(), (-pull * leak).sum()]]) / len(y)
+        _, g = likelihood(p, rows, cols, bag, y)
         g[:-2] -= 1e-4 * p[:-2]
         mom, sq = 0.9 * mom + 0.1 * g, 0.99 * sq + 0.01 * g * g
         p = p + 0.05 * (mom / (1 - 0.9**step)) / (np.sqrt(sq / (1 - 0.99**step)) + 1e-8)
     return Bags(terms, p[:-2], float(p[-2]), float(1 / (1 + np.exp(-p[-1]))))
 
 
+def fit(texts: list[bytes], toxic: np.ndarray, steps: int = 300, least: float = 30.0) -> Bags:
+    """Model of texts in memory, in whatever order they come."""
+    order = sorted(range(len(texts)), key=lambda i: (texts[i], toxic[i]))
+    texts, toxic = [texts[i] for i in order], toxic[order]
+    share = float(toxic.mean()) if len(toxic) else 0.0
+    if share in (0.0, 1.0):
+        return Bags(leak=share)
+    seen, bad = Counter(), Counter()
+    for t, y in zip(texts, toxic):
+        w = terms_of(t)
+        seen.update(w)
+        if y:
+            bad.update(w)
+    terms = over_represented({w: (k, bad[w]) for w, k in seen.items()}, len(texts), toxic.sum(), least)
+    return fit_bags(terms, [[hit for _, _, hit in _instances(t, terms)] for t in texts], toxic, steps)
+
+
+def _sample_terms(batches):
+    for b in batches:
+        for t, y in zip(b.column("text"), b.column("label").to_pylist()):
+            w = list(terms_of(t.as_py().encode("utf-8", "surrogatepass")))
+            yield pa.RecordBatch.from_arrays([pa.array(w, pa.binary()), pa.array([y] * len(w), pa.int32())], names=["term", "label"])
+
+
+def _sample_bags(terms: dict):
+    def run(batches):
+        for b in batches:
+            hits = [[hit for _, _, hit in _instances(t.as_py().encode("utf-8", "surrogatepass"), terms)] for t in b.column("text")]
+            yield pa.RecordBatch.from_arrays([b.column("at"), b.column("label"), pa.array(hits, pa.list_(pa.list_(pa.int32())))], names=["at", "label", "hits"])
+
+    return run
+
+
+def trained(docs: DataFrame, labels: DataFrame, train_docs: int, train_bytes: int, least: float = 30.0) -> Bags:
+    """Model fitted on the driver to the sentences' terms of the bounded sample."""
+    sample = saved(training_sample(docs, labels, "toxic", train_docs, train_bytes).dropDuplicates(["at"]), "op8-sample")
+    n, n1 = sample.agg(F.count("*"), F.sum("label")).first()
+    if not n or n1 in (0, n):
+        return Bags(leak=float(n1 == n) if n else 0.0)
+    counts = sample.mapInArrow(_sample_terms, "term binary, label int").groupBy("term").agg(F.count("*").alias("k"), F.sum("label").alias("bad")).where(F.col("k") >= MIN_DOCS).toArrow()
+    terms = over_represented({w: (k, bad) for w, k, bad in zip(*(counts[c].to_pylist() for c in ("term", "k", "bad")))}, n, float(n1), least)
+    rows = sample.mapInArrow(_sample_bags(terms), "at int, label int, hits array<array<int>>").orderBy("at").toArrow()
+    return fit_bags(terms, rows["hits"].to_pylist(), rows["label"].to_numpy().astype(float))
+
+
 def score(m: Bags, text: bytes) -> tuple[float, list[tuple[int, int, float]]]:
     """(document score, [(start, end, probability)] of its sentences with any term)."""
     found = []
@@ -140,16 +180,12 @@ def score(m: Bags, text: bytes) -> tuple[float, list[tuple[int, int, float]]]:
     return 1 - none, found
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, train_docs: int = 6000, train_chars: int = 40_000) -> DataFrame:
+def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, train_docs: int = 6000, train_bytes: int = 1 << 25) -> DataFrame:
     """(doc_id, held_out, score, predicted, offending) for every document.
 
     ``offending``: byte ranges and probabilities of the sentences with probability 0.5 or more.
-    ``train_chars`` bounds what a training document gives; four rows an id at most, should ids repeat.
     """
-    head = training_sample(docs, labels, "toxic", train_docs)
-    head = head.select(F.substring("text", 1, train_chars).alias("text"), "label")
-    head = head.orderBy(F.xxhash64("text"), "text", "label").limit(4 * train_docs).toPandas()
-    m = fit([t.encode("utf-8", "surrogatepass") for t in head["text"]], head["label"].to_numpy(float))
+    m = trained(docs, labels, train_docs, train_bytes)
     offence = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("p", pa.float64())]))
 
     def run(batches):
