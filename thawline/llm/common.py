@@ -71,7 +71,7 @@ def digest16(data: bytes) -> bytes:
 class WordHashes(dict):
     """64-bit hashes of words, computed once per distinct word; emptied when it has grown large."""
 
-    LIMIT = 150_000
+    LIMIT = 80_000
 
     def __missing__(self, word: bytes) -> int:
         import xxhash
@@ -86,3 +86,11 @@ class WordHashes(dict):
 
 
 WORD_HASHES = WordHashes()
+
+
+def tidy_worker() -> None:
+    """Give back what earlier operators' tasks left in this worker, before a task that needs much itself."""
+    import pyarrow as pa
+
+    WORD_HASHES.clear()
+    pa.default_memory_pool().release_unused()

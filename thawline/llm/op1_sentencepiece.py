@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thawline.llm.common import doc_texts, shared_path
+from thawline.llm.common import doc_texts, shared_path, tidy_worker
 from thawline.storage import open_fs, put_in_place
 
 SPACE = "▁"
@@ -309,6 +309,7 @@ def _chunk_words(vocabulary, chunk_chars: int):
     """Distinct words of each chunk of consecutive documents."""
 
     def run(batches):
+        tidy_worker()
         v = vocabulary.value
         chunk, chars, held, units = 0, 0, set(), set()
         plain, marks = not any(c.isalpha() for c in v.apart) and v.pattern.pattern != _WHOLE, frozenset(",.")
