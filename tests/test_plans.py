@@ -141,7 +141,7 @@ def test_columns_option_builds_only_what_is_asked(spark):
 
 
 def test_ordinals_write_no_messages_between_slices(spark):
-    for key in ("event_ordinal", "doc_id", "write_outcome", "batch_by_docs"):
+    for key in ("event_ordinal", "doc_id", "batch_by_docs"):
         plan = QUERIES[key](spark, SF)._jdf.queryExecution().executedPlan().toString()
         scan = [x for x in plan.split("\n") if "Scan ExistingRDD" in x]
         assert scan and all("bucket_key" in x and "message" not in x for x in scan), key

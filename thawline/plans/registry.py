@@ -488,6 +488,7 @@ def q_bucket_page(spark, sf):
 from thawline.operators import metrics as M  # noqa: E402
 
 
+MAX_ITEM = 200  # bytes of a message that the queries on write outcomes let a table take
 _METRIC_RUNS: dict[tuple, str] = {}
 
 
@@ -499,29 +500,34 @@ def run_metrics(spark, sf):
     if key not in _METRIC_RUNS:
         base = SK.new_run_path(spark, "thawline-metrics")
         for run in ("1.0", "1.1"):
-            ingest(spark, root, f"{base}/docs", run, checkpoint_log_path=f"{base}/log", mode="PERMISSIVE", metrics_path=f"{base}/metrics")
+            ingest(spark, root, f"{base}/docs", run, checkpoint_log_path=f"{base}/log", mode="PERMISSIVE", metrics_path=f"{base}/metrics", max_document_bytes=MAX_ITEM)
         _METRIC_RUNS[key] = f"{base}/metrics"
     return spark.read.parquet(_METRIC_RUNS[key])
 
 
-RUN_METRICS = """
+RUN_METRICS = f"""
+items AS (
+  SELECT index_name || '/' || bucket_name AS bucket_key, count(*) FILTER (WHERE octet_length(encode(message)) > {MAX_ITEM}) AS n_bad,
+    sum(octet_length(encode(message))) FILTER (WHERE octet_length(encode(message)) <= {MAX_ITEM}) AS b
+  FROM corpus GROUP BY 1
+),
 first_run AS (
   SELECT l.bucket_key, l.index_name, l.bucket_latest, l.bucket_seq % 7 = 0 AND coalesce(c.n_events, 0) > 0 AS bad,
-    coalesce(c.n_events, 0) AS n, coalesce(c.n_bytes, 0) AS b
-  FROM listing l LEFT JOIN counts c ON c.bucket_key = l.bucket_key
+    coalesce(c.n_events, 0) AS n, coalesce(i.n_bad, 0) AS n_bad, coalesce(i.b, 0) AS b
+  FROM listing l LEFT JOIN counts c ON c.bucket_key = l.bucket_key LEFT JOIN items i ON i.bucket_key = l.bucket_key
 ),
 run_metrics AS (
   SELECT bucket_key, index_name, bucket_latest, '1.0' AS ingest_iteration, CASE WHEN bad THEN 'failed' ELSE 'completed' END AS status,
-    CASE WHEN bad THEN 0 ELSE n END AS event_count, CASE WHEN bad THEN 0 ELSE b END AS message_bytes FROM first_run
+    CASE WHEN bad THEN 0 ELSE n END AS event_count, CASE WHEN bad THEN 0 ELSE n_bad END AS docs_error, CASE WHEN bad THEN 0 ELSE b END AS message_bytes FROM first_run
   UNION ALL
-  SELECT bucket_key, index_name, bucket_latest, '1.1', CASE WHEN bad THEN 'failed' ELSE 'skipped' END, 0, 0 FROM first_run
+  SELECT bucket_key, index_name, bucket_latest, '1.1', CASE WHEN bad THEN 'failed' ELSE 'skipped' END, 0, 0, 0 FROM first_run
 )"""
 
 
 @register("metrics_rollup", W(TB, RUN_METRICS) + """
 SELECT index_name, ingest_iteration, count(*) AS journals, CAST(sum(event_count) AS BIGINT) AS events,
-  CAST(sum(message_bytes) AS BIGINT) AS bytes, CAST(sum(event_count) AS BIGINT) AS docs_success,
-  CAST(0 AS BIGINT) AS docs_error,
+  CAST(sum(message_bytes) AS BIGINT) AS bytes, CAST(sum(event_count - docs_error) AS BIGINT) AS docs_success,
+  CAST(sum(docs_error) AS BIGINT) AS docs_error,
   count(*) FILTER (WHERE status = 'completed') AS buckets_completed,
   count(*) FILTER (WHERE status = 'failed') AS buckets_failed,
   count(*) FILTER (WHERE status = 'skipped') AS buckets_skipped
@@ -554,7 +560,7 @@ def q_metrics_latest(spark, sf):
 
 
 @register("throughput", W(TB, RUN_METRICS) + """
-SELECT ingest_iteration, CAST(sum(event_count) AS BIGINT) AS docs, CAST(sum(event_count) AS BIGINT) AS docs_from_rate
+SELECT ingest_iteration, CAST(sum(event_count - docs_error) AS BIGINT) AS docs, CAST(sum(event_count - docs_error) AS BIGINT) AS docs_from_rate
 FROM run_metrics GROUP BY ingest_iteration""")
 def q_throughput(spark, sf):
     """Wall times differ from run to run, so the rate is checked against the documents it stands for."""
@@ -608,14 +614,37 @@ BATCH = 500
 
 
 @register("write_outcome", W(ORD_SQL) + f"""
-SELECT bucket_key, event_ordinal // {BATCH} AS batch, count(*) FILTER (WHERE message <> '') AS success,
-  count(*) FILTER (WHERE message = '') AS errors
+SELECT bucket_key, event_ordinal // {BATCH} AS batch, count(*) FILTER (WHERE octet_length(encode(message)) <= {MAX_ITEM}) AS success,
+  count(*) FILTER (WHERE octet_length(encode(message)) > {MAX_ITEM}) AS errors
 FROM ord GROUP BY bucket_key, event_ordinal // {BATCH}""")
 def q_write_outcome(spark, sf):
-    """Per bulk batch of 500 documents: written and rejected (empty body) items."""
-    o = _with_ordinal(spark, sf, (F.col("message") == "").alias("is_empty"))
-    return o.groupBy("bucket_key", F.floor(F.col("event_ordinal") / BATCH).alias("batch")).agg(
-        F.count_if(~F.col("is_empty")).alias("success"), F.count_if("is_empty").alias("errors"))
+    """Per batch of 500 documents of an ingest: what its table took and what it turned away (messages over 200 bytes)."""
+    from thawline.plans import commits
+    from thawline.plans.ingest import ingest
+    out = SK.new_run_path(spark, "thawline-ingest")
+    ingest(spark, journal_root(spark, sf), out, "1.0", max_document_bytes=MAX_ITEM)
+    both = commits.read_documents(spark, out).select("bucket_key", "event_ordinal", F.lit(True).alias("taken")).union(
+        commits.read_rejects(spark, out).select("bucket_key", "event_ordinal", F.lit(False)))
+    return both.groupBy("bucket_key", F.floor(F.col("event_ordinal") / BATCH).alias("batch")).agg(
+        F.count_if("taken").alias("success"), F.count_if(~F.col("taken")).alias("errors"))
+
+
+@register("ingest_rejects", W(TB, ORD_SQL) + f"""
+SELECT l.bucket_key, 'completed' AS status, coalesce(o.good, 0) AS indexed, coalesce(o.bad, 0) AS errors, coalesce(o.bad, 0) AS n_rejects, o.reason
+FROM listing l LEFT JOIN (
+  SELECT bucket_key, count(*) FILTER (WHERE n <= {MAX_ITEM}) AS good, count(*) FILTER (WHERE n > {MAX_ITEM}) AS bad,
+    'message of ' || max(n) FILTER (WHERE n > {MAX_ITEM}) || ' bytes' AS reason
+  FROM (SELECT bucket_key, octet_length(encode(message)) AS n FROM ord) GROUP BY bucket_key) o ON o.bucket_key = l.bucket_key""")
+def q_ingest_rejects(spark, sf):
+    """Results and log of an ingest count the documents turned away; each is stored with its reason."""
+    from thawline.plans import commits
+    from thawline.plans.ingest import ingest
+    base = SK.new_run_path(spark, "thawline-ingest")
+    ingest(spark, journal_root(spark, sf), f"{base}/docs", "1.0", checkpoint_log_path=f"{base}/log", max_document_bytes=MAX_ITEM)
+    log = R.checkpoint_latest(spark.read.parquet(f"{base}/log")).select("bucket_key", "status", "indexed", "errors")
+    rejects = commits.read_rejects(spark, f"{base}/docs").groupBy("bucket_key").agg(
+        F.count(F.lit(1)).alias("n_rejects"), F.max_by("error_message", F.octet_length("message")).alias("reason"))
+    return log.join(rejects, "bucket_key", "left").fillna(0, ["n_rejects"])
 
 
 @register("batch_by_docs", W(ORD_SQL) + f"""
@@ -1079,6 +1108,41 @@ def q_incremental_idempotent(spark, sf):
     return back.groupBy("splunk_index").agg(F.count(F.lit(1)).alias("n_docs"), F.count_distinct("doc_id").alias("n_ids"))
 
 
+@register("incremental_with_failures", W(TB) + """
+SELECT l.bucket_key, CASE WHEN bad THEN 0 ELSE n END AS n_docs, bad AS quarantined, CASE WHEN bad THEN 'failed' ELSE 'completed' END AS logged
+FROM (SELECT l.*, coalesce(c.n_events, 0) AS n, l.bucket_seq % 7 = 0 AND coalesce(c.n_events, 0) > 0 AS bad
+      FROM listing l LEFT JOIN counts c ON c.bucket_key = l.bucket_key) l""")
+def q_incremental_with_failures(spark, sf):
+    """Bad journals do not stop the stream: their buckets are quarantined and logged, the others ingested, once."""
+    from thawline.plans.ingest import documents
+    from thawline.streaming import incremental as INC
+    root = corrupt_copy(spark, journal_root(spark, sf))
+    base = SK.new_run_path(spark, "thawline-stream")
+    out, log = os.path.join(base, "out"), os.path.join(base, "log")
+    for _ in range(2):
+        INC.run_incremental(spark, root, documents, out, os.path.join(base, "ckpt"), mode="PERMISSIVE", checkpoint_log_path=log)
+    docs = spark.read.parquet(out).groupBy("bucket_key").agg(F.count(F.lit(1)).alias("n_docs"))
+    held = INC.quarantined(spark, out).select("bucket_key", F.lit(True).alias("quarantined"))
+    logged = R.checkpoint_latest(spark.read.parquet(log)).select("bucket_key", F.col("status").alias("logged"))
+    return logged.join(docs, "bucket_key", "left").join(held, "bucket_key", "left").fillna(0, ["n_docs"]).fillna(False, ["quarantined"])
+
+
+@register("incremental_repaired", W() + """
+SELECT index_name AS splunk_index, count(*) AS n_docs, count(*) AS n_ids, 0 AS n_quarantined FROM corpus GROUP BY ALL""")
+def q_incremental_repaired(spark, sf):
+    """Quarantined buckets are delivered again from repaired journals: every document is there once, the quarantine is empty."""
+    from thawline.plans.ingest import documents
+    from thawline.streaming import incremental as INC
+    good = journal_root(spark, sf)
+    base = SK.new_run_path(spark, "thawline-stream")
+    out = os.path.join(base, "out")
+    INC.run_incremental(spark, corrupt_copy(spark, good), documents, out, os.path.join(base, "ckpt"), mode="PERMISSIVE")
+    INC.redeliver(spark, documents, out)  # not repaired yet: they stay
+    INC.redeliver(spark, documents, out, root=good)
+    left = INC.quarantined(spark, out).agg(F.count(F.lit(1)).cast("int").alias("n_quarantined"))
+    return spark.read.parquet(out).groupBy("splunk_index").agg(F.count(F.lit(1)).alias("n_docs"), F.count_distinct("doc_id").alias("n_ids")).crossJoin(left)
+
+
 # ---------------------------------------------------------------------------
 # Flagship ingest with resume (3.1 lifecycle) and profile merge (A2)
 # ---------------------------------------------------------------------------
@@ -1149,6 +1213,36 @@ def q_ingest_with_failures(spark, sf):
     return out.fillna(0, ["n_docs"])
 
 
+@register("ingest_crash_resume", W() + """
+SELECT step, index_name AS splunk_index, count(*) AS n_docs, count(*) AS n_ids
+FROM corpus, (SELECT unnest(['written', 'committed', 'placed']) AS step) GROUP BY ALL""")
+def q_ingest_crash_resume(spark, sf):
+    """An ingest broken off after the write, the commit or the move: the next call leaves every document once."""
+    from thawline.plans import ingest as I
+    root = journal_root(spark, sf)
+    out = None
+    for step in ("written", "committed", "placed"):
+        base = SK.new_run_path(spark, "thawline-ingest")
+
+        def stop(name, step=step):
+            if name == step:
+                raise InterruptedError(step)
+
+        I.ingest(spark, root, f"{base}/docs", "1.0", checkpoint_log_path=f"{base}/log", indices=["apache"])
+        keep, I._step = I._step, stop
+        try:
+            I.ingest(spark, root, f"{base}/docs", "1.0", checkpoint_log_path=f"{base}/log")
+        except InterruptedError:
+            pass
+        finally:
+            I._step = keep
+        I.ingest(spark, root, f"{base}/docs", "1.0", checkpoint_log_path=f"{base}/log")
+        got = spark.read.parquet(f"{base}/docs").groupBy("splunk_index").agg(F.count(F.lit(1)).alias("n_docs"), F.count_distinct("doc_id").alias("n_ids"))
+        got = got.select(F.lit(step).alias("step"), "splunk_index", "n_docs", "n_ids")
+        out = got if out is None else out.union(got)
+    return out
+
+
 @register("dedupe_against_target", W() + """
 SELECT index_name AS splunk_index, count(*) AS n_docs, count(*) AS n_ids FROM corpus GROUP BY index_name""")
 def q_dedupe_against_target(spark, sf):

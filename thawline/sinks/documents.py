@@ -17,6 +17,10 @@ DOC_COLUMNS = (
     ("splunk_index_time", "bigint"), ("splunk_bucket_name", "string"), ("splunk_bucket_latest", "bigint"),
     ("splunk_bucket_earliest", "bigint"), ("splunk_pipeline", "string"), ("splunk_classify_reason", "string"),
 )
+# what a document table takes at most: bytes of a message, bytes of a field that is looked up by its value
+MAX_DOCUMENT_BYTES = 100 * 1024 * 1024
+MAX_KEY_BYTES = 32_766
+KEY_FIELDS = ("host", "source", "sourcetype", "splunk_bucket_name")
 DEFAULT_BATCH_DOCS = 500
 DEFAULT_BATCH_BYTES = 15 * 1024 * 1024
 
@@ -25,6 +29,15 @@ def enforce_schema(docs: DataFrame, extra=()) -> DataFrame:
     return docs.select(*[F.col(c).cast(t).alias(c) for c, t in DOC_COLUMNS], *extra)
 
 
+def reject_reason(max_document_bytes: int = MAX_DOCUMENT_BYTES):
+    """Why a table does not take a document; null for those it takes."""
+    reason = F.when(F.col("ts_iso").isNull(), "no event time").when(
+        F.octet_length("message") > max_document_bytes, F.concat(F.lit("message of "), F.octet_length("message").cast("string"), F.lit(" bytes")))
+    for c in KEY_FIELDS:
+        reason = reason.when(F.octet_length(c) > MAX_KEY_BYTES, F.concat(F.lit(f"{c} of "), F.octet_length(c).cast("string"), F.lit(" bytes")))
+    return reason
+
+
 def runs_root(spark: SparkSession, name: str = "thawline-runs") -> str:
     return os.path.join(checkpoint_dir(spark), name)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -23,6 +24,18 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
+def holds_files(spark: SparkSession, path: str, suffix: str) -> bool:
+    """Whether a file of this kind is anywhere below a directory."""
+    fs, p = _hadoop(spark, path)
+    if not fs.exists(p):
+        return False
+    files = fs.listFiles(p, True)
+    while files.hasNext():
+        if files.next().getPath().getName().endswith(suffix):
+            return True
+    return False
+
+
 def rename(spark: SparkSession, src: str, dst: str) -> bool:
     """Move a finished file or directory to its name; false if that name is taken."""
     fs, s = _hadoop(spark, src)
@@ -33,20 +46,46 @@ def rename(spark: SparkSession, src: str, dst: str) -> bool:
     return fs.rename(s, d)
 
 
+def move(spark: SparkSession, src: str, dst: str) -> None:
+    """Move a finished file or directory to a free name; raises where it did not get there.
+
+    Calling it again after it was done does nothing, so a broken-off caller may repeat it.
+    """
+    fs, s = _hadoop(spark, src)
+    d = spark._jvm.org.apache.hadoop.fs.Path(dst)
+    if not fs.exists(s) and fs.exists(d):
+        return
+    if not rename(spark, src, dst) or fs.exists(s) or not fs.exists(d):
+        raise OSError(f"could not move {src} to {dst}")
+
+
 def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or directory, if it is there; raises where it stays."""
     fs, p = _hadoop(spark, path)
     fs.delete(p, True)
+    if fs.exists(p):
+        raise OSError(f"could not delete {path}")
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Replace a small text file: written under another name first."""
+    """Replace a small text file: written under another name, which then takes the file's place in one step."""
+    jvm = spark._jvm
     fs, p = _hadoop(spark, path)
-    tmp = spark._jvm.org.apache.hadoop.fs.Path(path + ".tmp")
+    local = fs.getUri().getScheme() == "file"
+    fs = fs.getRawFileSystem() if local else fs  # no checksum file beside it, which could not change in the same step
+    tmp = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
     out = fs.create(tmp, True)
     out.write(bytearray(text.encode("utf-8")))
     out.close()
-    fs.delete(p, False)
-    fs.rename(tmp, p)
+    if local:
+        if not fs.rename(tmp, p):  # replaces the file, as POSIX does
+            raise OSError(f"could not write {path}")
+        return
+    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(kind, 1)
+    how[0] = kind.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(tmp), fs.makeQualified(p), how)
 
 
 def read_text(spark: SparkSession, path: str) -> str:
