@@ -15,7 +15,9 @@ after the last digit are the repeated windows.  Three choices keep the passes sm
   orders the single suffixes of blocks that still differ by all ``threshold`` tokens.
 
 Each pass is a count per digit (with partial aggregation) and a join back; no group is collected.
-A text present n times sends one representative to the next pass.
+A text present n times sends one representative to the next pass.  A digit that holds a ``HOT``-th
+of a pass's items or more (there are ``HOT`` of them at most) is looked up in a broadcast, so that
+its items need not meet in one task; the others meet the counts in a shuffle.
 
 Units: ``bytes`` (UTF-8) or ``words`` (runs without ASCII white space).  Null text is empty; a
 document shorter than the threshold has no window.  Repeated rows, also of one doc_id or of a
@@ -37,6 +39,7 @@ from thawline.llm.common import U64, WORD_HASHES, mix, saved, small_batches
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * U64(0x9E3779B97F4A7C15))
 _BASE = 0xD6E8FEB86659FD93
 _CHUNK = 1 << 20
+HOT = 1000
 _WORD = re.compile(rb"[^\x20\x09-\x0d]+")
 
 
@@ -191,16 +194,32 @@ def _with_text(texts: DataFrame, items: DataFrame, fields: list[str]) -> DataFra
     return per_doc.join(one, ["rid", "rk"]).dropDuplicates(["rid", "rk"])
 
 
-def _open(items: DataFrame, digit: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(groups whose texts are all equal: digit; groups to be told apart: digit), of two items or more."""
+def _met(items: DataFrame, groups: DataFrame, digit: list[str], total: int) -> DataFrame:
+    """``items`` of the ``groups`` (digit, size and more), hot groups by a broadcast of at most ``HOT`` rows."""
+    hot = F.col("size") * HOT >= total
+    first = F.broadcast(groups.where(hot).withColumnsRenamed({d: f"hot_{d}" for d in digit}))
+    same = [items[d] == F.col(f"hot_{d}") for d in digit]
+    near = items.join(first, same).drop(*(f"hot_{d}" for d in digit))
+    far = items.join(first.select(*(f"hot_{d}" for d in digit)), same, "left_anti").join(groups.where(~hot), digit)
+    return near.unionByName(far).drop("size")
+
+
+def _open(items: DataFrame, digit: list[str], total: int, name: str) -> DataFrame:
+    """Items whose digit two or more have, and whether all of these have one text."""
     groups = items.groupBy(*digit).agg(F.count("*").alias("size"), F.min("digest").alias("d0"), F.max("digest").alias("d1")).where("size > 1")
-    return groups.select(*digit, (F.col("d0") == F.col("d1")).alias("equal"))
+    return _met(items, saved(groups.select(*digit, "size", (F.col("d0") == F.col("d1")).alias("equal")), f"{name}-groups"), digit, total)
+
+
+def _again(items: DataFrame, texts: DataFrame, digit: list[str], total: int) -> DataFrame:
+    """Items whose whole text (digit and digest) occurs twice or more."""
+    twice = texts.where("copies > 1").select(*digit, F.col("copies").alias("size"))
+    return _met(items, twice, digit, total).select("rid", "rk", "p0", "n")
 
 
 def repeated(texts: DataFrame, unit: str, threshold: int, gram: int, step: int) -> DataFrame:
     """(rid, rk, p0, n): ranges of suffixes whose first ``threshold`` tokens occur elsewhere too."""
     all_runs = saved(texts.select("rid", "rk", "text").mapInArrow(_runs(unit, threshold, gram), _RUN), "op4-runs")
-    many = saved(all_runs.join(_open(all_runs, ["key"]), "key"), "op4-pass1")
+    many = saved(_open(all_runs, ["key"], all_runs.count(), "op4-pass1"), "op4-pass1")
     equal = many.where("equal").select("rid", "rk", "p0", "n")
 
     rest = many.where("not equal").drop("equal")
@@ -208,7 +227,7 @@ def repeated(texts: DataFrame, unit: str, threshold: int, gram: int, step: int)
         F.count("*").alias("copies"), F.min(F.struct("rid", "rk", "p0", "n", "off")).alias("one")
     )
     texts_of = saved(texts_of, "op4-texts")
-    equal2 = rest.join(texts_of.where("copies > 1").select("key", "digest"), ["key", "digest"]).select("rid", "rk", "p0", "n")
+    equal2 = _again(rest, texts_of, ["key", "digest"], rest.count())
 
     with_runs = _with_text(texts, texts_of.select("one.*"), ["p0", "n", "off"])
     with_runs = saved(with_runs, "op4-open")
@@ -218,20 +237,20 @@ def repeated(texts: DataFrame, unit: str, threshold: int, gram: int, step: int)
         ),
         "op4-blocks",
     )
-    many2 = saved(blocks.join(_open(blocks, ["c1", "c2"]), ["c1", "c2"]), "op4-pass2")
+    many2 = saved(_open(blocks, ["c1", "c2"], blocks.count(), "op4-pass2"), "op4-pass2")
     equal3 = many2.where("equal").select("rid", "rk", "p0", "n")
     rest2 = many2.where("not equal").drop("equal")
     texts2 = rest2.groupBy("c1", "c2", "digest").agg(F.count("*").alias("copies"), F.min(F.struct("rid", "rk", "p0", "n")).alias("one"))
     texts2 = saved(texts2, "op4-texts2")
-    equal4 = rest2.join(texts2.where("copies > 1").select("c1", "c2", "digest"), ["c1", "c2", "digest"]).select("rid", "rk", "p0", "n")
+    equal4 = _again(rest2, texts2, ["c1", "c2", "digest"], rest2.count())
 
     open2 = _with_text(with_runs, texts2.select("one.*"), ["p0", "n"])
     single = saved(
         open2.select("rid", "rk", "text", "runs").mapInArrow(_suffixes(unit, threshold), "rid bigint, rk bigint, c1 bigint, c2 bigint, p0 int"),
         "op4-pass3",
     )
-    twice = single.groupBy("c1", "c2").agg(F.count("*").alias("size")).where("size > 1").select("c1", "c2")
-    equal5 = single.join(twice, ["c1", "c2"]).select("rid", "rk", "p0", F.lit(1).alias("n"))
+    twice = saved(single.groupBy("c1", "c2").agg(F.count("*").alias("size")).where("size > 1"), "op4-pass3-groups")
+    equal5 = _met(single, twice, ["c1", "c2"], single.count()).select("rid", "rk", "p0", F.lit(1).alias("n"))
     return equal.union(equal2).union(equal3).union(equal4).union(equal5)
 
 
