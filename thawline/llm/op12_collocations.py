@@ -66,9 +66,9 @@ def slices(text: bytes, size: int = GROUP):
 
 def _by_lang(batches):
     """(lang, bytes of texts of one language, a piece border between texts), about ``GROUP`` bytes at a time."""
+    held: dict[bytes, list[bytes]] = {}
+    size: dict[bytes, int] = {}
     for b in batches:
-        held: dict[bytes, list[bytes]] = {}
-        size: dict[bytes, int] = {}
         texts, langs = b.column("text"), b.column("lang").to_pylist()
         for i, lang in enumerate(langs):
             for part in slices(texts[i].as_py()):
@@ -76,9 +76,13 @@ def _by_lang(batches):
                 size[lang] = size.get(lang, 0) + len(part)
                 if size[lang] >= GROUP:
                     yield lang, b"\n".join(held.pop(lang))
-                    size[lang] = 0
-        for lang, parts in held.items():
-            yield lang, b"\n".join(parts)
+                    del size[lang]
+        if sum(size.values()) >= 4 * GROUP:  # many languages, little of each
+            for lang, parts in held.items():
+                yield lang, b"\n".join(parts)
+            held, size = {}, {}
+    for lang, parts in held.items():
+        yield lang, b"\n".join(parts)
 
 
 class BitFilter:
