@@ -81,6 +81,7 @@ def test_slices_end_at_borders():
 
 def test_trie_bursts_and_spills(monkeypatch):
     monkeypatch.setattr(M, "BURST", 5)
+    monkeypatch.setattr(M, "GROUP", 300)
     held = namedtuple("Held", "value")(M.BitFilter(6, np.full(1, 2**64 - 1, np.uint64)))
     texts = _texts(9, 60)
     batch = pa.RecordBatch.from_arrays([pa.array([b"en", b"de"] * 30), pa.array([t.encode() for t in texts])], names=["lang", "text"])
