@@ -147,6 +147,13 @@ def test_ordinals_write_no_messages_between_slices(spark):
         assert scan and all("bucket_key" in x and "message" not in x for x in scan), key
 
 
+def test_negated_filters_are_applied_after_the_scan(spark):
+    ev = JS.read(spark, journal_root(spark, SF), columns="index_name,bucket_name")
+    n = {r.index_name: r["count"] for r in ev.groupBy("index_name").count().collect()}
+    kept = {r.index_name: r["count"] for r in ev.where(~F.col("index_name").isin("apache", "syslog")).groupBy("index_name").count().collect()}
+    assert kept == {k: v for k, v in n.items() if k not in ("apache", "syslog")} and len(kept) < len(n)
+
+
 def test_excluding_filters_keep_no_journal(spark):
     ev = JS.read(spark, journal_root(spark, SF), indices="apache").where(F.col("index_name") == "nginx")
     assert ev.count() == 0

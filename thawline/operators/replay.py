@@ -41,13 +41,18 @@ DICT_OPS = {J.NEW_HOST: "_n_host", J.NEW_SOURCE: "_n_source", J.NEW_SOURCETYPE:
             J.NEW_STRING: "_n_string"}
 
 
-def scanned(ops: DataFrame) -> DataFrame:
+def scanned(ops: DataFrame, keep_raw: bool = False) -> DataFrame:
     """W1 + W2 + W3 in one skew-safe ordered pass over each journal: decoder state carried forward
-    (start value 0) and running counts of events and of each dictionary's strings."""
+    (start value 0) and running counts of events and of each dictionary's strings.
+
+    ``keep_raw`` adds the ids that a row sets itself, as ``raw_state_host`` and so on."""
     op = F.col("opcode")
     counts = {"_n_event": is_event(op)}
     counts.update({name: op == code for code, name in DICT_OPS.items()})
-    s = scan_within(with_key(ops), ["bucket_key"], ["ord"], ffill=STATE, counts=counts)
+    keyed = with_key(ops)
+    if keep_raw:
+        keyed = keyed.withColumns({f"raw_{c}": F.col(c) for c in STATE[:3]})
+    s = scan_within(keyed, ["bucket_key"], ["ord"], ffill=STATE, counts=counts)
     return s.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in STATE})
 
 
@@ -74,16 +79,44 @@ def rebase_times(base_index: Column, diff: Column, base_event: Column, sub_raw:
             "event_time_ms": base_event.cast("bigint") * 1000 + F.shiftright(sub_raw, 1)}
 
 
-def _resolve(events: DataFrame, d: DataFrame, opcode: int, id_col: str, out: str) -> DataFrame:
-    """Id -> string of that dictionary, defined before the event; id 0 -> ''."""
-    dd = d.where(F.col("opcode") == opcode).select(
-        F.col("bucket_key").alias(f"_{out}_bk"), F.col("idx").alias(f"_{out}_idx"),
-        F.col("def_ord").alias(f"_{out}_def"), F.col("text").alias(f"_{out}_text"))
-    cond = ((F.col("bucket_key") == F.col(f"_{out}_bk")) & (F.col(id_col) == F.col(f"_{out}_idx"))
-            & (F.col(f"_{out}_def") < F.col("ord")))
-    j = events.join(dd, cond, "left").drop(f"_{out}_bk")
-    return j.withColumn(out, F.when(F.col(id_col) == 0, F.lit("")).otherwise(F.col(f"_{out}_text"))).drop(
-        f"_{out}_idx", f"_{out}_def", f"_{out}_text")
+ID_OPS = (("state_host", J.NEW_HOST, "host"), ("state_source", J.NEW_SOURCE, "source"),
+          ("state_sourcetype", J.NEW_SOURCETYPE, "sourcetype"))
+
+
+def resolve_ids(refs: DataFrame, d: DataFrame, order: list[str]) -> DataFrame:
+    """As-of lookup (bucket_key, opcode, idx, ord) -> ``text`` of the string defined before ``ord``, else NULL.
+
+    References and definitions are sorted together by (bucket, dictionary, id, ord) and the text is
+    filled forward, so an id that most references of a bucket name is split over many tasks, which an
+    equi-join on (bucket, id) does not do.  ``order`` tells references of one ``ord`` apart.
+    """
+    rows = refs.withColumn("_def", F.lit(False)).unionByName(
+        d.select("bucket_key", "opcode", "idx", F.col("def_ord").alias("ord"), "text", F.lit(True).alias("_def")),
+        allowMissingColumns=True)
+    rows = rows.withColumn("idx", F.coalesce("idx", F.lit(-1)))  # a missing id names no string
+    filled = scan_within(rows, ["bucket_key", "opcode", "idx"], ["ord", *order], ffill=["text"])
+    return filled.where(~F.col("_def")).drop("_def")
+
+
+def string_changes(ops: DataFrame) -> DataFrame:
+    """(bucket_key, ord, host, source, sourcetype): each op that changes an active string.
+
+    The string is wrapped in a struct; a null struct keeps the string, a struct of NULL says that the
+    active id names nothing yet.  Only state and dictionary ops take part, no event does: a state op
+    asks for the string of its id as of its place, and a definition counts at once where its id is active.
+    """
+    sc = scanned(ops.select("index_name", "bucket_name", "ord", "opcode", "text", *STATE).where(~is_event(F.col("opcode"))), keep_raw=True)
+    d = dictionary(ops, sc)
+    asked = sc.select("bucket_key", "ord", F.explode(F.array(*[
+        F.struct(F.lit(code).alias("opcode"), F.col(f"raw_{c}").cast("bigint").alias("idx")) for c, code, _ in ID_OPS])).alias("a"))
+    asked = asked.select("bucket_key", "ord", "a.*").where(F.col("idx").isNotNull())
+    told = resolve_ids(asked, d, []).withColumn("text", F.when(F.col("idx") == 0, F.lit("")).otherwise(F.col("text")))
+    late = None
+    for c, code, _ in ID_OPS:
+        hit = (F.col("opcode") == code) & (F.col(c) == F.col(DICT_OPS[code]))
+        late = hit if late is None else late | hit
+    told = told.select("bucket_key", "ord", "opcode", "text").unionByName(sc.where(late).select("bucket_key", "ord", "opcode", "text"))
+    return told.select("bucket_key", "ord", *[F.when(F.col("opcode") == code, F.struct("text")).alias(out) for _, code, out in ID_OPS])
 
 
 def event_times(ops: DataFrame) -> DataFrame:
@@ -95,36 +128,49 @@ def event_times(ops: DataFrame) -> DataFrame:
 
 
 def replay_events(ops: DataFrame) -> DataFrame:
-    """W1 + W2 + W3 + J3 + P7: events of the op log with resolved metadata strings and rebased times."""
-    sc = scanned(ops)
-    d = dictionary(ops, sc)
-    s = fill_state(ops, sc).where(is_event(F.col("opcode")))
-    s = s.withColumns(rebase_times(F.col("base_index_time"), F.col("index_time_diff"), F.col("base_event_time"),
-                                   F.col("time_sub_raw")))
-    for op, idc, out in ((J.NEW_HOST, "state_host", "host"), (J.NEW_SOURCE, "state_source", "source"),
-                         (J.NEW_SOURCETYPE, "state_sourcetype", "sourcetype")):
-        s = _resolve(s, d, op, idc, out)
-    return s
+    """W1 + W2 + W3 + J3 + P7: events of the op log with resolved metadata strings and rebased times.
+
+    The strings that become active (``string_changes``) are merged into the op log and carried forward
+    by the same ordered scan as ids and times: messages are moved once, and no event is joined to a
+    dictionary.
+    """
+    rows = with_key(ops).unionByName(string_changes(ops), allowMissingColumns=True)
+    strings = [out for _, _, out in ID_OPS]
+    s = scan_within(rows, ["bucket_key"], ["ord"], ffill=[*STATE, *strings], counts={"_n_event": is_event(F.col("opcode"))})
+    s = s.where(is_event(F.col("opcode"))).withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in STATE})
+    # before the first state op every id is 0, whose string is empty
+    s = s.withColumns({c: F.when(F.col(c).isNull(), F.lit("")).otherwise(F.col(c)["text"]) for c in strings})
+    s = s.withColumn("event_ordinal", F.col("_n_event") - 1)
+    return s.withColumns(rebase_times(F.col("base_index_time"), F.col("index_time_diff"), F.col("base_event_time"),
+                                      F.col("time_sub_raw")))
 
 
 def metadata_fields(ops: DataFrame, sc: DataFrame | None = None) -> DataFrame:
-    """J4 + A9: (key id, value id) pairs -> ``MAP<key, ARRAY<value>>`` in journal order, plus errors."""
+    """J4 + A9: (key id, value id) pairs -> ``MAP<key, ARRAY<value>>`` in journal order, plus errors.
+
+    (bucket_key, ord, fields, extraction_errors), one row per event that has pairs; either column is
+    NULL where it would be empty.
+    """
     ev = with_key(ops).where(is_event(F.col("opcode")) & (F.size("meta") > 0))
-    pairs = ev.select("bucket_key", "ord", F.posexplode("meta").alias("pos", "kv")).select(
-        "bucket_key", "ord", "pos", F.col("kv.key").alias("k"), F.col("kv.value").alias("v"))
-    d = dictionary(ops, sc).where(F.col("opcode") == J.NEW_STRING).select("bucket_key", "idx", "def_ord", "text")
-    dk = d.select("bucket_key", F.col("idx").alias("k"), F.col("def_ord").alias("k_def"), F.col("text").alias("key"))
-    dv = d.select("bucket_key", F.col("idx").alias("v"), F.col("def_ord").alias("v_def"), F.col("text").alias("value"))
-    p = pairs.join(dk, ["bucket_key", "k"], "left").join(dv, ["bucket_key", "v"], "left")
-    ok = F.col("key").isNotNull() & F.col("value").isNotNull() & (F.col("k_def") < F.col("ord")) & (
-        F.col("v_def") < F.col("ord"))
-    p = p.withColumn("ok", ok)
-    good = p.where("ok").groupBy("bucket_key", "ord", "key").agg(
-        F.sort_array(F.collect_list(F.struct("pos", "value"))).alias("vals"))
-    good = good.groupBy("bucket_key", "ord").agg(
-        F.map_from_entries(F.collect_list(F.struct("key", F.transform("vals", lambda x: x["value"])))).alias("fields"))
-    bad = p.where(~F.col("ok")).groupBy("bucket_key", "ord").agg(
-        F.sort_array(F.collect_list(F.struct(
-            "pos", F.format_string("key=%d, value=%d: id out of range", "k", "v").alias("msg")))).alias("e"))
-    bad = bad.select("bucket_key", "ord", F.transform("e", lambda x: x["msg"]).alias("extraction_errors"))
-    return good.join(bad, ["bucket_key", "ord"], "full")
+    pairs = ev.select("bucket_key", "ord", F.posexplode("meta").alias("pos", "kv"))
+    asked = pairs.select("bucket_key", "ord", "pos", F.explode(F.array(
+        F.struct(F.lit(0).alias("side"), F.col("kv.key").cast("bigint").alias("idx")),
+        F.struct(F.lit(1).alias("side"), F.col("kv.value").cast("bigint").alias("idx")))).alias("a"))
+    asked = asked.select("bucket_key", "ord", "pos", "a.*").withColumn("opcode", F.lit(J.NEW_STRING))
+    d = dictionary(ops, sc).where(F.col("opcode") == J.NEW_STRING)
+    told = resolve_ids(asked, d, ["pos", "side"])
+    p = told.groupBy("bucket_key", "ord").agg(F.sort_array(F.collect_list(F.struct("pos", "side", "idx", "text"))).alias("p"))
+
+    def side(n):
+        return F.filter("p", lambda x: x["side"] == n)
+
+    p = p.select("bucket_key", "ord", F.zip_with(side(0), side(1), lambda k, v: F.struct(
+        k["idx"].alias("k"), v["idx"].alias("v"), k["text"].alias("key"), v["text"].alias("value"))).alias("p"))
+    p = p.withColumns({"good": F.filter("p", lambda x: x["key"].isNotNull() & x["value"].isNotNull()),
+                       "bad": F.filter("p", lambda x: x["key"].isNull() | x["value"].isNull())})
+    keys = F.array_distinct(F.col("good")["key"])
+    fields = F.map_from_entries(F.transform(keys, lambda k: F.struct(
+        k, F.transform(F.filter("good", lambda x: x["key"] == k), lambda x: x["value"]))))
+    errors = F.transform("bad", lambda x: F.format_string("key=%d, value=%d: id out of range", x["k"], x["v"]))
+    return p.select("bucket_key", "ord", F.when(F.size("good") > 0, fields).alias("fields"),
+                    F.when(F.size("bad") > 0, errors).alias("extraction_errors"))

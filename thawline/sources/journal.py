@@ -249,7 +249,9 @@ class PushdownJournalReader(FrozenJournalReader):
 
     def pushFilters(self, filters):
         for f in filters:
-            col = f.attribute[0] if len(f.attribute) == 1 else None
+            # a negation holds another filter and no attribute: Spark applies it after the scan
+            name = getattr(f, "attribute", ())
+            col = name[0] if len(name) == 1 else None
             if col in self.keep and isinstance(f, EqualTo):
                 vals = {f.value}
             elif col in self.keep and isinstance(f, In):
