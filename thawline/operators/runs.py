@@ -161,9 +161,26 @@ def dedupe_docs(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     return docs.dropDuplicates([key])
 
 
-def new_docs(docs: DataFrame, stored: DataFrame, key: str = "doc_id") -> DataFrame:
-    """U3 on re-run: delivered documents that the target does not hold yet, each once."""
-    return dedupe_docs(docs, key).join(stored.select(key), key, "left_anti")
+def new_docs(docs: DataFrame, stored: DataFrame, key: str = "doc_id", buckets: DataFrame | None = None,
+             indices: list[str] | None = None) -> DataFrame:
+    """U3 on re-run: delivered documents that the target does not hold yet, each once.
+
+    An id names its bucket, so only stored rows of the delivered buckets can match.  ``buckets``
+    (``bucket_refs`` of the listing: one small row per bucket, not a scan of ``docs``) narrows the
+    target before its ids are shuffled, and ``indices`` names the index partitions to read; without
+    them the whole target takes part.  Rows whose ``key`` is null are new, and all such rows stay.
+    """
+    if indices is not None:
+        stored = stored.where(F.col("splunk_index").isin(list(indices)))
+    if buckets is not None:
+        stored = stored.join(buckets.distinct(), ["splunk_index", "splunk_bucket_name"], "left_semi")
+    named = dedupe_docs(docs.where(F.col(key).isNotNull()), key)
+    return named.join(stored.select(key), key, "left_anti").select(*docs.columns).unionByName(docs.where(F.col(key).isNull()))
+
+
+def bucket_refs(listing: DataFrame) -> DataFrame:
+    """The buckets of a listing under the names that documents give them."""
+    return listing.select(F.col("index_name").alias("splunk_index"), F.col("bucket_name").alias("splunk_bucket_name"))
 
 
 def error_summary(ev: DataFrame) -> DataFrame:

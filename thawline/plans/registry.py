@@ -1255,6 +1255,22 @@ def q_dedupe_against_target(spark, sf):
     return spark.read.parquet(path).groupBy("splunk_index").agg(F.count(F.lit(1)).alias("n_docs"), F.count_distinct("doc_id").alias("n_ids"))
 
 
+@register("dedupe_by_bucket", W(ORD_SQL) + f"""
+SELECT {JOURNAL_ID_SQL} AS doc_id, index_name AS splunk_index, CASE WHEN event_ordinal % 2 = 0 THEN 'first' ELSE 'second' END AS ingest_run
+FROM ord WHERE event_ordinal % 2 = 0 OR index_name IN ('apache', 'syslog')""")
+def q_dedupe_by_bucket(spark, sf):
+    """Two indices are delivered again, every document twice; only their partitions and buckets of the target are asked."""
+    again = ["apache", "syslog"]
+    docs = ingest_docs(journal_events(spark, sf))
+    path = SK.new_run_path(spark, "thawline-target")
+    SK.write_docs(docs.where(F.col("event_ordinal") % 2 == 0), path, "first")
+    some = docs.where(F.col("splunk_index").isin(again))
+    listing = list_buckets(spark, journal_root(spark, sf), again)
+    fresh = R.new_docs(some.unionByName(some), spark.read.parquet(path), buckets=R.bucket_refs(listing), indices=again)
+    SK.write_docs(fresh, path, "second")
+    return spark.read.parquet(path).select("doc_id", "splunk_index", "ingest_run")
+
+
 @register("metadata_error_summary", W() + """
 SELECT index_name, 'decode_field: IndexError' AS error_key, count(*) AS n_errors, count(*) AS n_events
 FROM corpus WHERE event_id % 23 = 0 GROUP BY index_name""")
