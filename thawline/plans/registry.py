@@ -1053,6 +1053,13 @@ def q_batch_by_bytes(spark, sf):
     return SK.batch_by_bytes(SK.bulk_lines(ingest_docs(journal_events(spark, sf)), keys=("bucket_key", "event_ordinal")), max_bytes=64 * 1024)
 
 
+@register("batch_by_bytes_shuffled", BATCH_SQL)
+def q_batch_by_bytes_shuffled(spark, sf):
+    """K3: the same batches from documents in no order (dealt by their ids): cut in slices, a hot bucket in many tasks."""
+    lines = SK.bulk_lines(ingest_docs(journal_events(spark, sf)), keys=("bucket_key", "event_ordinal")).repartition("doc_id")
+    return SK.batch_by_bytes(lines, max_bytes=64 * 1024, in_scan_order=False)
+
+
 REPARSE_SQL = W(CLS, f"""
 stored AS (
   SELECT * REPLACE (coalesce(CASE WHEN event_id % 2 = 0 THEN kind END,

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from thawline.session import checkpoint_dir
+from thawline.sinks.batches import batches_anywhere
 
 # Fixed document schema enforced before every write (mapping of the document table).
 DOC_COLUMNS = (
@@ -84,11 +85,11 @@ def batch_by_bytes(lines: DataFrame, max_docs: int = DEFAULT_BATCH_DOCS, max_byt
     (bucket_key, batch, n_docs, n_bytes); ``lines`` has bucket_key, event_ordinal, action, body.  A
     journal scan delivers a bucket's events in order within one task, so batches are cut there
     while streaming, without a shuffle, and do not depend on the partitioning.  Other inputs
-    (``in_scan_order=False``) are dealt by bucket and sorted first.
+    (``in_scan_order=False``) are cut by ``batches_anywhere``: sorted into slices, a hot bucket in many.
     """
     sized = lines.select("bucket_key", "event_ordinal", (F.octet_length("action") + F.octet_length("body") + 2).cast("bigint").alias("nbytes"))
     if not in_scan_order:
-        sized = sized.repartition("bucket_key").sortWithinPartitions("bucket_key", "event_ordinal")
+        return batches_anywhere(sized, max_docs, max_bytes)
 
     def cut(batches):
         import pyarrow as pa
