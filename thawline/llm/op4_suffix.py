@@ -208,7 +208,7 @@ def repeated(texts: DataFrame, unit: str, threshold: int, gram: int, step: int)
         F.count("*").alias("copies"), F.min(F.struct("rid", "rk", "p0", "n", "off")).alias("one")
     )
     texts_of = saved(texts_of, "op4-texts")
-    equal2 = rest.join(texts_of.where("copies > 1").select("key", "digest"), ["key", "digest"]).select("rid", "rk", "p0", "n")
+    equal2 = rest.join(texts_of.where("copies > 1").select("key", "digest"), ["key", "digest"], "left_semi").select("rid", "rk", "p0", "n")
 
     with_runs = _with_text(texts, texts_of.select("one.*"), ["p0", "n", "off"])
     with_runs = saved(with_runs, "op4-open")
@@ -223,7 +223,7 @@ def repeated(texts: DataFrame, unit: str, threshold: int, gram: int, step: int)
     rest2 = many2.where("not equal").drop("equal")
     texts2 = rest2.groupBy("c1", "c2", "digest").agg(F.count("*").alias("copies"), F.min(F.struct("rid", "rk", "p0", "n")).alias("one"))
     texts2 = saved(texts2, "op4-texts2")
-    equal4 = rest2.join(texts2.where("copies > 1").select("c1", "c2", "digest"), ["c1", "c2", "digest"]).select("rid", "rk", "p0", "n")
+    equal4 = rest2.join(texts2.where("copies > 1").select("c1", "c2", "digest"), ["c1", "c2", "digest"], "left_semi").select("rid", "rk", "p0", "n")
 
     open2 = _with_text(with_runs, texts2.select("one.*"), ["p0", "n"])
     single = saved(
@@ -231,7 +231,7 @@ def repeated(texts: DataFrame, unit: str, threshold: int, gram: int, step: int)
         "op4-pass3",
     )
     twice = single.groupBy("c1", "c2").agg(F.count("*").alias("size")).where("size > 1").select("c1", "c2")
-    equal5 = single.join(twice, ["c1", "c2"]).select("rid", "rk", "p0", F.lit(1).alias("n"))
+    equal5 = single.join(twice, ["c1", "c2"], "left_semi").select("rid", "rk", "p0", F.lit(1).alias("n"))
     return equal.union(equal2).union(equal3).union(equal4).union(equal5)
 
 
