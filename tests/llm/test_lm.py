@@ -40,6 +40,10 @@ def test_every_word_is_told_apart(spark):
     for g, w in zip(sorted(map(tuple, got), key=key), sorted(want, key=key), strict=True):
         assert g[:2] == w[:2] and all((x is None) == (y is None) and (x is None or abs(x - y) < 2e-6) for x, y in zip(g[2:], w[2:]))
 
+    # chunks of a few rows and many ranges of keys give the same
+    spread = M.rounded(M.cross_entropy_difference(df.repartition(3), target, vocabulary=None, chunk_bytes=300, part_bytes=2000)).select(*cols).collect()
+    assert sorted(map(tuple, spread), key=key) == sorted(map(tuple, got), key=key)
+
     common = " ".join(f"word{i}" for i in range(1600))
     rows = [(i, common) for i in range(4)] + [(10, "zebra okapi"), (11, "zebra okapi"), (12, "lathe chuck"), (13, "lathe chuck")]
     ids = spark.createDataFrame([(0,), (10,)], "doc_id bigint")
@@ -55,3 +59,8 @@ def test_without_targets_and_empty(spark):
     got = {r.doc_id: r for r in M.cross_entropy_difference(df, labels.where("quality = 1")).collect()}
     assert got[2].n_tokens == 0 and got[2].score is None and got[3].score is None and got[1].score is not None
     assert M.cross_entropy_difference(empty(spark), labels).count() == 0
+
+
+def test_numbers_by_byte_planes():
+    for x in ([], [0], [2**64 - 1, 1, 77], list(range(1000))):
+        assert M._unsqueezed(M._squeezed(M.np.array(x, M.U64))).tolist() == x

@@ -11,10 +11,11 @@ All counts are over all documents; tasks pre-aggregate words and bigrams and han
 on when their tables have grown to a fixed size.  The models are tables of at most
 (vocabulary + 2) * (vocabulary + 1) cells whatever the corpus, so they are broadcast.
 
-With ``vocabulary=None`` every word is known and the models grow with the corpus.  Words are then
-64-bit hashes (as are bigrams when joined), the counts of all distinct bigrams are a table in the
-shared folder, and each document's distinct bigrams are joined to their probabilities; only the
-numbers of tokens and words reach the driver.
+With ``vocabulary=None`` every word is known and the models grow with the corpus.  Words and bigrams
+are then hashes.  Texts are held in chunks of ``chunk_bytes``; a chunk exchanges each of its
+distinct bigrams once with the range of hashes that adds up the counts (a range for each
+``part_bytes`` of text, so ranges grow in number, not in size); only the numbers of bytes, tokens and
+words reach the driver.
 
 Words are runs without ASCII white space, A-Z lowered.  Defined cases: null or empty text, or
 text without words: no tokens, null entropies and score.  Null doc_ids are scored, and are no
@@ -26,13 +27,15 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from thawline.llm.common import U64, WORD_HASHES, doc_texts, mix, saved
 
 TABLE = 300_000
-_START = U64(0x9E3779B97F4A7C15)
+_START, _PREVIOUS = U64(0x9E3779B97F4A7C15), U64(0xD1B54A32D192ED03)
 
 
 def words(text: str) -> list[bytes]:
@@ -135,92 +138,157 @@ def _scores(models, ids):
     return run
 
 
-def _pairs(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Previous words and words (hashes) of a text's bigrams, and a hash of both."""
-    w = WORD_HASHES.of(words(text))
-    v = np.concatenate([[_START], w[:-1]]) if len(w) else w
-    return v.astype(np.int64), w.astype(np.int64), mix(mix(v) ^ w)
+def _squeezed(x: np.ndarray) -> bytes:
+    """64-bit numbers by byte planes, compressed: bytes that are mostly zero cost nearly nothing."""
+    return zstandard.compress(x.astype(U64).view(np.uint8).reshape(-1, 8).T.tobytes(), 3)
 
 
-def _chunk_counts(batches):
-    """Bigram counts in all and in target documents, summed over about a million tokens at a time."""
-    held, of_target, size = [], [], 0
+def _unsqueezed(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view(U64).ravel()
 
-    def rows():
-        v, w, key = (np.concatenate(x) for x in zip(*held))
-        _, at, back, cb = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
-        ct = np.bincount(back, weights=np.repeat(of_target, [len(x[0]) for x in held]), minlength=len(at))
-        return pa.RecordBatch.from_arrays([pa.array(v[at]), pa.array(w[at]), pa.array(cb), pa.array(ct.astype(np.int64))], names=["v", "w", "cb", "ct"])
 
-    for b in batches:
-        for t, y in zip(b.column("text"), b.column("is_target").to_pylist()):
-            held.append(_pairs(t.as_py()))
-            of_target.append(float(y))
-            size += len(held[-1][0])
-            if size >= 1 << 20:
-                yield rows()
-                held, of_target, size = [], [], 0
-    if size:
-        yield rows()
+def _chunks(chunk_bytes: int):
+    """Rows gathered to chunks: a number, the bytes held, and the rows as a compressed Arrow stream."""
 
+    def row(chunk, held, size):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            for b in held:
+                out.write_batch(b)
+        rows = pa.array([sink.getvalue().to_pybytes()], pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([size]), rows], names=["chunk", "size", "rows"])
 
-def _doc_pairs(batches):
-    """A row for each distinct bigram of a document; texts without words give one with n = 0."""
-    for b in batches:
-        held, rows, size = [], [], 0
-        for i in range(b.num_rows):
-            v, w, key = _pairs(b.column("text")[i].as_py())
-            _, at, n = np.unique(key, return_index=True, return_counts=True)
-            if len(at):
-                held.append((v[at], w[at], n))
-            else:  # any bigram: spread over the tasks
-                held.append((np.array([b.column("rid")[i].as_py()]), np.zeros(1, np.int64), np.zeros(1, np.int64)))
-            rows.append(i)
-            size += len(held[-1][0])
-            if size >= 1 << 18 or i == b.num_rows - 1:
-                at = pa.array(np.repeat(rows, [len(x[0]) for x in held]))
-                v, w, n = (np.concatenate(x) for x in zip(*held))
-                columns = [b.column("rid").take(at), b.column("doc_id").take(at), pa.array(v), pa.array(w), pa.array(n.astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(columns, names=["rid", "doc_id", "v", "w", "n"])
-                held, rows, size = [], [], 0
-
-
-def _every_word(texts: DataFrame, chosen: DataFrame, mu: float) -> DataFrame:
-    """Scores with every word of the documents in the vocabulary."""
-    # the tables grow with the input: never a broadcast of them
+    def run(batches):
+        chunk, held, size = TaskContext.get().partitionId() << 32, [], 0
+        for b in batches:
+            held.append(b)
+            size += b.nbytes
+            if size >= chunk_bytes:
+                yield row(chunk, held, size)
+                chunk, held, size = chunk + 1, [], 0
+        if size:
+            yield row(chunk, held, size)
+
+    return run
+
+
+class _Chunk:
+    """Tokens of a chunk and the sorted distinct keys that it counts.
+
+    A token asks for three counts: of its bigram, of its word and of the word before it as a
+    previous word.  Keys are hashes of 63 bits; the last bit tells words from the others.
+    """
+
+    def __init__(self, rows: bytes):
+        self.table = pa.ipc.open_stream(rows).read_all()
+        hashes = [WORD_HASHES.of(words(t.as_py())) for t in self.table.column("text")]
+        self.lens = np.array([len(h) for h in hashes], np.int64)
+        w = np.concatenate(hashes) if hashes else np.empty(0, U64)
+        v = np.concatenate([[_START], w[:-1]]).astype(U64) if len(w) else w
+        first = np.cumsum(self.lens) - self.lens
+        v[first[self.lens > 0]] = _START
+        odd = U64(1)
+        keys = np.concatenate([mix(mix(v) ^ w) & ~odd, mix(w) | odd, mix(v ^ _PREVIOUS) & ~odd])
+        self.keys, back = np.unique(keys, return_inverse=True)
+        self.bigram, self.word, self.previous = back.reshape(3, -1)
+
+    def counts(self) -> tuple[np.ndarray, np.ndarray]:
+        """Occurrences of the keys in all documents and in target documents."""
+        hit = np.repeat(self.table.column("is_target").to_numpy().astype(float), self.lens)
+        asked = (self.bigram, self.word, self.previous)
+        size = len(self.keys)
+        return sum(np.bincount(x, minlength=size) for x in asked), sum(np.bincount(x, hit, size) for x in asked)
+
+
+def _partial_counts(parts: int):
+    """A row for each chunk and range of keys: its distinct keys with their counts."""
+
+    def run(batches):
+        for b in batches:
+            for chunk, rows in zip(b.column("chunk").to_pylist(), b.column("rows")):
+                c = _Chunk(rows.as_py())
+                all_, target = c.counts()
+                part = ((c.keys >> U64(32)) * U64(parts) >> U64(32)).astype(np.int64)
+                number, at = np.unique(part, return_index=True)
+                out = [[], [], []]
+                for i, j in zip(at, [*at[1:], len(part)]):
+                    for kept, x in zip(out, (np.diff(c.keys[i:j], prepend=U64(0)), all_[i:j], target[i:j])):
+                        kept.append(_squeezed(x))
+                columns = [pa.array(number), pa.array([chunk] * len(number), pa.int64()), *(pa.array(x, pa.binary()) for x in out)]
+                yield pa.RecordBatch.from_arrays(columns, names=["part", "chunk", "keys", "cb", "ct"])
+
+    return run
+
+
+def _totals(table: pa.Table) -> pa.Table:
+    """Counts over all chunks of one range of keys, given back to each chunk in the order of its own keys."""
+    keys = [np.cumsum(_unsqueezed(k), dtype=U64) for k in table.column("keys").to_pylist()]
+    distinct, back = np.unique(np.concatenate(keys), return_inverse=True)
+    of_word = distinct & U64(1) == 1
+    ends = np.cumsum([len(k) for k in keys])[:-1]
+    out, tokens = {}, {}
+    for c in ("cb", "ct"):
+        total = np.bincount(back, np.concatenate([_unsqueezed(x) for x in table.column(c).to_pylist()]), len(distinct))
+        out[c] = pa.array([_squeezed(x) for x in np.split(total[back], ends)], pa.binary())
+        tokens[c] = int(total[of_word].sum())
+    once = lambda n: pa.array([n] + [0] * (len(keys) - 1), pa.int64())  # sums over all rows are the whole corpus's
+    columns = [table.column("chunk"), table.column("part"), out["cb"], out["ct"], once(int(of_word.sum())), once(tokens["cb"]), once(tokens["ct"])]
+    return pa.table(columns, names=["chunk", "part", "cb", "ct", "words", "nb", "nt"])
+
+
+def _chunk_scores(size: int, nb: int, nt: int, mu: float):
+    def run(texts: pa.Table, totals: pa.Table) -> pa.Table:
+        c = _Chunk(texts.column("rows")[0].as_py())
+        totals = totals.sort_by("part")
+        doc = np.repeat(np.arange(len(c.lens)), c.lens)
+        entropies = []
+        for name, n in (("ct", nt), ("cb", nb)):
+            parts = [_unsqueezed(x) for x in totals.column(name).to_pylist()]
+            count = np.concatenate(parts).astype(float) if parts else np.empty(0)
+            p1 = (count[c.word] + 1) / (n + size)
+            bits = -np.log2((count[c.bigram] + mu * p1) / (count[c.previous] + mu))
+            mean = np.bincount(doc, bits, len(c.lens)) / np.maximum(c.lens, 1)
+            entropies.append(pa.array(mean, pa.float64(), mask=c.lens == 0))
+        return pa.table([c.table.column("doc_id"), pa.array(c.lens), *entropies], names=["doc_id", "n_tokens", "h_target", "h_background"])
+
+    return run
+
+
+def _every_word(texts: DataFrame, chosen: DataFrame, mu: float, chunk_bytes: int, part_bytes: int) -> DataFrame:
+    """Scores with every word of the documents in the vocabulary.
+
+    Texts are gathered to chunks, kept as a table.  A chunk sends each distinct key once, with its
+    counts, to the key's range; the range adds them up and answers the chunk with the totals, in
+    the chunk's own order and without keys.  The commonest bigram is thus one number a chunk.
+    """
+    # the target ids grow with the input: never a broadcast of them
     marked = texts.where("doc_id is not null").join(chosen.withColumn("hit", F.lit(True)).hint("merge"), "doc_id", "left")
-    marked = marked.select("text", F.col("hit").isNotNull().alias("is_target")).union(texts.where("doc_id is null").select("text", F.lit(False)))
-    cells = marked.mapInArrow(_chunk_counts, "v bigint, w bigint, cb bigint, ct bigint").groupBy("v", "w").agg(F.sum("cb").alias("cb"), F.sum("ct").alias("ct"))
-    cells = saved(cells, "op5-bigrams")
-    ones = saved(cells.groupBy("w").agg(F.sum("cb").alias("ob"), F.sum("ct").alias("ot")), "op5-words")
-    prevs = cells.groupBy("v").agg(F.sum("cb").alias("rb"), F.sum("ct").alias("rt"))
-    size, nb, nt = ones.agg(F.count("*") + 1, F.coalesce(F.sum("ob"), F.lit(0)), F.coalesce(F.sum("ot"), F.lit(0))).first()
-
-    def log_p(c, o, r, total):
-        return F.log2((F.col(c) + mu * (F.col(o) + 1) / (total + size)) / (F.col(r) + mu))
-
-    model = cells.join(ones.hint("merge"), "w").join(prevs.hint("merge"), "v")
-    key = F.xxhash64("v", "w").alias("key")
-    model = model.select(key, log_p("ct", "ot", "rt", nt).alias("lt"), log_p("cb", "ob", "rb", nb).alias("lb"))
-    asked = texts.withColumn("rid", F.monotonically_increasing_id()).mapInArrow(_doc_pairs, "rid bigint, doc_id bigint, v bigint, w bigint, n int")
-    asked = asked.select("rid", "doc_id", key, "n")
-    found = asked.join(model.hint("merge"), "key", "left").groupBy("rid", "doc_id")
-    sums = found.agg(F.sum("n").alias("n_tokens"), F.sum(F.col("n") * F.col("lt")).alias("ht"), F.sum(F.col("n") * F.col("lb")).alias("hb"))
-    some = F.when(F.col("n_tokens") > 0, F.col("n_tokens"))
-    return sums.select("doc_id", "n_tokens", (-F.col("ht") / some).alias("h_target"), (-F.col("hb") / some).alias("h_background"))
-
-
-def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, vocabulary: int | None = 1500, mu: float = 100.0) -> DataFrame:
+    marked = marked.select("doc_id", "text", F.col("hit").isNotNull().alias("is_target"))
+    marked = marked.union(texts.where("doc_id is null").select("doc_id", "text", F.lit(False)))
+    chunks = saved(marked.mapInArrow(_chunks(chunk_bytes), "chunk bigint, size bigint, rows binary"), "op5-chunks")
+    parts = 1 + (chunks.agg(F.sum("size")).first()[0] or 0) // part_bytes
+    sent = chunks.select("chunk", "rows").mapInArrow(_partial_counts(parts), "part bigint, chunk bigint, keys binary, cb binary, ct binary")
+    totals = sent.groupBy("part").applyInArrow(_totals, "chunk bigint, part bigint, cb binary, ct binary, words bigint, nb bigint, nt bigint")
+    totals = saved(totals, "op5-totals")
+    size, nb, nt = totals.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("words", "nb", "nt"))).first()
+    answers = totals.select("chunk", "part", "cb", "ct").groupBy("chunk")
+    score = _chunk_scores(size + 1, nb, nt, mu)
+    return chunks.select("chunk", "rows").groupBy("chunk").cogroup(answers).applyInArrow(score, "doc_id bigint, n_tokens bigint, h_target double, h_background double")
+
+
+def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, vocabulary: int | None = 1500, mu: float = 100.0, chunk_bytes: int = 8 << 20, part_bytes: int = 16 << 20) -> DataFrame:
     """(doc_id, n_tokens, h_target, h_background, score) for every document.
 
     ``target_ids``: a table with the doc_ids of the target documents; ``vocabulary``: number of
-    words that are told apart, None for every word.
+    words that are told apart, None for every word.  ``chunk_bytes`` and ``part_bytes`` only share
+    out the work; raise both where the corpus is many terabytes, so that a chunk has many keys in a range.
     """
     spark = docs.sparkSession
     texts = doc_texts(docs)
     chosen = target_ids.select(F.col("doc_id").cast("bigint").alias("doc_id")).where("doc_id is not null").distinct()
     if vocabulary is None:
-        return _every_word(texts, chosen, mu).withColumn("score", F.col("h_target") - F.col("h_background"))
+        return _every_word(texts, chosen, mu, chunk_bytes, part_bytes).withColumn("score", F.col("h_target") - F.col("h_background"))
     counted = texts.select("text").mapInArrow(_word_counts, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     head = counted.orderBy(F.desc("n"), "word").limit(vocabulary).select("word").toPandas()
     ids = _Ids([w.encode("utf-8") for w in head["word"]])
