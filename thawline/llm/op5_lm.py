@@ -1,22 +1,21 @@
 """LM scoring by cross-entropy difference of two bigram models.
 
 The target model is estimated from target documents, the background model from all documents;
-both share one vocabulary (the ``vocabulary`` most frequent words of all documents, ties by
-word; every other word is one unknown symbol), the same order and the same smoothing:
-p(w | v) = (c(v, w) + mu * p1(w)) / (c(v) + mu), p1(w) = (c(w) + 1) / (N + vocabulary + 1), with
-a start symbol before the first word.  A document's score is its mean per-token difference of
-the two cross-entropies in bits, target minus background: lower is closer to the target.
-
-All counts are over all documents; tasks pre-aggregate words and bigrams and hand partial sums
-on when their tables have grown to a fixed size.  The models are tables of at most
-(vocabulary + 2) * (vocabulary + 1) cells whatever the corpus, so they are broadcast.
-
-With ``vocabulary=None`` every word is known and the models grow with the corpus.  Words and bigrams
-are then hashes.  Texts are held in chunks of ``chunk_bytes``; a chunk exchanges each of its
-distinct bigrams once with the range of hashes that adds up the counts (a range for each
+both share one vocabulary, the same order and the same smoothing:
+p(w | v) = (c(v, w) + mu * p1(w)) / (c(v) + mu), p1(w) = (c(w) + 1) / (N + words + 1), with a start
+symbol before the first word.  A document's score is its mean per-token difference of the two
+cross-entropies in bits, target minus background: lower is closer to the target.
+
+Every word of the documents is in the vocabulary, so the models grow with the corpus.  Words and
+bigrams are hashes then.  Texts are held in chunks of ``chunk_bytes``; a chunk exchanges each of
+its distinct bigrams once with the range of hashes that adds up the counts (a range for each
 ``part_bytes`` of text, so ranges grow in number, not in size); only the numbers of bytes, tokens and
 words reach the driver.
 
+With a number as ``vocabulary`` that many of the most frequent words (ties by word) are told apart and
+the others are one unknown symbol.  The models are then tables of at most (vocabulary + 2) *
+(vocabulary + 1) cells whatever the corpus, and broadcast.
+
 Words are runs without ASCII white space, A-Z lowered.  Defined cases: null or empty text, or
 text without words: no tokens, null entropies and score.  Null doc_ids are scored, and are no
 targets.  Repeated rows count and are scored as often as they occur; repeated target ids count
@@ -277,7 +276,7 @@ def _every_word(texts: DataFrame, chosen: DataFrame, mu: float, chunk_bytes: int
     return chunks.select("chunk", "rows").groupBy("chunk").cogroup(answers).applyInArrow(score, "doc_id bigint, n_tokens bigint, h_target double, h_background double")
 
 
-def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, vocabulary: int | None = 1500, mu: float = 100.0, chunk_bytes: int = 8 << 20, part_bytes: int = 16 << 20) -> DataFrame:
+def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, vocabulary: int | None = None, mu: float = 100.0, chunk_bytes: int = 8 << 20, part_bytes: int = 16 << 20) -> DataFrame:
     """(doc_id, n_tokens, h_target, h_background, score) for every document.
 
     ``target_ids``: a table with the doc_ids of the target documents; ``vocabulary``: number of
@@ -305,8 +304,9 @@ def rounded(scores: DataFrame) -> DataFrame:
     return scores.select("doc_id", "n_tokens", *(F.round(c, 6).alias(c) for c in ("h_target", "h_background", "score")))
 
 
-def cross_entropy_sql(vocabulary: int = 1500, mu: float = 100.0) -> str:
+def cross_entropy_sql(vocabulary: int | None = None, mu: float = 100.0) -> str:
     """DuckDB twin over ``documents`` with the documents of ``labels.quality = 1`` as target."""
+    limit = "" if vocabulary is None else f" LIMIT {vocabulary}"
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     return f"""
 WITH texts AS (
@@ -315,7 +315,7 @@ WITH texts AS (
     list_filter(string_split_regex(translate(coalesce(text, ''), '{upper}', '{lower}'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS ws
   FROM documents),
 tokens AS (SELECT rid, is_target, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS place FROM texts),
-vocab AS (SELECT word, true AS known FROM (SELECT word, count(*) AS n FROM tokens GROUP BY word ORDER BY n DESC, word LIMIT {vocabulary})),
+vocab AS (SELECT word, true AS known FROM (SELECT word, count(*) AS n FROM tokens GROUP BY word ORDER BY n DESC, word{limit})),
 mapped AS (SELECT rid, coalesce(is_target, false) AS is_target, place, CASE WHEN known THEN word ELSE ' unknown' END AS w
   FROM tokens LEFT JOIN vocab USING (word)),
 pairs AS (SELECT *, coalesce(lag(w) OVER (PARTITION BY rid ORDER BY place), ' start') AS v FROM mapped),

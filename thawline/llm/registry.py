@@ -50,9 +50,9 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op5_lm.rounded(op5_lm.cross_entropy_difference(table(spark, sf_dir, "documents"), target))
 
 
-def op5_lm_scoring_every_word(spark: SparkSession, sf_dir: str) -> DataFrame:
+def op5_lm_scoring_frequent_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = table(spark, sf_dir, "labels").where("quality = 1")
-    return op5_lm.rounded(op5_lm.cross_entropy_difference(table(spark, sf_dir, "documents"), target, vocabulary=None))
+    return op5_lm.rounded(op5_lm.cross_entropy_difference(table(spark, sf_dir, "documents"), target, vocabulary=1500))
 
 
 def op6_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,7 +96,7 @@ QUERIES = {
         op3_license_scan,
         op4_suffix_array_dedup,
         op5_lm_scoring,
-        op5_lm_scoring_every_word,
+        op5_lm_scoring_frequent_words,
         op6_token_id_output,
         op7_quality_classifier,
         op8_toxicity_scores,
@@ -112,7 +112,7 @@ SQL: dict[str, str] = {
     "op3_license_scan": op3_license.license_sql(),
     "op4_suffix_array_dedup": op4_suffix.removed_bytes_sql(400),
     "op5_lm_scoring": op5_lm.cross_entropy_sql(),
-    "op5_lm_scoring_every_word": op5_lm.cross_entropy_sql(vocabulary=10**12),
+    "op5_lm_scoring_frequent_words": op5_lm.cross_entropy_sql(vocabulary=1500),
     "op10_minhash_near_dedup": op10_minhash.near_duplicates_sql(2, 80),
     "op12_phrase_collocations": op12_collocations.collocations_sql(10, 50, 2000),
 }
