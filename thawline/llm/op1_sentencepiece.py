@@ -338,6 +338,9 @@ def _chunk_words(vocabulary, chunk_chars: int):
                     yield from rows()
                     chunk, chars, held, units = chunk + 1, 0, set(), set()
         yield from rows()
+        held.clear()
+        units.clear()
+        tidy_worker()
 
     return run
 
@@ -388,6 +391,7 @@ def _pack(wide: bool):
         return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(blobs, pa.binary())], names=["block", "packed"])
 
     def run(batches):
+        tidy_worker()
         held, n = [], 0
         for b in batches:
             if b.num_rows:
@@ -479,6 +483,12 @@ class _Ids(dict):
                             else:
                                 self[w] = ids
 
+    def drop(self) -> None:
+        """Free the words; the two dictionaries know each other, so they would stay until the collector comes by."""
+        self.behind.clear()
+        self.behind.words = None
+        self.clear()
+
     def __missing__(self, word: str) -> bytes:
         if word[0] == SPACE and word[1:] in self.behind:
             return self.behind[word[1:]]
@@ -496,6 +506,7 @@ def _encode_texts(vocabulary, folder: str, chunk_chars: int, digest: bool):
     schema = _DIGEST if digest else _FULL
 
     def run(batches):
+        tidy_worker()
         v = vocabulary.value
         chunk, chars = 0, 0
         known = _Ids(v, folder, _chunk_id(0))
@@ -519,10 +530,12 @@ def _encode_texts(vocabulary, folder: str, chunk_chars: int, digest: bool):
                     rows, held = [], 0
                 if chars >= chunk_chars:
                     chunk, chars = chunk + 1, 0
-                    known = None  # before the next chunk's are read
+                    known.drop()  # before the next chunk's are read
                     known = _Ids(v, folder, _chunk_id(chunk))
             if rows:
                 yield batch(rows)
+        known.drop()
+        tidy_worker()
 
     return run
 
