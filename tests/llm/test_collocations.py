@@ -118,3 +118,24 @@ def test_twin(spark):
 
     ok, msg = compare(spark, "op12_phrase_collocations", SF, registry.QUERIES, registry.SQL, duck(SF))
     assert ok, msg
+
+
+def test_hot_prefixes_are_found_by_id():
+    """A task looks its hot prefixes up once a run, not every phrase in the set of their names."""
+
+    class Names(set):
+        asked = 0
+
+        def __contains__(self, x):
+            Names.asked += 1
+            return super().__contains__(x)
+
+    held = namedtuple("Held", "value")(M.BitFilter(6, np.full(1, 2**64 - 1, np.uint64)))
+    batch = pa.RecordBatch.from_arrays([pa.array([b"en", b"de"]), pa.array([b"the w%d the x the w%d y. " % (i, i) * 2 for i in range(2)])], names=["lang", "text"])
+    for size, hot in ((2, Names([(b"en", b"the"), (b"de", b"nowhere"), (b"fr", b"the")])), (3, Names([(b"en", b"the w0"), (b"de", b"the nowhere")]))):
+        rows = [r for b in M._count_phrases(size, held, held, hot)(iter([batch])) for r in b.to_pylist()]
+        assert {(r["lang"], r["prefix"]) for r in rows if r["slice"]} <= {(b"en", b"the"), (b"en", b"the w0")}
+        cut = [r for r in rows if (r["lang"], r["prefix"]) == ((b"en", b"the") if size == 2 else (b"en", b"the w0"))]
+        seed = M.lang_seed(b"en")
+        assert cut and all(r["slice"] == M.word_hash(w, seed) % M.SLICES for r in cut for w in r["lasts"].split())
+    assert Names.asked == 0

@@ -24,6 +24,8 @@ frequent phrase, and the empty table, give no rows.
 from __future__ import annotations
 
 import re
+from itertools import repeat
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -120,18 +122,23 @@ class _Ids(dict):
     """Ids of one language's words, 0 for words that cannot be frequent."""
 
     def __init__(self, words: Words, lang: bytes):
+        import xxhash
+
         super().__init__({b".": 0})
-        self.words, self.seed = words, lang_seed(lang)
+        self.words, self.seed, self.digest = words, lang_seed(lang), xxhash.xxh64_intdigest
+        self.shift, self.bytes = words.known.shift, words.known.bytes
 
     def __missing__(self, word: bytes) -> int:
-        h = word_hash(word, self.seed)
-        i = 0
-        if self.words.known.has(h):
-            i = len(self.words.text)
-            self.words.text.append(word)
+        h = self.digest(word, self.seed)  # word_hash and BitFilter.has, once for every word met
+        p = h >> self.shift
+        if self.bytes[p >> 3] >> (p & 7) & 1:
+            text = self.words.text
+            i = self[word] = len(text)
+            text.append(word)
             self.words.hash.append(h)
-        self[word] = i
-        return i
+            return i
+        self[word] = 0
+        return 0
 
 
 class Words:
@@ -176,8 +183,9 @@ class HatTrie:
         for f, lo, hi in zip(first[starts].tolist(), starts.tolist(), stops):
             under = self.root.get(f)
             if under is None:
-                under = self.root[f] = {}
-            if type(under) is _Node:
+                under = self.root[f] = dict(zip(rest[lo:hi], n[lo:hi]))
+                self.entries += hi - lo
+            elif type(under) is _Node:
                 for r, k in zip(rest[lo:hi], n[lo:hi]):
                     leaf = under.setdefault(r >> 32, {})
                     last = r & _LOW32
@@ -185,11 +193,10 @@ class HatTrie:
                     leaf[last] = leaf.get(last, 0) + k
                     self.entries += len(leaf) - before
                 continue
-            before = len(under)
-            get = under.get
-            for r, k in zip(rest[lo:hi], n[lo:hi]):
-                under[r] = get(r, 0) + k
-            self.entries += len(under) - before
+            else:
+                before, new = len(under), rest[lo:hi]
+                under.update(zip(new, map(add, map(under.get, new, repeat(0)), n[lo:hi])))
+                self.entries += len(under) - before
             if self.size == 3 and len(under) > BURST:
                 node = self.root[f] = _Node()
                 for r, k in under.items():
@@ -240,6 +247,17 @@ def _phrases(a: np.ndarray, words: Words, size: int, pairs: BitFilter | None):
     return first[new], rest[new], np.diff(np.append(new, len(first)))
 
 
+def _hot_ids(words: Words, hot: set) -> np.ndarray:
+    """Ids of the hot prefixes a task has met: a word's, or first * 2**32 + second."""
+    out = []
+    for lang, prefix in hot:
+        known = words.of_lang.get(lang, {})
+        ids = [known.get(w, 0) for w in prefix.split(b" ")]
+        if all(ids):
+            out.append(ids[0] if len(ids) == 1 else ids[0] << 32 | ids[1])
+    return np.array(out, np.int64)
+
+
 _RUN = "lang binary, prefix binary, slice int, lasts binary, counts array<bigint>"
 
 
@@ -248,19 +266,21 @@ def _sorted_run(words: Words, size: int, first, rest, n, hot: set):
     import pyarrow.compute as pc
 
     values = pa.array(words.text, pa.binary())
+    last = rest & _LOW32
+    prefix = [first] if size == 2 else [first, rest >> 32]
+    met = np.zeros(len(values), bool)
+    for c in (*prefix, last):
+        met[c] = True
+    met = np.flatnonzero(met)
     rank = np.zeros(len(values), np.int64)
-    rank[pc.array_sort_indices(values).to_numpy()] = np.arange(len(values))
+    rank[met[pc.array_sort_indices(values.take(pa.array(met))).to_numpy()]] = np.arange(len(met))
     langs = {g: i for i, g in enumerate(sorted(words.of_lang))}
     lang = np.array([0] + [langs[g] for g in words.langs], np.int64)
-    last = rest & _LOW32
-    prefix = [first] if size == 2 else [first, rest >> 32]
     slice_ = np.zeros(len(first), np.int64)
     if hot:
-        text, key = words.text, [words.langs[i - 1] for i in first.tolist()]
-        named = zip(key, first.tolist()) if size == 2 else zip(key, first.tolist(), prefix[1].tolist())
-        at = np.flatnonzero(np.fromiter(((g, b" ".join(text[i] for i in p)) in hot for g, *p in named), bool, len(first)))
+        at = np.flatnonzero(np.isin(first if size == 2 else first << 32 | prefix[1], _hot_ids(words, hot)))
         slice_[at] = (np.array(words.hash, np.uint64)[last[at]] % U64(SLICES)).astype(np.int64)
-    by = np.lexsort([rank[last], slice_, *(rank[c] for c in reversed(prefix)), lang[first]])
+    by = np.lexsort([slice_ << 32 | rank[last], *(rank[c] for c in reversed(prefix[1:])), lang[first] << 32 | rank[first]])
     prefix, slice_, last, n = [c[by] for c in prefix], slice_[by], last[by], n[by]
     new = np.diff(slice_, prepend=-1) != 0
     for c in prefix:
@@ -307,10 +327,10 @@ def _count_words(batches):
     def rows():
         for lang, c in sorted(counts.items()):
             c.pop(b".", None)
-            words = sorted(c)
+            words, n = list(c), list(c.values())
             for at in range(0, len(words), 65_536):
                 part = words[at : at + 65_536]
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part), pa.binary()), pa.array(part, pa.binary()), pa.array([c[w] for w in part], pa.int64())], names=["lang", "word", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part), pa.binary()), pa.array(part, pa.binary()), pa.array(n[at : at + 65_536], pa.int64())], names=["lang", "word", "n"])
 
     for lang, data in _by_lang(batches):
         mine = counts.setdefault(lang, Counter())
