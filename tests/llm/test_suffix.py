@@ -61,3 +61,22 @@ def test_long_text_is_cut_into_chunks(monkeypatch):
 
 def test_empty_table(spark):
     assert S.removed_bytes(empty(spark)).count() == 0 and S.without_repeats(empty(spark)).count() == 0
+
+
+def test_workers_hold_few_rows(monkeypatch):
+    """However many runs a batch holds, blocks and suffixes leave the worker in small batches: the same as at once."""
+    import pyarrow as pa
+
+    runs = [[{"p0": p, "n": 90, "off": 40} for p in range(0, 900, 30)] for _ in range(40)]
+    rows = {"rid": list(range(40)), "rk": [-i for i in range(40)], "text": ["".join(chr(97 + (i * k) % 23) for k in range(1200)) for i in range(40)]}
+    fields = pa.list_(pa.struct([("p0", pa.int32()), ("n", pa.int32()), ("off", pa.int32())]))
+    open_ = pa.RecordBatch.from_arrays([*map(pa.array, rows.values()), pa.array(runs, fields)], names=[*rows, "runs"])
+    two = pa.list_(pa.struct([("p0", pa.int32()), ("n", pa.int32())]))
+    open2 = pa.RecordBatch.from_arrays([*map(pa.array, rows.values()), pa.array([[{"p0": r["p0"], "n": r["n"]} for r in x] for x in runs], two)], names=[*rows, "runs"])
+    for make, batch in ((S._blocks("bytes", 100, 32), open_), (S._suffixes("bytes", 100), open2)):
+        monkeypatch.setattr(S, "_ROWS", 1 << 30, raising=False)
+        whole = pa.Table.from_batches(make(iter([batch])))
+        monkeypatch.setattr(S, "_ROWS", 800, raising=False)
+        parts = list(make(iter([batch])))
+        assert pa.Table.from_batches(parts).combine_chunks().equals(whole.combine_chunks())
+        assert whole.num_rows > 4000 and max(b.num_rows for b in parts) <= 1600
