@@ -36,8 +36,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of the documents that are left, and the text decoded from them."""
     vocabulary = op1_sentencepiece.Pieces.load(tokenizer_path("piece_bpe_32k.model"))
-    # small chunks: ids and decoded texts are in memory beside a chunk's words
-    return op1_sentencepiece.encode(docs, vocabulary, chunk_chars=3_000_000)
+    # small chunks: ids and decoded texts are in memory beside a chunk's words; small shares: the executor still holds what earlier stages took
+    return op1_sentencepiece.encode(docs, vocabulary, chunk_chars=3_000_000, shares=4)
 
 
 STAGES = [

@@ -1,4 +1,4 @@
-"""A chunk's words are gone before the next chunk's are read."""
+"""A chunk's words are gone before the next chunk's are read; a task of the lattice gets few words."""
 
 import gc
 import weakref
@@ -34,3 +34,20 @@ def test_words_of_a_chunk_are_freed(monkeypatch, tmp_path):
         gc.enable()
     assert [r["decoded"] for r in out] == ["ab c", "a b", "c ab", "b"]
     assert len(left) > 2 and max(left) == 0
+
+
+def test_words_are_dealt_finely(spark, monkeypatch):
+    """A task keeps all edges of its words for sorting: in the pipeline they go to more tasks than the session's number."""
+    import corpus_pipeline
+
+    vocabulary = S.Pieces([(p, i, -float(i)) for i, p in enumerate(["▁", "a", "b", "c", "ab", "▁ab"])], [], 99, "bpe")
+    dealt, real = [], S.encode_words
+    monkeypatch.setattr(S, "encode_words", lambda words, v: dealt.append(words.rdd.getNumPartitions()) or real(words, v))
+    monkeypatch.setattr(S.Pieces, "load", lambda path: vocabulary)
+    rows = [(1, "ab c"), (2, None), (None, "a bab"), (4, "c" * 70 + " ab")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for out in (S.encode(docs, vocabulary), corpus_pipeline.pieces(spark, docs, "")):
+        got = {r.doc_id: (list(memoryview(bytes(r.ids)).cast("i")), r.decoded) for r in out.collect()}
+        assert got == {1: ([5, 0, 3], "ab c"), 2: ([], ""), None: ([0, 1, 0, 2, 4], "a bab"), 4: ([0] + [3] * 70 + [5], "c" * 70 + " ab")}
+    assert dealt == [width, 4 * width]

@@ -345,7 +345,7 @@ def _chunk_words(vocabulary, chunk_chars: int):
     return run
 
 
-_ROWS = 60_000
+_ROWS = 120_000
 
 
 def _blob(words: pa.Array, ids: np.ndarray, counts: np.ndarray, wide: bool) -> bytes:
@@ -540,11 +540,12 @@ def _encode_texts(vocabulary, folder: str, chunk_chars: int, digest: bool):
     return run
 
 
-def encode(docs: DataFrame, vocabulary: Pieces, chunk_chars: int = 12_000_000, digest: bool = False) -> DataFrame:
+def encode(docs: DataFrame, vocabulary: Pieces, chunk_chars: int = 12_000_000, digest: bool = False, shares: int = 1) -> DataFrame:
     """(doc_id, n_chars, n_pieces, ids, decoded) of every document; ids as little-endian 32-bit integers.
 
     With ``digest``: (doc_id, n_chars, n_pieces, ids_crc32, decoded_crc32, exact) instead of ids
-    and decoded text; ``exact`` says that decoding gave back the text.
+    and decoded text; ``exact`` says that decoding gave back the text.  A task of the lattice sorts
+    all edges of its words: ``shares`` times the session's shuffle partitions get the words.
     """
     spark = docs.sparkSession
     texts = doc_texts(docs)
@@ -552,7 +553,7 @@ def encode(docs: DataFrame, vocabulary: Pieces, chunk_chars: int = 12_000_000, d
     shared = spark.sparkContext.broadcast(vocabulary)
     folder = shared_path(spark, "op1-words")
     # the shuffle by word is read twice; equal columns let Spark reuse it
-    by_word = texts.select("text").mapInArrow(_chunk_words(shared, chunk_chars), "word string, block bigint").repartition(width, "word")
+    by_word = texts.select("text").mapInArrow(_chunk_words(shared, chunk_chars), "word string, block bigint").repartition(shares * width, "word")
     words = by_word.groupBy("word").agg(F.count("block").alias("blocks")).where("blocks > 0").select("word")
     packed = by_word.join(encode_words(words, vocabulary), "word").select("block", "word", "ids").mapInArrow(_pack(vocabulary.wide), "block bigint, packed binary")
     packed.repartition(width, "block").sortWithinPartitions("block").mapInArrow(_write_chunks(folder), "block bigint").count()
