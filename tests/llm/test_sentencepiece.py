@@ -1,12 +1,14 @@
 """Encoding against the library (BPE) and brute force (unigram); decoding gives the text back."""
 
 import random
+import re
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 from tests.llm.cases import docs, empty
 from thawline.llm import op1_sentencepiece as M
@@ -78,3 +80,18 @@ def test_unigram_viterbi_equals_brute_force(spark):
 
 def test_empty_table(spark, vocabulary):
     assert M.encode(empty(spark), vocabulary).count() == 0
+
+
+def test_substrings_meet_pieces_by_number(spark, monkeypatch):
+    """The lattice looks its substrings up by a 64-bit number, and texts that share one are still told apart."""
+    v = M.Pieces([(p, i, -float(i)) for i, p in enumerate(["▁", "a", "b", "c", "ab", "▁ab", "bc", "▁abc"])], [], 99, "bpe")
+    texts = ["▁abc", "▁bab", "xbc", "é", "cab", "abcabc"]
+    words = spark.createDataFrame([(w,) for w in texts], "word string")
+    plan = M.lattice(words, v.table(spark), v.longest)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"BroadcastHashJoin \[key#\d+L\], \[known_key#\d+L\], LeftOuter", plan)
+    spans = lambda w: [(s, e) for s in range(len(w)) for e in range(s + 1, len(w) + 1) if e == s + 1 or w[s:e] in v.by_text]
+    for key in (M._key, lambda c: F.length(c).cast("long")):
+        monkeypatch.setattr(M, "_key", key)
+        edges = {r.word: sorted((e.start, e.end, e.piece_id) for e in r.edges) for r in M.lattice(words, v.table(spark), v.longest).collect()}
+        assert edges == {w: [(s, e, v.by_text.get(w[s:e], (None,))[0]) for s, e in spans(w)] for w in texts}
+        assert {r.word: r.ids for r in M.encode_words(words, v).collect()} == {w: v.fold_long(w) for w in texts}

@@ -224,6 +224,11 @@ def _model_type(data: bytes) -> int:
     return 1
 
 
+def _key(text):
+    """64-bit number of a text: a join finds numbers in a third of the time that it takes for strings."""
+    return F.xxhash64(text)
+
+
 def lattice(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
     """(word, edges): the word's substrings that are pieces, as structs (score, start, end, id).
 
@@ -233,8 +238,12 @@ def lattice(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
     at = words.select("word", F.explode(F.sequence(F.lit(0), n - 1)).alias("start"))
     at = at.select("word", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), n - F.col("start")))).alias("size"))
     sub = at.select("word", "start", "size", F.col("word").substr(F.col("start") + 1, F.col("size")).alias("piece"))
+    sub = sub.withColumn("key", _key("piece"))
+    known = pieces.select(_key("piece").alias("known_key"), F.col("piece").alias("known"), "piece_id", "score", "opens")
+    # equal, whatever texts share a number; written like this it does not become a second key
+    same = F.col("piece").startswith(F.col("known")) & F.col("known").startswith(F.col("piece"))
     # a single character stays without a piece, so every word keeps an edge for each of its characters
-    edge = sub.join(F.broadcast(pieces), "piece", "left").where("piece_id is not null or size = 1")
+    edge = sub.join(F.broadcast(known), (F.col("key") == F.col("known_key")) & same, "left").where("piece_id is not null or size = 1")
     rank = F.expr(
         "struct(-coalesce(score, double('-infinity')) as rank, start, start + size as end, piece_id, coalesce(opens, false) as opens,"
         " shiftleft(1L, start) | shiftleft(1L, start + size) as ends, shiftleft(1L, start + size) - shiftleft(2L, start) as inside)"
