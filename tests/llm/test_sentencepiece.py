@@ -95,3 +95,12 @@ def test_substrings_meet_pieces_by_number(spark, monkeypatch):
         edges = {r.word: sorted((e.start, e.end, e.piece_id) for e in r.edges) for r in M.lattice(words, v.table(spark), v.longest).collect()}
         assert edges == {w: [(s, e, v.by_text.get(w[s:e], (None,))[0]) for s, e in spans(w)] for w in texts}
         assert {r.word: r.ids for r in M.encode_words(words, v).collect()} == {w: v.fold_long(w) for w in texts}
+
+
+def test_decoding_joins_bytes(vocabulary, library):
+    for ids in ([], library.encode(" a  b"), library.encode("é漢😀\n²"), vocabulary.byte_ids[195:196], vocabulary.byte_ids[195:196] + vocabulary.byte_ids[169:170]):
+        want = b"".join(vocabulary.as_bytes[i] for i in ids).decode("utf-8", "replace").replace(M.SPACE, " ").removeprefix(" ")
+        assert vocabulary.decode(ids) == vocabulary.decode(np.array(ids, np.int32)) == want
+    for wrong in (vocabulary.unknown, -1, 10**6):
+        with pytest.raises(KeyError):
+            vocabulary.decode([wrong])

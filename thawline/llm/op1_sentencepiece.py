@@ -167,10 +167,24 @@ class Pieces:
     def as_bytes(self) -> dict[int, bytes]:
         return {i: p.encode("utf-8", "surrogatepass") for p, i, _ in self.pieces} | {i: bytes([b]) for b, i in enumerate(self.byte_ids)}
 
-    def decode(self, ids: list[int]) -> str:
+    @cached_property
+    def by_id(self) -> pa.Array:
+        """Bytes of each id, null where it has none."""
+        return pa.array([self.as_bytes.get(i) for i in range(max(self.as_bytes, default=-1) + 1)], pa.binary())
+
+    def decode(self, ids: list[int] | np.ndarray) -> str:
         """Text of the ids; bytes of neighbouring byte pieces make characters again."""
-        data = b"".join(map(self.as_bytes.__getitem__, ids))
-        text = data.decode("utf-8", "replace").replace(SPACE, " ")
+        ids = np.asarray(ids, np.int32)
+        if not len(ids):
+            return ""
+        try:
+            found = self.by_id.take(pa.array(ids))
+        except pa.ArrowIndexError as e:
+            raise KeyError("id without a piece") from e
+        if found.null_count:
+            raise KeyError("id without a piece")
+        _, ends, data = found.buffers()
+        text = str(data[: np.frombuffer(ends, np.int32, len(ids) + 1)[-1]], "utf-8", "replace").replace(SPACE, " ")
         return text[1:] if text.startswith(" ") else text
 
     def table(self, spark: SparkSession) -> DataFrame:
@@ -529,7 +543,7 @@ def _encode_texts(vocabulary, folder: str, chunk_chars: int, digest: bool):
                 text = t.as_py()
                 parts, behind_space = v.units(text)
                 ids = b"".join(map((known.behind if behind_space else known).__getitem__, parts))
-                decoded = v.decode(np.frombuffer(ids, "<i4").tolist())
+                decoded = v.decode(np.frombuffer(ids, "<i4"))
                 found = (zlib.crc32(ids), zlib.crc32(decoded.encode("utf-8", "surrogatepass")), decoded == text) if digest else (ids, decoded)
                 rows.append((doc_id, len(text), len(ids) // 4, *found))
                 held += len(text)
